@@ -25,16 +25,23 @@ def route_label(event_type: Column, event_types: Sequence[str]) -> Column:
     return F.when(event_type.isin(list(event_types)), event_type).otherwise(F.lit(UNROUTED))
 
 
-def outcome_label(code: Column) -> Column:
+# What ``try_cast`` reads as a whole number, bar overflow.
+_WHOLE_NUMBER = r"^[\s\p{Cntrl}]*[-+]?[0-9]+[\s\p{Cntrl}]*$"
+
+
+def outcome_label(code: Column, is_text: bool = True) -> Column:
     """``valid`` for code 0, ``faulty`` for any other whole number, else ``undetermined``.
 
     Codes are text in practice.  A plain comparison with 0 would fail the job on the first
-    non-numeric code under ANSI rules and lose the row without them.
+    non-numeric code under ANSI rules and lose the row without them.  Text is matched before it is
+    cast because a failing ``try_cast`` throws and catches an exception per row.
     """
     number = code.try_cast("bigint")
+    if is_text:
+        number = F.when(code.rlike(_WHOLE_NUMBER), number)
     return (
         F.when(number == 0, F.lit(VALID))
-        .when(number != 0, F.lit(FAULTY))
+        .when(number.isNotNull(), F.lit(FAULTY))
         .otherwise(F.lit(UNDETERMINED))
     )
 

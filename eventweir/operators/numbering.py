@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -12,8 +14,10 @@ from eventweir.workspace import materialise
 _PLACE_BITS = 33
 
 
-def number_rows(df: DataFrame, order_by: list[Column], name: str) -> DataFrame:
-    """Add ``name``: 1, 2, 3, ... in the given total order.
+def number_rows(
+    df: DataFrame, order_by: Sequence[Column], name: str
+) -> tuple[DataFrame, Column]:
+    """``df`` with ``name``: 1, 2, 3, ... in the given total order; and the number of rows.
 
     The sort is range-partitioned; each row remembers its partition and place there, and the rows
     are written so that both stay fixed.  What is then summed up in order is one count per sorted
@@ -29,8 +33,9 @@ def number_rows(df: DataFrame, order_by: list[Column], name: str) -> DataFrame:
     starts = sizes.select(
         "_part", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_start")
     )
-    return (
+    numbered = (
         stored.withColumn("_part", part)
         .join(F.broadcast(starts), "_part")
         .select(*df.columns, (F.col("_start") + place + 1).alias(name))
     )
+    return numbered, stored.agg(F.count("*").alias("n")).scalar()

@@ -67,23 +67,21 @@ def allocate(registry: DataFrame, limit: int) -> DataFrame:
     """
     if limit < 1:
         raise ValueError("a pipeline must be allowed at least one topic")
-    topics = number_rows(
+    topics, n_topics = number_rows(
         unallocated(registry).select(F.col("topic").alias("topic_name")),
         [F.col("topic_name")],
         "_number",
     )
-    waiting = topics.agg(F.count("*").alias("n")).scalar()
     free = open_pipelines(registry, limit).withColumn(
-        "_free", F.least(F.lit(limit) - F.col("load"), waiting)
+        "_free", F.least(F.lit(limit) - F.col("load"), n_topics)
     )
-    places = number_rows(
+    places, n_places = number_rows(
         free.where(F.col("_free") > 0).select(
             "pipeline_id", "load", F.explode(F.sequence(F.lit(1), F.col("_free"))).alias("_pass")
         ),
         [F.col("_pass"), F.col("load").desc(), F.col("pipeline_id")],
         "_number",
     )
-    n_places = places.agg(F.count("*").alias("n")).scalar()
     group = F.floor((F.col("_number") - n_places - 1) / F.lit(limit)) + 1
     return topics.join(places.select("_number", "pipeline_id"), "_number", "left").select(
         "topic_name",

@@ -11,6 +11,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from eventweir.functions.decoding import CORRUPT
 from eventweir.functions.labels import (
@@ -35,13 +36,14 @@ def label(
     Every record gets exactly one pair, so the targets add up to the input.  A payload without the
     code field leaves the outcome undetermined.
     """
-    code = (
-        F.col(DECODED)[code_field]
-        if code_field in payload_fields(bronze).names
-        else F.lit(None).cast("string")
-    )
+    fields = payload_fields(bronze)
+    if code_field in fields.names:
+        is_text = isinstance(fields[code_field].dataType, StringType)
+        outcome = outcome_label(F.col(DECODED)[code_field], is_text)
+    else:
+        outcome = F.lit(UNDETERMINED)
     return bronze.withColumn("route", route_label(F.col("eventType"), event_types)).withColumn(
-        "outcome", F.when(F.col("route") == UNROUTED, UNROUTED).otherwise(outcome_label(code))
+        "outcome", F.when(F.col("route") == UNROUTED, UNROUTED).otherwise(outcome)
     )
 
 
@@ -82,7 +84,6 @@ def unrouted(labelled: DataFrame) -> DataFrame:
 
 
 QUARANTINE_POLICIES = {
-    # what goes to quarantine besides nothing else being lost
     "quarantine_undetermined": (FAULTY, UNDETERMINED),
     "faulty_only": (FAULTY,),
 }

@@ -1,0 +1,65 @@
+"""Every registered query against SQL on the same tables."""
+
+import functools
+
+import pytest
+
+import __spark_entry__ as driver
+from compare import duck, duck_rows, normalised, spark_rows
+
+SMALL = "/root/testdata/sf0.001"
+LARGER = "/root/testdata/sf0.01"
+
+QUERIES = driver.queries()
+ORACLES = driver.oracle_sql()
+
+
+@functools.lru_cache
+def _duck(sf_dir):
+    return duck(sf_dir)
+
+
+def test_every_query_has_sql():
+    assert set(QUERIES) == set(ORACLES)
+
+
+@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_query_matches_sql(spark, name):
+    result = spark_rows(QUERIES[name](spark, SMALL))
+    assert result == duck_rows(_duck(SMALL), ORACLES[name])
+
+
+# Only here are some topics left over for new groups.
+@pytest.mark.parametrize(
+    "name", ["registry_allocate", "registry_new_groups", "registry_merge", "conservation"]
+)
+def test_query_matches_sql_on_more_rows(spark, name):
+    result = spark_rows(QUERIES[name](spark, LARGER))
+    assert result == duck_rows(_duck(LARGER), ORACLES[name])
+
+
+def test_results_do_not_depend_on_the_session_zone(spark):
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        for name in ("route_click", "bronze_payload", "publish_quarantine"):
+            result = spark_rows(QUERIES[name](spark, SMALL))
+            assert result == duck_rows(_duck(SMALL), ORACLES[name])
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_results_do_not_depend_on_ansi_mode(spark):
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        for name in ("route_valid", "route_undetermined", "registry_allocate", "infer_schema"):
+            result = spark_rows(QUERIES[name](spark, SMALL))
+            assert result == duck_rows(_duck(SMALL), ORACLES[name])
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", "true")
+
+
+def test_entry_counts_every_event(spark):
+    result = driver.entry(spark)
+    _, rows = normalised(result.columns, [tuple(r) for r in result.collect()])
+    assert sum(records for _, _, records in rows) == 1000
+    assert all(offsets == records for _, offsets, records in rows)
