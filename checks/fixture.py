@@ -21,6 +21,8 @@ PAYLOAD_DDL = (
 CONFIG = TopicConfig(TOPIC, PAYLOAD_BASED, PAYLOAD_DDL, EVENT_TYPES)
 
 LIMIT = 20
+# A run over everything available takes micro-batches of this size, not one of the whole input.
+MICRO_BATCH_BYTES = 256 << 30
 
 
 def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -30,7 +32,7 @@ def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The events as a file stream.  The glob also fits a table of many part files."""
     schema = read_events(spark, sf_dir).schema
-    return stream_files(spark, f"{sf_dir}/events.parquet*", schema)
+    return stream_files(spark, f"{sf_dir}/events.parquet*", schema, max_bytes=MICRO_BATCH_BYTES)
 
 
 def payload_columns() -> dict:

@@ -82,3 +82,15 @@ def payload_bronze(
 def route_table(routed: DataFrame, **options) -> DataFrame:
     """Projection of one event type's table: three record columns and the payload fields."""
     return flatten(routed, ROUTE_METADATA, **options)
+
+
+def redecode(
+    bronze: DataFrame, schema: str | StructType, type_field: str = "eventType"
+) -> DataFrame:
+    """Bronze under another schema, from the payload text that ``keep_raw`` kept."""
+    if "raw" not in bronze.columns:
+        raise ValueError("only a table written with keep_raw can be decoded again")
+    again = bronze.select(
+        *TABLE_METADATA, decode_column(F.col("raw"), schema).alias(DECODED), "raw"
+    )
+    return again.withColumn("eventType", F.col(DECODED)[type_field])

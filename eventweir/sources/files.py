@@ -17,7 +17,7 @@ def stream_files(
     path: str,
     schema: StructType = ENVELOPE_SCHEMA,
     max_files: int | None = None,
-    max_bytes: str | None = None,
+    max_bytes: int | None = None,
 ) -> DataFrame:
     """Files under ``path`` (folder or glob) as a stream.
 

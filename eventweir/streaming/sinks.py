@@ -9,11 +9,10 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
-from eventweir.workspace import read_written
+from eventweir.workspace import pack, read_written
 
 AVAILABLE_NOW = {"availableNow": True}
 # Fixed value: the trigger interval of the bronze tables.
@@ -154,11 +153,5 @@ def read_batches(spark: SparkSession, path: str, schema: T.StructType) -> DataFr
 
 
 def compact(table: DataFrame, path: str, partition_by: Sequence[str]) -> None:
-    """Rewrite a table of many small files to ``path``.
-
-    The rebalance hint sizes the output at run time by
-    ``spark.sql.adaptive.advisoryPartitionSizeInBytes``: small routes are packed into one file, a
-    route that holds most of the rows is spread over many tasks.
-    """
-    hinted = table.hint("rebalance", *[F.col(c) for c in partition_by])
-    hinted.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+    """Rewrite a table of many small files to ``path``, as a batch job."""
+    pack(table, partition_by).write.mode("overwrite").partitionBy(*partition_by).parquet(path)

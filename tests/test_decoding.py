@@ -2,7 +2,14 @@ import pytest
 from pyspark.sql import functions as F
 
 from eventweir.functions.decoding import CORRUPT, check_field_names, payload_schema
-from eventweir.operators.projections import DECODED, decode, flatten, payload_bronze, topic_table
+from eventweir.operators.projections import (
+    DECODED,
+    decode,
+    flatten,
+    payload_bronze,
+    redecode,
+    topic_table,
+)
 
 DDL = "a bigint, b string"
 
@@ -111,3 +118,15 @@ def test_corrupt_column_on_request(envelope_of):
 def test_record_time_without_zone(spark, envelope_of):
     plain = envelope_of(['{"a":1}']).withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz"))
     assert dict(topic_table(plain, DDL).dtypes)["eventTime"] == "timestamp_ntz"
+
+
+def test_decoding_again_under_a_wider_schema(envelope_of):
+    old, new = "eventType string, a string", "eventType string, a bigint, b double"
+    envelope = envelope_of(['{"eventType":"x","a":1,"b":0.5}', "oops"])
+    table = payload_bronze(envelope, old, keep_raw=True)
+    expected = payload_bronze(envelope, new, keep_raw=True)
+    again = redecode(table, new)
+    assert again.columns == expected.columns
+    assert again.collect() == expected.collect()
+    with pytest.raises(ValueError, match="keep_raw"):
+        redecode(payload_bronze(envelope, old), new)

@@ -1,0 +1,59 @@
+import pytest
+
+from eventweir.sources.kafka import topic_options
+from eventweir.streaming.sinks import EVERY_30_SECONDS, kafka_write_options
+from eventweir.workspace import CHECKPOINT_CONF, fresh_path, shared_dir
+
+
+def test_stream_options():
+    assert topic_options("host:9092", ["a", "b"], maxOffsetsPerTrigger=10) == {
+        "kafka.bootstrap.servers": "host:9092",
+        "subscribe": "a,b",
+        "startingOffsets": "earliest",
+        "maxOffsetsPerTrigger": "10",
+    }
+
+
+def test_bounded_read_options():
+    options = topic_options("host:9092", ["a"], ending="latest", minPartitions=400)
+    assert options["endingOffsets"] == "latest" and options["minPartitions"] == "400"
+    with pytest.raises(ValueError):
+        topic_options("host:9092", [])
+
+
+def test_write_options():
+    assert kafka_write_options("h", "t") == {"kafka.bootstrap.servers": "h", "topic": "t"}
+    assert "topic" not in kafka_write_options("h")
+    assert EVERY_30_SECONDS == {"processingTime": "30 seconds"}
+
+
+class _Session:
+    """Just what the workspace asks of a session."""
+
+    def __init__(self, master, folder=None):
+        self.settings = {CHECKPOINT_CONF: folder} if folder else {}
+        self.conf = self
+        self.sparkContext = self
+        self.master, self.applicationId = master, "app-1"
+
+    def get(self, name, default):
+        return self.settings.get(name, default)
+
+    def set(self, name, value):
+        self.settings[name] = value
+
+
+def test_the_clusters_folder_is_used():
+    session = _Session("spark://head:7077", "hdfs://shared/cp/")
+    assert shared_dir(session) == "hdfs://shared/cp"
+    assert fresh_path(session, "x").startswith("hdfs://shared/cp/eventweir/app-1/x-")
+
+
+def test_a_cluster_without_shared_folder_is_refused():
+    with pytest.raises(ValueError, match=CHECKPOINT_CONF):
+        shared_dir(_Session("yarn"))
+
+
+def test_local_sessions_keep_one_folder():
+    session = _Session("local[4]")
+    assert shared_dir(session) == shared_dir(session) == session.settings[CHECKPOINT_CONF]
