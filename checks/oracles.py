@@ -64,7 +64,7 @@ FROM src WHERE broken OR etype NOT IN {EVENT_TYPES}
 _CONSERVATION = f"""
 WITH {_SRC}
 SELECT CASE WHEN NOT broken THEN etype END AS "eventType", count(*) AS records,
-       count(DISTINCT event_id) AS offsets
+       count(DISTINCT (user_id % 4, event_id)) AS positions
 FROM src GROUP BY 1
 """
 

@@ -56,17 +56,25 @@ def routes(labelled: DataFrame, event_types: Sequence[str]) -> dict[str, DataFra
     return {event_type: route(labelled, event_type) for event_type in event_types}
 
 
-def valid(labelled: DataFrame) -> DataFrame:
-    return route_table(labelled.where(F.col("outcome") == VALID))
+def valid(labelled: DataFrame, event_type: str | None = None) -> DataFrame:
+    """Routed records with code 0, of all event types or of one."""
+    return _with_outcome(labelled, VALID, event_type)
 
 
-def faulty(labelled: DataFrame) -> DataFrame:
-    return route_table(labelled.where(F.col("outcome") == FAULTY))
+def faulty(labelled: DataFrame, event_type: str | None = None) -> DataFrame:
+    return _with_outcome(labelled, FAULTY, event_type)
 
 
-def undetermined(labelled: DataFrame) -> DataFrame:
+def undetermined(labelled: DataFrame, event_type: str | None = None) -> DataFrame:
     """Routed records whose code is missing or not a whole number."""
-    return route_table(labelled.where(F.col("outcome") == UNDETERMINED))
+    return _with_outcome(labelled, UNDETERMINED, event_type)
+
+
+def _with_outcome(labelled: DataFrame, outcome: str, event_type: str | None) -> DataFrame:
+    chosen = F.col("outcome") == outcome
+    if event_type is not None:
+        chosen &= F.col("route") == event_type
+    return route_table(labelled.where(chosen))
 
 
 def unrouted(labelled: DataFrame) -> DataFrame:
@@ -100,7 +108,12 @@ def quarantined(labelled: DataFrame, policy: str = "quarantine_undetermined") ->
 
 
 def conservation(labelled: DataFrame) -> DataFrame:
-    """Per event type: records and distinct offsets, to compare with the source."""
+    """Per event type: records and distinct source positions, to compare with the source.
+
+    The distinct count is spread by position, not by event type, so a type that holds most of the
+    records does not end up in one task.
+    """
     return labelled.groupBy("eventType").agg(
-        F.count("*").alias("records"), F.count_distinct("offset").alias("offsets")
+        F.count("*").alias("records"),
+        F.count_distinct("topic", "partition", "offset").alias("positions"),
     )

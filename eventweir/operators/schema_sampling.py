@@ -12,7 +12,10 @@ JSON_SPACE = " \t\r\n"
 
 
 def payload_object(text: Column) -> Column:
-    """The payload as a variant; NULL unless it is one well-formed JSON object."""
+    """The payload as a variant; NULL unless it is one well-formed JSON object.
+
+    An object that names a key twice does not count as well-formed.
+    """
     is_object = F.ltrim(text, F.lit(JSON_SPACE)).startswith("{")
     return F.when(is_object, F.try_parse_json(text))
 
@@ -24,6 +27,9 @@ def infer_schemas(envelope: DataFrame) -> DataFrame:
     merged by name, whole numbers are bigint, and double where fractions occur too, other mixtures
     are text.  The aggregate is partial per task, so a topic that holds most of the messages costs
     no more than its share.  Topics without a well-formed object give no row.
+
+    A task that meets more topics than ``spark.sql.objectHashAggregate.sortBased.fallbackThreshold``
+    sorts its input first; raise that setting where one input split mixes hundreds of topics.
     """
     merged = (
         envelope.select("topic", payload_object(payload_text()).alias("payload"))

@@ -41,6 +41,11 @@ def split_by_payload(labelled: DataFrame, config: TopicConfig) -> dict[str, Data
     return {f"silver_{t}_{config.topic}": route(labelled, t) for t in config.event_types}
 
 
+def split_valid(labelled: DataFrame, config: TopicConfig) -> dict[str, DataFrame]:
+    """The valid rows of each event type of a mixed topic, by table name."""
+    return {f"silver_feb_{t}_{config.topic}": valid(labelled, t) for t in config.event_types}
+
+
 def split_valid_faulty(
     labelled: DataFrame, policy: str = "quarantine_undetermined", json_options=None
 ) -> tuple[DataFrame, DataFrame]:

@@ -62,4 +62,4 @@ def test_entry_counts_every_event(spark):
     result = driver.entry(spark)
     _, rows = normalised(result.columns, [tuple(r) for r in result.collect()])
     assert sum(records for _, _, records in rows) == 1000
-    assert all(offsets == records for _, offsets, records in rows)
+    assert all(positions == records for _, positions, records in rows)

@@ -15,6 +15,7 @@ from eventweir.plans.use_cases import (
     publish,
     split_by_payload,
     split_by_topic,
+    split_valid,
     split_valid_faulty,
 )
 from eventweir.workspace import materialise
@@ -148,6 +149,15 @@ def test_split_by_payload(labelled):
     ]
 
 
+def test_split_valid(labelled):
+    tables = split_valid(labelled, CONFIG)
+    assert {name: df.count() for name, df in tables.items()} == {
+        "silver_feb_a_mixed": 1,
+        "silver_feb_b_mixed": 0,
+    }
+    assert routing.faulty(labelled, "b").first().n == 8
+
+
 def test_split_by_topic(envelope_of):
     configs = [TopicConfig("x", TOPIC_BASED, "n bigint"), CONFIG]
     tables = split_by_topic(lambda topic: envelope_of([event("a", 5)], topic), configs)
