@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -15,26 +15,38 @@ from eventweir.operators.schema_sampling import payload_object
 from eventweir.plans.config import TopicConfig
 
 
+def quoted(name: str) -> str:
+    return f"`{name}`" if "." in name else name
+
+
+def _quoted(name: Column) -> Column:
+    return F.when(name.contains("."), F.concat(F.lit("`"), name, F.lit("`"))).otherwise(name)
+
+
+def _outer(field: Column) -> Column:
+    """The top-level part of a field path."""
+    return F.regexp_extract(field, r"^(`.*?`|[^.]*)(\.|$)", 1)
+
+
 def field_profile(envelope: DataFrame) -> DataFrame:
     """``(topic, field, observed_type, records)`` over all well-formed messages.
 
-    Fields of nested objects are listed one level deep as ``outer.inner``.  Counting by the plain
-    type text first keeps this a partial hash aggregate; only its few result rows are renamed and
-    counted again.
+    Fields of nested objects are listed one level deep as ``outer.inner``; a name that has a dot
+    itself is quoted.  Counting by the plain type text first keeps this a partial hash aggregate;
+    only its few result rows are renamed and counted again.
     """
     spark = envelope.sparkSession
     payloads = envelope.select("topic", payload_object(payload_text()).alias("payload"))
-    fields = payloads.lateralJoin(
-        spark.tvf.variant_explode(F.col("payload").outer())
-    ).select("topic", F.col("key").alias("field"), F.col("value").alias("content"))
-    nested = fields.withColumn("kind", F.schema_of_variant("content"))
-    leaves = nested.lateralJoin(
-        spark.tvf.variant_explode_outer(
-            F.when(F.col("kind").outer().startswith("OBJECT"), F.col("content").outer())
-        )
-    ).select(
+    fields = payloads.lateralJoin(spark.tvf.variant_explode(F.col("payload").outer())).select(
+        "topic",
+        _quoted(F.col("key")).alias("field"),
+        F.col("value").alias("content"),
+        F.schema_of_variant("value").alias("kind"),
+    )
+    inner_objects = F.when(F.col("kind").outer().startswith("OBJECT"), F.col("content").outer())
+    leaves = fields.lateralJoin(spark.tvf.variant_explode_outer(inner_objects)).select(
         "topic",
-        F.concat_ws(".", "field", "key").alias("field"),
+        F.concat_ws(".", "field", _quoted(F.col("key"))).alias("field"),
         F.when(F.col("key").isNull(), F.col("kind"))
         .otherwise(F.schema_of_variant("value"))
         .alias("kind"),
@@ -47,42 +59,53 @@ def field_profile(envelope: DataFrame) -> DataFrame:
     )
 
 
-def registered_fields(spark, configs: Iterable[TopicConfig]) -> DataFrame:
+def registered_fields(spark: SparkSession, configs: Iterable[TopicConfig]) -> DataFrame:
     """``(topic, field, registered_type)``, nested fields one level deep as ``outer.inner``."""
     rows = []
     for config in configs:
         for field in payload_schema(config.schema_ddl).fields:
+            name = quoted(field.name)
             if isinstance(field.dataType, T.StructType):
                 rows += [
-                    (config.topic, f"{field.name}.{inner.name}", inner.dataType.simpleString())
+                    (config.topic, f"{name}.{quoted(inner.name)}", inner.dataType.simpleString())
                     for inner in field.dataType.fields
                 ]
             else:
-                rows.append((config.topic, field.name, field.dataType.simpleString()))
+                rows.append((config.topic, name, field.dataType.simpleString()))
     return spark.createDataFrame(rows, "topic string, field string, registered_type string")
 
 
 def schema_drift(profile: DataFrame, registered: DataFrame) -> DataFrame:
     """The profile next to the registered types, with a verdict per row.
 
-    ``match``, ``null_only`` (fits any type), ``widening`` (fits by a lossless cast), ``conflict``
-    (decodes to NULL or to text of another shape), ``new_field``, ``never_seen``.  Registered
-    topics without any profile row report all their fields as ``never_seen``.
+    ``match``, ``null_only`` (fits any type), ``widening`` (fits by a lossless cast), ``as_text``
+    (registered as text, decodes to its JSON text), ``conflict`` (decodes to NULL), ``new_field``
+    (not decoded), ``never_seen``.  An object where a plain field is registered is judged by that
+    field, a plain value where an object is registered is a conflict.
     """
-    observed, declared = F.col("observed_type"), F.col("registered_type")
-    widening = (observed == "bigint") & (declared == "double")
+    outer = _outer(F.col("field"))
+    tops = registered.groupBy("topic", outer.alias("outer")).agg(
+        F.bool_or(F.col("field") == outer).alias("plain")
+    )
+    observed = profile.withColumn("outer", outer).join(tops, ["topic", "outer"], "left")
+    slot = F.when(F.col("plain"), F.col("outer")).otherwise(F.col("field"))
+    slotted = observed.withColumn("slot", slot)
+    declared = registered.withColumnsRenamed({"field": "slot"})
+    seen, wanted = F.col("observed_type"), F.col("registered_type")
+    object_wanted = ~F.col("plain") & (F.col("field") == F.col("outer"))
     verdict = (
-        F.when(observed.isNull(), "never_seen")
-        .when(declared.isNull(), "new_field")
-        .when(observed == declared, "match")
-        .when(observed == "void", "null_only")
-        .when(widening, "widening")
+        F.when(seen.isNull(), "never_seen")
+        .when(wanted.isNull() & ~F.coalesce(object_wanted, F.lit(False)), "new_field")
+        .when(seen == "void", "null_only")
+        .when((seen == wanted) & (F.col("slot") == F.col("field")), "match")
+        .when((seen == "bigint") & (wanted == "double"), "widening")
+        .when(wanted == "string", "as_text")
         .otherwise("conflict")
     )
-    return profile.join(registered, ["topic", "field"], "full_outer").select(
+    return slotted.join(declared, ["topic", "slot"], "full_outer").select(
         "topic",
-        "field",
-        "registered_type",
+        F.coalesce("field", "slot").alias("field"),
+        F.coalesce(wanted, F.when(object_wanted, F.lit("struct"))).alias("registered_type"),
         "observed_type",
         F.coalesce("records", F.lit(0)).alias("records"),
         verdict.alias("verdict"),

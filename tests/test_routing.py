@@ -121,11 +121,12 @@ def test_written_bronze_keeps_every_label(spark, labelled):
     )
 
 
-def test_numeric_looking_types_stay_text(spark, envelope_of):
-    config = TopicConfig("mixed", PAYLOAD_BASED, DDL, ("007", "7"))
-    labelled = labelled_bronze(envelope_of([event("007", 1), event("7", 2)]), config)
+def test_types_that_look_like_numbers_dates_or_paths(spark, envelope_of):
+    types = ("007", "7", "2024-01-01", "a/b", "x=y", "50 %", "ü", "A", "a")
+    config = TopicConfig("mixed", PAYLOAD_BASED, DDL, types)
+    labelled = labelled_bronze(envelope_of([event(t, i) for i, t in enumerate(types)]), config)
     table = materialise(labelled, "test", routing.LABELS)
-    assert routing.route(table, "007").count() == routing.route(table, "7").count() == 1
+    assert [routing.route(table, t).first().n for t in types] == list(range(len(types)))
 
 
 def test_reserved_route_name(spark):

@@ -1,6 +1,7 @@
 import pytest
 
-from eventweir.sources.kafka import topic_options
+from eventweir.sources.kafka import read_topics, stream_topics, topic_options
+from eventweir.streaming import sinks
 from eventweir.streaming.sinks import EVERY_30_SECONDS, kafka_write_options
 from eventweir.workspace import CHECKPOINT_CONF, fresh_path, shared_dir
 
@@ -57,3 +58,18 @@ def test_a_cluster_without_shared_folder_is_refused():
 def test_local_sessions_keep_one_folder():
     session = _Session("local[4]")
     assert shared_dir(session) == shared_dir(session) == session.settings[CHECKPOINT_CONF]
+
+
+def test_everything_but_the_connector_is_in_place(spark, envelope_of, tmp_path):
+    """Without the connector on the class path each call gets as far as asking for it."""
+    messages = spark.range(1).selectExpr("'k' key", "'v' value")
+    rates = spark.readStream.format("rate").load().selectExpr("'k' key", "'v' value")
+    calls = [
+        lambda: read_topics(spark, "host:9092", ["a"]),
+        lambda: stream_topics(spark, "host:9092", ["a"], maxOffsetsPerTrigger=5),
+        lambda: sinks.kafka_messages("host:9092", "t")(messages, 0),
+        lambda: sinks.kafka_sink(rates, "host:9092", str(tmp_path / "cp"), topic="t"),
+    ]
+    for call in calls:
+        with pytest.raises(Exception, match="(?i)failed to find data source: kafka"):
+            call()
