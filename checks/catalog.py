@@ -278,57 +278,54 @@ def stream_topic_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def stream_routes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every routed record, from the table that one write per micro-batch filled."""
-    path = fresh_path(spark, "stream_routes")
+def _run_payload_flow(spark: SparkSession, sf_dir: str, name: str, *outputs) -> tuple[str, DataFrame]:
+    """Run the flow to its end; the folder of its messages, and its table."""
+    path = fresh_path(spark, name)
     labelled = _stream_labelled(spark, sf_dir)
-    flows.route_flow(
-        labelled, f"{path}/table", f"{path}/checkpoint", "routes", sinks.AVAILABLE_NOW
+    bound = [
+        make(sinks.file_messages(f"{path}/messages/{i}", name)) for i, make in enumerate(outputs)
+    ]
+    flows.payload_flow(
+        labelled, f"{path}/table", f"{path}/checkpoint", name, bound, sinks.AVAILABLE_NOW
     ).awaitTermination()
-    table = sinks.read_batches(spark, f"{path}/table", labelled.schema)
-    routed = table.where(F.col("route") != routing.UNROUTED)
-    return _key_text(routing.route_table(routed))
+    return f"{path}/messages", sinks.read_batches(spark, f"{path}/table", labelled.schema)
 
 
-def _stream_quarantine(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    path = fresh_path(spark, "stream_quarantine")
-    labelled = _stream_labelled(spark, sf_dir)
-    flows.quarantine_flow(
-        labelled,
-        f"{path}/table",
-        f"{path}/checkpoint",
-        "quarantine",
-        sinks.file_messages(f"{path}/messages", "quarantine"),
-        policy="faulty_only",
-        json_options=MICROSECOND_JSON,
-        trigger=sinks.AVAILABLE_NOW,
-    ).awaitTermination()
-    table = sinks.read_batches(spark, f"{path}/table", labelled.schema)
-    messages = sinks.read_messages(spark, f"{path}/messages")
-    return _key_text(routing.valid(table)), messages
+_quarantine = partial(
+    flows.quarantine_output, policy="faulty_only", json_options=MICROSECOND_JSON
+)
+_publish = partial(
+    flows.publish_output, per_source_topic=True, json_options=MICROSECOND_JSON
+)
 
 
-def stream_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _stream_quarantine(spark, sf_dir)[1]
+def stream_routes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every routed record, from the table that one write per micro-batch filled."""
+    _, table = _run_payload_flow(spark, sf_dir, "stream_routes")
+    return _key_text(routing.route_table(table.where(F.col("route") != routing.UNROUTED)))
 
 
 def stream_valid(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _stream_quarantine(spark, sf_dir)[0]
+    _, table = _run_payload_flow(spark, sf_dir, "stream_valid", _quarantine)
+    return _key_text(routing.valid(table))
+
+
+def stream_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    messages, _ = _run_payload_flow(spark, sf_dir, "stream_quarantine", _quarantine)
+    return sinks.read_messages(spark, f"{messages}/0")
 
 
 def stream_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = fresh_path(spark, "stream_publish")
-    flows.publish_flow(
-        _stream_labelled(spark, sf_dir),
-        f"{path}/table",
-        f"{path}/checkpoint",
-        "publish",
-        sinks.file_messages(f"{path}/messages", "publish"),
-        per_source_topic=True,
-        json_options=MICROSECOND_JSON,
-        trigger=sinks.AVAILABLE_NOW,
-    ).awaitTermination()
-    return sinks.read_messages(spark, f"{path}/messages")
+    messages, _ = _run_payload_flow(spark, sf_dir, "stream_publish", _publish)
+    return sinks.read_messages(spark, f"{messages}/0")
+
+
+def stream_all_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quarantine and outgoing topics fed by one flow."""
+    messages, _ = _run_payload_flow(spark, sf_dir, "stream_all_messages", _quarantine, _publish)
+    return sinks.read_messages(spark, f"{messages}/0").unionByName(
+        sinks.read_messages(spark, f"{messages}/1")
+    )
 
 
 QUERIES: dict[str, Query] = {
@@ -367,4 +364,5 @@ QUERIES: dict[str, Query] = {
     "stream_valid": stream_valid,
     "stream_quarantine": stream_quarantine,
     "stream_publish": stream_publish,
+    "stream_all_messages": stream_all_messages,
 }

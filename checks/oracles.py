@@ -281,4 +281,5 @@ GROUP BY ALL HAVING count(*) > 1
     "stream_valid": _route("ec = '0'"),
     "stream_quarantine": _QUARANTINE,
     "stream_publish": _PUBLISH_ALL,
+    "stream_all_messages": f"SELECT * FROM ({_QUARANTINE}) UNION ALL SELECT * FROM ({_PUBLISH_ALL})",
 }

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
@@ -58,62 +58,48 @@ def bronze_flows(
     return started
 
 
-def route_flow(
-    labelled: DataFrame, path: str, checkpoint: str, app_id: str, trigger=None
-) -> StreamingQuery:
-    """All routes of a labelled stream in one idempotent write per micro-batch."""
-
-    def write(batch: DataFrame, batch_id: int) -> None:
-        replace_batch(batch, path, app_id, batch_id, LABELS)
+MessagesOf = Callable[[DataFrame], DataFrame]
 
-    return batch_sink(labelled, write, checkpoint, f"flow_{app_id}", trigger)
 
-
-def quarantine_flow(
+def payload_flow(
     labelled: DataFrame,
     path: str,
     checkpoint: str,
     app_id: str,
-    send: BatchWriter,
-    policy: str = "quarantine_undetermined",
-    json_options: dict[str, str] | None = None,
+    outputs: Sequence[tuple[MessagesOf, BatchWriter]] = (),
     trigger=None,
 ) -> StreamingQuery:
-    """Valid rows into a table, quarantined ones to ``send``.
+    """A labelled stream into one idempotent table, and messages made from it.
 
-    The batch is decoded and written once.  The messages are made from the few partitions of the
-    written batch that hold them, so nothing is cached and losing executors between the two writes
-    repeats neither.
+    Each micro-batch is decoded and written once, whatever the number of outputs.  Messages are
+    read back from the few partitions of the written batch that hold them, so nothing is cached and
+    losing executors between the writes repeats none of them.
     """
-    if policy not in QUARANTINE_POLICIES:
-        raise ValueError(f"unknown policy {policy}")
 
     def process(batch: DataFrame, batch_id: int) -> None:
         replace_batch(batch, path, app_id, batch_id, LABELS)
-        written = written_batch(batch, path, app_id, batch_id)
-        send(publish_quarantine(quarantined(written, policy), json_options), batch_id)
+        for messages_of, send in outputs:
+            send(messages_of(written_batch(batch, path, app_id, batch_id)), batch_id)
 
     return batch_sink(labelled, process, checkpoint, f"flow_{app_id}", trigger)
 
 
-def publish_flow(
-    labelled: DataFrame,
-    path: str,
-    checkpoint: str,
-    app_id: str,
+def quarantine_output(
     send: BatchWriter,
-    per_source_topic: bool = False,
+    policy: str = "quarantine_undetermined",
     json_options: dict[str, str] | None = None,
-    trigger=None,
-) -> StreamingQuery:
-    """Records of all routes to the outgoing topic of their type, from one write per batch."""
+) -> tuple[MessagesOf, BatchWriter]:
+    """Quarantined records to ``send``; the valid ones are a partition of the table."""
+    if policy not in QUARANTINE_POLICIES:
+        raise ValueError(f"unknown policy {policy}")
+    return lambda table: publish_quarantine(quarantined(table, policy), json_options), send
 
-    def process(batch: DataFrame, batch_id: int) -> None:
-        replace_batch(batch, path, app_id, batch_id, LABELS)
-        written = written_batch(batch, path, app_id, batch_id)
-        send(publish_routes(written, per_source_topic, json_options), batch_id)
 
-    return batch_sink(labelled, process, checkpoint, f"kafka_flow_{app_id}", trigger)
+def publish_output(
+    send: BatchWriter, per_source_topic: bool = False, json_options: dict[str, str] | None = None
+) -> tuple[MessagesOf, BatchWriter]:
+    """Records of all routes to ``send``, each for the outgoing topic of its type."""
+    return lambda table: publish_routes(table, per_source_topic, json_options), send
 
 
 def written_batch(batch: DataFrame, path: str, app_id: str, batch_id: int) -> DataFrame:

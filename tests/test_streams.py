@@ -91,7 +91,7 @@ def test_routes_survive_a_failed_batch(spark, labelled_stream, labelled_batch, t
     with pytest.raises(Exception, match="lost"):
         sinks.batch_sink(labelled_stream, dies_once, checkpoint, "dies", NOW).awaitTermination()
     assert 0 < spark.read.parquet(table).count() < 1000
-    flows.route_flow(labelled_stream, table, checkpoint, "r", NOW).awaitTermination()
+    flows.payload_flow(labelled_stream, table, checkpoint, "r", trigger=NOW).awaitTermination()
     written = sinks.read_batches(spark, table, labelled_batch.schema)
     assert rows(written) == rows(labelled_batch)
 
@@ -121,9 +121,9 @@ def test_new_app_id_keeps_older_batches(spark, labelled_batch, tmp_path):
 @pytest.mark.parametrize("policy", ["quarantine_undetermined", "faulty_only"])
 def test_quarantine_stream_equals_batch(spark, labelled_stream, labelled_batch, tmp_path, policy):
     table, messages = str(tmp_path / "table"), str(tmp_path / "messages")
-    flows.quarantine_flow(
-        labelled_stream, table, str(tmp_path / "cp"), "q",
-        sinks.file_messages(messages, "q"), policy=policy, trigger=NOW,
+    output = flows.quarantine_output(sinks.file_messages(messages, "q"), policy)
+    flows.payload_flow(
+        labelled_stream, table, str(tmp_path / "cp"), "q", [output], NOW
     ).awaitTermination()
     valid, expected = split_valid_faulty(labelled_batch, policy)
     stored = sinks.read_batches(spark, table, labelled_batch.schema)
@@ -131,20 +131,47 @@ def test_quarantine_stream_equals_batch(spark, labelled_stream, labelled_batch,
     assert rows(sinks.read_messages(spark, messages)) == rows(expected)
 
 
-def test_unknown_policy(labelled_stream):
+def test_unknown_policy():
     with pytest.raises(ValueError, match="policy"):
-        flows.quarantine_flow(labelled_stream, "", "", "q", print, policy="drop")
+        flows.quarantine_output(print, policy="drop")
 
 
 def test_publish_stream_equals_batch(spark, labelled_stream, labelled_batch, tmp_path):
     messages = str(tmp_path / "messages")
-    flows.publish_flow(
-        labelled_stream, str(tmp_path / "table"), str(tmp_path / "cp"), "p",
-        sinks.file_messages(messages, "p"), trigger=NOW,
+    output = flows.publish_output(sinks.file_messages(messages, "p"))
+    flows.payload_flow(
+        labelled_stream, str(tmp_path / "table"), str(tmp_path / "cp"), "p", [output], NOW
     ).awaitTermination()
     assert rows(sinks.read_messages(spark, messages)) == rows(publish(labelled_batch))
 
 
+def test_failed_message_output_is_repeated_but_the_table_is_not(
+    spark, labelled_stream, labelled_batch, tmp_path
+):
+    """At least once: the batch whose sending failed is sent again, its rows are not added again."""
+    table, checkpoint = str(tmp_path / "table"), str(tmp_path / "cp")
+    sent, fail = [], [True]
+
+    def send(messages, batch_id):
+        sent.append((batch_id, messages.count()))
+        if batch_id == 1 and fail.pop() is True:
+            raise RuntimeError("broker away")
+
+    def run():
+        fail.append(len(sent) == 0)
+        output = flows.publish_output(send)
+        flows.payload_flow(
+            labelled_stream, table, checkpoint, "p", [output], NOW
+        ).awaitTermination()
+
+    with pytest.raises(Exception, match="broker away"):
+        run()
+    run()
+    assert [batch_id for batch_id, _ in sent] == [0, 1, 1, 2, 3, 4, 5]
+    assert sent[1] == sent[2]
+    assert rows(sinks.read_batches(spark, table, labelled_batch.schema)) == rows(labelled_batch)
+
+
 def test_messages_streamed_from_the_bronze_table(spark, labelled_batch, tmp_path):
     """The outgoing topics can follow bronze as a stream of their own."""
     bronze = str(tmp_path / "bronze")
@@ -220,8 +247,8 @@ def test_production_envelopes_stream(spark, envelope_of, tmp_path):
     texts = [json.dumps({"eventType": "a", "error_code": c}) for c in ("0", "1", "E")]
     envelope_of(texts, "mixed").write.parquet(str(tmp_path / "in"))
     stream = labelled_bronze(stream_files(spark, str(tmp_path / "in"), ENVELOPE_SCHEMA), config)
-    flows.route_flow(
-        stream, str(tmp_path / "t"), str(tmp_path / "cp"), "r", NOW
+    flows.payload_flow(
+        stream, str(tmp_path / "t"), str(tmp_path / "cp"), "r", trigger=NOW
     ).awaitTermination()
     table = sinks.read_batches(spark, str(tmp_path / "t"), stream.schema)
     assert sorted(r.outcome for r in table.collect()) == ["faulty", "undetermined", "valid"]
