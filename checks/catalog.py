@@ -152,6 +152,13 @@ def topic_config(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _joined_types(config)
 
 
+def decode_inferred(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The combined topic decoded with the schema found in its own messages."""
+    envelope = _envelopes(spark, sf_dir)
+    (found,) = schema_sampling.infer_schemas(envelope).collect()
+    return _key_text(topic_table(envelope, found.schema_ddl))
+
+
 def field_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return schema_drift.field_profile(_topic_envelopes(spark, sf_dir))
 
@@ -344,6 +351,7 @@ QUERIES: dict[str, Query] = {
     "publish_fanout": publish_fanout,
     "infer_schema": infer_schema,
     "topic_config": topic_config,
+    "decode_inferred": decode_inferred,
     "field_profile": field_profile,
     "schema_drift": drift,
     "schema_merge_read": schema_merge_read,

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from checks.catalog import OLD_DDL
-from checks.fixture import EVENT_TYPES, LIMIT, PAYLOAD_DDL, TOPIC
+from checks.fixture import EVENT_TYPES, LIMIT, TOPIC
 
 # The fixture's properties of every event: broken text, its type, its code.
 _SRC = f"""
@@ -235,6 +235,7 @@ SELECT topic, CASE WHEN topic = '{TOPIC}' THEN 'payload_based' ELSE 'topic_based
        schema_ddl, CASE WHEN topic = '{TOPIC}' THEN '{','.join(EVENT_TYPES)}' END AS event_types
 FROM schemas WHERE topic IN {(TOPIC, *EVENT_TYPES)}
 """,
+    "decode_inferred": _DECODE_FLAT,
     "field_profile": f"WITH {_OBSERVED} SELECT topic, field, observed_type, records FROM profile",
     "schema_drift": _DRIFT,
     "schema_merge_read": _EVOLVING,

@@ -36,6 +36,6 @@ def number_rows(
     numbered = (
         stored.withColumn("_part", part)
         .join(F.broadcast(starts), "_part")
-        .select(*df.columns, (F.col("_start") + place + 1).alias(name))
+        .select(*[F.col(f"`{c}`") for c in df.columns], (F.col("_start") + place + 1).alias(name))
     )
     return numbered, stored.agg(F.count("*").alias("n")).scalar()
