@@ -52,10 +52,6 @@ def route(labelled: DataFrame, event_type: str, **options) -> DataFrame:
     return route_table(labelled.where(F.col("route") == event_type), **options)
 
 
-def routes(labelled: DataFrame, event_types: Sequence[str]) -> dict[str, DataFrame]:
-    return {event_type: route(labelled, event_type) for event_type in event_types}
-
-
 def valid(labelled: DataFrame, event_type: str | None = None) -> DataFrame:
     """Routed records with code 0, of all event types or of one."""
     return _with_outcome(labelled, VALID, event_type)
@@ -78,7 +74,9 @@ def _with_outcome(labelled: DataFrame, outcome: str, event_type: str | None) ->
 
 
 def unrouted(labelled: DataFrame) -> DataFrame:
-    """Records without a listed event type, with the reason and what is needed to replay them."""
+    """Records without a listed event type: position, reason, and the text where it was kept."""
+    corrupt = F.col(DECODED)[CORRUPT]
+    text = F.col("raw") if "raw" in labelled.columns else corrupt
     return labelled.where(F.col("route") == UNROUTED).select(
         "key",
         "topic",
@@ -86,8 +84,8 @@ def unrouted(labelled: DataFrame) -> DataFrame:
         "offset",
         "eventTime",
         "eventType",
-        unrouted_reason(F.col("eventType"), F.col(DECODED)[CORRUPT]).alias("reason"),
-        F.col(DECODED)[CORRUPT].alias("raw"),
+        unrouted_reason(F.col("eventType"), corrupt).alias("reason"),
+        text.alias("raw"),
     )
 
 

@@ -111,6 +111,12 @@ def test_reasons(labelled):
     }
 
 
+def test_rejects_come_with_their_text_where_it_is_kept(envelope_of):
+    labelled = labelled_bronze(envelope_of(PAYLOADS, "mixed"), CONFIG, keep_raw=True)
+    rows = {r.offset: r.raw for r in routing.unrouted(labelled).collect()}
+    assert rows[4] == event("c", 5) and rows[7] == "broken" and rows[8] is None
+
+
 def test_written_bronze_keeps_every_label(spark, labelled):
     """No folder per garbage type, and an empty type is not read back as NULL."""
     table = materialise(labelled, "test", routing.LABELS)
