@@ -238,6 +238,10 @@ def registry_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _joined_types(registry.merge_assignments(fx.registry(spark, sf_dir), updates))
 
 
+def registry_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _joined_types(registry.topics_of(fx.registry(spark, sf_dir), "p007"))
+
+
 def targets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return target_plan(fx.registry(spark, sf_dir))
 
@@ -360,6 +364,7 @@ QUERIES: dict[str, Query] = {
     "registry_unallocated": registry_unallocated,
     "registry_allocated": registry_allocated,
     "registry_pipelines": registry_pipelines,
+    "registry_topics": registry_topics,
     "registry_allocate": registry_allocate,
     "registry_new_groups": registry_new_groups,
     "registry_merge": registry_merge,

@@ -253,6 +253,7 @@ WITH {_REG} SELECT pipeline_id FROM reg WHERE pipeline_id IS NOT NULL
     "registry_pipelines": f"""
 WITH {_REG} SELECT DISTINCT pipeline_id FROM reg WHERE pipeline_id IS NOT NULL
 """,
+    "registry_topics": f"WITH {_REG} SELECT {_REGISTRY_ROW} FROM reg WHERE pipeline_id = 'p007'",
     "registry_allocate": f"WITH {_ALLOCATION} SELECT * FROM allocation",
     "registry_new_groups": f"""
 WITH {_ALLOCATION}

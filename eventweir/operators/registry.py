@@ -5,6 +5,7 @@ A NULL ``pipeline_id`` marks a topic that no pipeline serves yet.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -151,7 +152,7 @@ def save_registry(registry: DataFrame, path: str, version: int) -> None:
 
 
 def load_registry(spark: SparkSession, path: str) -> DataFrame:
-    """The newest version.  Only its folder is read."""
-    versions = spark.read.schema(REGISTRY_SCHEMA + ", version int").parquet(path)
-    newest = versions.agg(F.max("version").alias("v")).scalar()
-    return versions.where(F.col("version") == newest).drop("version")
+    """The newest version.  Versions are told from the file listing; only the newest is read."""
+    listed = spark.read.schema(REGISTRY_SCHEMA).parquet(path).inputFiles()
+    newest = max(int(v) for name in listed for v in re.findall(r"/version=(\d+)/", name))
+    return spark.read.schema(REGISTRY_SCHEMA).parquet(f"{path}/version={newest}")

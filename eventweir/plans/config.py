@@ -39,14 +39,27 @@ def save_config(config: DataFrame, path: str) -> None:
 
 
 def load_config(spark: SparkSession, path: str, topics: Sequence[str]) -> list[TopicConfig]:
-    """The configuration of the named topics, those one pipeline serves.
+    """The configuration of the named topics."""
+    stored = spark.read.schema(CONFIG_SCHEMA).parquet(path)
+    return _to_driver(stored.where(F.col("topic").isin(list(topics))))
+
+
+def pipeline_config(config: DataFrame, registry: DataFrame, pipeline_id: str) -> list[TopicConfig]:
+    """The configuration of the topics that the registry gives to one pipeline.
 
-    These few rows come to the driver because a decoder's schema is part of the query plan.
+    Looked up when the pipeline starts, so topics allocated to it since then are included.
     """
-    stored = spark.read.schema(CONFIG_SCHEMA).parquet(path)
-    rows = stored.where(F.col("topic").isin(list(topics))).collect()
+    served = registry.where(F.col("pipeline_id") == pipeline_id).select(
+        F.col("topic_name").alias("topic")
+    )
+    return _to_driver(config.join(served, "topic", "left_semi"))
+
+
+def _to_driver(config: DataFrame) -> list[TopicConfig]:
+    """The few rows of one pipeline: a decoder's schema is part of the query plan."""
     return [
-        TopicConfig(r.topic, r.kind, r.schema_ddl, tuple(r.event_types or ())) for r in rows
+        TopicConfig(r.topic, r.kind, r.schema_ddl, tuple(r.event_types or ()))
+        for r in config.orderBy("topic").collect()
     ]
 
 

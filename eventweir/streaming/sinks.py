@@ -8,11 +8,11 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
-from eventweir.workspace import pack, read_written
+from eventweir.workspace import read_written, write_table
 
 AVAILABLE_NOW = {"availableNow": True}
 # Fixed value: the trigger interval of the bronze tables.
@@ -140,15 +140,7 @@ def replace_batch(
     A replayed batch replaces the whole folder, also where it now takes other routes than before.
     Give a new ``app_id`` when a checkpoint is discarded: batch numbers then start over.
     """
-    writer = _replacing(batch)
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.parquet(batch_path(path, app_id, batch_id))
-
-
-def _replacing(df: DataFrame) -> DataFrameWriter:
-    """Overwrite all of a folder, also in sessions set to overwrite only the folders written to."""
-    return df.write.mode("overwrite").option("partitionOverwriteMode", "static")
+    write_table(batch, batch_path(path, app_id, batch_id), partition_by)
 
 
 def read_batches(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -159,4 +151,4 @@ def read_batches(spark: SparkSession, path: str, schema: T.StructType) -> DataFr
 
 def compact(table: DataFrame, path: str, partition_by: Sequence[str]) -> None:
     """Rewrite a table of many small files to ``path``, as a batch job."""
-    _replacing(pack(table, partition_by)).partitionBy(*partition_by).parquet(path)
+    write_table(table, path, partition_by, packed=True)

@@ -42,9 +42,19 @@ def materialise(
     Cuts the lineage for good: losing executors later costs a re-read, not a recomputation, and
     values from non-deterministic expressions no longer change between uses.
     """
-    path = fresh_path(df.sparkSession, name)
+    return write_table(df, fresh_path(df.sparkSession, name), partition_by, packed)
+
+
+def write_table(
+    df: DataFrame, path: str, partition_by: Sequence[str] = (), packed: bool = False
+) -> DataFrame:
+    """Write ``df`` as the whole content of ``path`` and return the written table.
+
+    Replaces what is there, also in sessions set to overwrite only the partitions written to.
+    """
     rows = pack(df, partition_by) if packed else df
-    rows.write.partitionBy(*partition_by).parquet(path)
+    writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "static")
+    writer.partitionBy(*partition_by).parquet(path)
     return read_written(df.sparkSession, path, df.schema)
 
 

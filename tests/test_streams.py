@@ -7,7 +7,14 @@ from checks import fixture as fx
 from eventweir.functions.envelope import ENVELOPE_SCHEMA
 from eventweir.operators import routing
 from eventweir.plans.config import PAYLOAD_BASED, TOPIC_BASED, TopicConfig
-from eventweir.plans.use_cases import labelled_bronze, publish, split_valid_faulty
+from eventweir.plans.use_cases import (
+    labelled_bronze,
+    publish,
+    split_by_payload,
+    split_valid,
+    split_valid_faulty,
+)
+from eventweir.plans.views import create_views
 from eventweir.sources.files import read_files, stream_files, stream_table
 from eventweir.streaming import flows, sinks
 from eventweir.streaming.evolving import (
@@ -206,6 +213,29 @@ def test_catalog_sink_and_table_stream(spark, labelled_stream, tmp_path):
         spark.sql("DROP TABLE bronze_test")
 
 
+def test_views_by_table_name(spark, labelled_stream, labelled_batch, tmp_path):
+    sinks.catalog_sink(
+        labelled_stream, "bronze_views", str(tmp_path / "cp"), routing.LABELS, trigger=NOW
+    ).awaitTermination()
+    try:
+        names = create_views(spark, "bronze_views", fx.CONFIG)
+        assert len(names) == 10
+        views = {**split_by_payload(labelled_batch, fx.CONFIG),
+                 **split_valid(labelled_batch, fx.CONFIG)}
+        assert set(names) == set(views)
+        for name in ("silver_click_all_events", "silver_feb_view_all_events"):
+            view = spark.sql(f"SELECT * FROM {name}")
+            assert view.columns == views[name].columns
+            assert rows(view) == rows(views[name])
+        plan = spark.table("silver_feb_view_all_events")._jdf.queryExecution().executedPlan()
+        filters = plan.toString().split("PartitionFilters: [")[1].split("PushedFilters")[0]
+        assert "= view" in filters and "= valid" in filters
+        for name in names:
+            spark.sql(f"DROP VIEW {name}")
+    finally:
+        spark.sql("DROP TABLE bronze_views")
+
+
 def test_compaction_packs_files(spark, labelled_batch, tmp_path):
     path, packed = str(tmp_path / "t"), str(tmp_path / "packed")
     for batch_id in range(3):
