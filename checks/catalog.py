@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import partial
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,7 +14,8 @@ from eventweir.operators import publishing, registry, routing, schema_drift, sch
 from eventweir.operators.projections import DECODED, payload_bronze, topic_table
 from eventweir.operators.targets import target_collisions, target_plan
 from eventweir.plans.config import PAYLOAD_BASED, TOPIC_BASED, TopicConfig
-from eventweir.plans.use_cases import labelled_bronze
+from eventweir.plans.use_cases import labelled_bronze, split_by_topic
+from eventweir.sources.files import topic_reader
 from eventweir.streaming import flows, sinks
 from eventweir.streaming.evolving import append_evolving, read_evolving
 from eventweir.workspace import fresh_path, materialise, read_written
@@ -70,6 +71,14 @@ def bronze_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _bronze_row(payload_bronze(_envelopes(spark, sf_dir), fx.PAYLOAD_DDL))
 
 
+def split_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The tables of all single-type topics, out of one table of mixed envelopes."""
+    staged = materialise(_topic_envelopes(spark, sf_dir), "envelopes", ("topic",))
+    configs = [TopicConfig(t, TOPIC_BASED, fx.PAYLOAD_DDL) for t in fx.EVENT_TYPES]
+    tables = split_by_topic(topic_reader(staged), configs)
+    return _key_text(reduce(DataFrame.unionByName, tables.values()))
+
+
 # --- routes
 
 
@@ -341,6 +350,7 @@ def stream_all_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "decode_flat": decode_flat,
+    "split_topics": split_topics,
     "bronze_payload": bronze_payload,
     **{f"route_{t}": partial(route, t) for t in fx.EVENT_TYPES},
     "route_valid": route_valid,

@@ -214,6 +214,13 @@ _TARGETS = _targets("true", "'kafka_sink_' || t")
 
 ORACLES: dict[str, str] = {
     "decode_flat": _DECODE_FLAT,
+    "split_topics": f"""
+WITH {_SRC}
+SELECT CAST(user_id AS VARCHAR) AS key, etype AS topic, CAST(user_id % 4 AS INTEGER) AS partition,
+       event_id AS "offset", ts AS "eventTime", 0 AS "timestampType", event_id,
+       etype AS "eventType", user_id, value, props, ec AS error_code
+FROM routed
+""",
     "bronze_payload": _BRONZE,
     **{f"route_{t}": _route(f"etype = '{t}'") for t in EVENT_TYPES},
     "route_valid": _route("ec = '0'"),

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from eventweir.functions.envelope import ENVELOPE_SCHEMA
@@ -31,6 +34,15 @@ def stream_files(
     return reader.parquet(path)
 
 
+def topic_reader(table: DataFrame) -> Callable[[str], DataFrame]:
+    """Read one topic of a table of envelopes.
+
+    Meant for a table written partitioned by ``topic``: each topic then is read by itself, as a
+    subscription to one Kafka topic would.
+    """
+    return lambda topic: table.where(F.col("topic") == topic)
+
+
 def stream_table(spark: SparkSession, name: str) -> DataFrame:
     """A catalog table as a stream."""
     return spark.readStream.table(name)

@@ -10,7 +10,10 @@ from eventweir.operators import publishing, routing, schema_drift, schema_sampli
 from eventweir.operators.projections import topic_table
 from eventweir.operators.registry import allocate
 from eventweir.operators.targets import target_plan
-from eventweir.plans.use_cases import labelled_bronze
+from eventweir.plans.config import TOPIC_BASED, TopicConfig
+from eventweir.plans.use_cases import labelled_bronze, split_by_topic
+from eventweir.sources.files import topic_reader
+from eventweir.workspace import materialise
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -69,6 +72,15 @@ def test_one_field_of_a_route_reads_one_column(plan_of, bronze):
     assert schema == "struct<decodeValue:struct<user_id:bigint>>"
 
 
+def test_a_staged_topic_is_read_by_itself(spark, plan_of, envelope):
+    staged = materialise(envelope, "staged", ("topic",))
+    config = TopicConfig(fx.TOPIC, TOPIC_BASED, fx.PAYLOAD_DDL)
+    (table,) = split_by_topic(topic_reader(staged), [config]).values()
+    plan = re.sub(r"#\d+L?", "#N", plan_of(table))
+    assert f"(topic#N = {fx.TOPIC})" in plan.split("PartitionFilters")[1]
+    assert plan.count("from_json(") == 1 and "Exchange" not in plan
+
+
 def test_schema_aggregate_is_partial(plan_of, envelope):
     plan = plan_of(schema_sampling.infer_schemas(envelope))
     assert "partial_schema_of_variant_agg" in plan and "Python" not in plan
