@@ -8,7 +8,8 @@ from __future__ import annotations
 import re
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from eventweir.operators.numbering import number_rows
@@ -63,8 +64,8 @@ def allocate(registry: DataFrame, limit: int) -> DataFrame:
     ``(topic_name, pipeline_id, new_group)`` with exactly one of the last two set.  Pipelines are
     dealt one topic per pass, the fullest first, until they hold ``limit``.  Free places numbered by
     (pass, load descending, pipeline) and topics numbered by name meet at equal numbers, so the
-    dealing is one equi-join.  A pass that any pipeline takes part in uses up a topic, which bounds
-    the passes by the number of topics.
+    dealing is one equi-join.  Only the passes needed are listed: there are never more places than
+    topics and pipelines together, however far the pipelines are below the limit.
     """
     if limit < 1:
         raise ValueError("a pipeline must be allowed at least one topic")
@@ -73,12 +74,13 @@ def allocate(registry: DataFrame, limit: int) -> DataFrame:
         [F.col("topic_name")],
         "_number",
     )
-    free = open_pipelines(registry, limit).withColumn(
-        "_free", F.least(F.lit(limit) - F.col("load"), n_topics)
-    )
+    free = open_pipelines(registry, limit).withColumn("_free", F.lit(limit) - F.col("load"))
+    needed = F.least(F.col("_free"), _passes_needed(free, n_topics))
     places, n_places = number_rows(
-        free.where(F.col("_free") > 0).select(
-            "pipeline_id", "load", F.explode(F.sequence(F.lit(1), F.col("_free"))).alias("_pass")
+        free.withColumn("_needed", needed)
+        .where(F.col("_needed") > 0)
+        .select(
+            "pipeline_id", "load", F.explode(F.sequence(F.lit(1), F.col("_needed"))).alias("_pass")
         ),
         [F.col("_pass"), F.col("load").desc(), F.col("pipeline_id")],
         "_number",
@@ -91,6 +93,23 @@ def allocate(registry: DataFrame, limit: int) -> DataFrame:
     )
 
 
+def _passes_needed(free: DataFrame, n_topics: Column) -> Column:
+    """How many passes deal ``n_topics``, from the pipelines per number of free places.
+
+    Those with fewer free places than there are passes take all they can, the others one per pass.
+    Splitting at any number of free places overstates what is dealt, except at the right one, so
+    the largest of the answers is the right one.  There is one row per number of free places.
+    """
+    by_places = W.orderBy("_free")
+    full = F.sum(F.col("_free") * F.col("_n")).over(
+        by_places.rowsBetween(W.unboundedPreceding, -1)
+    )
+    dealing = F.sum("_n").over(by_places.rowsBetween(0, W.unboundedFollowing))
+    passes = F.ceil((n_topics - F.coalesce(full, F.lit(0))) / dealing)
+    per_places = free.groupBy("_free").agg(F.count("*").alias("_n"))
+    return per_places.select(passes.alias("p")).agg(F.max("p").alias("p")).scalar()
+
+
 def new_groups(allocation: DataFrame) -> DataFrame:
     """One row per pipeline to create: its topics, comma-joined.  At most ``limit`` names each."""
     return (
