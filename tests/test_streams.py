@@ -284,6 +284,30 @@ def test_production_envelopes_stream(spark, envelope_of, tmp_path):
     assert sorted(r.outcome for r in table.collect()) == ["faulty", "undetermined", "valid"]
 
 
+def test_restart_with_a_wider_payload_schema(spark, envelope_of, tmp_path):
+    """Drift found, schema widened, stream restarted on the same checkpoint and table."""
+    source, table = str(tmp_path / "in"), str(tmp_path / "table")
+
+    def run(ddl):
+        config = TopicConfig("mixed", PAYLOAD_BASED, ddl, ("a",))
+        labelled = labelled_bronze(stream_files(spark, source, ENVELOPE_SCHEMA), config)
+        flows.payload_flow(
+            labelled, table, str(tmp_path / "cp"), "r", trigger=NOW
+        ).awaitTermination()
+        return routing.route(sinks.read_batches(spark, table, labelled.schema), "a")
+
+    event = {"eventType": "a", "error_code": "0", "s": {"x": 1}}
+    envelope_of([json.dumps(event)], "mixed").write.parquet(source)
+    run("eventType string, error_code string, s struct<x:int>")
+    wider = {**event, "s": {"x": 2, "y": "new"}, "n": 0.5}
+    envelope_of([json.dumps(wider)], "mixed").write.mode("append").parquet(source)
+    after = run("eventType string, error_code string, s struct<x:int,y:string>, n double")
+    assert sorted((r.s.x, r.s.y, r.n) for r in after.collect()) == [
+        (1, None, None),
+        (2, "new", 0.5),
+    ]
+
+
 def test_append_with_more_columns(spark, tmp_path):
     path = str(tmp_path / "evolving")
     one = spark.createDataFrame([(1, ("x",))], "id int, s struct<a:string>")
