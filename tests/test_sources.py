@@ -1,7 +1,10 @@
 import pytest
 
+from eventweir.plans.config import PAYLOAD_BASED, TopicConfig
+from eventweir.plans.use_cases import labelled_bronze
+from eventweir.sources.files import stream_files
 from eventweir.sources.kafka import read_topics, stream_topics, topic_options
-from eventweir.streaming import sinks
+from eventweir.streaming import flows, sinks
 from eventweir.streaming.sinks import EVERY_30_SECONDS, kafka_write_options
 from eventweir.workspace import CHECKPOINT_CONF, fresh_path, shared_dir
 
@@ -64,7 +67,11 @@ def test_everything_but_the_connector_is_in_place(spark, envelope_of, tmp_path):
     """Without the connector on the class path each call gets as far as asking for it."""
     messages = spark.range(1).selectExpr("'k' key", "'v' value")
     rates = spark.readStream.format("rate").load().selectExpr("'k' key", "'v' value")
+    config = TopicConfig("mixed", PAYLOAD_BASED, "eventType string", ("a",))
+    envelope_of([], "mixed").write.parquet(str(tmp_path / "in"))
+    labelled = labelled_bronze(stream_files(spark, str(tmp_path / "in")), config)
     calls = [
+        lambda: flows.kafka_flow(labelled, "host:9092", str(tmp_path / "cp1")),
         lambda: read_topics(spark, "host:9092", ["a"]),
         lambda: stream_topics(spark, "host:9092", ["a"], maxOffsetsPerTrigger=5),
         lambda: sinks.kafka_messages("host:9092", "t")(messages, 0),
