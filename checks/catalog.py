@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from checks import fixture as fx
-from eventweir.functions.envelope import MICROSECOND_JSON
+from eventweir.functions.envelope import MICROSECOND_JSON, POSITION_METADATA
 from eventweir.operators import publishing, registry, routing, schema_drift, schema_sampling
 from eventweir.operators.projections import DECODED, payload_bronze, topic_table
 from eventweir.operators.targets import target_collisions, target_plan
@@ -130,6 +130,13 @@ def publish_quarantine_undetermined(spark: SparkSession, sf_dir: str) -> DataFra
     return publishing.publish_quarantine(rejected, MICROSECOND_JSON)
 
 
+def publish_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Outgoing messages that carry their position in the source."""
+    return publishing.publish_routes(
+        bronze(spark, sf_dir), json_options=MICROSECOND_JSON, metadata=POSITION_METADATA
+    )
+
+
 def _decoded_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fx.read_events(spark, sf_dir).select(
         *[c.alias(name) for name, c in fx.payload_columns().items()]
@@ -360,6 +367,7 @@ QUERIES: dict[str, Query] = {
     "conservation": conservation,
     **{f"publish_{t}": partial(publish, t) for t in fx.EVENT_TYPES},
     "publish_all": publish_all,
+    "publish_positions": publish_positions,
     "publish_quarantine": publish_quarantine,
     "publish_quarantine_undetermined": publish_quarantine_undetermined,
     "publish_fanout": publish_fanout,

@@ -84,17 +84,18 @@ def _json(record: tuple[str, ...]) -> str:
     return f"CAST(CASE WHEN ec IS NULL THEN {without} ELSE {with_code} END AS VARCHAR)"
 
 
-_MESSAGE_RECORD = (
-    "key := to_base64(CAST(CAST(user_id AS VARCHAR) AS BLOB))",
-    f"topic := '{TOPIC}'",
-    "\"eventTime\" := strftime(ts, '%Y-%m-%d %H:%M:%S.%f')",
+_KEY = "key := to_base64(CAST(CAST(user_id AS VARCHAR) AS BLOB))"
+_TIME = "\"eventTime\" := strftime(ts, '%Y-%m-%d %H:%M:%S.%f')"
+_MESSAGE_RECORD = (_KEY, f"topic := '{TOPIC}'", _TIME)
+_POSITION_RECORD = (
+    _KEY, f"topic := '{TOPIC}'", "partition := user_id % 4", '"offset" := event_id', _TIME,
 )
 
 
-def _messages(topic: str, where: str = "true") -> str:
+def _messages(topic: str, where: str = "true", record: tuple[str, ...] = _MESSAGE_RECORD) -> str:
     return f"""
 WITH {_SRC}
-SELECT {topic} AS topic, CAST(user_id AS VARCHAR) AS key, {_json(_MESSAGE_RECORD)} AS value
+SELECT {topic} AS topic, CAST(user_id AS VARCHAR) AS key, {_json(record)} AS value
 FROM routed WHERE {where}
 """
 
@@ -230,6 +231,7 @@ FROM routed
     "conservation": _CONSERVATION,
     **{f"publish_{t}": _messages(f"'kafka_sink_{t}'", f"etype = '{t}'") for t in EVENT_TYPES},
     "publish_all": _PUBLISH_ALL,
+    "publish_positions": _messages("'kafka_sink_' || etype", record=_POSITION_RECORD),
     "publish_quarantine": _QUARANTINE,
     "publish_quarantine_undetermined": _messages(
         "'quarantine_events'", f"{_FAULTY} OR {_UNDETERMINED}"

@@ -24,6 +24,9 @@ ENVELOPE_SCHEMA = T.StructType(
 TABLE_METADATA = ("key", "topic", "partition", "offset", "eventTime", "timestampType")
 ROUTE_METADATA = ("key", "topic", "eventTime")
 
+# With the position in the source, by which receivers of repeated messages can tell them.
+POSITION_METADATA = ("key", "topic", "partition", "offset", "eventTime")
+
 # ``to_json`` cuts timestamps to milliseconds unless it is given a format.
 MICROSECOND_JSON = {
     "timestampFormat": "yyyy-MM-dd HH:mm:ss.SSSSSS",

@@ -79,9 +79,11 @@ def payload_bronze(
     return decode(envelope, fields, keep_raw).withColumn("eventType", F.col(DECODED)[type_field])
 
 
-def route_table(routed: DataFrame, **options) -> DataFrame:
+def route_table(
+    routed: DataFrame, metadata: tuple[str, ...] = ROUTE_METADATA, **options
+) -> DataFrame:
     """Projection of one event type's table: three record columns and the payload fields."""
-    return flatten(routed, ROUTE_METADATA, **options)
+    return flatten(routed, metadata, **options)
 
 
 def redecode(

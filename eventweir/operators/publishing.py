@@ -16,18 +16,24 @@ SINK_PREFIX = "kafka_sink_"
 
 
 def publish_route(
-    labelled: DataFrame, event_type: str, json_options: dict[str, str] | None = None
+    labelled: DataFrame,
+    event_type: str,
+    json_options: dict[str, str] | None = None,
+    metadata: tuple[str, ...] = ROUTE_METADATA,
 ) -> DataFrame:
-    """The messages of one event type, for the topic named after the type."""
-    return encode_rows(
-        route(labelled, event_type), SINK_PREFIX + event_type, json_options=json_options
-    )
+    """The messages of one event type, for the topic named after the type.
+
+    Messages are sent at least once; with ``POSITION_METADATA`` receivers can drop repeated ones.
+    """
+    rows = route(labelled, event_type, metadata=metadata)
+    return encode_rows(rows, SINK_PREFIX + event_type, json_options)
 
 
 def publish_routes(
     labelled: DataFrame,
     per_source_topic: bool = False,
     json_options: dict[str, str] | None = None,
+    metadata: tuple[str, ...] = ROUTE_METADATA,
 ) -> DataFrame:
     """The messages of all routes in one pass, each row naming its outgoing topic.
 
@@ -38,7 +44,7 @@ def publish_routes(
     target = F.concat(F.lit(SINK_PREFIX), F.col("route"))
     if per_source_topic:
         target = F.concat(target, F.lit("_"), F.col("topic"))
-    row = row_columns(routed, ROUTE_METADATA)
+    row = row_columns(routed, metadata)
     rows = routed.select(*row, target.alias("_target"))
     return encode_rows(rows, F.col("_target"), json_options, columns=rows.columns[:-1])
 

@@ -95,14 +95,16 @@ QUARANTINE_POLICIES = {
 }
 
 
-def quarantined(labelled: DataFrame, policy: str = "quarantine_undetermined") -> DataFrame:
+def quarantined(
+    labelled: DataFrame, policy: str = "quarantine_undetermined", **options
+) -> DataFrame:
     """Records for the quarantine topic.
 
     ``faulty_only`` sends records with a non-zero code; the undetermined ones then stay in the
     table under their own outcome.
     """
     outcomes = QUARANTINE_POLICIES[policy]
-    return route_table(labelled.where(F.col("outcome").isin(list(outcomes))))
+    return route_table(labelled.where(F.col("outcome").isin(list(outcomes))), **options)
 
 
 def conservation(labelled: DataFrame) -> DataFrame:

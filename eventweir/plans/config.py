@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from eventweir.functions.decoding import payload_schema
+
 # The two kinds of topic.
 TOPIC_BASED = "topic_based"
 PAYLOAD_BASED = "payload_based"
@@ -65,3 +67,23 @@ def _to_driver(config: DataFrame) -> list[TopicConfig]:
 
 def of_kind(configs: Iterable[TopicConfig], kind: str) -> list[TopicConfig]:
     return [c for c in configs if c.kind == kind]
+
+
+# The keys of the mapping file, topic -> {type, schemahint, event_type}.
+def from_mapping(mapping: Mapping[str, Mapping]) -> list[TopicConfig]:
+    """The configuration from a parsed mapping file."""
+    return [
+        TopicConfig(topic, info["type"], info["schemahint"], tuple(info.get("event_type") or ()))
+        for topic, info in mapping.items()
+    ]
+
+
+def to_mapping(configs: Iterable[TopicConfig]) -> dict[str, dict]:
+    """The configuration as it goes into a mapping file; names that need it are quoted."""
+    mapping = {}
+    for config in configs:
+        info = {"type": config.kind, "schemahint": payload_schema(config.schema_ddl).toDDL()}
+        if config.event_types:
+            info["event_type"] = list(config.event_types)
+        mapping[config.topic] = info
+    return mapping

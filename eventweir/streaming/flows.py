@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterable, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
+from eventweir.functions.envelope import ROUTE_METADATA
 from eventweir.operators.publishing import publish_quarantine, publish_routes
 from eventweir.operators.routing import LABELS, QUARANTINE_POLICIES, quarantined
 from eventweir.plans.config import PAYLOAD_BASED, TopicConfig, of_kind
@@ -88,18 +89,26 @@ def quarantine_output(
     send: BatchWriter,
     policy: str = "quarantine_undetermined",
     json_options: dict[str, str] | None = None,
+    metadata: tuple[str, ...] = ROUTE_METADATA,
 ) -> tuple[MessagesOf, BatchWriter]:
     """Quarantined records to ``send``; the valid ones are a partition of the table."""
     if policy not in QUARANTINE_POLICIES:
         raise ValueError(f"unknown policy {policy}")
-    return lambda table: publish_quarantine(quarantined(table, policy), json_options), send
+
+    def messages(table: DataFrame) -> DataFrame:
+        return publish_quarantine(quarantined(table, policy, metadata=metadata), json_options)
+
+    return messages, send
 
 
 def publish_output(
-    send: BatchWriter, per_source_topic: bool = False, json_options: dict[str, str] | None = None
+    send: BatchWriter,
+    per_source_topic: bool = False,
+    json_options: dict[str, str] | None = None,
+    metadata: tuple[str, ...] = ROUTE_METADATA,
 ) -> tuple[MessagesOf, BatchWriter]:
     """Records of all routes to ``send``, each for the outgoing topic of its type."""
-    return lambda table: publish_routes(table, per_source_topic, json_options), send
+    return lambda table: publish_routes(table, per_source_topic, json_options, metadata), send
 
 
 def written_batch(batch: DataFrame, path: str, app_id: str, batch_id: int) -> DataFrame:

@@ -5,7 +5,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from eventweir.functions.envelope import MICROSECOND_JSON
+from eventweir.functions.envelope import MICROSECOND_JSON, POSITION_METADATA
 from eventweir.functions.labels import UNROUTED, outcome_label, route_label
 from eventweir.operators import publishing, routing
 from eventweir.operators.projections import payload_bronze
@@ -214,6 +214,15 @@ def test_publish_names_the_topic_per_row(labelled):
     )
 
 
+def test_messages_with_their_position(labelled):
+    rows = routing.quarantined(labelled, metadata=POSITION_METADATA)
+    messages = publishing.publish_quarantine(rows).collect()
+    positions = [json.loads(m.value) for m in messages]
+    assert sorted((p["topic"], p["partition"], p["offset"]) for p in positions) == [
+        ("mixed", 0, 1), ("mixed", 0, 2), ("mixed", 0, 3), ("mixed", 0, 11),
+    ]
+
+
 def test_fan_out_without_type(spark):
     events = spark.createDataFrame([(1, "a"), (2, None)], "id int, eventType string")
     sent = publishing.fan_out(events, "all", key=F.col("id"))
