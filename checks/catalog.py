@@ -195,7 +195,7 @@ def drift(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def schema_merge_read(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Views and clicks written first without ``props``, the other types with it and no ``value``."""
+    """Views and clicks written without ``props``, the other types with it but no ``value``."""
     events = fx.read_events(spark, sf_dir)
     early = F.col("event_type").isin("click", "view")
     path = fresh_path(spark, "evolving")
@@ -305,7 +305,9 @@ def stream_topic_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _run_payload_flow(spark: SparkSession, sf_dir: str, name: str, *outputs) -> tuple[str, DataFrame]:
+def _run_payload_flow(
+    spark: SparkSession, sf_dir: str, name: str, *outputs
+) -> tuple[str, DataFrame]:
     """Run the flow to its end; the folder of its messages, and its table."""
     path = fresh_path(spark, name)
     labelled = _stream_labelled(spark, sf_dir)

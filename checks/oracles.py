@@ -153,7 +153,8 @@ registered AS (
   SELECT topic, field, registered_type
   FROM topics, (VALUES {_REGISTERED_TYPES}) r(field, registered_type))
 SELECT topic, field, registered_type, observed_type, coalesce(records, 0) AS records,
-       CASE WHEN observed_type IS NULL THEN 'never_seen' WHEN registered_type IS NULL THEN 'new_field'
+       CASE WHEN observed_type IS NULL THEN 'never_seen'
+            WHEN registered_type IS NULL THEN 'new_field'
             WHEN observed_type = registered_type THEN 'match'
             WHEN observed_type = 'bigint' AND registered_type = 'double' THEN 'widening'
             ELSE 'conflict' END AS verdict
@@ -292,5 +293,7 @@ GROUP BY ALL HAVING count(*) > 1
     "stream_valid": _route("ec = '0'"),
     "stream_quarantine": _QUARANTINE,
     "stream_publish": _PUBLISH_ALL,
-    "stream_all_messages": f"SELECT * FROM ({_QUARANTINE}) UNION ALL SELECT * FROM ({_PUBLISH_ALL})",
+    "stream_all_messages": (
+        f"SELECT * FROM ({_QUARANTINE}) UNION ALL SELECT * FROM ({_PUBLISH_ALL})"
+    ),
 }

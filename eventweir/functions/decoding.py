@@ -31,7 +31,7 @@ def decode_column(text: Column, schema: str | T.StructType) -> Column:
 
 
 def check_field_names(schema: T.StructType, reserved: tuple[str, ...] = ()) -> None:
-    """Refuse names that a table cannot hold next to each other (names differ by more than case)."""
+    """Refuse names that a table cannot hold together: equal to another but for case."""
     _check_level(schema, tuple(reserved), "")
 
 

@@ -55,7 +55,8 @@ def encode_rows(
     A ``topic`` column makes the Kafka sink send every row to the topic it names.
     """
     row = F.struct(*[F.col(f"`{name}`") for name in columns or df.columns])
-    message = [F.col("key").cast("string").alias("key"), F.to_json(row, json_options).alias("value")]
+    key = F.col("key").cast("string").alias("key")
+    message = [key, F.to_json(row, json_options).alias("value")]
     if topic is not None:
         message.insert(0, (F.lit(topic) if isinstance(topic, str) else topic).alias("topic"))
     return df.select(*message)

@@ -23,10 +23,11 @@ def payload_object(text: Column) -> Column:
 def infer_schemas(envelope: DataFrame) -> DataFrame:
     """``(topic, schema_ddl)``: the schema that fits every well-formed message of the topic.
 
-    Fields come sorted by name; always-null fields are text, objects with different fields are
-    merged by name, whole numbers are bigint, and double where fractions occur too, other mixtures
-    are text.  The aggregate is partial per task, so a topic that holds most of the messages costs
-    no more than its share.  Topics without a well-formed object give no row.
+    Fields come sorted by name.  Always-null fields are text; objects with different fields are
+    merged by name, one never seen with a field is text; whole numbers are bigint, and double where
+    fractions occur too; other mixtures are text.  The aggregate is partial per task, so a topic
+    that holds most of the messages costs no more than its share.  Topics without a well-formed
+    object give no row.
 
     A task that meets more topics than ``spark.sql.objectHashAggregate.sortBased.fallbackThreshold``
     sorts its input first; raise that setting where one input split mixes hundreds of topics.
@@ -36,7 +37,8 @@ def infer_schemas(envelope: DataFrame) -> DataFrame:
         .groupBy("topic")
         .agg(F.call_function("schema_of_variant_agg", F.col("payload")).alias("found"))
     )
-    return merged.where(F.col("found").startswith("OBJECT<") & (F.col("found") != "OBJECT<>")).select(
+    has_fields = F.col("found").startswith("OBJECT<") & (F.col("found") != "OBJECT<>")
+    return merged.where(has_fields).select(
         "topic", declared_type(F.col("found")).alias("schema_ddl")
     )
 

@@ -30,7 +30,7 @@ def target_plan(registry: DataFrame, sinks_per_topic: bool = False) -> DataFrame
     )
 
     def per_type(event_type: Column) -> Column:
-        sink = (SINK_PREFIX, event_type, "_", topic) if sinks_per_topic else (SINK_PREFIX, event_type)
+        sink = (SINK_PREFIX, event_type) + (("_", topic) if sinks_per_topic else ())
         return F.array(
             _target("payload_table", "silver_", event_type, "_", topic),
             _target("quarantine_table", "silver_feb_", event_type, "_", topic),

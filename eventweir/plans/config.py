@@ -37,7 +37,8 @@ def config_frame(spark: SparkSession, configs: Iterable[TopicConfig]) -> DataFra
 
 
 def save_config(config: DataFrame, path: str) -> None:
-    config.select("topic", "kind", "schema_ddl", "event_types").write.mode("overwrite").parquet(path)
+    columns = ("topic", "kind", "schema_ddl", "event_types")
+    config.select(*columns).write.mode("overwrite").parquet(path)
 
 
 def load_config(spark: SparkSession, path: str, topics: Sequence[str]) -> list[TopicConfig]:
