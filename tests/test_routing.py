@@ -98,6 +98,22 @@ def test_every_record_goes_to_exactly_one_place(labelled):
     assert sum(parts) == len(PAYLOADS)
 
 
+def test_conservation_counts_positions_once(spark):
+    offsets = [0, 1, 32767, 32768, 32769, 65536, 10**12, 2**62]
+    rows = [
+        (kind, topic, partition, offset)
+        for kind in ("a", "b", None)
+        for topic in ("x", "y")
+        for partition in (0, 1)
+        for offset in offsets
+    ]
+    df = spark.createDataFrame(rows, "eventType string, topic string, partition int, offset bigint")
+    for copies in (1, 3):
+        many = df.crossJoin(spark.range(copies)).repartition(5)
+        counted = routing.conservation(many).collect()
+        assert {r.eventType: (r.records, r.positions) for r in counted} == {kind: (32 * copies, 32) for kind in ("a", "b", None)}
+
+
 def test_reasons(labelled):
     rows = {r.offset: (r.reason, r.raw) for r in routing.unrouted(labelled).collect()}
     assert rows == {
