@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Sequence
 
@@ -13,19 +12,29 @@ CHECKPOINT_CONF = "spark.checkpoint.dir"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``.
+    """The folder named by ``spark.checkpoint.dir``, the same rule for every master.
 
-    Where that is unset, local sessions (tests) get a folder of their own; a cluster is refused,
-    because a driver-local folder is not visible to its executors.
+    Where that is unset, a folder below the session's warehouse: driver and executors share it by
+    definition, since that is where Spark keeps its own tables.
     """
     configured = spark.conf.get(CHECKPOINT_CONF, None)
     if configured:
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError(f"set {CHECKPOINT_CONF} to a folder that all executors can reach")
-    created = tempfile.mkdtemp(prefix="eventweir-")
-    spark.conf.set(CHECKPOINT_CONF, created)
-    return created
+    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_eventweir"
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a written table or folder, in whatever store it lies."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def discard(spark: SparkSession) -> None:
+    """Delete every intermediate table this application has written.
+
+    DataFrames that still read one of them fail afterwards; call it when their results are stored.
+    """
+    remove(spark, f"{shared_dir(spark)}/eventweir/{spark.sparkContext.applicationId}")
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:

@@ -1,3 +1,5 @@
+import os
+
 import pytest
 
 from eventweir.plans.config import PAYLOAD_BASED, TopicConfig
@@ -6,7 +8,7 @@ from eventweir.sources.files import stream_files
 from eventweir.sources.kafka import read_topics, stream_topics, topic_options
 from eventweir.streaming import flows, sinks
 from eventweir.streaming.sinks import EVERY_30_SECONDS, kafka_write_options
-from eventweir.workspace import CHECKPOINT_CONF, fresh_path, shared_dir
+from eventweir.workspace import CHECKPOINT_CONF, fresh_path, materialise, remove, shared_dir
 
 
 def test_stream_options():
@@ -40,7 +42,7 @@ class _Session:
         self.sparkContext = self
         self.master, self.applicationId = master, "app-1"
 
-    def get(self, name, default):
+    def get(self, name, default=None):
         return self.settings.get(name, default)
 
     def set(self, name, value):
@@ -53,14 +55,20 @@ def test_the_clusters_folder_is_used():
     assert fresh_path(session, "x").startswith("hdfs://shared/cp/eventweir/app-1/x-")
 
 
-def test_a_cluster_without_shared_folder_is_refused():
-    with pytest.raises(ValueError, match=CHECKPOINT_CONF):
-        shared_dir(_Session("yarn"))
+def test_without_the_setting_every_master_uses_the_warehouse():
+    for master in ("yarn", "local[4]", "local-cluster[2,1,1024]"):
+        session = _Session(master)
+        session.settings["spark.sql.warehouse.dir"] = "hdfs://shared/warehouse"
+        assert shared_dir(session) == "hdfs://shared/warehouse/_eventweir"
+        assert CHECKPOINT_CONF not in session.settings
 
 
-def test_local_sessions_keep_one_folder():
-    session = _Session("local[4]")
-    assert shared_dir(session) == shared_dir(session) == session.settings[CHECKPOINT_CONF]
+def test_written_tables_can_be_removed(spark):
+    kept = materialise(spark.range(3).toDF("n"), "numbers")
+    folder = kept.inputFiles()[0].removeprefix("file://").rsplit("/", 1)[0]
+    assert kept.count() == 3 and os.path.isdir(folder)
+    remove(spark, folder)
+    assert not os.path.isdir(folder)
 
 
 def test_everything_but_the_connector_is_in_place(spark, envelope_of, tmp_path):
