@@ -14,4 +14,39 @@ ORACLES = {
             WINDOW w AS (PARTITION BY normal ORDER BY length(whole) DESC, doc_id NULLS LAST))
         SELECT doc_id, keep_id, group_size, place = 1 AS kept, sha256(normal) AS text_sha256
         FROM r""",
+    "op9_wu_manber": r"""
+        WITH d AS (
+            SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(
+                translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+            FROM documents),
+        b AS (
+            SELECT item_id, regexp_extract_all(
+                translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+            FROM benchmark),
+        w AS (
+            SELECT DISTINCT item_id, least(13, len(words)) AS k,
+                   array_to_string(words[i : i + least(13, len(words)) - 1], ' ') AS piece
+            FROM (SELECT item_id, words, unnest(generate_series(
+                      1, greatest(1, len(words) - 12))) AS i
+                  FROM b WHERE len(words) > 0)),
+        p AS (
+            SELECT r, k, i, array_to_string(words[i : i + k - 1], ' ') AS piece
+            FROM (SELECT r, words, k, unnest(generate_series(1, len(words) - k + 1)) AS i
+                  FROM d, (SELECT DISTINCT k FROM w) WHERE len(words) >= k)),
+        m AS (SELECT DISTINCT r, item_id, i, p.k AS k FROM p JOIN w USING (k, piece)),
+        h AS (
+            SELECT r, count(*) AS n_hit
+            FROM (SELECT DISTINCT r, unnest(generate_series(i, i + k - 1)) AS word FROM m)
+            GROUP BY r),
+        t AS (
+            SELECT r, count(DISTINCT item_id) AS n_items,
+                   string_agg(DISTINCT item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR) AS items
+            FROM m GROUP BY r)
+        SELECT doc_id, coalesce(len(words), 0)::BIGINT AS n_words,
+               coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+               sha256(coalesce(items, '')) AS items_sha256,
+               coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(words) AS contaminated
+        FROM d LEFT JOIN h USING (r) LEFT JOIN t USING (r)""",
 }

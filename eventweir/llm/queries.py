@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from eventweir.llm import exact_dedup
+from eventweir.llm import decontamination, exact_dedup, packing, token_counts
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,6 +17,31 @@ def op2_content_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.groups(table(spark, sf_dir, "documents"))
 
 
+def tokenizer_file(name: str) -> str:
+    """The place of a public tokenizer's file, the same on driver and executors."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op7_swap_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return packing.packed(docs, tokenizer_file("byte_bpe_50k.json"), size=1024, end_id=2)
+
+
+def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return token_counts.token_counts(docs, tokenizer_file("byte_bpe_50k.json"), limit=1024)
+
+
+def op9_wu_manber(spark: SparkSession, sf_dir: str) -> DataFrame:
+    benchmark = table(spark, sf_dir, "benchmark")
+    return decontamination.contamination(table(spark, sf_dir, "documents"), benchmark)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_content_sort": op2_content_sort,
+    "op7_swap_packing": op7_swap_packing,
+    "op8_token_counts": op8_token_counts,
+    "op9_wu_manber": op9_wu_manber,
 }
