@@ -1,0 +1,138 @@
+"""SimHash groups against all pairs, compared one by one."""
+import random
+
+import numpy as np
+import pytest
+import xxhash
+
+from eventweir.llm import simhash
+from eventweir.llm.components import components
+
+SCHEMA = "doc_id long, text string"
+
+
+def by_hand(text):
+    """The contract's fingerprint, bit by bit."""
+    lowered = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
+    for c in "\t\n\v\f\r":
+        lowered = lowered.replace(c, " ")
+    words = [w for w in lowered.split(" ") if w]
+    if not words:
+        return 0
+    runs = [words[i : i + 4] for i in range(max(1, len(words) - 3))]
+    hashes = [xxhash.xxh64(" ".join(r).encode(), seed=42).intdigest() for r in runs]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def classes(prints, bits):
+    """Smallest connected key of each key, where values link at some differing bits."""
+    parent = {k: k for k in prints}
+
+    def root(k):
+        while parent[k] != k:
+            k = parent[k]
+        return k
+
+    keys = sorted(prints)
+    for i, a in enumerate(keys):
+        for b in keys[:i]:
+            if (prints[a] ^ prints[b]).bit_count() <= bits:
+                low, high = sorted((root(a), root(b)))
+                parent[high] = low
+    return {k: root(k) for k in keys}
+
+
+def near_copies(rng, n):
+    texts = []
+    for _ in range(n):
+        base = [f"w{rng.randrange(500)}" for _ in range(rng.choice([3, 40, 400]))]
+        for _ in range(rng.choice([1, 1, 3])):
+            copy = list(base)
+            if rng.random() < 0.7:
+                copy[rng.randrange(len(copy))] = "Other"
+            texts.append(" ".join(copy))
+    return texts
+
+
+def test_groups_equal_all_pairs(spark):
+    texts = near_copies(random.Random(5), 60)
+    texts += [None, "", " \n\t", "ÄÖ x y", "Word", "word", texts[0], texts[0], "a " * 30000]
+    rows = [(i + 1, t) for i, t in enumerate(texts)]
+    found = {r.doc_id: r for r in simhash.near_duplicates(spark.createDataFrame(rows, SCHEMA)).collect()}
+    prints = {i: by_hand(t) for i, t in rows}
+    assert {i: found[i].fingerprint for i in found} == {i: f"{p:016x}" for i, p in prints.items()}
+    assert {i: found[i].component_id for i in found} == classes(prints, 4)
+
+
+def tables(rng, n):
+    """Random numbers and numbers a few bits from some of them."""
+    own = [rng.getrandbits(64) for _ in range(n)]
+    for _ in range(3 * n):
+        p = rng.choice(own)
+        for b in rng.sample(range(64), rng.choice([1, 2, 3, 4, 5, 6])):
+            p ^= 1 << b
+        own.append(p)
+    return sorted(set(own))
+
+
+def signed(p):
+    return p - (1 << 64) if p >> 63 else p
+
+
+@pytest.mark.parametrize("chunk,few", [(8192, 16), (3, 1), (8, 4)])
+def test_links_connect_what_all_pairs_connect(spark, monkeypatch, chunk, few):
+    monkeypatch.setattr(simhash, "CHUNK", chunk)
+    monkeypatch.setattr(simhash, "FEW", few)
+    prints = tables(random.Random(chunk), 60)
+    df = spark.createDataFrame([(signed(p),) for p in prints], "print long")
+    joined = components(simhash.links(df, 4), "a", "b").collect()
+    root = {signed(p): signed(p) for p in prints} | {r.node: r.root for r in joined}
+    expected = classes({signed(p): p for p in prints}, 4)
+    assert root == expected
+
+
+def test_tries_alone_with_a_small_frontier(monkeypatch):
+    monkeypatch.setattr(simhash, "FRONTIER", 7)
+    monkeypatch.setattr(simhash, "FEW", 1)
+    prints = tables(random.Random(3), 80)
+    labels = simhash.join_tries(
+        np.zeros(len(prints), np.int64), np.array(prints, dtype=np.uint64), 0, 4
+    )
+    expected = classes(dict(enumerate(prints)), 4)
+    assert dict(enumerate(labels.tolist())) == expected
+
+
+def test_a_dense_group_is_not_joined_pair_by_pair():
+    """A third of a million pairs within the budget, kept as one star."""
+    rng = random.Random(9)
+    centre, own = rng.getrandbits(64), set()
+    while len(own) < 800:
+        own.add(centre ^ sum(1 << b for b in rng.sample(range(40), 2)))
+        if len(own) == 780:
+            break
+    prints = np.array(sorted(own), dtype=np.uint64)
+    labels = simhash.join_tries(np.zeros(len(prints), np.int64), prints, 0, 4)
+    assert not labels.any()
+
+
+def test_long_chains_and_stars_are_one_component(spark):
+    chain = [(i, i + 1) for i in range(200)] + [(1000, 1000 + k) for k in range(300)] + [(7, 7)]
+    found = components(spark.createDataFrame(chain, "a long, b long"), "a", "b").collect()
+    assert {r.node: r.root for r in found} == {i: 0 for i in range(1, 201)} | {
+        1000 + k: 1000 for k in range(1, 300)
+    }
+
+
+def test_stays_one_row_of_each_group_with_all_columns(spark):
+    text = " ".join(f"w{i}" for i in range(50))
+    rows = [(3, text, "x"), (1, text, "y"), (None, text, "z"), (1, text, "y"), (9, None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, print string")
+    kept = simhash.representatives(docs)
+    assert kept.columns == docs.columns
+    assert sorted(map(tuple, kept.collect())) == [(1, text, "y"), (9, None, None)]
+
+
+def test_an_empty_table(spark):
+    docs = spark.createDataFrame([], SCHEMA)
+    assert simhash.near_duplicates(docs).collect() == []
+    assert simhash.representatives(docs).collect() == []
