@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from eventweir.llm import decontamination, exact_dedup, packing, simhash, token_counts
+from eventweir.llm import decontamination, exact_dedup, language_id, packing, simhash, token_counts
+from eventweir.llm.arrow import text_crc32
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -28,6 +29,11 @@ def op5_simhash_tries(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), words=4, max_bits=4, seed=42)
 
 
+def op6_naive_bayes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return language_id.identify(docs, held_out=text_crc32("doc_id") % 3 == 1)
+
+
 def op7_swap_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return packing.packed(docs, tokenizer_file("byte_bpe_50k.json"), size=1024, end_id=2)
@@ -46,6 +52,7 @@ def op9_wu_manber(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_content_sort": op2_content_sort,
     "op5_simhash_tries": op5_simhash_tries,
+    "op6_naive_bayes": op6_naive_bayes,
     "op7_swap_packing": op7_swap_packing,
     "op8_token_counts": op8_token_counts,
     "op9_wu_manber": op9_wu_manber,
