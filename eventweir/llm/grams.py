@@ -57,6 +57,32 @@ class Batch:
             hashed = hashed * _STEP + self.points[i : i + self.size]
         return ((hashed * _MIX) >> np.uint64(64 - bits)).astype(np.int64)
 
+    def words(self, bits: int) -> tuple[np.ndarray, np.ndarray]:
+        """Where each word, a run without spaces, begins, and the bucket of the whole word."""
+        inside = np.r_[False, self.points != 32, False]
+        edges = np.flatnonzero(inside[1:] != inside[:-1])
+        begin, end = edges[::2], edges[1::2]
+        powers, inverses = _powers(len(self.points) + 1)
+        total = np.zeros(len(self.points) + 1, np.uint64)
+        np.cumsum(self.points * powers[:-1], out=total[1:])
+        hashed = (total[end] - total[begin]) * inverses[begin]
+        hashed ^= hashed >> np.uint64(29)
+        return begin, ((hashed * _MIX) >> np.uint64(64 - bits)).astype(np.int64)
+
+
+_POWERS: list[tuple[np.ndarray, np.ndarray]] = []
+
+
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of ``_STEP`` and of its inverse, modulo 2 to the 64th."""
+    if not _POWERS or len(_POWERS[0][0]) < n:
+        steps = np.full(n, _STEP, np.uint64)
+        backs = np.full(n, np.uint64(pow(int(_STEP), -1, 1 << 64)), np.uint64)
+        steps[0] = backs[0] = 1
+        _POWERS[:] = [(np.cumprod(steps), np.cumprod(backs))]
+    powers, inverses = _POWERS[0]
+    return powers[:n], inverses[:n]
+
 
 def batches(texts: list[str]) -> Iterator[Batch]:
     """Whole texts in batches of about ``PART`` code points; longer ones go in several parts."""

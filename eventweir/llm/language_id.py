@@ -25,6 +25,7 @@ from pyspark.sql.types import StructType
 
 from eventweir.llm.arrow import slices
 from eventweir.llm.grams import batches as gram_batches
+from eventweir.workspace import materialise
 
 UNKNOWN = "und"
 #: N-gram lengths and bits of their buckets.
@@ -82,11 +83,13 @@ def train(labelled: DataFrame, text: str = "text", lang: str = "lang") -> Model:
         .groupBy("lang", "bucket")
         .agg(F.sum("n").alias("n"))
     )
+    sums = materialise(sums, "gram-counts")
+    names = sums.filter("bucket = -1").select("lang").limit(MAX_LANGUAGES + 1).collect()
+    if len(names) > MAX_LANGUAGES:
+        raise ValueError(f"more than {MAX_LANGUAGES} languages")
     table = sums.toArrow()  # at most languages x buckets rows
     langs = table.column("lang").to_pylist()
     languages = tuple(sorted(set(langs)))
-    if len(languages) > MAX_LANGUAGES:
-        raise ValueError(f"{len(languages)} languages are more than a model may hold")
     counts = np.zeros((len(languages), len(ORDERS) << BITS))
     docs = np.zeros(len(languages))
     place = {name: i for i, name in enumerate(languages)}

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from eventweir.llm import decontamination, exact_dedup, language_id, packing, simhash, token_counts
+from eventweir.llm import decontamination, exact_dedup, language_id, packing, simhash, token_counts, toxicity
 from eventweir.llm.arrow import text_crc32
 
 
@@ -14,6 +14,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_nonnegative_pu(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    return toxicity.toxicity(docs, labels, held_out=text_crc32("doc_id") % 5 == 0)
+
+
 def op2_content_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.groups(table(spark, sf_dir, "documents"))
 
@@ -50,6 +55,7 @@ def op9_wu_manber(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_nonnegative_pu": op1_nonnegative_pu,
     "op2_content_sort": op2_content_sort,
     "op5_simhash_tries": op5_simhash_tries,
     "op6_naive_bayes": op6_naive_bayes,
