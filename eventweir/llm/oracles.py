@@ -14,6 +14,18 @@ ORACLES = {
             WINDOW w AS (PARTITION BY normal ORDER BY length(whole) DESC, doc_id NULLS LAST))
         SELECT doc_id, keep_id, group_size, place = 1 AS kept, sha256(normal) AS text_sha256
         FROM r""",
+    "op4_warc_index": """
+        WITH p AS (
+            SELECT page_id, coalesce(html, '') AS payload FROM pages),
+        g AS (
+            SELECT page_id, strlen(payload) AS payload_bytes, sha256(payload) AS payload_digest,
+                   min(page_id) OVER (PARTITION BY payload) AS first
+            FROM p),
+        t AS (SELECT *, payload_bytes >= 100 AND page_id <> first AS again FROM g)
+        SELECT page_id, payload_bytes, payload_digest,
+               CASE WHEN again THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN again THEN first END AS refers_to
+        FROM t""",
     "op9_wu_manber": r"""
         WITH d AS (
             SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from eventweir.llm import decontamination, exact_dedup, language_id, packing, simhash, token_counts, toxicity
+from eventweir.llm import decontamination, exact_dedup, language_id, packing, simhash, token_counts, toxicity, warc
 from eventweir.llm.arrow import text_crc32
 
 
@@ -30,6 +30,10 @@ def tokenizer_file(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op4_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archived_pages(table(spark, sf_dir, "pages"))
+
+
 def op5_simhash_tries(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), words=4, max_bits=4, seed=42)
 
@@ -57,6 +61,7 @@ def op9_wu_manber(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_nonnegative_pu": op1_nonnegative_pu,
     "op2_content_sort": op2_content_sort,
+    "op4_warc_index": op4_warc_index,
     "op5_simhash_tries": op5_simhash_tries,
     "op6_naive_bayes": op6_naive_bayes,
     "op7_swap_packing": op7_swap_packing,
