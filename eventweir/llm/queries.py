@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from eventweir.llm import decontamination, exact_dedup, language_id, packing, simhash, token_counts, toxicity, warc
+from eventweir.llm import decontamination, exact_dedup, language_id, packing, secrets, simhash, token_counts, toxicity, warc
 from eventweir.llm.arrow import text_crc32
 
 
@@ -58,6 +58,10 @@ def op9_wu_manber(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.contamination(table(spark, sf_dir, "documents"), benchmark)
 
 
+def op10_decoded_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.summary(secrets.secrets(table(spark, sf_dir, "documents")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_nonnegative_pu": op1_nonnegative_pu,
     "op2_content_sort": op2_content_sort,
@@ -67,4 +71,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_swap_packing": op7_swap_packing,
     "op8_token_counts": op8_token_counts,
     "op9_wu_manber": op9_wu_manber,
+    "op10_decoded_secrets": op10_decoded_secrets,
 }
