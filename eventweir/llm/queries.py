@@ -6,7 +6,19 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from eventweir.llm import decontamination, exact_dedup, language_id, packing, secrets, simhash, token_counts, toxicity, warc
+from eventweir.llm import (
+    decontamination,
+    exact_dedup,
+    language_id,
+    packing,
+    pii,
+    secrets,
+    simhash,
+    spans,
+    token_counts,
+    toxicity,
+    warc,
+)
 from eventweir.llm.arrow import text_crc32
 
 
@@ -30,6 +42,10 @@ def tokenizer_file(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op3_weak_supervision(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spans.summary(pii.personal_data(table(spark, sf_dir, "documents")), pii.KINDS)
+
+
 def op4_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archived_pages(table(spark, sf_dir, "pages"))
 
@@ -59,12 +75,13 @@ def op9_wu_manber(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_decoded_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return secrets.summary(secrets.secrets(table(spark, sf_dir, "documents")))
+    return spans.summary(secrets.secrets(table(spark, sf_dir, "documents")), secrets.KINDS)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_nonnegative_pu": op1_nonnegative_pu,
     "op2_content_sort": op2_content_sort,
+    "op3_weak_supervision": op3_weak_supervision,
     "op4_warc_index": op4_warc_index,
     "op5_simhash_tries": op5_simhash_tries,
     "op6_naive_bayes": op6_naive_bayes,

@@ -10,7 +10,8 @@ from urllib.parse import quote
 import pytest
 import zstandard
 
-from eventweir.llm.secrets import findings, secrets, summary
+from eventweir.llm.secrets import KINDS, findings, secrets
+from eventweir.llm.spans import summary
 
 KEY = "password = hunter2hunter2"
 BS = chr(92)
@@ -123,7 +124,7 @@ def test_very_long_texts_are_quick():
 def test_rows(spark):
     rows = [(1, None, "x"), (None, KEY, "y"), (3, KEY, "z"), (3, KEY, "z"), (4, "", None)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, found string")
-    found = summary(secrets(docs)).collect()
+    found = summary(secrets(docs), KINDS).collect()
     empty = hashlib.sha256(b"").hexdigest()
     one = hashlib.sha256(b"assign:0:25").hexdigest()
     assert sorted((r.doc_id or 0, r.n_assign, r.n_access, r.n_hex, r.base_sha256, r.spans) for r in found) == [
@@ -133,7 +134,7 @@ def test_rows(spark):
         (3, 1, 0, 0, one, "assign:0:25"),
         (4, 0, 0, 0, empty, ""),
     ]
-    assert summary(secrets(docs.limit(0))).collect() == []
+    assert summary(secrets(docs.limit(0)), KINDS).collect() == []
 
 
 def test_the_query_on_whole_texts(spark):
