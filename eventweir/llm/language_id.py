@@ -7,8 +7,8 @@ the number of buckets, however large the corpus.  Scoring gathers its columns by
 whole batch of texts and sums them by text.
 
 The score is the posterior probability of the predicted language.  Texts that are null or have no
-letter are ``und`` with score 0, as is every text when nothing was labelled.  An empty table gives
-an empty result; repeated rows are scored each on their own.
+letter are ``und`` with score 0; other texts have no language and score 0 when nothing was labelled.
+An empty table gives an empty result; repeated rows are scored each on their own.
 """
 
 from __future__ import annotations
@@ -125,13 +125,13 @@ def _predict(model, schema: pa.Schema):
         own = model.value
         for batch in slices(batches):
             texts = batch.column(batch.schema.get_field_index("text")).to_pylist()
-            known = [
-                i
-                for i, t in enumerate(texts)
-                if t and own.languages and any(map(str.isalpha, t))
-            ]
-            langs, scores = [UNKNOWN] * len(texts), np.zeros(len(texts))
-            if known:
+            known = [i for i, t in enumerate(texts) if t and any(map(str.isalpha, t))]
+            langs: list[str | None] = [UNKNOWN] * len(texts)
+            scores = np.zeros(len(texts))
+            if not own.languages:
+                for i in known:
+                    langs[i] = None
+            elif known:
                 odds = score_texts(own, [texts[i] for i in known])
                 best = odds.argmax(axis=1)
                 scores[known] = odds[np.arange(len(known)), best]
@@ -167,7 +167,8 @@ def identify(
 def accepted_rows(
     docs: DataFrame, held_out: Column, text: str = "text", lang: str = "lang"
 ) -> DataFrame:
-    """The rows of ``docs`` whose text is in some learned language, with all their columns."""
+    """The rows of ``docs`` that have a language, with all their columns: those not ``und``."""
     model = train(docs.filter(~held_out), text, lang)
-    rows = docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias("row"), F.col(text).alias("text"))
-    return predict(rows, model).filter(F.col("lang_pred") != UNKNOWN).select("row.*")
+    row = F.struct(*[F.col(c) for c in docs.columns])
+    judged = predict(docs.select(row.alias("row"), F.col(text).alias("text")), model)
+    return judged.filter(~F.col("lang_pred").eqNullSafe(UNKNOWN)).select("row.*")
