@@ -40,14 +40,18 @@ UNLABELLED = 16_384
 WORD_BITS = 18
 ORDERS = (5, 6)
 BITS = 16
-#: Buckets that are kept as features.
+#: Buckets that are kept as features at most, and by how many standard errors of its share among the
+#: positives a feature's share has to exceed that among unlabelled rows.
 FEATURES = 512
-#: Classifiers whose scores are averaged, passes over the unlabelled rows, rows of a batch.
+APART = 5.0
+#: Classifiers whose scores are averaged, steps of each, unlabelled rows of a step.
 CLASSIFIERS = 3
-EPOCHS = 60
+STEPS = 1_500
 BATCH_ROWS = 1_024
 STEP = 0.02
 DECAY = 1e-6
+#: Weights go no lower: features were chosen for being commoner among the positives.
+LEAST_WEIGHT = -0.5
 
 _WORDS_FROM = len(ORDERS) << BITS
 _WIDTH = _WORDS_FROM + (1 << WORD_BITS)
@@ -135,24 +139,26 @@ def fit(positive: np.ndarray, other: np.ndarray, prior: float, seed: int) -> tup
     width = positive.shape[1]
     theta = np.zeros(width + 1)
     theta[-1] = np.log(prior / (1 - prior))
-    mean, square, step = np.zeros(width + 1), np.zeros(width + 1), 0
-    for _ in range(EPOCHS):
-        order = rng.permutation(len(other))
-        for at in range(0, len(order), BATCH_ROWS):
-            u = other[order[at : at + BATCH_ROWS]]
-            p = positive[rng.integers(0, len(positive), BATCH_ROWS // 4)]
-            yes_p, yes_u = (1 / (1 + np.exp(-(m @ theta[:-1] + theta[-1]))) for m in (p, u))
-            slope_p, slope_u = yes_p * (1 - yes_p) / len(p), yes_u * (1 - yes_u) / len(u)
-            if yes_u.mean() - prior * yes_p.mean() >= 0:
-                by_p, by_u = -2 * prior * slope_p, slope_u
-            else:
-                by_p, by_u = prior * slope_p, -slope_u
-            gradient = np.r_[p.T @ by_p + u.T @ by_u + DECAY * theta[:-1], by_p.sum() + by_u.sum()]
-            step += 1
-            mean = 0.9 * mean + 0.1 * gradient
-            square = 0.999 * square + 0.001 * gradient**2
-            scale = np.sqrt(square / (1 - 0.999**step)) + 1e-8
-            theta -= STEP * mean / (1 - 0.9**step) / scale
+    mean, square = np.zeros(width + 1), np.zeros(width + 1)
+    order, at = rng.permutation(len(other)), 0
+    for step in range(1, STEPS + 1):
+        if at >= len(order):
+            order, at = rng.permutation(len(other)), 0
+        u = other[order[at : at + BATCH_ROWS]]
+        at += BATCH_ROWS
+        p = positive[rng.integers(0, len(positive), BATCH_ROWS // 4)]
+        yes_p, yes_u = (1 / (1 + np.exp(-(m @ theta[:-1] + theta[-1]))) for m in (p, u))
+        slope_p, slope_u = yes_p * (1 - yes_p) / len(p), yes_u * (1 - yes_u) / len(u)
+        if yes_u.mean() - prior * yes_p.mean() >= 0:
+            by_p, by_u = -2 * prior * slope_p, slope_u
+        else:
+            by_p, by_u = prior * slope_p, -slope_u
+        gradient = np.r_[p.T @ by_p + u.T @ by_u + DECAY * theta[:-1], by_p.sum() + by_u.sum()]
+        mean = 0.9 * mean + 0.1 * gradient
+        square = 0.999 * square + 0.001 * gradient**2
+        scale = np.sqrt(square / (1 - 0.999**step)) + 1e-8
+        theta -= STEP * mean / (1 - 0.9**step) / scale
+        np.maximum(theta[:-1], LEAST_WEIGHT, out=theta[:-1])
     return theta[:-1], theta[-1]
 
 
@@ -197,6 +203,7 @@ def train(docs: DataFrame, labels: DataFrame, held_out: Column, prior: float | N
     share_u = (counts.column("n_other").to_numpy() + 0.5) / (n_other + 1)
     apart = (share_p - share_u) / np.sqrt(share_u * (1 - share_u) / n_positive + 1e-9)
     best = np.lexsort((bucket, -apart))[:FEATURES]
+    best = best[apart[best] >= APART]
     feature[bucket[best]] = np.arange(len(best))
     bits = sample.mapInArrow(_sample_bits(feature), "positive boolean, bits binary").toArrow()
     packed = np.frombuffer(b"".join(bits.column("bits").to_pylist()), np.uint8)

@@ -60,11 +60,15 @@ def record(
     payload: bytes,
     digest: str,
     date: str,
+    size: int,
     refers_to: str | None = None,
 ) -> bytes:
-    """A response record, or a revisit record where ``refers_to`` names the response."""
+    """A response record, or a revisit record where ``refers_to`` names the response.
+
+    ``size`` is the length of the whole payload; a revisit record leaves the payload itself out.
+    """
     http = "HTTP/1.1 200 OK\r\n" + _line("Content-Type", "text/html; charset=utf-8")
-    http += _line("Content-Length", len(payload)) + "\r\n"
+    http += _line("Content-Length", size) + "\r\n"
     block = http.encode() + (payload if refers_to is None else b"")
     head = "WARC/1.1\r\n" + _line("WARC-Type", "revisit" if refers_to else "response")
     head += _line("WARC-Record-ID", f"<{record_id}>") + _line("WARC-Date", date)
@@ -128,11 +132,11 @@ def _write(folder: str, date: str, schema: pa.Schema):
             archives = archives or _Archives(folder)
             places = []
             for row in batch.select(
-                ["record_id", "url", "payload", "digest", "refers_id"]
+                ["record_id", "url", "payload", "digest", "payload_bytes", "refers_id"]
             ).to_pylist():
                 raw = record(
                     row["record_id"], row["url"], row["payload"], row["digest"], date,
-                    row["refers_id"],
+                    row["payload_bytes"], row["refers_id"],
                 )
                 places.append(archives.append(raw))
             files, offsets, lengths = zip(*places, strict=True) if places else ((), (), ())
