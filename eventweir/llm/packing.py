@@ -14,6 +14,7 @@ own, an empty table gives an empty result, other columns are passed over.
 
 from __future__ import annotations
 
+import sys
 import zlib
 from array import array
 from collections import defaultdict
@@ -40,9 +41,10 @@ _PIECE = "piece int, start long, length long, ids_crc32 long"
 
 
 def _ids_bytes(ids: list[int]) -> bytes:
+    """Little-endian unsigned 32-bit ids."""
     packed = array("I", ids)
-    if packed.itemsize != 4 or array("H", [1]).tobytes() != b"\1\0":
-        raise RuntimeError("needs a little-endian platform with 32-bit integers")
+    if sys.byteorder == "big":
+        packed.byteswap()
     return packed.tobytes()
 
 

@@ -103,25 +103,32 @@ def _byte_letters() -> list[str]:
 class Pieces(dict):
     """Value by pre-token; what is missing is encoded by the library's model and kept.
 
-    ``value`` makes the kept value of a list of ids.  At ``most`` kept pre-tokens all but the
-    ``fixed`` ones are forgotten, so a worker's memory stays bounded whatever the texts hold.
+    ``value`` makes the kept value of a list of ids.  When ``most`` pre-tokens are kept beside the
+    ``fixed`` ones they become the old generation, from which those still in use come back; the
+    generation before is forgotten.  So a worker's memory stays bounded whatever the texts hold.
     """
 
-    def __init__(self, path: str, value, most: int = 400_000, fixed: dict | None = None):
-        super().__init__(fixed or {})
+    def __init__(self, path: str, value, most: int = 350_000, fixed: dict | None = None):
         self._model = tokenizer(path).model
         self._letters = dict(enumerate(_byte_letters()))
-        self._value, self._most, self._fixed = value, most, fixed or {}
-        self._added = {token: value([i]) for token, i in added_tokens(path).items()}
-        self.update(self._added)
+        self._value = value
+        self._fixed = (fixed or {}) | {token: value([i]) for token, i in added_tokens(path).items()}
+        self._full = most + len(self._fixed)
+        self._old: dict = {}
+        super().__init__(self._fixed)
 
     def __missing__(self, piece: str):
-        coded = piece.encode().decode("latin-1").translate(self._letters)
-        value = self._value([token.id for token in self._model.tokenize(coded)])
+        value = self._old.get(piece)
+        if value is None:
+            if piece.isascii() and piece.isprintable():
+                coded = piece.replace(" ", self._letters[32])
+            else:
+                coded = piece.encode().decode("latin-1").translate(self._letters)
+            value = self._value([token.id for token in self._model.tokenize(coded)])
         if len(piece) <= LONGEST_KEPT:
-            if len(self) >= self._most + len(self._fixed):
+            if len(self) >= self._full:
+                self._old = dict(self)
                 self.clear()
                 self.update(self._fixed)
-                self.update(self._added)
             self[piece] = value
         return value

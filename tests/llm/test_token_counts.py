@@ -54,7 +54,7 @@ def test_a_full_cache_forgets_and_stays_right():
     for _ in range(50):
         text = "".join(rng.choice(" abcdef the") for _ in range(40)) + "<|endoftext|>"
         assert own_ids(text, pieces, cut) == ids_of(text)
-        assert len(pieces) <= 5 + 1 + 1
+        assert len(pieces) <= 5 + 1 + 1 and len(pieces._old) <= 5 + 1 + 1
 
 
 @pytest.mark.parametrize("frequent", [65_536, 3])
