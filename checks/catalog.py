@@ -9,11 +9,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from checks import fixture as fx
+from eventweir.functions.decoding import CORRUPT
 from eventweir.functions.envelope import MICROSECOND_JSON, POSITION_METADATA
 from eventweir.operators import publishing, registry, routing, schema_drift, schema_sampling
-from eventweir.operators.projections import DECODED, payload_bronze, topic_table
+from eventweir.operators.projections import DECODED, topic_table
 from eventweir.operators.targets import target_collisions, target_plan
-from eventweir.plans.config import PAYLOAD_BASED, TOPIC_BASED, TopicConfig
+from eventweir.plans.config import (
+    PAYLOAD_BASED,
+    TOPIC_BASED,
+    TopicConfig,
+    topics_without_config,
+)
 from eventweir.plans.use_cases import labelled_bronze, split_by_topic
 from eventweir.sources.files import topic_reader
 from eventweir.streaming import flows, sinks
@@ -31,7 +37,8 @@ def _envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def write_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     labelled = labelled_bronze(_envelopes(spark, sf_dir), fx.CONFIG)
-    return materialise(labelled, "bronze", routing.LABELS)
+    folders = routing.label_folders(fx.EVENT_TYPES)
+    return materialise(labelled, "bronze", routing.LABELS, folders=folders)
 
 
 def bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -62,13 +69,13 @@ def _bronze_row(df: DataFrame) -> DataFrame:
         "eventTime",
         "timestampType",
         "eventType",
-        F.col(DECODED)["event_id"].alias("payload_event_id"),
-        F.col(DECODED)["value"].alias("payload_value"),
+        *[F.col(DECODED)[name].alias(f"payload_{name}") for name in fx.payload_columns()],
+        *routing.LABELS,
     )
 
 
 def bronze_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _bronze_row(payload_bronze(_envelopes(spark, sf_dir), fx.PAYLOAD_DDL))
+    return _bronze_row(labelled_bronze(_envelopes(spark, sf_dir), fx.CONFIG))
 
 
 def split_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -103,6 +110,58 @@ def route_unrouted(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _key_text(rejected).select("key", "partition", "offset", "eventType", "reason", "raw")
 
 
+def _numeric(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labelled records whose code field is declared double."""
+    envelopes = fx.numeric_envelopes(fx.read_events(spark, sf_dir))
+    return labelled_bronze(envelopes, fx.NUMERIC_CONFIG)
+
+
+def route_valid_numeric(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _key_text(routing.valid(_numeric(spark, sf_dir)))
+
+
+def route_faulty_numeric(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _key_text(routing.faulty(_numeric(spark, sf_dir)))
+
+
+def _flawed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labelled records with all that can be wrong with one."""
+    return labelled_bronze(fx.flawed_envelopes(fx.read_events(spark, sf_dir)), fx.FLAWED_CONFIG)
+
+
+def route_partial(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = routing.partial(_flawed(spark, sf_dir)).withColumnRenamed(CORRUPT, "original")
+    return _key_text(found)
+
+
+def unrouted_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = routing.unrouted(_flawed(spark, sf_dir))
+    return found.select("partition", "offset", "eventType", "reason", "raw")
+
+
+def publish_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rejected = routing.rejects(_flawed(spark, sf_dir)).drop("key", "eventTime")
+    keyed = rejected.withColumn("key", F.col("offset").cast("string")).select(
+        "key", "partition", "offset", "reason", "raw"
+    )
+    return publishing.publish_rejects(keyed)
+
+
+def stream_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rejects of a stream, by way of the quarantine messages of one flow."""
+    path = fresh_path(spark, "stream_rejects")
+    stream = fx.flawed_envelopes(fx.stream_events(spark, sf_dir))
+    labelled = labelled_bronze(stream, fx.FLAWED_CONFIG)
+    output = flows.rejects_output(sinks.file_messages(f"{path}/messages", "stream_rejects"))
+    flows.payload_flow(
+        labelled, f"{path}/table", f"{path}/checkpoint", "stream_rejects", [output],
+        sinks.AVAILABLE_NOW,
+    ).awaitTermination()
+    sent = sinks.read_messages(spark, f"{path}/messages")
+    fields = F.from_json("value", "partition int, offset bigint, reason string, raw string")
+    return sent.select("topic", fields.alias("v")).select("topic", "v.*")
+
+
 def conservation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return routing.conservation(bronze(spark, sf_dir))
 
@@ -268,6 +327,32 @@ def targets_of_pipelines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return target_plan(rows.where(F.col("pipeline_id").isNotNull()), sinks_per_topic=True)
 
 
+def collisions_across_kinds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clashes of a registry whose names differ by case only, or meet across kinds of tables."""
+    return target_collisions(target_plan(fx.clashing_registry(spark, sf_dir)))
+
+
+def without_config(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Allocated topics of the registry that no sampled schema is there for."""
+    topics = fx.registry(spark, sf_dir)
+    config = topics.where(F.substring("topic_name", -1, 1).cast("int") % 2 == 0).select(
+        F.col("topic_name").alias("topic"), "kind", F.lit("a string").alias("schema_ddl"), "event_types"
+    )
+    return topics_without_config(config, topics)
+
+
+def registry_saved(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The registry after dealing, by way of two saved versions."""
+    path = fresh_path(spark, "registry")
+    registry.save_registry(fx.registry(spark, sf_dir), path, 1)
+    loaded = registry.load_registry(spark, path)
+    allocation = materialise(registry.allocate(loaded, fx.LIMIT), "allocation")
+    known = allocation.where(F.col("pipeline_id").isNotNull())
+    updates = known.select("topic_name", "pipeline_id")
+    registry.save_registry(registry.merge_assignments(loaded, updates), path, 2)
+    return _joined_types(registry.load_registry(spark, path))
+
+
 def collisions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return target_collisions(target_plan(fx.registry(spark, sf_dir)))
 
@@ -366,6 +451,11 @@ QUERIES: dict[str, Query] = {
     "route_faulty": route_faulty,
     "route_undetermined": route_undetermined,
     "route_unrouted": route_unrouted,
+    "route_valid_numeric": route_valid_numeric,
+    "route_faulty_numeric": route_faulty_numeric,
+    "route_partial": route_partial,
+    "unrouted_reasons": unrouted_reasons,
+    "publish_rejects": publish_rejects,
     "conservation": conservation,
     **{f"publish_{t}": partial(publish, t) for t in fx.EVENT_TYPES},
     "publish_all": publish_all,
@@ -391,11 +481,15 @@ QUERIES: dict[str, Query] = {
     "target_plan": targets,
     "target_plan_allocated": targets_of_pipelines,
     "target_collisions": collisions,
+    "target_collisions_across_kinds": collisions_across_kinds,
+    "topics_without_config": without_config,
+    "registry_saved": registry_saved,
     "stream_bronze": stream_bronze,
     "stream_topic_table": stream_topic_table,
     "stream_routes": stream_routes,
     "stream_valid": stream_valid,
     "stream_quarantine": stream_quarantine,
+    "stream_rejects": stream_rejects,
     "stream_publish": stream_publish,
     "stream_all_messages": stream_all_messages,
 }

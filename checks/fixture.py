@@ -59,9 +59,59 @@ def envelopes(events: DataFrame, topic: Column | None = None) -> DataFrame:
     payload = F.to_json(F.struct(*[c.alias(name) for name, c in payload_columns().items()]))
     broken = F.concat(F.lit("broken "), F.col("event_id").cast("string"))
     text = F.when(F.col("event_id") % 97 == 0, broken).otherwise(payload)
+    return _enveloped(events, text, F.lit(TOPIC) if topic is None else topic)
+
+
+# Codes that are numbers, some of them fractions.
+NUMERIC_CONFIG = TopicConfig(
+    TOPIC, PAYLOAD_BASED, PAYLOAD_DDL.replace("error_code string", "error_code double"), EVENT_TYPES
+)
+
+
+def numeric_envelopes(events: DataFrame) -> DataFrame:
+    """Envelopes whose code is a number: none, 0.4, -0.9, 2 or 0."""
+    event_id = F.col("event_id")
+    code = (
+        F.when(event_id % 11 == 0, F.lit(None).cast("double"))
+        .when(event_id % 7 == 0, 0.4)
+        .when(event_id % 5 == 0, -0.9)
+        .when(event_id % 3 == 0, 2.0)
+        .otherwise(0.0)
+    )
+    columns = payload_columns() | {"error_code": code}
+    payload = F.to_json(F.struct(*[c.alias(name) for name, c in columns.items()]))
+    return _enveloped(events, payload, F.lit(TOPIC))
+
+
+FLAWED_CONFIG = TopicConfig(
+    TOPIC, PAYLOAD_BASED, "eventType string, n bigint, error_code string", EVENT_TYPES
+)
+
+
+def flawed_envelopes(events: DataFrame) -> DataFrame:
+    """Envelopes with every flaw by turns: lost fields under each code, no type, no JSON."""
+    event_id = F.col("event_id")
+    number = F.when(event_id % 2 == 0, F.lit('"oops"')).otherwise(event_id.cast("string"))
+    code = F.when(event_id % 3 == 0, "0").when(event_id % 3 == 1, "7").otherwise("E1")
+    typed = F.format_string(
+        '{"eventType":"%s","n":%s,"error_code":"%s"}', "event_type", number, code
+    )
+    untyped = F.format_string('{"n":%s,"error_code":"0"}', number)
+    unknown = F.format_string('{"eventType":"mystery","n":%s}', number)
+    broken = F.format_string('{"eventType":"%s', "event_type")
+    text = (
+        F.when(event_id % 5 == 0, untyped)
+        .when(event_id % 7 == 0, unknown)
+        .when(event_id % 11 == 0, broken)
+        .otherwise(typed)
+    )
+    return _enveloped(events, text, F.lit(TOPIC))
+
+
+def _enveloped(events: DataFrame, text: Column, topic: Column) -> DataFrame:
     return events.select(
         F.col("user_id").cast("string").cast("binary").alias("key"),
-        (F.lit(TOPIC) if topic is None else topic).alias("topic"),
+        topic.alias("topic"),
         (F.col("user_id") % 4).cast("int").alias("partition"),
         F.col("event_id").alias("offset"),
         F.col("ts").alias("timestamp"),
@@ -91,3 +141,21 @@ def registry(spark: SparkSession, sf_dir: str) -> DataFrame:
         .alias("kind"),
         F.when(key % 10 == 0, F.array(F.lit("click"), F.lit("view"))).alias("event_types"),
     )
+
+
+def clashing_registry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A registry of mixed topics and single-type topics named as the tables of mixed ones are."""
+    key = F.col("c_custkey")
+    number = F.floor(key / 4).cast("string")
+    return spark.read.parquet(f"{sf_dir}/customer.parquet").select(
+        F.when(key % 4 == 0, F.concat(F.lit("all"), number))
+        .when(key % 4 == 1, F.concat(F.lit("click_all"), number))
+        .when(key % 4 == 2, F.concat(F.lit("Click_All"), number))
+        .otherwise(F.concat(F.lit("feb_view_all"), number))
+        .alias("topic_name"),
+        F.lit(None).cast("string").alias("pipeline_id"),
+        F.when(key % 4 == 0, F.lit("payload_based")).otherwise("topic_based").alias("kind"),
+        F.when(key % 4 == 0, F.array(F.lit("click"), F.lit("view"), F.lit("click"))).alias(
+            "event_types"
+        ),
+    )

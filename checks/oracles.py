@@ -48,10 +48,55 @@ SELECT CAST(user_id AS VARCHAR) AS key, '{TOPIC}' AS topic,
        0 AS "timestampType",
        CASE WHEN NOT broken THEN etype END AS "eventType",
        CASE WHEN NOT broken THEN event_id END AS payload_event_id,
-       CASE WHEN NOT broken THEN value END AS payload_value
+       CASE WHEN NOT broken THEN etype END AS "payload_eventType",
+       CASE WHEN NOT broken THEN user_id END AS payload_user_id,
+       CASE WHEN NOT broken THEN value END AS payload_value,
+       CASE WHEN NOT broken THEN props END AS payload_props,
+       CASE WHEN NOT broken THEN ec END AS payload_error_code,
+       CASE WHEN NOT broken AND etype IN {EVENT_TYPES} THEN etype ELSE '_unrouted' END AS route,
+       CASE WHEN broken OR etype IS NULL OR etype NOT IN {EVENT_TYPES} THEN '_unrouted'
+            WHEN ec = '0' THEN 'valid' WHEN ec = '1' THEN 'faulty' ELSE 'undetermined' END
+         AS outcome
 FROM src
 """
 
+# Codes that are numbers.
+_NUMERIC = f"""
+WITH {_SRC.replace("""CASE WHEN event_id % 11 = 0 THEN NULL WHEN event_id % 7 = 0 THEN 'E1'
+              WHEN event_id % 5 = 0 THEN '1' ELSE '0' END AS ec""", """CASE WHEN event_id % 11 = 0 THEN NULL WHEN event_id % 7 = 0 THEN 0.4
+              WHEN event_id % 5 = 0 THEN -0.9 WHEN event_id % 3 = 0 THEN 2 ELSE 0 END::DOUBLE AS ec""")}
+SELECT {_ROUTE_COLUMNS} FROM src WHERE etype IN {EVENT_TYPES} AND
+"""
+
+# Records with every flaw by turns.
+_FLAWED = f"""
+f AS (
+  SELECT *, CASE WHEN event_id % 2 = 0 THEN '"oops"' ELSE event_id::VARCHAR END AS n,
+         CASE event_id % 3 WHEN 0 THEN '0' WHEN 1 THEN '7' ELSE 'E1' END AS code,
+         CASE WHEN event_id % 5 = 0 THEN 'untyped' WHEN event_id % 7 = 0 THEN 'unknown'
+              WHEN event_id % 11 = 0 THEN 'broken' ELSE 'typed' END AS form
+  FROM events),
+flawed AS (
+  SELECT *, CASE form
+           WHEN 'untyped' THEN '{{"n":' || n || ',"error_code":"0"}}'
+           WHEN 'unknown' THEN '{{"eventType":"mystery","n":' || n || '}}'
+           WHEN 'broken' THEN '{{"eventType":"' || event_type
+           ELSE '{{"eventType":"' || event_type || '","n":' || n || ',"error_code":"' || code
+                || '"}}' END AS text,
+         CASE form WHEN 'untyped' THEN 'no_type' WHEN 'unknown' THEN 'unknown_type'
+           WHEN 'broken' THEN 'malformed'
+           ELSE CASE WHEN code = '7' THEN 'faulty' WHEN event_id % 2 = 0 THEN 'partial'
+                     WHEN code = '0' THEN 'valid' ELSE 'undetermined' END END AS reason
+  FROM f)
+"""
+
+_REJECTS = f"""
+WITH {_FLAWED}
+SELECT 'quarantine_events' AS topic, CAST(user_id % 4 AS INTEGER) AS partition,
+       event_id AS "offset", reason, text AS raw
+FROM flawed WHERE reason <> 'valid'
+"""
+
 _UNROUTED = f"""
 WITH {_SRC}
 SELECT CAST(user_id AS VARCHAR) AS key, CAST(user_id % 4 AS INTEGER) AS partition,
@@ -213,6 +258,30 @@ UNION ALL SELECT topic_name, 'outgoing_topic', {sink} FROM typed
 
 
 _TARGETS = _targets("true", "'kafka_sink_' || t")
+_CLASHING = _TARGETS.replace(
+    _REG,
+    """
+reg AS (
+  SELECT CASE c_custkey % 4 WHEN 0 THEN 'all' WHEN 1 THEN 'click_all' WHEN 2 THEN 'Click_All'
+           ELSE 'feb_view_all' END || CAST(c_custkey // 4 AS VARCHAR) AS topic_name,
+         CASE WHEN c_custkey % 4 = 0 THEN 'payload_based' ELSE 'topic_based' END AS kind,
+         CASE WHEN c_custkey % 4 = 0 THEN ['click', 'view', 'click'] END AS event_types
+  FROM customer)
+""",
+)
+
+
+def _collisions(plan: str) -> str:
+    return f"""
+SELECT object_kind, object_name, count(DISTINCT topic_name) AS topics
+FROM (SELECT topic_name,
+             CASE WHEN use_case = 'outgoing_topic' THEN use_case ELSE 'table' END AS object_kind,
+             CASE WHEN use_case = 'outgoing_topic' THEN object_name ELSE lower(object_name) END
+               AS object_name
+      FROM ({plan}))
+GROUP BY 1, 2 HAVING count(DISTINCT topic_name) > 1
+"""
+
 
 ORACLES: dict[str, str] = {
     "decode_flat": _DECODE_FLAT,
@@ -229,6 +298,28 @@ FROM routed
     "route_faulty": _route(_FAULTY),
     "route_undetermined": _route(_UNDETERMINED),
     "route_unrouted": _UNROUTED,
+    "route_valid_numeric": _NUMERIC + "ec = 0",
+    "route_faulty_numeric": _NUMERIC + "ec <> 0",
+    "route_partial": f"""
+WITH {_FLAWED}
+SELECT CAST(user_id AS VARCHAR) AS key, '{TOPIC}' AS topic, ts AS "eventTime",
+       event_type AS "eventType", CAST(NULL AS BIGINT) AS n, code AS error_code, text AS original
+FROM flawed WHERE reason = 'partial'
+""",
+    "unrouted_reasons": f"""
+WITH {_FLAWED}
+SELECT CAST(user_id % 4 AS INTEGER) AS partition, event_id AS "offset",
+       CASE form WHEN 'unknown' THEN 'mystery' END AS "eventType", reason,
+       CASE WHEN form = 'broken' OR event_id % 2 = 0 THEN text END AS raw
+FROM flawed WHERE form <> 'typed'
+""",
+    "publish_rejects": f"""
+SELECT topic, CAST("offset" AS VARCHAR) AS key,
+       CAST(to_json(struct_pack(key := CAST("offset" AS VARCHAR), partition := partition,
+            "offset" := "offset", reason := reason, raw := raw)) AS VARCHAR) AS value
+FROM ({_REJECTS})
+""",
+    "stream_rejects": _REJECTS,
     "conservation": _CONSERVATION,
     **{f"publish_{t}": _messages(f"'kafka_sink_{t}'", f"etype = '{t}'") for t in EVENT_TYPES},
     "publish_all": _PUBLISH_ALL,
@@ -283,9 +374,18 @@ FROM reg LEFT JOIN allocation a ON reg.topic_name = a.topic_name
     "target_plan_allocated": _targets(
         "pipeline_id IS NOT NULL", "'kafka_sink_' || t || '_' || topic_name"
     ),
-    "target_collisions": f"""
-SELECT use_case, object_name, count(*) AS topics FROM ({_TARGETS})
-GROUP BY ALL HAVING count(*) > 1
+    "target_collisions": _collisions(_TARGETS),
+    "target_collisions_across_kinds": _collisions(_CLASHING),
+    "topics_without_config": f"""
+WITH {_REG}
+SELECT topic_name AS topic, pipeline_id FROM reg
+WHERE pipeline_id IS NOT NULL AND right(topic_name, 1)::INTEGER % 2 = 1
+""",
+    "registry_saved": f"""
+WITH {_ALLOCATION}
+SELECT reg.topic_name, coalesce(a.pipeline_id, reg.pipeline_id) AS pipeline_id, kind,
+       array_to_string(event_types, ',') AS event_types
+FROM reg LEFT JOIN allocation a ON reg.topic_name = a.topic_name
 """,
     "stream_bronze": _BRONZE,
     "stream_topic_table": _DECODE_FLAT,

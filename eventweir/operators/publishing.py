@@ -56,6 +56,11 @@ def publish_quarantine(
     return encode_rows(quarantined, QUARANTINE_TOPIC, json_options=json_options)
 
 
+def publish_rejects(rejects: DataFrame, json_options: dict[str, str] | None = None) -> DataFrame:
+    """Records that are in no valid table as messages for the quarantine topic, reason included."""
+    return encode_rows(rejects, QUARANTINE_TOPIC, json_options=json_options)
+
+
 def fan_out(
     events: DataFrame,
     combined_topic: str,
@@ -69,8 +74,11 @@ def fan_out(
     given.
     """
     targets = F.array_compact(F.array(F.lit(combined_topic), F.col(type_field)))
-    return events.select(
-        F.explode(targets).alias("topic"),
+    # One text per event goes into the explode, not the event's columns: encoding above it would
+    # run once for each message.
+    encoded = events.select(
+        targets.alias("_targets"),
         (key if key is not None else F.lit(None)).cast("string").alias("key"),
         F.to_json(F.struct("*"), json_options).alias("value"),
     )
+    return encoded.select(F.explode("_targets").alias("topic"), "key", "value")

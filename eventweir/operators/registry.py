@@ -5,7 +5,6 @@ A NULL ``pipeline_id`` marks a topic that no pipeline serves yet.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -165,13 +164,28 @@ def merge_assignments(registry: DataFrame, updates: DataFrame) -> DataFrame:
     )
 
 
+def _versions(spark: SparkSession, path: str) -> list[int]:
+    """The committed versions below ``path``, those with Spark's marker of a finished write."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/version=*/_SUCCESS")
+    found = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(folder)
+    names = [status.getPath().getParent().getName() for status in found or []]
+    return sorted(int(name.removeprefix("version=")) for name in names)
+
+
 def save_registry(registry: DataFrame, path: str, version: int) -> None:
-    """Write one version of the registry; saving a version again replaces it."""
+    """Write one version of the registry, made from the one before.
+
+    Refused where this or a newer version is already committed: its writer has not seen it.
+    """
+    known = _versions(registry.sparkSession, path)
+    if known and known[-1] >= version:
+        raise ValueError(f"{path} is at version {known[-1]}, cannot save version {version}")
     registry.write.mode("overwrite").parquet(f"{path}/version={version}")
 
 
 def load_registry(spark: SparkSession, path: str) -> DataFrame:
-    """The newest version.  Versions are told from the file listing; only the newest is read."""
-    listed = spark.read.schema(REGISTRY_SCHEMA).parquet(path).inputFiles()
-    newest = max(int(v) for name in listed for v in re.findall(r"/version=(\d+)/", name))
-    return spark.read.schema(REGISTRY_SCHEMA).parquet(f"{path}/version={newest}")
+    """The newest committed version; a write that did not finish is passed over."""
+    known = _versions(spark, path)
+    if not known:
+        raise ValueError(f"no committed registry below {path}")
+    return spark.read.schema(REGISTRY_SCHEMA).parquet(f"{path}/version={known[-1]}")

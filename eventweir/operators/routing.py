@@ -16,6 +16,7 @@ from pyspark.sql.types import StringType
 from eventweir.functions.decoding import CORRUPT
 from eventweir.functions.labels import (
     FAULTY,
+    PARTIAL,
     UNDETERMINED,
     UNROUTED,
     VALID,
@@ -28,13 +29,19 @@ from eventweir.operators.projections import DECODED, payload_fields, route_table
 LABELS = ("route", "outcome")
 
 
+def label_folders(event_types: Sequence[str]) -> int:
+    """How many folders a table partitioned by the labels has at most."""
+    return 4 * len(event_types) + 1
+
+
 def label(
     bronze: DataFrame, event_types: Sequence[str], code_field: str = "error_code"
 ) -> DataFrame:
     """Add ``route`` and ``outcome`` to a bronze DataFrame.
 
     Every record gets exactly one pair, so the targets add up to the input.  A payload without the
-    code field leaves the outcome undetermined.
+    code field leaves the outcome undetermined.  A record that has lost fields, as they did not fit
+    their types, is ``partial`` unless its code says faulty.
     """
     fields = payload_fields(bronze)
     if code_field in fields.names:
@@ -42,6 +49,8 @@ def label(
         outcome = outcome_label(F.col(DECODED)[code_field], is_text)
     else:
         outcome = F.lit(UNDETERMINED)
+    lost_fields = F.col(DECODED)[CORRUPT].isNotNull()
+    outcome = F.when((outcome != FAULTY) & lost_fields, F.lit(PARTIAL)).otherwise(outcome)
     return bronze.withColumn("route", route_label(F.col("eventType"), event_types)).withColumn(
         "outcome", F.when(F.col("route") == UNROUTED, UNROUTED).otherwise(outcome)
     )
@@ -66,11 +75,18 @@ def undetermined(labelled: DataFrame, event_type: str | None = None) -> DataFram
     return _with_outcome(labelled, UNDETERMINED, event_type)
 
 
-def _with_outcome(labelled: DataFrame, outcome: str, event_type: str | None) -> DataFrame:
+def partial(labelled: DataFrame, event_type: str | None = None) -> DataFrame:
+    """Routed records some of whose fields did not fit their types, with the text they came as."""
+    return _with_outcome(labelled, PARTIAL, event_type, with_corrupt=True)
+
+
+def _with_outcome(
+    labelled: DataFrame, outcome: str, event_type: str | None, **options
+) -> DataFrame:
     chosen = F.col("outcome") == outcome
     if event_type is not None:
         chosen &= F.col("route") == event_type
-    return route_table(labelled.where(chosen))
+    return route_table(labelled.where(chosen), **options)
 
 
 def unrouted(labelled: DataFrame) -> DataFrame:
@@ -89,8 +105,32 @@ def unrouted(labelled: DataFrame) -> DataFrame:
     )
 
 
+def rejects(labelled: DataFrame) -> DataFrame:
+    """All records that are in no valid table, each with its reason and original text.
+
+    Faulty, undetermined and partial ones have their outcome as reason, unrouted ones why they have
+    no route.  Where the text was not kept, a fully decoded payload is written out again.
+    """
+    corrupt = F.col(DECODED)[CORRUPT]
+    payload = F.to_json(F.col(DECODED).dropFields(CORRUPT))
+    text = F.coalesce(F.col("raw") if "raw" in labelled.columns else corrupt, payload)
+    reason = F.when(
+        F.col("route") == UNROUTED, unrouted_reason(F.col("eventType"), corrupt)
+    ).otherwise(F.col("outcome"))
+    return labelled.where(F.col("outcome") != VALID).select(
+        "key",
+        "topic",
+        "partition",
+        "offset",
+        "eventTime",
+        "eventType",
+        reason.alias("reason"),
+        text.alias("raw"),
+    )
+
+
 QUARANTINE_POLICIES = {
-    "quarantine_undetermined": (FAULTY, UNDETERMINED),
+    "quarantine_undetermined": (FAULTY, UNDETERMINED, PARTIAL),
     "faulty_only": (FAULTY,),
 }
 
@@ -110,16 +150,17 @@ def quarantined(
 def conservation(labelled: DataFrame) -> DataFrame:
     """Per event type: records and distinct source positions, to compare with the source.
 
-    Positions are counted exactly, in bitmaps over ranges of offsets.  A task meets few ranges, as
-    sources are read in offset order, so bitmaps and not positions are shuffled; they are spread by
-    range, not by event type, so a type that holds most of the records is no hot task.
+    Positions are counted exactly, as bits of words that stand for 64 offsets each.  Sources are
+    read in offset order, so a task turns many records into one word by hash aggregation; the words
+    are spread by offset, not by event type, so a type that holds most of the records is no hot
+    task.  Whatever the types, there is never more than one word per record.
     """
-    ranges = labelled.groupBy(
-        "eventType", "topic", "partition", F.bitmap_bucket_number("offset").alias("_range")
-    ).agg(
-        F.count("*").alias("_records"),
-        F.bitmap_construct_agg(F.bitmap_bit_position("offset")).alias("_seen"),
-    )
-    return ranges.groupBy("eventType").agg(
-        F.sum("_records").alias("records"), F.sum(F.bitmap_count("_seen")).alias("positions")
+    place = F.col("offset").bitwiseAND(63).cast("int")
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), place)
+    words = labelled.groupBy(
+        "eventType", "topic", "partition", F.shiftright("offset", 6).alias("_word")
+    ).agg(F.count("*").alias("_records"), F.bit_or(bit).alias("_seen"))
+    return words.groupBy("eventType").agg(
+        F.sum("_records").alias("records"),
+        F.sum(F.bit_count("_seen").cast("long")).alias("positions"),
     )

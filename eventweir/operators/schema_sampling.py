@@ -6,11 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from eventweir.functions.envelope import payload_text
+from eventweir.functions.labels import JSON_SPACE
 from eventweir.functions.typenames import declared_type
 
-JSON_SPACE = " \t\r\n"
-
-
 def payload_object(text: Column) -> Column:
     """The payload as a variant; NULL unless it is one well-formed JSON object.
 

@@ -39,16 +39,34 @@ def target_plan(registry: DataFrame, sinks_per_topic: bool = False) -> DataFrame
 
     types = F.coalesce("event_types", F.array().cast("array<string>"))
     mixed = F.concat(bronze, F.flatten(F.transform(types, per_type)))
-    targets = F.when(F.col("kind") == TOPIC_BASED, single).when(
-        F.col("kind") == PAYLOAD_BASED, mixed
+    unknown = F.raise_error(
+        F.concat_ws(" ", F.lit("topic"), topic, F.lit("has no known kind:"), F.col("kind"))
+    )
+    targets = (
+        F.when(F.col("kind") == TOPIC_BASED, single)
+        .when(F.col("kind") == PAYLOAD_BASED, mixed)
+        .otherwise(unknown.cast(registry.select(single).schema[0].dataType))
     )
     return registry.select("topic_name", F.explode(targets).alias("t")).select("topic_name", "t.*")
 
 
 def target_collisions(plan: DataFrame) -> DataFrame:
-    """Object names that more than one topic would create."""
+    """``(object_kind, object_name, topics)``: names that more than one topic would create.
+
+    Tables of all use cases share one name space, in which case makes no difference; outgoing topics
+    have their own and tell case apart.
+    """
+    outgoing = F.col("use_case") == "outgoing_topic"
+    named = plan.select(
+        "topic_name",
+        F.when(outgoing, "outgoing_topic").otherwise("table").alias("object_kind"),
+        F.when(outgoing, F.col("object_name"))
+        .otherwise(F.lower("object_name"))
+        .alias("object_name"),
+    )
     return (
-        plan.groupBy("use_case", "object_name")
+        named.distinct()
+        .groupBy("object_kind", "object_name")
         .agg(F.count("*").alias("topics"))
         .where(F.col("topics") > 1)
     )

@@ -58,6 +58,17 @@ def pipeline_config(config: DataFrame, registry: DataFrame, pipeline_id: str) ->
     return _to_driver(config.join(served, "topic", "left_semi"))
 
 
+def topics_without_config(config: DataFrame, registry: DataFrame) -> DataFrame:
+    """``(topic, pipeline_id)`` of allocated topics that have no configuration.
+
+    ``pipeline_config`` cannot serve them: they had no message when schemas were sampled.
+    """
+    served = registry.where(F.col("pipeline_id").isNotNull()).select(
+        F.col("topic_name").alias("topic"), "pipeline_id"
+    )
+    return served.join(config, "topic", "left_anti")
+
+
 def _to_driver(config: DataFrame) -> list[TopicConfig]:
     """The few rows of one pipeline: a decoder's schema is part of the query plan."""
     return [

@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from eventweir.functions.envelope import ROUTE_METADATA
-from eventweir.operators.publishing import publish_quarantine, publish_routes
-from eventweir.operators.routing import LABELS, QUARANTINE_POLICIES, quarantined
+from eventweir.operators.publishing import publish_quarantine, publish_rejects, publish_routes
+from eventweir.operators.routing import LABELS, QUARANTINE_POLICIES, quarantined, rejects
 from eventweir.plans.config import PAYLOAD_BASED, TopicConfig, of_kind
 from eventweir.plans.use_cases import labelled_bronze, split_by_topic
 from eventweir.streaming.sinks import (
@@ -101,6 +101,13 @@ def quarantine_output(
     return messages, send
 
 
+def rejects_output(
+    send: BatchWriter, json_options: dict[str, str] | None = None
+) -> tuple[MessagesOf, BatchWriter]:
+    """Everything that is in no valid table to ``send``, with its reason and original text."""
+    return lambda table: publish_rejects(rejects(table), json_options), send
+
+
 def publish_output(
     send: BatchWriter,
     per_source_topic: bool = False,
@@ -115,8 +122,11 @@ def written_batch(batch: DataFrame, path: str, app_id: str, batch_id: int) -> Da
     return read_written(batch.sparkSession, batch_path(path, app_id, batch_id), batch.schema)
 
 
-def kafka_flow(labelled_table: DataFrame, servers: str, checkpoint: str, **options):
-    """Stream a bronze table's routed records to Kafka, each to the topic of its type."""
+def kafka_flow(labelled_table: DataFrame, topic: str, servers: str, checkpoint: str, **options):
+    """Stream a bronze table's routed records to Kafka, each to the topic of its type.
+
+    The query is named by the source ``topic``, so one session can run a flow for each.
+    """
     trigger = options.pop("trigger", None)
     messages = publish_routes(labelled_table, **options)
-    return kafka_sink(messages, servers, checkpoint, name="kafka_flow", trigger=trigger)
+    return kafka_sink(messages, servers, checkpoint, name=f"kafka_{topic}", trigger=trigger)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -44,26 +45,52 @@ def fresh_path(spark: SparkSession, name: str) -> str:
 
 
 def materialise(
-    df: DataFrame, name: str, partition_by: Sequence[str] = (), packed: bool = False
+    df: DataFrame,
+    name: str,
+    partition_by: Sequence[str] = (),
+    packed: bool = False,
+    folders: int = 0,
 ) -> DataFrame:
     """Write ``df`` to the shared folder and return the written table.
 
     Cuts the lineage for good: losing executors later costs a re-read, not a recomputation, and
     values from non-deterministic expressions no longer change between uses.
     """
-    return write_table(df, fresh_path(df.sparkSession, name), partition_by, packed)
+    return write_table(df, fresh_path(df.sparkSession, name), partition_by, packed, folders)
+
+
+WRITERS_CONF = "spark.sql.maxConcurrentOutputFileWriters"
+
+
+@contextmanager
+def _open_files(spark: SparkSession, folders: int):
+    """Let tasks keep a file open for each of so many folders while a table is written."""
+    before = spark.conf.get(WRITERS_CONF)
+    if folders:
+        spark.conf.set(WRITERS_CONF, folders)
+    try:
+        yield
+    finally:
+        spark.conf.set(WRITERS_CONF, before)
 
 
 def write_table(
-    df: DataFrame, path: str, partition_by: Sequence[str] = (), packed: bool = False
+    df: DataFrame,
+    path: str,
+    partition_by: Sequence[str] = (),
+    packed: bool = False,
+    folders: int = 0,
 ) -> DataFrame:
     """Write ``df`` as the whole content of ``path`` and return the written table.
 
     Replaces what is there, also in sessions set to overwrite only the partitions written to.
+    Spark sorts the rows of a task by their folder first; where the number of ``folders`` is known
+    to be small, naming it spares that sort.  Tasks that meet more of them go back to sorting.
     """
     rows = pack(df, partition_by) if packed else df
     writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "static")
-    writer.partitionBy(*partition_by).parquet(path)
+    with _open_files(df.sparkSession, folders):
+        writer.partitionBy(*partition_by).parquet(path)
     return read_written(df.sparkSession, path, df.schema)
 
 

@@ -54,7 +54,7 @@ def test_decoding_parses_once_without_shuffle_or_python(plan_of, envelope):
         (routing.valid, "(outcome#N = valid)"),
         (routing.faulty, "(outcome#N = faulty)"),
         (routing.undetermined, "(outcome#N = undetermined)"),
-        (routing.quarantined, "outcome#N IN (faulty,undetermined)"),
+        (routing.quarantined, "outcome#N IN (faulty,undetermined,partial)"),
         (routing.unrouted, "(route#N = _unrouted)"),
         (lambda b: publishing.publish_route(b, "view"), "(route#N = view)"),
         (publishing.publish_routes, "NOT (route#N = _unrouted)"),

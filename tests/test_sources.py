@@ -79,7 +79,7 @@ def test_everything_but_the_connector_is_in_place(spark, envelope_of, tmp_path):
     envelope_of([], "mixed").write.parquet(str(tmp_path / "in"))
     labelled = labelled_bronze(stream_files(spark, str(tmp_path / "in")), config)
     calls = [
-        lambda: flows.kafka_flow(labelled, "host:9092", str(tmp_path / "cp1")),
+        lambda: flows.kafka_flow(labelled, "mixed", "host:9092", str(tmp_path / "cp1")),
         lambda: read_topics(spark, "host:9092", ["a"]),
         lambda: stream_topics(spark, "host:9092", ["a"], maxOffsetsPerTrigger=5),
         lambda: sinks.kafka_messages("host:9092", "t")(messages, 0),
