@@ -238,6 +238,28 @@ def field_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return schema_drift.field_profile(_topic_envelopes(spark, sf_dir))
 
 
+def _nested(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fx.nested_envelopes(fx.read_events(spark, sf_dir))
+
+
+def infer_schema_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return schema_sampling.infer_schemas(_nested(spark, sf_dir))
+
+
+def field_profile_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return schema_drift.field_profile(_nested(spark, sf_dir))
+
+
+def drift_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
+    config = TopicConfig(fx.TOPIC, PAYLOAD_BASED, fx.NESTED_DDL, fx.EVENT_TYPES)
+    registered = schema_drift.registered_fields(spark, [config])
+    return schema_drift.schema_drift(field_profile_nested(spark, sf_dir), registered)
+
+
+def payload_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return schema_drift.payload_rejects(_nested(spark, sf_dir))
+
+
 # An older configuration: ``value`` was whole, ``event_id`` a fraction, ``props`` not there yet,
 # ``country`` still sent.
 OLD_DDL = (
@@ -424,6 +446,19 @@ def stream_valid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _key_text(routing.valid(table))
 
 
+def stream_schema_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One table filled by two runs, the first of which did not know ``props`` yet."""
+    path = fresh_path(spark, "stream_schema_merge")
+    early = fx.PAYLOAD_DDL.replace(", props string", "")
+    for app_id, ddl in (("early", early), ("late", fx.PAYLOAD_DDL)):
+        config = TopicConfig(fx.TOPIC, PAYLOAD_BASED, ddl, fx.EVENT_TYPES)
+        labelled = labelled_bronze(fx.envelopes(fx.stream_events(spark, sf_dir)), config)
+        flows.payload_flow(
+            labelled, f"{path}/table", f"{path}/{app_id}", app_id, trigger=sinks.AVAILABLE_NOW
+        ).awaitTermination()
+    return _key_text(routing.valid(sinks.read_batches(spark, f"{path}/table")))
+
+
 def stream_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     messages, _ = _run_payload_flow(spark, sf_dir, "stream_quarantine", _quarantine)
     return sinks.read_messages(spark, f"{messages}/0")
@@ -468,6 +503,10 @@ QUERIES: dict[str, Query] = {
     "decode_inferred": decode_inferred,
     "field_profile": field_profile,
     "schema_drift": drift,
+    "infer_schema_nested": infer_schema_nested,
+    "field_profile_nested": field_profile_nested,
+    "schema_drift_nested": drift_nested,
+    "payload_rejects": payload_rejects,
     "schema_merge_read": schema_merge_read,
     "registry": registry_rows,
     "registry_load": registry_load,
@@ -488,6 +527,7 @@ QUERIES: dict[str, Query] = {
     "stream_topic_table": stream_topic_table,
     "stream_routes": stream_routes,
     "stream_valid": stream_valid,
+    "stream_schema_merge": stream_schema_merge,
     "stream_quarantine": stream_quarantine,
     "stream_rejects": stream_rejects,
     "stream_publish": stream_publish,

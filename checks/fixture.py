@@ -108,6 +108,37 @@ def flawed_envelopes(events: DataFrame) -> DataFrame:
     return _enveloped(events, text, F.lit(TOPIC))
 
 
+NESTED_DDL = (
+    "id int, o struct<p:struct<q:double>,s:string>, l array<struct<x:bigint>>, e struct<a:bigint>,"
+    " v array<double>, w bigint, gone string"
+)
+
+
+def nested_envelopes(events: DataFrame) -> DataFrame:
+    """Envelopes with nested objects, arrays, empty ones, wrong types, and payloads to reject."""
+    event_id = F.col("event_id")
+    number = F.when(event_id % 2 == 0, event_id.cast("string")).otherwise(
+        F.concat(event_id.cast("string"), F.lit(".5"))
+    )
+    listed = (
+        F.when(event_id % 3 == 0, "[1,2]")
+        .when(event_id % 3 == 1, '[{"x":1},{"x":"t"}]')
+        .otherwise("[]")
+    )
+    wrong = F.when(event_id % 5 == 0, '"oops"').otherwise("5")
+    whole = F.format_string(
+        '{"id":%d,"o":{"p":{"q":%s},"s":"x"},"l":%s,"e":{},"v":[],"w":%s}',
+        event_id, number, listed, wrong,
+    )
+    text = (
+        F.when(event_id % 97 == 0, "broken")
+        .when(event_id % 89 == 0, "[1]")
+        .when(event_id % 83 == 0, '{"a":1,"a":2}')
+        .otherwise(whole)
+    )
+    return _enveloped(events, text, F.lit(TOPIC))
+
+
 def _enveloped(events: DataFrame, text: Column, topic: Column) -> DataFrame:
     return events.select(
         F.col("user_id").cast("string").cast("binary").alias("key"),

@@ -212,6 +212,38 @@ UNION ALL BY NAME
 SELECT event_id, event_type, props FROM events WHERE event_type NOT IN ('click', 'view')
 """
 
+_NESTED = f"""
+whole AS (
+  SELECT event_id AS e FROM events
+  WHERE event_id % 97 <> 0 AND event_id % 89 <> 0 AND event_id % 83 <> 0),
+leaves AS (
+  SELECT 'id' AS field, 'bigint' AS observed_type, 1 AS n FROM whole
+  UNION ALL SELECT 'o.p.q', CASE WHEN e % 2 = 0 THEN 'bigint' ELSE 'double' END, 1 FROM whole
+  UNION ALL SELECT 'o.s', 'string', 1 FROM whole
+  UNION ALL SELECT 'l[]', 'bigint', 2 FROM whole WHERE e % 3 = 0
+  UNION ALL SELECT 'l[].x', 'bigint', 1 FROM whole WHERE e % 3 = 1
+  UNION ALL SELECT 'l[].x', 'string', 1 FROM whole WHERE e % 3 = 1
+  UNION ALL SELECT 'l', 'array<>', 1 FROM whole WHERE e % 3 = 2
+  UNION ALL SELECT 'e', 'struct<>', 1 FROM whole
+  UNION ALL SELECT 'v', 'array<>', 1 FROM whole
+  UNION ALL SELECT 'w', CASE WHEN e % 5 = 0 THEN 'string' ELSE 'bigint' END, 1 FROM whole),
+nested AS (
+  SELECT '{TOPIC}' AS topic, field, observed_type, sum(n)::BIGINT AS records
+  FROM leaves GROUP BY field, observed_type)
+"""
+
+# What the nested fixture's fields are registered as, and how each observed type fits.
+_NESTED_VERDICTS = """
+(VALUES ('id', 'int', 'bigint', 'narrowing'), ('o.p.q', 'double', 'bigint', 'widening'),
+  ('o.p.q', 'double', 'double', 'match'), ('o.s', 'string', 'string', 'match'),
+  ('l[]', 'struct', 'bigint', 'conflict'), ('l[].x', 'bigint', 'bigint', 'match'),
+  ('l[].x', 'bigint', 'string', 'conflict'), ('l', 'array', 'array<>', 'match'),
+  ('e', 'struct', 'struct<>', 'match'), ('v', 'array', 'array<>', 'match'),
+  ('w', 'bigint', 'string', 'conflict'), ('w', 'bigint', 'bigint', 'match'),
+  ('e.a', 'bigint', NULL, 'never_seen'), ('v[]', 'double', NULL, 'never_seen'),
+  ('gone', 'string', NULL, 'never_seen')) r(field, registered_type, observed_type, verdict)
+"""
+
 _REG = """
 reg AS (
   SELECT 't' || lpad(CAST(c_custkey AS VARCHAR), 8, '0') AS topic_name,
@@ -339,6 +371,25 @@ FROM schemas WHERE topic IN {(TOPIC, *EVENT_TYPES)}
     "decode_inferred": _DECODE_FLAT,
     "field_profile": f"WITH {_OBSERVED} SELECT topic, field, observed_type, records FROM profile",
     "schema_drift": _DRIFT,
+    "infer_schema_nested": f"""
+SELECT '{TOPIC}' AS topic, 'struct<e:string,id:bigint,l:array<string>,'
+       || 'o:struct<p:struct<q:double>,s:string>,v:array<string>,w:string>' AS schema_ddl
+FROM (SELECT count(*) AS n FROM events) WHERE n > 0
+""",
+    "field_profile_nested": f"WITH {_NESTED} SELECT * FROM nested",
+    "schema_drift_nested": f"""
+WITH {_NESTED}
+SELECT '{TOPIC}' AS topic, r.field, registered_type, r.observed_type,
+       coalesce(records, 0) AS records, verdict
+FROM {_NESTED_VERDICTS} LEFT JOIN nested
+  ON nested.field = r.field AND nested.observed_type = r.observed_type
+""",
+    "payload_rejects": f"""
+SELECT '{TOPIC}' AS topic,
+       CASE WHEN event_id % 97 = 0 THEN 'malformed' WHEN event_id % 89 = 0 THEN 'not_object'
+            ELSE 'repeated_key' END AS reject, count(*) AS records
+FROM events WHERE event_id % 97 = 0 OR event_id % 89 = 0 OR event_id % 83 = 0 GROUP BY 2
+""",
     "schema_merge_read": _EVOLVING,
     "registry": f"WITH {_REG} SELECT {_REGISTRY_ROW} FROM reg",
     "registry_load": f"""
@@ -391,7 +442,10 @@ FROM reg LEFT JOIN allocation a ON reg.topic_name = a.topic_name
     "stream_topic_table": _DECODE_FLAT,
     "stream_routes": _route("true"),
     "stream_valid": _route("ec = '0'"),
-    "stream_quarantine": _QUARANTINE,
+    "stream_schema_merge": f"""
+WITH {_SRC} SELECT {_ROUTE_COLUMNS} FROM routed WHERE ec = '0'
+UNION ALL SELECT * REPLACE (NULL AS props) FROM ({_route("ec = '0'")})
+""",    "stream_quarantine": _QUARANTINE,
     "stream_publish": _PUBLISH_ALL,
     "stream_all_messages": (
         f"SELECT * FROM ({_QUARANTINE}) UNION ALL SELECT * FROM ({_PUBLISH_ALL})"

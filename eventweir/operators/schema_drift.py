@@ -10,102 +10,223 @@ from pyspark.sql import types as T
 
 from eventweir.functions.decoding import payload_schema
 from eventweir.functions.envelope import payload_text
+from eventweir.functions.labels import JSON_SPACE
 from eventweir.functions.typenames import declared_type
 from eventweir.operators.schema_sampling import payload_object
 from eventweir.plans.config import TopicConfig
 
 
+ARRAY = "[]"
+EMPTY_OBJECT, EMPTY_ARRAY = "struct<>", "array<>"
+
+# A name in back-quotes, an array step, or a plain name.
+_STEP = r"`[^`]*`|\[\]|[^.\[`]+"
+
+
 def quoted(name: str) -> str:
-    return f"`{name}`" if "." in name else name
+    return f"`{name}`" if "." in name or "[" in name else name
 
 
 def _quoted(name: Column) -> Column:
-    return F.when(name.contains("."), F.concat(F.lit("`"), name, F.lit("`"))).otherwise(name)
+    needs = name.contains(".") | name.contains("[")
+    return F.when(needs, F.concat(F.lit("`"), name, F.lit("`"))).otherwise(name)
 
 
-def _outer(field: Column) -> Column:
-    """The top-level part of a field path."""
-    return F.regexp_extract(field, r"^(`.*?`|[^.]*)(\.|$)", 1)
+def _outer_paths(field: Column) -> Column:
+    """The paths that a field lies in: of ``a.b[].c`` these are ``a``, ``a.b`` and ``a.b[]``."""
+    steps = F.regexp_extract_all(field, F.lit(_STEP), F.lit(0))
+    count = F.size(steps) - 1
+    paths = F.transform(
+        F.sequence(F.lit(1), count),
+        lambda n: F.replace(F.array_join(F.slice(steps, 1, n), "."), F.lit(".[]"), F.lit(ARRAY)),
+    )
+    return F.when(count > 0, paths).otherwise(F.array().cast("array<string>"))
+
+
+def _depth(kind: Column) -> Column:
+    """How many objects and arrays a variant type nests."""
+    plain = F.regexp_replace(kind, "`[^`]*`", "")
+    brackets = F.split(F.regexp_replace(plain, "[^<>]", ""), "")
+    start = F.struct(F.lit(0).alias("now"), F.lit(0).alias("most"))
+
+    def step(seen: Column, bracket: Column) -> Column:
+        now = seen["now"] + F.when(bracket == "<", 1).when(bracket == ">", -1).otherwise(0)
+        return F.struct(now.alias("now"), F.greatest(seen["most"], now).alias("most"))
+
+    return F.aggregate(brackets, start, step)["most"]
 
 
 def field_profile(envelope: DataFrame) -> DataFrame:
-    """``(topic, field, observed_type, records)`` over all well-formed messages.
+    """``(topic, field, observed_type, records)`` over all well-formed messages, to full depth.
+
+    A field is the path of a plain value, ``outer.inner``; the elements of an array are ``list[]``,
+    each counted as a record.  Names with a dot or bracket are quoted.  Empty objects and arrays
+    have types of their own, ``struct<>`` and ``array<>``.
 
-    Fields of nested objects are listed one level deep as ``outer.inner``; a name that has a dot
-    itself is quoted.  Counting by the plain type text first keeps this a partial hash aggregate;
-    only its few result rows are renamed and counted again.
+    One pass finds how deep the messages nest, a second one walks down in as many steps; values
+    that are plain already wait.  Leaves are counted in a partial hash aggregate, so records of many
+    shapes give no more groups than there are paths and types.
     """
     spark = envelope.sparkSession
-    payloads = envelope.select("topic", payload_object(payload_text()).alias("payload"))
-    fields = payloads.lateralJoin(spark.tvf.variant_explode(F.col("payload").outer())).select(
-        "topic",
-        _quoted(F.col("key")).alias("field"),
-        F.col("value").alias("content"),
-        F.schema_of_variant("value").alias("kind"),
+    payloads = envelope.select("topic", payload_object(payload_text()).alias("content"))
+    payloads = payloads.where(F.col("content").isNotNull())
+    levels = payloads.agg(F.max(_depth(F.schema_of_variant("content")))).first()[0] or 0
+    walked = payloads.withColumn("field", F.lit(None).cast("string"))
+    for _ in range(levels):
+        kind = F.schema_of_variant("content")
+        opened = walked.withColumns(
+            {
+                "list": kind.startswith("ARRAY"),
+                "inside": F.when(
+                    kind.startswith("OBJECT") | kind.startswith("ARRAY"), F.col("content")
+                ),
+            }
+        )
+        walked = opened.lateralJoin(
+            spark.tvf.variant_explode_outer(F.col("inside").outer())
+        ).select(
+            "topic",
+            F.when(F.col("pos").isNull(), F.col("content")).otherwise(F.col("value")).alias("content"),
+            F.when(F.col("pos").isNull(), F.col("field"))
+            .when(F.col("list"), F.concat("field", F.lit(ARRAY)))
+            .otherwise(F.concat_ws(".", "field", _quoted(F.col("key"))))
+            .alias("field"),
+        )
+    kind = F.schema_of_variant("content")
+    shown = F.when(kind.startswith("ARRAY"), F.lit("ARRAY")).otherwise(kind)
+    counted = (
+        walked.where(F.col("field").isNotNull())
+        .groupBy("topic", "field", shown.alias("kind"))
+        .agg(F.count("*").alias("n"))
     )
-    inner_objects = F.when(F.col("kind").outer().startswith("OBJECT"), F.col("content").outer())
-    leaves = fields.lateralJoin(spark.tvf.variant_explode_outer(inner_objects)).select(
-        "topic",
-        F.concat_ws(".", "field", _quoted(F.col("key"))).alias("field"),
-        F.when(F.col("key").isNull(), F.col("kind"))
-        .otherwise(F.schema_of_variant("value"))
-        .alias("kind"),
+    observed = (
+        F.when(F.col("kind") == "ARRAY", EMPTY_ARRAY)
+        .when(F.col("kind") == "OBJECT<>", EMPTY_OBJECT)
+        .otherwise(declared_type(F.col("kind"), null_as="void"))
     )
-    counted = leaves.groupBy("topic", "field", "kind").agg(F.count("*").alias("n"))
     return (
-        counted.withColumn("observed_type", declared_type(F.col("kind"), null_as="void"))
+        counted.withColumn("observed_type", observed)
         .groupBy("topic", "field", "observed_type")
         .agg(F.sum("n").alias("records"))
     )
 
 
+def payload_rejects(envelope: DataFrame) -> DataFrame:
+    """``(topic, reject, records)``: what schemas are not inferred from, by topic and kind.
+
+    ``no_value``, ``malformed``, ``not_object``, and ``repeated_key`` for objects that name a key
+    twice (their decoding takes the last value).
+    """
+    text = payload_text()
+    is_object = F.ltrim(text, F.lit(JSON_SPACE)).startswith("{")
+    reject = (
+        F.when(text.isNull(), "no_value")
+        .when(F.get_json_object(text, "$").isNull(), "malformed")
+        .when(~is_object, "not_object")
+        .when(F.try_parse_json(text).isNull(), "repeated_key")
+    )
+    return (
+        envelope.select("topic", reject.alias("reject"))
+        .where(F.col("reject").isNotNull())
+        .groupBy("topic", "reject")
+        .agg(F.count("*").alias("records"))
+    )
+
+
+def _leaves(path: str, data_type: T.DataType):
+    if isinstance(data_type, T.StructType) and data_type.fields:
+        for field in data_type.fields:
+            inner = f"{path}.{quoted(field.name)}" if path else quoted(field.name)
+            yield from _leaves(inner, field.dataType)
+    elif isinstance(data_type, T.ArrayType):
+        yield from _leaves(path + ARRAY, data_type.elementType)
+    else:
+        yield path, data_type.simpleString()
+
+
 def registered_fields(spark: SparkSession, configs: Iterable[TopicConfig]) -> DataFrame:
-    """``(topic, field, registered_type)``, nested fields one level deep as ``outer.inner``."""
-    rows = []
-    for config in configs:
-        for field in payload_schema(config.schema_ddl).fields:
-            name = quoted(field.name)
-            if isinstance(field.dataType, T.StructType):
-                rows += [
-                    (config.topic, f"{name}.{quoted(inner.name)}", inner.dataType.simpleString())
-                    for inner in field.dataType.fields
-                ]
-            else:
-                rows.append((config.topic, name, field.dataType.simpleString()))
+    """``(topic, field, registered_type)`` of every plain field, paths as in ``field_profile``."""
+    rows = [
+        (config.topic, path, kind)
+        for config in configs
+        for path, kind in _leaves("", payload_schema(config.schema_ddl))
+    ]
     return spark.createDataFrame(rows, "topic string, field string, registered_type string")
 
 
+_WHOLE = ("tinyint", "smallint", "int")
+
+
+def _fit(seen: Column, wanted: Column) -> Column:
+    """Whether values of a type decode to a registered plain type."""
+    number = wanted.isin("float", "double") | wanted.startswith("decimal")
+    times = wanted.startswith("timestamp") | (wanted == "date")
+    return (
+        F.when(seen == "void", "null_only")
+        .when(seen == wanted, "match")
+        .when(wanted == "string", "as_text")
+        .when((seen == "bigint") & (wanted == "double"), "widening")
+        .when((seen == "bigint") & (wanted.isin(*_WHOLE) | number), "narrowing")
+        .when((seen == "double") & number, "narrowing")
+        .when((seen == "string") & times, "narrowing")
+        .otherwise("conflict")
+    )
+
+
 def schema_drift(profile: DataFrame, registered: DataFrame) -> DataFrame:
     """The profile next to the registered types, with a verdict per row.
 
-    ``match``, ``null_only`` (fits any type), ``widening`` (fits by a lossless cast), ``as_text``
+    ``match``, ``null_only`` (fits any type), ``widening`` (fits by a lossless cast), ``narrowing``
+    (fits where the value is in the type's range or form, else decodes to NULL), ``as_text``
     (registered as text, decodes to its JSON text), ``conflict`` (decodes to NULL), ``new_field``
-    (not decoded), ``never_seen``.  An object where a plain field is registered is judged by that
-    field, a plain value where an object is registered is a conflict.
+    (not decoded), ``never_seen``.  Empty objects and arrays match any object and array.  What lies
+    inside a field that is registered as plain is judged by that field, a plain value where an
+    object or array is registered is a conflict.
     """
-    outer = _outer(F.col("field"))
-    tops = registered.groupBy("topic", outer.alias("outer")).agg(
-        F.bool_or(F.col("field") == outer).alias("plain")
+    plain = registered.select("topic", "field", "registered_type")
+    outer = registered.select("topic", F.explode(_outer_paths(F.col("field"))).alias("field"))
+    inside = F.array_append(_outer_paths(F.col("field")), F.col("field"))
+    lists = (
+        registered.select("topic", F.explode(inside).alias("inner"))
+        .where(F.col("inner").endswith(ARRAY))
+        .select("topic", F.expr("left(inner, length(inner) - 2)").alias("field"))
+    )
+    containers = outer.union(lists).distinct().join(
+        lists.distinct().withColumn("is_list", F.lit(True)), ["topic", "field"], "left"
+    )
+    kind = F.when(F.col("is_list"), "array").otherwise("struct")
+    containers = containers.select("topic", "field", kind.alias("registered_as"))
+    above = profile.select("topic", "field", F.explode(_outer_paths(F.col("field"))).alias("outer"))
+    outer_plain = plain.withColumnsRenamed({"field": "outer", "registered_type": "outer_type"})
+    above = (
+        above.distinct()
+        .join(outer_plain, ["topic", "outer"])
     )
-    observed = profile.withColumn("outer", outer).join(tops, ["topic", "outer"], "left")
-    slot = F.when(F.col("plain"), F.col("outer")).otherwise(F.col("field"))
-    slotted = observed.withColumn("slot", slot)
-    declared = registered.withColumnsRenamed({"field": "slot"})
-    seen, wanted = F.col("observed_type"), F.col("registered_type")
-    object_wanted = ~F.col("plain") & (F.col("field") == F.col("outer"))
+    inside_seen = above.select("topic", F.col("outer").alias("field")).distinct()
+    inside_seen = inside_seen.withColumn("inside_seen", F.lit(True))
+    above = above.select("topic", "field", "outer_type")
+    judged = (
+        profile.join(plain, ["topic", "field"], "full_outer")
+        .join(containers, ["topic", "field"], "left")
+        .join(above, ["topic", "field"], "left")
+        .join(inside_seen, ["topic", "field"], "left")
+        .where(F.col("observed_type").isNotNull() | F.col("inside_seen").isNull())
+    )
+    seen, wanted, around = F.col("observed_type"), F.col("registered_type"), F.col("registered_as")
+    empty = F.when(seen == EMPTY_OBJECT, "struct").when(seen == EMPTY_ARRAY, "array")
     verdict = (
         F.when(seen.isNull(), "never_seen")
-        .when(wanted.isNull() & ~F.coalesce(object_wanted, F.lit(False)), "new_field")
-        .when(seen == "void", "null_only")
-        .when((seen == wanted) & (F.col("slot") == F.col("field")), "match")
-        .when((seen == "bigint") & (wanted == "double"), "widening")
-        .when(wanted == "string", "as_text")
-        .otherwise("conflict")
+        .when(wanted.isNotNull(), _fit(seen, wanted))
+        .when(around.isNotNull() & (seen == "void"), "null_only")
+        .when(around.isNotNull(), F.when(empty == around, "match").otherwise("conflict"))
+        .when(F.col("outer_type") == "string", "as_text")
+        .when(F.col("outer_type").isNotNull(), "conflict")
+        .otherwise("new_field")
     )
-    return slotted.join(declared, ["topic", "slot"], "full_outer").select(
+    return judged.select(
         "topic",
-        F.coalesce("field", "slot").alias("field"),
-        F.coalesce(wanted, F.when(object_wanted, F.lit("struct"))).alias("registered_type"),
+        "field",
+        F.coalesce(wanted, "outer_type", "registered_as").alias("registered_type"),
         "observed_type",
         F.coalesce("records", F.lit(0)).alias("records"),
         verdict.alias("verdict"),

@@ -2,32 +2,79 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from eventweir.functions.decoding import check_field_names
+
+
+SCHEMA_FOLDER = "_schema"
+
+
+def merge_types(known: T.DataType, new: T.DataType, path: str) -> T.DataType:
+    """``known`` with the nested fields that only ``new`` has; refused if a type changes."""
+    if isinstance(known, T.StructType) and isinstance(new, T.StructType):
+        return merge_schemas(known, new, f"{path}.")
+    if isinstance(known, T.ArrayType) and isinstance(new, T.ArrayType):
+        element = merge_types(known.elementType, new.elementType, f"{path}[]")
+        return T.ArrayType(element, known.containsNull or new.containsNull)
+    if known != new:
+        raise ValueError(
+            f"column {path} is {known.simpleString()}, cannot append {new.simpleString()}"
+        )
+    return known
+
+
+def merge_schemas(known: T.StructType, new: T.StructType, path: str = "") -> T.StructType:
+    """``known`` with the columns and nested fields that only ``new`` has, appended by name.
 
-def merge_schemas(known: T.StructType, new: T.StructType) -> T.StructType:
-    """``known`` with the columns and nested fields that only ``new`` has, appended by name."""
+    Names that differ only by case are the same column to Spark, so they are refused, as is a
+    column that changes its type, also inside objects and arrays.
+    """
     merged = []
     added = {f.name: f for f in new.fields}
     for field in known.fields:
         other = added.pop(field.name, None)
-        if other is None or other.dataType == field.dataType:
+        if other is None:
             merged.append(field)
-        elif isinstance(field.dataType, T.StructType) and isinstance(other.dataType, T.StructType):
-            inner = merge_schemas(field.dataType, other.dataType)
-            merged.append(T.StructField(field.name, inner, True))
         else:
-            raise ValueError(
-                f"column {field.name} is {field.dataType.simpleString()},"
-                f" cannot append {other.dataType.simpleString()}"
-            )
-    return T.StructType(merged + list(added.values()))
+            kind = merge_types(field.dataType, other.dataType, path + field.name)
+            merged.append(T.StructField(field.name, kind, True))
+    merged += added.values()
+    check_field_names(T.StructType(merged))
+    return T.StructType(merged)
+
+
+def stored_schema(spark: SparkSession, path: str) -> T.StructType | None:
+    """The schema kept beside a table, if there is one."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/{SCHEMA_FOLDER}/_SUCCESS")
+    files = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not files.exists(folder):
+        return None
+    text = spark.read.text(f"{path}/{SCHEMA_FOLDER}", wholetext=True).first().value
+    return T.StructType.fromJson(json.loads(text))
+
+
+def keep_schema(spark: SparkSession, path: str, new: T.StructType) -> T.StructType:
+    """Merge a schema into the one kept beside a table; refused if they do not go together."""
+    known = stored_schema(spark, path)
+    merged = merge_schemas(known or new, new)
+    if known != merged:
+        kept = spark.createDataFrame([(merged.json(),)], "value string").coalesce(1)
+        kept.write.mode("overwrite").text(f"{path}/{SCHEMA_FOLDER}")
+    return merged
 
 
 def append_evolving(df: DataFrame, path: str, known: T.StructType | None = None) -> T.StructType:
-    """Append ``df`` and return the table's schema with it; refused if a column changes type."""
-    merged = merge_schemas(known, df.schema) if known else df.schema
+    """Append ``df`` and return the table's schema with it.
+
+    The schema is kept beside the table and compared before anything is written, so an append that
+    does not fit leaves the table as it was.
+    """
+    new = merge_schemas(known, df.schema) if known else df.schema
+    merged = keep_schema(df.sparkSession, path, new)
     df.write.mode("append").parquet(path)
     return merged
 
@@ -35,9 +82,10 @@ def append_evolving(df: DataFrame, path: str, known: T.StructType | None = None)
 def read_evolving(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
     """All parts by name, NULL where a part lacks a column.
 
-    With the schema kept from the appends no footer is read for it; without, Spark merges the
-    footers of all files.
+    With the schema that is kept from the appends no footer is read; tables without one are read by
+    merging the footers of all files.
     """
+    schema = schema or stored_schema(spark, path)
     if schema is not None:
         return spark.read.schema(schema).parquet(path)
     return spark.read.option("mergeSchema", True).parquet(path)

@@ -12,6 +12,7 @@ from eventweir.operators.publishing import publish_quarantine, publish_rejects,
 from eventweir.operators.routing import LABELS, QUARANTINE_POLICIES, quarantined, rejects
 from eventweir.plans.config import PAYLOAD_BASED, TopicConfig, of_kind
 from eventweir.plans.use_cases import labelled_bronze, split_by_topic
+from eventweir.streaming.evolving import keep_schema
 from eventweir.streaming.sinks import (
     BatchWriter,
     batch_path,
@@ -75,7 +76,11 @@ def payload_flow(
     Each micro-batch is decoded and written once, whatever the number of outputs.  Messages are
     read back from the few partitions of the written batch that hold them, so nothing is cached and
     losing executors between the writes repeats none of them.
+
+    The schema is merged into the one kept beside the table before the stream starts: a restart may
+    bring further payload fields, one that changes a field's type is refused.
     """
+    keep_schema(labelled.sparkSession, path, labelled.schema)
 
     def process(batch: DataFrame, batch_id: int) -> None:
         replace_batch(batch, path, app_id, batch_id, LABELS)

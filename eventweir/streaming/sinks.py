@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
+from eventweir.streaming.evolving import stored_schema
 from eventweir.workspace import read_written, write_table
 
 AVAILABLE_NOW = {"availableNow": True}
@@ -143,8 +144,14 @@ def replace_batch(
     write_table(batch, batch_path(path, app_id, batch_id), partition_by)
 
 
-def read_batches(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """The table written by ``replace_batch``, without its bookkeeping columns."""
+def read_batches(
+    spark: SparkSession, path: str, schema: T.StructType | None = None
+) -> DataFrame:
+    """The table written by ``replace_batch``, without its bookkeeping columns.
+
+    Without a schema it is read by the one that ``payload_flow`` keeps beside it.
+    """
+    schema = schema or stored_schema(spark, path)
     full = T.StructType(schema.fields + _BATCH_COLUMNS.fields)
     return read_written(spark, path, full).drop("app_id", "batch_id")
 

@@ -327,6 +327,39 @@ def test_append_with_more_columns(spark, tmp_path):
     assert merge_schemas(schema, one.schema) == schema
 
 
+def test_appends_that_would_ruin_the_table_are_refused(spark, tmp_path):
+    path = str(tmp_path / "kept")
+    append_evolving(spark.createDataFrame([(1, [(1,)])], "A int, l array<struct<x:int>>"), path)
+    for ddl in ("a int", "A string", "l array<struct<x:string>>", "l array<struct<X:int>>"):
+        with pytest.raises(ValueError):
+            append_evolving(spark.createDataFrame([], ddl), path)
+    wider = spark.createDataFrame([(2, [(2, "y")])], "A int, l array<struct<x:int,y:string>>")
+    append_evolving(wider, path)
+    rows = {r.A: r.l for r in read_evolving(spark, path).collect()}
+    assert rows[1][0].y is None and rows[2][0].y == "y"
+
+
+def test_a_flow_that_changes_a_type_is_refused_at_its_start(spark, envelope_of, tmp_path):
+    envelope_of(['{"eventType":"a","n":1,"error_code":"0"}']).write.parquet(str(tmp_path / "in"))
+
+    def run(app_id, ddl):
+        stream = stream_files(spark, str(tmp_path / "in"))
+        config = TopicConfig("t", PAYLOAD_BASED, ddl, ("a",))
+        flows.payload_flow(
+            labelled_bronze(stream, config), str(tmp_path / "table"), str(tmp_path / app_id), app_id,
+            trigger=sinks.AVAILABLE_NOW,
+        ).awaitTermination()
+
+    run("one", "eventType string, n bigint, error_code string")
+    for ddl in ("eventType string, n string, error_code string", "eventType string, N bigint"):
+        with pytest.raises(ValueError):
+            run("two", ddl)
+    run("three", "eventType string, n bigint, error_code string, m string")
+    table = sinks.read_batches(spark, str(tmp_path / "table"))
+    assert [r.n for r in routing.valid(table).collect()] == [1, 1]
+    assert "m" in routing.valid(table).columns
+
+
 def test_catalog_table_gets_missing_columns(spark):
     spark.sql("CREATE TABLE grown (id INT) USING parquet")
     try:
