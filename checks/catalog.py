@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from functools import partial, reduce
 
@@ -21,7 +22,7 @@ from eventweir.plans.config import (
     topics_without_config,
 )
 from eventweir.plans.use_cases import labelled_bronze, split_by_topic
-from eventweir.sources.files import topic_reader
+from eventweir.sources.files import stream_table, topic_reader
 from eventweir.streaming import flows, sinks
 from eventweir.streaming.evolving import append_evolving, read_evolving
 from eventweir.workspace import fresh_path, materialise, read_written
@@ -441,6 +442,37 @@ def stream_routes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _key_text(routing.route_table(table.where(F.col("route") != routing.UNROUTED)))
 
 
+def stream_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The bronze rows of a table whose first batches are packed while others have come since."""
+    path = fresh_path(spark, "stream_compacted")
+    labelled = _stream_labelled(spark, sf_dir)
+    flows.payload_flow(
+        labelled, f"{path}/table", f"{path}/checkpoint", "packed", trigger=sinks.AVAILABLE_NOW
+    ).awaitTermination()
+    for last in (0, 1):
+        sinks.compact_batches(spark, f"{path}/table", "packed", last, partition_by=routing.LABELS)
+    return _bronze_row(sinks.read_batches(spark, f"{path}/table"))
+
+
+def stream_table_routes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Routed records of a stream from the catalog table that another stream has filled."""
+    topic = f"events_{uuid.uuid4().hex}"
+    path = fresh_path(spark, "stream_table_routes")
+    config = TopicConfig(topic, PAYLOAD_BASED, fx.PAYLOAD_DDL, fx.EVENT_TYPES)
+    stream = fx.envelopes(fx.stream_events(spark, sf_dir))
+    (query,) = flows.bronze_flows(
+        lambda name: stream, [config], None, f"{path}/checkpoints", sinks.AVAILABLE_NOW
+    )
+    query.awaitTermination()
+    bronze_rows = stream_table(spark, f"bronze_{topic}")
+    routed = routing.route_table(bronze_rows.where(F.col("route") != routing.UNROUTED))
+    sinks.table_sink(
+        routed, f"{path}/routes", f"{path}/checkpoint", trigger=sinks.AVAILABLE_NOW
+    ).awaitTermination()
+    spark.sql(f"DROP TABLE bronze_{topic}")
+    return _key_text(read_written(spark, f"{path}/routes", routed.schema))
+
+
 def stream_valid(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, table = _run_payload_flow(spark, sf_dir, "stream_valid", _quarantine)
     return _key_text(routing.valid(table))
@@ -526,6 +558,8 @@ QUERIES: dict[str, Query] = {
     "stream_bronze": stream_bronze,
     "stream_topic_table": stream_topic_table,
     "stream_routes": stream_routes,
+    "stream_compacted": stream_compacted,
+    "stream_table_routes": stream_table_routes,
     "stream_valid": stream_valid,
     "stream_schema_merge": stream_schema_merge,
     "stream_quarantine": stream_quarantine,

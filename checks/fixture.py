@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from eventweir.plans.config import PAYLOAD_BASED, TopicConfig
 from eventweir.sources.files import stream_files
+from eventweir.workspace import fresh_path, write_table
 
 TOPIC = "all_events"
 EVENT_TYPES = ("click", "error", "purchase", "signup", "view")
@@ -21,8 +22,10 @@ PAYLOAD_DDL = (
 CONFIG = TopicConfig(TOPIC, PAYLOAD_BASED, PAYLOAD_DDL, EVENT_TYPES)
 
 LIMIT = 20
-# A run over everything available takes micro-batches of this size, not one of the whole input.
-MICRO_BATCH_BYTES = 256 << 30
+# Micro-batches that a run over everything available takes, and files that a table of a single one
+# is dealt to for that.
+MICRO_BATCHES = 3
+_staged: dict[tuple[str, str], str] = {}
 
 
 def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -30,9 +33,17 @@ def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The events as a file stream.  The glob also fits a table of many part files."""
-    schema = read_events(spark, sf_dir).schema
-    return stream_files(spark, f"{sf_dir}/events.parquet*", schema, max_bytes=MICRO_BATCH_BYTES)
+    """The events as a file stream of several micro-batches."""
+    events = read_events(spark, sf_dir)
+    files = len(events.inputFiles())
+    path = f"{sf_dir}/events.parquet*"  # the glob also fits a table of many part files
+    if files < MICRO_BATCHES:
+        key = (spark.sparkContext.applicationId, sf_dir)
+        if key not in _staged:
+            _staged[key] = fresh_path(spark, "events")
+            write_table(events.repartition(MICRO_BATCHES), _staged[key])
+        path, files = _staged[key], MICRO_BATCHES
+    return stream_files(spark, path, events.schema, max_files=-(-files // MICRO_BATCHES))
 
 
 def payload_columns() -> dict:

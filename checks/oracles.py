@@ -441,6 +441,8 @@ FROM reg LEFT JOIN allocation a ON reg.topic_name = a.topic_name
     "stream_bronze": _BRONZE,
     "stream_topic_table": _DECODE_FLAT,
     "stream_routes": _route("true"),
+    "stream_compacted": _BRONZE,
+    "stream_table_routes": _route("true"),
     "stream_valid": _route("ec = '0'"),
     "stream_schema_merge": f"""
 WITH {_SRC} SELECT {_ROUTE_COLUMNS} FROM routed WHERE ec = '0'

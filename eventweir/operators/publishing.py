@@ -34,6 +34,7 @@ def publish_routes(
     per_source_topic: bool = False,
     json_options: dict[str, str] | None = None,
     metadata: tuple[str, ...] = ROUTE_METADATA,
+    prefix: str = "",
 ) -> DataFrame:
     """The messages of all routes in one pass, each row naming its outgoing topic.
 
@@ -44,7 +45,7 @@ def publish_routes(
     target = F.concat(F.lit(SINK_PREFIX), F.col("route"))
     if per_source_topic:
         target = F.concat(target, F.lit("_"), F.col("topic"))
-    row = row_columns(routed, metadata)
+    row = row_columns(routed, metadata, prefix)
     rows = routed.select(*row, target.alias("_target"))
     return encode_rows(rows, F.col("_target"), json_options, columns=rows.columns[:-1])
 

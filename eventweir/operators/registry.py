@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from eventweir.operators.numbering import number_rows
 from eventweir.plans.config import PAYLOAD_BASED, TOPIC_BASED
+from eventweir.workspace import matching_paths
 
 REGISTRY_SCHEMA = (
     "topic_name string, pipeline_id string, kind string, event_types array<string>"
@@ -166,10 +167,8 @@ def merge_assignments(registry: DataFrame, updates: DataFrame) -> DataFrame:
 
 def _versions(spark: SparkSession, path: str) -> list[int]:
     """The committed versions below ``path``, those with Spark's marker of a finished write."""
-    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/version=*/_SUCCESS")
-    found = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(folder)
-    names = [status.getPath().getParent().getName() for status in found or []]
-    return sorted(int(name.removeprefix("version=")) for name in names)
+    found = matching_paths(spark, f"{path}/version=*/_SUCCESS")
+    return sorted(int(name.split("/")[-2].removeprefix("version=")) for name in found)
 
 
 def save_registry(registry: DataFrame, path: str, version: int) -> None:

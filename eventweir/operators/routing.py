@@ -61,18 +61,18 @@ def route(labelled: DataFrame, event_type: str, **options) -> DataFrame:
     return route_table(labelled.where(F.col("route") == event_type), **options)
 
 
-def valid(labelled: DataFrame, event_type: str | None = None) -> DataFrame:
+def valid(labelled: DataFrame, event_type: str | None = None, **options) -> DataFrame:
     """Routed records with code 0, of all event types or of one."""
-    return _with_outcome(labelled, VALID, event_type)
+    return _with_outcome(labelled, VALID, event_type, **options)
 
 
-def faulty(labelled: DataFrame, event_type: str | None = None) -> DataFrame:
-    return _with_outcome(labelled, FAULTY, event_type)
+def faulty(labelled: DataFrame, event_type: str | None = None, **options) -> DataFrame:
+    return _with_outcome(labelled, FAULTY, event_type, **options)
 
 
-def undetermined(labelled: DataFrame, event_type: str | None = None) -> DataFrame:
+def undetermined(labelled: DataFrame, event_type: str | None = None, **options) -> DataFrame:
     """Routed records whose code is missing or not a whole number."""
-    return _with_outcome(labelled, UNDETERMINED, event_type)
+    return _with_outcome(labelled, UNDETERMINED, event_type, **options)
 
 
 def partial(labelled: DataFrame, event_type: str | None = None) -> DataFrame:

@@ -16,7 +16,7 @@ from eventweir.plans.config import PAYLOAD_BASED, TOPIC_BASED, TopicConfig, of_k
 
 
 def split_by_topic(
-    read_topic: Callable[[str], DataFrame], configs: Iterable[TopicConfig]
+    read_topic: Callable[[str], DataFrame], configs: Iterable[TopicConfig], **options
 ) -> dict[str, DataFrame]:
     """One decoded table per single-type topic, by table name.
 
@@ -24,7 +24,7 @@ def split_by_topic(
     filtered out of another's data.
     """
     return {
-        f"silver_{c.topic}": topic_table(read_topic(c.topic), c.schema_ddl)
+        f"silver_{c.topic}": topic_table(read_topic(c.topic), c.schema_ddl, **options)
         for c in of_kind(configs, TOPIC_BASED)
     }
 
@@ -36,14 +36,18 @@ def labelled_bronze(envelope: DataFrame, config: TopicConfig, **options) -> Data
     return label(payload_bronze(envelope, config.schema_ddl, **options), config.event_types)
 
 
-def split_by_payload(labelled: DataFrame, config: TopicConfig) -> dict[str, DataFrame]:
+def split_by_payload(
+    labelled: DataFrame, config: TopicConfig, **options
+) -> dict[str, DataFrame]:
     """One table per event type of a mixed topic, by table name."""
-    return {f"silver_{t}_{config.topic}": route(labelled, t) for t in config.event_types}
+    return {f"silver_{t}_{config.topic}": route(labelled, t, **options) for t in config.event_types}
 
 
-def split_valid(labelled: DataFrame, config: TopicConfig) -> dict[str, DataFrame]:
+def split_valid(labelled: DataFrame, config: TopicConfig, **options) -> dict[str, DataFrame]:
     """The valid rows of each event type of a mixed topic, by table name."""
-    return {f"silver_feb_{t}_{config.topic}": valid(labelled, t) for t in config.event_types}
+    return {
+        f"silver_feb_{t}_{config.topic}": valid(labelled, t, **options) for t in config.event_types
+    }
 
 
 def split_valid_faulty(

@@ -18,15 +18,17 @@ def _literal(text: str) -> str:
     return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def create_views(spark: SparkSession, bronze_table: str, config: TopicConfig) -> list[str]:
+def create_views(
+    spark: SparkSession, bronze_table: str, config: TopicConfig, prefix: str = ""
+) -> list[str]:
     """Create ``silver_{type}_{topic}`` and, of valid rows, ``silver_feb_{type}_{topic}``.
 
     The views select by the partition columns of the bronze table, so a query on one of them reads
-    only its partitions.  Views go to the current database; returns their names.
+    only its partitions.  ``prefix`` keeps payload fields apart from record columns.  Views go to the current database; returns their names.
     """
     fields = payload_fields(spark.table(bronze_table)).names
     columns = [_identifier(name) for name in ROUTE_METADATA]
-    columns += [f"{DECODED}.{_identifier(name)} AS {_identifier(name)}" for name in fields]
+    columns += [f"{DECODED}.{_identifier(name)} AS {_identifier(prefix + name)}" for name in fields]
     created = []
     for event_type in config.event_types:
         chosen = f"route = {_literal(event_type)}"

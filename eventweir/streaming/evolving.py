@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from eventweir.functions.decoding import check_field_names
+from eventweir.workspace import matching_paths
 
 
 SCHEMA_FOLDER = "_schema"
@@ -49,9 +50,7 @@ def merge_schemas(known: T.StructType, new: T.StructType, path: str = "") -> T.S
 
 def stored_schema(spark: SparkSession, path: str) -> T.StructType | None:
     """The schema kept beside a table, if there is one."""
-    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/{SCHEMA_FOLDER}/_SUCCESS")
-    files = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not files.exists(folder):
+    if not matching_paths(spark, f"{path}/{SCHEMA_FOLDER}/_SUCCESS"):
         return None
     text = spark.read.text(f"{path}/{SCHEMA_FOLDER}", wholetext=True).first().value
     return T.StructType.fromJson(json.loads(text))

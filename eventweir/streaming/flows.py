@@ -17,6 +17,7 @@ from eventweir.streaming.sinks import (
     BatchWriter,
     batch_path,
     batch_sink,
+    catalog_sink,
     kafka_sink,
     replace_batch,
     table_sink,
@@ -36,27 +37,26 @@ def topic_flows(
 
 
 def bronze_flows(
-    read_topic, configs: Iterable[TopicConfig], root: str, checkpoints: str, trigger=None
+    read_topic, configs: Iterable[TopicConfig], root: str | None, checkpoints: str, trigger=None
 ) -> list[StreamingQuery]:
     """One stream per mixed topic into ``root/bronze_{topic}``, partitioned by its labels.
 
-    Routes, valid rows and quarantine are read from that one table; the topic is consumed and
-    decoded once.
+    Without a ``root`` into the catalog table ``bronze_{topic}``, over which ``create_views`` makes
+    the tables per event type.  Routes, valid rows and quarantine are read from that one table; the
+    topic is consumed and decoded once.
     """
     started = []
     for config in of_kind(configs, PAYLOAD_BASED):
         name = f"bronze_{config.topic}"
         labelled = labelled_bronze(read_topic(config.topic), config)
-        started.append(
-            table_sink(
-                labelled,
-                f"{root}/{name}",
-                f"{checkpoints}/{name}",
-                partition_by=LABELS,
-                name=name,
-                trigger=trigger,
-            )
-        )
+        options = {"partition_by": LABELS, "name": name, "trigger": trigger}
+        checkpoint = f"{checkpoints}/{name}"
+        if root is None:
+            comment = f"Events of topic {config.topic} by route and outcome"
+            query = catalog_sink(labelled, name, checkpoint, comment=comment, **options)
+        else:
+            query = table_sink(labelled, f"{root}/{name}", checkpoint, **options)
+        started.append(query)
     return started
 
 

@@ -9,11 +9,12 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from eventweir.streaming.evolving import stored_schema
-from eventweir.workspace import read_written, write_table
+from eventweir.workspace import matching_paths, read_written, remove, write_table
 
 AVAILABLE_NOW = {"availableNow": True}
 # Fixed value: the trigger interval of the bronze tables.
@@ -149,11 +150,68 @@ def read_batches(
 ) -> DataFrame:
     """The table written by ``replace_batch``, without its bookkeeping columns.
 
-    Without a schema it is read by the one that ``payload_flow`` keeps beside it.
+    Batches that ``compact_batches`` has packed are read from there.  Without a schema the table is
+    read by the one that ``payload_flow`` keeps beside it.
     """
     schema = schema or stored_schema(spark, path)
     full = T.StructType(schema.fields + _BATCH_COLUMNS.fields)
-    return read_written(spark, path, full).drop("app_id", "batch_id")
+    table = read_written(spark, path, full)
+    packed = packed_batches(spark, path)
+    for app_id, last in packed.items():
+        table = table.where(~((F.col("app_id") == app_id) & (F.col("batch_id") <= last)))
+    table = table.drop("app_id", "batch_id")
+    for app_id, last in packed.items():
+        table = table.unionByName(read_written(spark, _packed_path(path, app_id, last), schema))
+    return table
+
+
+PACKED = "_packed"
+
+
+def _packed_path(path: str, app_id: str, last: int) -> str:
+    return f"{path}/{PACKED}/app_id={app_id}/last={last}"
+
+
+def packed_batches(spark: SparkSession, path: str) -> dict[str, int]:
+    """By ``app_id`` the last batch that is packed; only finished rewrites count."""
+    last: dict[str, int] = {}
+    for found in matching_paths(spark, f"{path}/{PACKED}/app_id=*/last=*/_SUCCESS"):
+        app_id, number = found.split("/")[-3:-1]
+        app_id, number = app_id.removeprefix("app_id="), int(number.removeprefix("last="))
+        last[app_id] = max(number, last.get(app_id, -1))
+    return last
+
+
+def compact_batches(
+    spark: SparkSession,
+    path: str,
+    app_id: str,
+    last: int,
+    schema: T.StructType | None = None,
+    partition_by: Sequence[str] = (),
+) -> None:
+    """Rewrite an application's batches up to ``last`` as few large files and delete them.
+
+    ``last`` has to be a batch that the stream has committed.  The marker of the finished write is
+    the switch: before it readers take the batches, after it the rewrite, and at no time both.  A
+    packed batch that is replayed is not read again.  So a table has a folder per route and outcome
+    and those of the batches since; run it as a batch job beside the stream.
+    """
+    schema = schema or stored_schema(spark, path)
+    before = packed_batches(spark, path).get(app_id, -1)
+    if last <= before:
+        return
+    full = T.StructType(schema.fields + _BATCH_COLUMNS.fields)
+    chosen = (F.col("app_id") == app_id) & F.col("batch_id").between(before + 1, last)
+    table = read_written(spark, path, full).where(chosen).drop("app_id", "batch_id")
+    if before >= 0:
+        table = table.unionByName(read_written(spark, _packed_path(path, app_id, before), schema))
+    write_table(table, _packed_path(path, app_id, last), partition_by, packed=bool(partition_by))
+    for folder in matching_paths(spark, f"{path}/app_id={app_id}/batch_id=*"):
+        if int(folder.rsplit("=", 1)[1]) <= last:
+            remove(spark, folder)
+    if before >= 0:
+        remove(spark, _packed_path(path, app_id, before))
 
 
 def compact(table: DataFrame, path: str, partition_by: Sequence[str]) -> None:

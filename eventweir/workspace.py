@@ -30,6 +30,13 @@ def remove(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def matching_paths(spark: SparkSession, pattern: str) -> list[str]:
+    """The files and folders that a pattern matches, in whatever store they lie."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(pattern)
+    files = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return sorted(status.getPath().toString() for status in files.globStatus(target) or [])
+
+
 def discard(spark: SparkSession) -> None:
     """Delete every intermediate table this application has written.
 

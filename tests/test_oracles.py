@@ -1,18 +1,17 @@
-"""Every registered query against SQL on the same tables."""
+"""Every query of the event library against SQL on the same tables."""
 
 import functools
 
 import pytest
 
 import __spark_entry__ as driver
+from checks.catalog import QUERIES
+from checks.oracles import ORACLES
 from compare import duck, duck_rows, normalised, spark_rows
 
 SMALL = "/root/testdata/sf0.001"
 LARGER = "/root/testdata/sf0.01"
 
-QUERIES = driver.queries()
-ORACLES = driver.oracle_sql()
-
 
 @functools.lru_cache
 def _duck(sf_dir):
@@ -21,6 +20,7 @@ def _duck(sf_dir):
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(driver.queries()) and set(ORACLES) <= set(driver.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
