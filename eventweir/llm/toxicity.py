@@ -163,8 +163,12 @@ def fit(positive: np.ndarray, other: np.ndarray, prior: float, seed: int) -> tup
 
 
 def _sample(rows: DataFrame) -> DataFrame:
-    """The positive and other training rows with the smallest hashes, a written table."""
+    """The positive and other training rows with the smallest hashes, a written table.
+
+    Of rows that repeat an id, however many, one is taken.
+    """
     ids = rows.select("id", "toxic").withColumn("rank", F.xxhash64("id"))
+    ids = ids.groupBy("id", "rank").agg(F.max("toxic").alias("toxic"))
     positive = ids.filter("toxic = 1").orderBy("rank", "id").limit(POSITIVES)
     other = ids.orderBy("rank", "id").limit(UNLABELLED)
     chosen = positive.select("id", F.lit(True).alias("positive")).union(
@@ -172,7 +176,8 @@ def _sample(rows: DataFrame) -> DataFrame:
     )
     chosen = materialise(chosen.distinct(), "sample-ids")  # at most both bounds together
     sample = rows.select("id", "text").join(F.broadcast(chosen), "id")
-    return materialise(sample.select("positive", "text"), "sample")
+    once = sample.groupBy("id", "positive").agg(F.min("text").alias("text"))
+    return materialise(once.select("positive", "text"), "sample")
 
 
 def train(docs: DataFrame, labels: DataFrame, held_out: Column, prior: float | None = None) -> Model:

@@ -39,6 +39,9 @@ ARCHIVE_BYTES = 256 << 20
 #: Ranges that are no further apart are read together, up to so many bytes.
 GAP_BYTES = 64 << 10
 READ_BYTES = 8 << 20
+#: Compressed bytes of records that a task reads back: tasks follow the archives, not the index,
+#: whose rows are much smaller.
+TASK_BYTES = 32 << 20
 LEVEL = 3
 
 _END = b"\r\n\r\n"
@@ -270,7 +273,9 @@ def read_records(index: DataFrame, folder: str) -> DataFrame:
         " refers_id string, payload binary"
     )
     places = index.select("file", "offset", "length")
-    ordered = places.repartitionByRange("file", "offset").sortWithinPartitions("file", "offset")
+    size = places.agg(F.sum("length")).first()[0] or 0
+    dealt = places.repartitionByRange(1 + size // TASK_BYTES, "file", "offset")
+    ordered = dealt.sortWithinPartitions("file", "offset")
     return ordered.mapInArrow(_read(folder, to_arrow_schema(schema)), schema)
 
 
