@@ -1,0 +1,76 @@
+"""Columns named as an operator's own, inside or out, change nothing."""
+import pytest
+from public_tokenizers import path
+from pyspark.sql import functions as F
+
+from eventweir.llm import (
+    decontamination,
+    exact_dedup,
+    language_id,
+    packing,
+    pii,
+    secrets,
+    simhash,
+    token_counts,
+    toxicity,
+    warc,
+)
+
+FILE = path("byte_bpe_50k.json")
+NAMES = (
+    "id", "row", "row_id", "held_out", "score", "predicted", "lang_pred", "head", "digest", "points",
+    "whole", "print", "fingerprint", "component_id", "n_words", "spans", "items", "piece", "start",
+    "length", "n_tokens", "base", "loose", "found", "rank", "toxic_", "payload", "record_type",
+)
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    rows = [(i, f"text number {i % 7} with token = abcdefgh{i % 3} and a@b.c", "xy"[i % 2]) for i in range(40)]
+    return spark.createDataFrame(rows, "doc_id long, text string, lang string")
+
+
+@pytest.fixture(scope="module")
+def labels(spark):
+    return spark.createDataFrame([(i, int(i % 5 == 0)) for i in range(40)], "doc_id long, toxic int")
+
+
+def operators(spark, labels):
+    benchmark = spark.createDataFrame([(1, "number 3 with")], "item_id long, text string")
+    never = F.lit(False)
+    return {
+        "toxicity": lambda d: toxicity.toxicity(d, labels, never),
+        "exact dedup": exact_dedup.groups,
+        "personal data": pii.personal_data,
+        "near duplicates": simhash.near_duplicates,
+        "languages": lambda d: language_id.identify(d, never),
+        "packing": lambda d: packing.packed(d, FILE).drop("sequence_id", "offset"),
+        "token counts": lambda d: token_counts.token_counts(d, FILE, 10),
+        "decontamination": lambda d: decontamination.contamination(d, benchmark),
+        "secrets": secrets.secrets,
+    }
+
+
+NUMBERS = (
+    "toxicity", "exact dedup", "personal data", "near duplicates", "languages", "packing",
+    "token counts", "decontamination", "secrets",
+)
+
+
+def clashing(df):
+    return df.select(*df.columns, *[F.lit(f"clash {n}").alias(n) for n in NAMES if n not in df.columns])
+
+
+@pytest.mark.parametrize("name", NUMBERS)
+def test_results_are_the_same(spark, docs, labels, name):
+    run = operators(spark, labels)[name]
+    plain, other = run(docs), run(clashing(docs))
+    assert plain.columns == other.columns
+    assert sorted(map(repr, plain.collect())) == sorted(map(repr, other.collect()))
+
+
+def test_archives(spark):
+    rows = [(i, f"http://a/{i}", f"page {i % 4} " * 20) for i in range(12)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    found = [sorted(map(repr, warc.archived_pages(p).collect())) for p in (pages, clashing(pages))]
+    assert found[0] == found[1]
