@@ -43,17 +43,21 @@ def _outer_paths(field: Column) -> Column:
     return F.when(count > 0, paths).otherwise(F.array().cast("array<string>"))
 
 
-def _depth(kind: Column) -> Column:
-    """How many objects and arrays a variant type nests."""
-    plain = F.regexp_replace(kind, "`[^`]*`", "")
-    brackets = F.split(F.regexp_replace(plain, "[^<>]", ""), "")
+def _brackets(kind: Column) -> Column:
+    """The nesting of a variant type: its angle brackets alone, names left out."""
+    plain = F.when(kind.contains("`"), F.regexp_replace(kind, "`[^`]*`", "")).otherwise(kind)
+    return F.regexp_replace(plain, "[^<>]+", "")
+
+
+def _depth(brackets: Column) -> Column:
+    """How many brackets are open at most."""
     start = F.struct(F.lit(0).alias("now"), F.lit(0).alias("most"))
 
     def step(seen: Column, bracket: Column) -> Column:
         now = seen["now"] + F.when(bracket == "<", 1).when(bracket == ">", -1).otherwise(0)
         return F.struct(now.alias("now"), F.greatest(seen["most"], now).alias("most"))
 
-    return F.aggregate(brackets, start, step)["most"]
+    return F.aggregate(F.split(brackets, ""), start, step)["most"]
 
 
 def field_profile(envelope: DataFrame) -> DataFrame:
@@ -70,35 +74,34 @@ def field_profile(envelope: DataFrame) -> DataFrame:
     spark = envelope.sparkSession
     payloads = envelope.select("topic", payload_object(payload_text()).alias("content"))
     payloads = payloads.where(F.col("content").isNotNull())
-    levels = payloads.agg(F.max(_depth(F.schema_of_variant("content")))).first()[0] or 0
-    walked = payloads.withColumn("field", F.lit(None).cast("string"))
-    for _ in range(levels):
-        kind = F.schema_of_variant("content")
-        opened = walked.withColumns(
-            {
-                "list": kind.startswith("ARRAY"),
-                "inside": F.when(
-                    kind.startswith("OBJECT") | kind.startswith("ARRAY"), F.col("content")
-                ),
-            }
+    nestings = payloads.select(_brackets(F.schema_of_variant("content")).alias("b")).distinct()
+    levels = nestings.agg(F.max(_depth(F.col("b")))).first()[0] or 0
+    walked = payloads.lateralJoin(spark.tvf.variant_explode(F.col("content").outer())).select(
+        "topic", F.col("value").alias("content"), _quoted(F.col("key")).alias("field")
+    )
+    for _ in range(levels - 1):
+        typed = walked.withColumn("kind", F.schema_of_variant("content"))
+        is_list, is_object = F.col("kind").startswith("ARRAY"), F.col("kind").startswith("OBJECT")
+        opened = typed.select(
+            "*",
+            is_list.alias("list"),
+            F.when(is_list | is_object, F.col("content")).alias("inside"),
         )
         walked = opened.lateralJoin(
             spark.tvf.variant_explode_outer(F.col("inside").outer())
         ).select(
             "topic",
-            F.when(F.col("pos").isNull(), F.col("content")).otherwise(F.col("value")).alias("content"),
+            F.when(F.col("pos").isNull(), F.col("content"))
+            .otherwise(F.col("value"))
+            .alias("content"),
             F.when(F.col("pos").isNull(), F.col("field"))
             .when(F.col("list"), F.concat("field", F.lit(ARRAY)))
             .otherwise(F.concat_ws(".", "field", _quoted(F.col("key"))))
             .alias("field"),
         )
-    kind = F.schema_of_variant("content")
-    shown = F.when(kind.startswith("ARRAY"), F.lit("ARRAY")).otherwise(kind)
-    counted = (
-        walked.where(F.col("field").isNotNull())
-        .groupBy("topic", "field", shown.alias("kind"))
-        .agg(F.count("*").alias("n"))
-    )
+    leaves = walked.select("topic", "field", F.schema_of_variant("content").alias("kind"))
+    shown = F.when(F.col("kind").startswith("ARRAY"), F.lit("ARRAY")).otherwise(F.col("kind"))
+    counted = leaves.groupBy("topic", "field", shown.alias("kind")).agg(F.count("*").alias("n"))
     observed = (
         F.when(F.col("kind") == "ARRAY", EMPTY_ARRAY)
         .when(F.col("kind") == "OBJECT<>", EMPTY_OBJECT)
