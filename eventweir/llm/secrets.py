@@ -5,7 +5,8 @@ encoded parts; what these decode to becomes a further layer: percent-encoding, U
 numeric character references decode the layer as a whole, base64 runs decode one by one, and decoded
 bytes that are gzip, zlib, bzip2, xz or zstandard streams are decompressed, window by window.  A layer
 that was met before in the same text is not entered again, so the work ends at the fixpoint.  Every
-find is mapped back, through all its layers, to the code points of the original text.
+find is mapped back, through all its layers, to the code points of the original text;
+only one with the kind, start and secret of an earlier one is left out.
 
 Finds in the text itself are marked ``base``; they stay whatever the layers show.  Null texts count
 as empty.  An empty table gives an empty result; repeated rows are scanned each on their own; other
@@ -273,9 +274,7 @@ def findings(text: str) -> list[tuple[str, int, int, bool, str, str]]:
     """Kind, start, end, whether base, layers and found text, by start and then kind."""
     root = Layer(text)
     found = [(k, a, b, True, "", text[a:b]) for k, a, b in scan(text)]
-    known: dict[str, list[tuple[int, int]]] = {k: [] for k in KINDS}
-    for kind, a, b, *_ in found:
-        known[kind].append((a, b))
+    known = {(kind, start, secret) for kind, start, _, _, _, secret in found}
     seen: set[bytes] = set()
     work = [_children(root, seen)]
     while work:
@@ -290,8 +289,8 @@ def findings(text: str) -> list[tuple[str, int, int, bool, str, str]]:
         seen.add(where)
         for kind, a, b in scan(layer.text):
             start, end = layer.span(a, b)
-            if not any(x <= start and end <= y for x, y in known[kind]):
-                known[kind].append((start, end))
+            if (kind, start, layer.text[a:b]) not in known:
+                known.add((kind, start, layer.text[a:b]))
                 found.append((kind, start, end, False, ">".join(layer.path), layer.text[a:b]))
         work.append(_children(layer, seen))
     return sorted(found, key=lambda f: (f[1], KINDS.index(f[0]), f[2]))

@@ -24,5 +24,5 @@ def summary(found: DataFrame, kinds: tuple[str, ...]) -> DataFrame:
         "doc_id",
         *[number(kind).alias(f"n_{kind}") for kind in kinds],
         F.sha2(span_text(base), 256).alias("base_sha256"),
-        span_text(F.col("found")).alias("spans"),
+        F.array_join(F.array_distinct(F.split(span_text(F.col("found")), ",")), ",").alias("spans"),
     )

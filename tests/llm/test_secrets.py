@@ -147,3 +147,23 @@ def test_the_query_on_whole_texts(spark):
     for d in docs:
         joined = ",".join(plain(d.text or ""))
         assert found[d.doc_id].base_sha256 == hashlib.sha256(joined.encode()).hexdigest()
+
+
+def secrets_in(text):
+    return sorted({f[5] for f in findings(text) if not f[3]})
+
+
+def test_finds_in_one_place_are_told_apart():
+    text = b64(b"password=firstfirst1, password=secondsecond2")
+    assert secrets_in(text) == ["password=firstfirst1", "password=secondsecond2"]
+    blob = b64(b"password=hunter2299")
+    assert spans(f"token={blob}", True) == [f"assign:0:{6 + len(blob)}"]
+    assert spans(f"token={blob}", False) == [f"assign:6:{6 + len(blob)}"]
+
+
+def test_a_span_is_listed_once(spark):
+    rows = [(1, b64(b"password=firstfirst1, password=secondsecond2"))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = secrets(docs)
+    assert len(found.first().found) == 2
+    assert summary(found, KINDS).first().spans == f"assign:0:{len(rows[0][1])}"
