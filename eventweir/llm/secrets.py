@@ -3,8 +3,8 @@
 A worklist begins with the whole text.  Each layer taken from it is scanned for secrets and for
 encoded parts; what these decode to becomes a further layer: percent-encoding, Unicode escapes and
 numeric character references decode the layer as a whole, base64 runs decode one by one, and decoded
-bytes that are gzip, zlib, bzip2, xz or zstandard streams are decompressed, window by window.  A layer
-that was met before in the same text is not entered again, so the work ends at the fixpoint.  Every
+bytes that are gzip, zlib, bzip2, xz or zstandard streams are decompressed, member by
+member.  A layer that was met before at the same place is not entered again, so the work ends at the fixpoint.  Every
 find is mapped back, through all its layers, to the code points of the original text;
 only one with the kind, start and secret of an earlier one is left out.
 
@@ -53,9 +53,14 @@ _BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}(?:\r?\n[A-Za-z0-9+/_-]{16,})*={0,2}"
 _URL_SAFE = str.maketrans("-_", "+/", "\r\n=")
 _WIDE_SPACE = str.maketrans("", "", "\t\n\v\f\r")
 
-#: Bytes of a decompressed stream that are a layer at a time, and that two of them share.
+#: Bytes of a decompressed stream that are read at a time.
 WINDOW = 1 << 20
-OVERLAP = 1 << 12
+#: Places where no secret and no encoded run goes on: a layer of a long stream may end behind them.
+_BREAK = re.compile(
+    rb"[^A-Za-z0-9+/_.=\-\"' :\\{}%&#;\r\n\t\x00]|\x00{4}|(?<=[A-Za-z0-9.])\x20(?=[A-Za-z0-9])"
+)
+#: Bytes of a stream's end that are looked through for such a place first.
+TAIL = 1 << 12
 
 
 def scan(text: str) -> list[tuple[str, int, int]]:
@@ -178,57 +183,73 @@ def _unpacker(raw: bytes):
     return None
 
 
+_ZSTANDARD = b"\x28\xb5\x2f\xfd"
+_BROKEN = (zlib.error, OSError, EOFError, lzma.LZMAError, zstandard.ZstdError)
+
+
 def _pieces(raw: bytes) -> Iterator[bytes]:
-    """A compressed stream's content, some bytes at a time, as far as it can be read."""
+    """The content of compressed streams one behind another, some bytes at a time, as far as readable."""
     try:
-        if raw[:4] == b"\x28\xb5\x2f\xfd":
-            with zstandard.ZstdDecompressor().stream_reader(raw) as reader:
-                while piece := reader.read(WINDOW):
-                    yield piece
-            return
-        unpacker = _unpacker(raw)
-        rest = raw
-        while not unpacker.eof:
-            piece = unpacker.decompress(rest, WINDOW)
-            rest = getattr(unpacker, "unconsumed_tail", b"")
-            if piece:
-                yield piece
-            elif not rest and getattr(unpacker, "needs_input", True):
+        while _is_packed(raw):
+            if raw[:4] == _ZSTANDARD:
+                with zstandard.ZstdDecompressor().stream_reader(raw, read_across_frames=True) as reader:
+                    while piece := reader.read1(WINDOW):
+                        yield piece
                 return
-    except (zlib.error, OSError, EOFError, lzma.LZMAError, zstandard.ZstdError):
+            unpacker = _unpacker(raw)
+            rest = raw
+            while not unpacker.eof:
+                piece = unpacker.decompress(rest, WINDOW)
+                rest = getattr(unpacker, "unconsumed_tail", b"")
+                if piece:
+                    yield piece
+                elif not rest and getattr(unpacker, "needs_input", True):
+                    return
+            raw = unpacker.unused_data.lstrip(b"\0")  # padding between members
+    except _BROKEN:
         return
 
 
 def _is_packed(raw: bytes) -> bool:
-    return raw[:4] == b"\x28\xb5\x2f\xfd" or _unpacker(raw) is not None
+    return raw[:4] == _ZSTANDARD or _unpacker(raw[:8]) is not None
+
+
+def _blocks(pieces: Iterator[bytes]) -> Iterator[bytes]:
+    """Pieces dealt anew: each ends where no secret and no encoded run goes on, or with the last."""
+    held: list[bytes] = []
+    for piece in pieces:
+        at = 0
+        for size in (TAIL, len(piece)):
+            begin = max(0, len(piece) - size)
+            at = max((m.end() for m in _BREAK.finditer(piece, begin)), default=0)
+            if at:
+                break
+        if not at:
+            held.append(piece)
+            continue
+        yield b"".join([*held, piece[:at]])
+        held = [piece[at:]]
+    if last := b"".join(held):
+        yield last
 
 
 def _opened(raw: bytes, parent: Layer, whole: tuple[int, int], path: tuple, seen: set):
-    """Layers of decoded bytes: of their text, or of the stream that they are."""
+    """Layers of decoded bytes: of their text, or of the streams that they are."""
     if not _is_packed(raw):
         text = _as_text(raw)
         if text:
             yield Layer(text, parent, whole=whole, path=path)
         return
-    mark = hashlib.blake2b(raw, digest_size=16).digest()
+    mark = hashlib.blake2b(raw, digest_size=16).digest() + b"%d:%d" % parent.span(*whole)
     if mark in seen:
         return
     seen.add(mark)
-    tail = b""
-    for number, piece in enumerate(_pieces(raw)):
-        if number == 0 and _is_packed(piece):
-            inner = piece + b"".join(_pieces_after_first(raw))
-            yield from _opened(inner, parent, whole, (*path, "packed"), seen)
-            return
-        text = (tail + piece).decode("utf-8", "replace")
-        yield Layer(text, parent, whole=whole, path=(*path, "packed"))
-        tail = (tail + piece)[-OVERLAP:]
-
-
-def _pieces_after_first(raw: bytes) -> Iterator[bytes]:
-    pieces = _pieces(raw)
-    next(pieces, b"")
-    yield from pieces
+    path = (*path, "packed")
+    if _is_packed(next(_pieces(raw), b"")):
+        yield from _opened(b"".join(_pieces(raw)), parent, whole, path, seen)
+        return
+    for block in _blocks(_pieces(raw)):
+        yield Layer(block.decode("utf-8", "replace"), parent, whole=whole, path=path)
 
 
 def _as_text(raw: bytes) -> str:

@@ -3,6 +3,7 @@ import base64
 import bz2
 import gzip
 import hashlib
+import lzma
 import re
 import zlib
 from urllib.parse import quote
@@ -167,3 +168,30 @@ def test_a_span_is_listed_once(spark):
     found = secrets(docs)
     assert len(found.first().found) == 2
     assert summary(found, KINDS).first().spans == f"assign:0:{len(rows[0][1])}"
+
+
+PACKERS = [gzip.compress, zlib.compress, bz2.compress, lzma.compress, zstandard.compress]
+TWO = [b"password=firstfirst1 ", b"password=secondsecond2 "]
+
+
+@pytest.mark.parametrize("pack", PACKERS)
+def test_every_copy_of_a_packed_blob_is_found(pack):
+    blob = b64(pack(KEY.encode()))
+    assert spans(f"{blob} {blob}", False) == [
+        f"assign:0:{len(blob)}",
+        f"assign:{len(blob) + 1}:{2 * len(blob) + 1}",
+    ]
+
+
+@pytest.mark.parametrize("pack", PACKERS)
+def test_every_member_of_a_stream_is_read(pack):
+    blob = b64(b"".join(pack(part) for part in TWO))
+    assert secrets_in(blob) == ["password=firstfirst1", "password=secondsecond2"]
+
+
+def test_runs_go_on_over_the_pieces_of_a_stream():
+    inner = b64(b"x" * 2_500_000 + b" " + KEY.encode())
+    assert secrets_in(b64(gzip.compress(b"some words, " + inner.encode()))) == [KEY]
+    value = "password=" + "v" * 8_000
+    start = (1 << 20) - 4_500
+    assert secrets_in(b64(gzip.compress(b", " * (start // 2) + value.encode() + b", " * 9_000))) == [value]
