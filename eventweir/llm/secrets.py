@@ -51,7 +51,13 @@ _ESCAPE = re.compile(
 #: Shortest base64 run that is decoded: twelve bytes.
 _BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}(?:\r?\n[A-Za-z0-9+/_-]{16,})*={0,2}")
 _URL_SAFE = str.maketrans("-_", "+/", "\r\n=")
-_WIDE_SPACE = str.maketrans("", "", "\t\n\v\f\r")
+_CONTROLS = re.compile(rb"[\x00-\x08\x0e-\x1f\x7f]")
+#: Bytes without any of these hold no secret and nothing to decode.
+_OF_USE = re.compile(
+    rb"password|passwd|secret|token|api_?key|AKIA|[A-Za-z0-9+/_-]{16}"
+    rb"|%[0-9A-Fa-f]{2}|\\[uUx]|&#|\x00[^\x00]\x00",
+    re.IGNORECASE,
+)
 
 #: Bytes of a decompressed stream that are read at a time.
 WINDOW = 1 << 20
@@ -233,12 +239,25 @@ def _blocks(pieces: Iterator[bytes]) -> Iterator[bytes]:
         yield last
 
 
+def _readings(raw: bytes, parent: Layer, whole: tuple[int, int], path: tuple) -> Iterator[Layer]:
+    """Layers of bytes as text: one character a byte, as all patterns are ASCII, and as UTF-16."""
+    if not _OF_USE.search(raw):
+        return
+    yield Layer(raw.decode("latin-1"), parent, whole=whole, path=path)
+    yield from _wide(raw, parent, whole, path)
+
+
+def _wide(raw: bytes, parent: Layer, whole: tuple[int, int], path: tuple) -> Iterator[Layer]:
+    if b"\0" in raw and _OF_USE.search(raw):
+        for start in (0, 1):  # the second also reads big-endian text
+            text = (raw[start:] + b"\0" * ((len(raw) - start) % 2)).decode("utf-16-le", "replace")
+            yield Layer(text, parent, whole=whole, path=(*path, "utf16"))
+
+
 def _opened(raw: bytes, parent: Layer, whole: tuple[int, int], path: tuple, seen: set):
-    """Layers of decoded bytes: of their text, or of the streams that they are."""
+    """Layers of decoded bytes: of their text, and of the streams that they are."""
+    yield from _readings(raw, parent, whole, path)
     if not _is_packed(raw):
-        text = _as_text(raw)
-        if text:
-            yield Layer(text, parent, whole=whole, path=path)
         return
     mark = hashlib.blake2b(raw, digest_size=16).digest() + b"%d:%d" % parent.span(*whole)
     if mark in seen:
@@ -247,18 +266,16 @@ def _opened(raw: bytes, parent: Layer, whole: tuple[int, int], path: tuple, seen
     path = (*path, "packed")
     if _is_packed(next(_pieces(raw), b"")):
         yield from _opened(b"".join(_pieces(raw)), parent, whole, path, seen)
-        return
     for block in _blocks(_pieces(raw)):
-        yield Layer(block.decode("utf-8", "replace"), parent, whole=whole, path=path)
+        yield from _readings(block, parent, whole, path)
 
 
-def _as_text(raw: bytes) -> str:
-    """The bytes as text if they are printable UTF-8, else nothing."""
+def _is_text(raw: bytes) -> bool:
     try:
-        text = raw.decode()
+        raw.decode()
     except UnicodeDecodeError:
-        return ""
-    return text if text.translate(_WIDE_SPACE).isprintable() else ""
+        return False
+    return not _CONTROLS.search(raw)
 
 
 def _unbase64(run: str) -> bytes:
@@ -274,7 +291,7 @@ def _base64_layers(layer: Layer, seen: set) -> Iterator[Layer]:
     path = (*layer.path, "base64")
     for match in _BASE64.finditer(layer.text):
         raw, start = _unbase64(match[0]), match.start()
-        if "\n" not in match[0] or _is_packed(raw) or _as_text(raw):
+        if "\n" not in match[0] or _is_packed(raw) or _is_text(raw):
             yield from _opened(raw, layer, match.span(), path, seen)
             continue
         for line in re.finditer(r"[^\r\n]+", match[0]):  # lines of their own after all
