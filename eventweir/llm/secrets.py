@@ -3,10 +3,11 @@
 A worklist begins with the whole text.  Each layer taken from it is scanned for secrets and for
 encoded parts; what these decode to becomes a further layer: percent-encoding, Unicode escapes and
 numeric character references decode the layer as a whole, base64 runs decode one by one, and decoded
-bytes that are gzip, zlib, bzip2, xz or zstandard streams are decompressed, member by
-member.  A layer that was met before at the same place is not entered again, so the work ends at the fixpoint.  Every
-find is mapped back, through all its layers, to the code points of the original text;
-only one with the kind, start and secret of an earlier one is left out.
+bytes that are gzip, zlib, bzip2, xz or zstandard streams are decompressed, some bytes at a time,
+member by member.  Base64 is tried in all four alignments, decoded bytes are scanned whatever they
+are.  A layer that was met before at the same place is not entered again, so the work ends at the
+fixpoint.  Every find is mapped back, through all its layers, to the code points of the original
+text; only one with the kind, start and secret of an earlier one is left out.
 
 Finds in the text itself are marked ``base``; they stay whatever the layers show.  Null texts count
 as empty.  An empty table gives an empty result; repeated rows are scanned each on their own; other
@@ -20,6 +21,7 @@ import bz2
 import hashlib
 import lzma
 import re
+import sys
 import zlib
 from bisect import bisect_right
 from collections.abc import Iterator
@@ -48,10 +50,17 @@ _ESCAPE = re.compile(
     r"(?:\\u[0-9A-Fa-f]{4})+|\\u\{[0-9A-Fa-f]{1,6}\}|\\U[0-9A-Fa-f]{8}|(?:\\x[0-9A-Fa-f]{2})+"
     r"|&\#[0-9]{1,7};|&\#[xX][0-9A-Fa-f]{1,6};"
 )
-#: Shortest base64 run that is decoded: twelve bytes.
-_BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}(?:\r?\n[A-Za-z0-9+/_-]{16,})*={0,2}")
-_URL_SAFE = str.maketrans("-_", "+/", "\r\n=")
+#: Shortest base64 run that is decoded: twelve bytes.  Further lines may be indented, the last may be
+#: shorter.
+_BASE64 = re.compile(
+    r"[A-Za-z0-9+/_-]{16,}(?:\r?\n[ \t]*[A-Za-z0-9+/_-]{16,})*"
+    r"(?:\r?\n[ \t]*[A-Za-z0-9+/_-]{1,15}(?![A-Za-z0-9+/_-]))?={0,2}"
+)
+_LINE = re.compile(r"[A-Za-z0-9+/_-]+")
+_URL_SAFE = str.maketrans("-_", "+/")
 _CONTROLS = re.compile(rb"[\x00-\x08\x0e-\x1f\x7f]")
+#: What a compressed stream's first bytes become in base64: gzip, bzip2, xz, zstandard, zlib.
+_PACKED = re.compile("(?=H4sI|Qlpo|/Td6|KLUv/|e[A-P])")
 #: Bytes without any of these hold no secret and nothing to decode.
 _OF_USE = re.compile(
     rb"password|passwd|secret|token|api_?key|AKIA|[A-Za-z0-9+/_-]{16}"
@@ -67,6 +76,8 @@ _BREAK = re.compile(
 )
 #: Bytes of a stream's end that are looked through for such a place first.
 TAIL = 1 << 12
+#: Starts behind separators that a find's place is looked for at.
+STARTS = 32
 
 
 def scan(text: str) -> list[tuple[str, int, int]]:
@@ -176,6 +187,50 @@ def _character(point: int) -> str:
     return chr(point) if point < 0x110000 and not lone else "�"
 
 
+class _Run(Layer):
+    """What a base64 run decodes to, one character a byte, from one of its four alignments.
+
+    A find stands for the run from where its text begins: the run's start, or the first start behind
+    a separator or a line break from which the bytes before the find are text.
+    """
+
+    def __init__(self, raw, parent, path, digits, places, end, shift):
+        super().__init__(raw.decode("latin-1"), parent, path=path)
+        self.raw, self.digits, self.lines, self.end = raw, digits, places, end
+        self.shift = shift
+
+    def _place(self, at: int) -> int:
+        line = bisect_right(self.lines, (at, sys.maxsize)) - 1
+        return self.lines[line][1] + at - self.lines[line][0]
+
+    def _starts(self, at: int) -> list[int]:
+        """The last starts at or before a digit that its alignment allows, in order."""
+        found, lines = [], {p[0] for p in self.lines}
+        for start in range(at, self.shift, -4):
+            if start in lines or self.digits[start - 1] in "+/":
+                found.append(start)
+                if len(found) == STARTS:
+                    break
+        return found[::-1]
+
+    def span(self, start: int, end: int) -> tuple[int, int]:
+        first = self.shift
+        if start and not _is_text(self.raw[:start]):
+            for at in self._starts(self.shift + start // 3 * 4):
+                if _is_text(self.raw[(at - self.shift) // 4 * 3 : start]):
+                    first = at
+                    break
+        return self.parent.span(self._place(first), self.end)
+
+
+def _is_text(raw: bytes) -> bool:
+    try:
+        raw.decode()
+    except UnicodeDecodeError:
+        return False
+    return not _CONTROLS.search(raw)
+
+
 def _unpacker(raw: bytes):
     """A function that decompresses a stream bytewise, by the magic number it begins with."""
     if raw[:2] == b"\x1f\x8b":
@@ -220,6 +275,16 @@ def _is_packed(raw: bytes) -> bool:
     return raw[:4] == _ZSTANDARD or _unpacker(raw[:8]) is not None
 
 
+def _may_open(head: bytes) -> bool:
+    """Whether a stream may begin so; zlib streams, with the shortest mark, are tried."""
+    if head[:1] == b"\x78" and _is_packed(head):
+        try:
+            zlib.decompressobj().decompress(head, 1)
+        except zlib.error:
+            return False
+    return _is_packed(head)
+
+
 def _blocks(pieces: Iterator[bytes]) -> Iterator[bytes]:
     """Pieces dealt anew: each ends where no secret and no encoded run goes on, or with the last."""
     held: list[bytes] = []
@@ -255,31 +320,20 @@ def _wide(raw: bytes, parent: Layer, whole: tuple[int, int], path: tuple) -> Ite
 
 
 def _opened(raw: bytes, parent: Layer, whole: tuple[int, int], path: tuple, seen: set):
-    """Layers of decoded bytes: of their text, and of the streams that they are."""
-    yield from _readings(raw, parent, whole, path)
-    if not _is_packed(raw):
-        return
+    """Layers of the streams that decoded bytes are, and of streams inside these."""
     mark = hashlib.blake2b(raw, digest_size=16).digest() + b"%d:%d" % parent.span(*whole)
     if mark in seen:
         return
     seen.add(mark)
     path = (*path, "packed")
-    if _is_packed(next(_pieces(raw), b"")):
+    first = next(_pieces(raw), b"")
+    if _is_packed(first):
         yield from _opened(b"".join(_pieces(raw)), parent, whole, path, seen)
     for block in _blocks(_pieces(raw)):
         yield from _readings(block, parent, whole, path)
 
 
-def _is_text(raw: bytes) -> bool:
-    try:
-        raw.decode()
-    except UnicodeDecodeError:
-        return False
-    return not _CONTROLS.search(raw)
-
-
-def _unbase64(run: str) -> bytes:
-    digits = run.translate(_URL_SAFE)
+def _unbase64(digits: str) -> bytes:
     digits = digits[: len(digits) - (len(digits) % 4 == 1)]
     try:
         return binascii.a2b_base64(digits + "=" * (-len(digits) % 4))
@@ -287,16 +341,46 @@ def _unbase64(run: str) -> bytes:
         return b""
 
 
-def _base64_layers(layer: Layer, seen: set) -> Iterator[Layer]:
+def _decoded(layer: Layer, lines: list, end: int, shifts: range, seen: set) -> Iterator[Layer]:
+    """Layers of some alignments of a run that stands in lines, and of streams wherever they begin."""
     path = (*layer.path, "base64")
-    for match in _BASE64.finditer(layer.text):
-        raw, start = _unbase64(match[0]), match.start()
-        if "\n" not in match[0] or _is_packed(raw) or _is_text(raw):
-            yield from _opened(raw, layer, match.span(), path, seen)
+    digits = "".join(m[0] for m in lines).translate(_URL_SAFE)
+    places, size = [], 0
+    for line in lines:
+        places.append((size, line.start()))
+        size += len(line[0])
+    for shift in shifts:
+        raw = _unbase64(digits[shift:])
+        if _OF_USE.search(raw):
+            run = _Run(raw, layer, path, digits, places, end, shift)
+            yield run
+            yield from _wide(raw, layer, (run._place(shift), end), path)
+    for match in _PACKED.finditer(digits):
+        if match.start() % 4 not in shifts:
             continue
-        for line in re.finditer(r"[^\r\n]+", match[0]):  # lines of their own after all
-            span = (start + line.start(), start + line.end())
-            yield from _opened(_unbase64(line[0]), layer, span, path, seen)
+        if not _may_open(_unbase64(digits[match.start() : match.start() + TAIL])):
+            continue
+        raw = _unbase64(digits[match.start() :])
+        at = bisect_right(places, (match.start(), sys.maxsize)) - 1
+        whole = (places[at][1] + match.start() - places[at][0], end)
+        yield from _opened(raw, layer, whole, path, seen)
+
+
+def _base64_layers(layer: Layer, seen: set) -> Iterator[Layer]:
+    for match in _BASE64.finditer(layer.text):
+        start, end = match.span()
+        lines = list(_LINE.finditer(layer.text, start, end))
+        yield from _decoded(layer, lines, end, range(1), seen)
+        if len(lines) > 1:
+            sizes = {len(m[0]) for m in lines[:-1]}
+            joined = _unbase64("".join(m[0] for m in lines).translate(_URL_SAFE))
+            wrapped = len(sizes) == 1 and len(lines[-1][0]) <= max(sizes) and _is_text(joined)
+            if not wrapped:  # lines of their own after all, or a word behind the last
+                for line in lines:
+                    yield from _decoded(layer, [line], line.end(), range(4), seen)
+                if len(lines) > 2 and len(lines[-1][0]) < 16:
+                    yield from _decoded(layer, lines[:-1], lines[-2].end(), range(4), seen)
+        yield from _decoded(layer, lines, end, range(1, 4), seen)
 
 
 def _children(layer: Layer, seen: set) -> Iterator[Layer]:

@@ -211,3 +211,27 @@ def test_runs_go_on_over_the_pieces_of_a_stream():
 def test_decoded_bytes_are_scanned_whatever_they_are(raw):
     assert secrets_in(b64(raw)) == [KEY]
     assert secrets_in(b64(b"\x00" + b64(raw).encode())) == [KEY]
+
+
+@pytest.mark.parametrize("front", ["https://h.example/p/", "key-", "id_", "/var/lib/some/", "ab", "xyz"])
+@pytest.mark.parametrize("raw", [b"password=hunter2299", gzip.compress(b"password=hunter2299")])
+def test_runs_that_begin_within_other_words(front, raw):
+    text = f"{front}{b64(raw)} x"
+    assert secrets_in(text) == ["password=hunter2299"]
+    if not front[-1].isalpha():
+        assert spans(text, False) == [f"assign:{len(front)}:{len(text) - 2}"]
+
+
+@pytest.mark.parametrize("indent", ["", "    ", "\t"])
+@pytest.mark.parametrize("pack", [bytes, gzip.compress])
+def test_wrapped_blocks_are_read_to_their_last_character(indent, pack):
+    for more in range(60):
+        raw = pack(b"some words! " * 9 + b"z" * more + b" " + KEY.encode())
+        block = base64.encodebytes(raw).decode().strip().replace("\n", "\n" + indent)
+        assert spans(f"x {block} y", False) == [f"assign:2:{2 + len(block)}"], more
+        assert secrets_in(block) == [KEY]
+
+
+def test_short_words_behind_a_block_spoil_nothing():
+    lines = [b64(b"password=hunter2299"), b64(b"password=another11").rstrip("="), "End"]
+    assert {"password=hunter2299", "password=another11"} <= set(secrets_in("\n".join(lines)))
