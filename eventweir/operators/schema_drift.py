@@ -14,11 +14,15 @@ from eventweir.functions.labels import JSON_SPACE
 from eventweir.functions.typenames import declared_type
 from eventweir.operators.schema_sampling import payload_object
 from eventweir.plans.config import TopicConfig
+from eventweir.workspace import materialise
 
 
 ARRAY = "[]"
 EMPTY_OBJECT, EMPTY_ARRAY = "struct<>", "array<>"
 
+# Steps of the walk in one plan.
+STEPS = 8
+
 # A name in back-quotes, an array step, or a plain name.
 _STEP = r"`[^`]*`|\[\]|[^.\[`]+"
 
@@ -43,10 +47,12 @@ def _outer_paths(field: Column) -> Column:
     return F.when(count > 0, paths).otherwise(F.array().cast("array<string>"))
 
 
-def _brackets(kind: Column) -> Column:
-    """The nesting of a variant type: its angle brackets alone, names left out."""
-    plain = F.when(kind.contains("`"), F.regexp_replace(kind, "`[^`]*`", "")).otherwise(kind)
-    return F.regexp_replace(plain, "[^<>]+", "")
+def _brackets(content: Column) -> Column:
+    """The nesting of a value: the brackets of its JSON text as < and >, empty neighbours as one."""
+    plain = F.regexp_replace(F.to_json(content), r"(?s)\\.", "")
+    plain = F.regexp_replace(plain, '"[^"]*"', "")
+    brackets = F.translate(F.regexp_replace(plain, r"[^\[\]{}]+", ""), "[]{}", "<><>")
+    return F.regexp_replace(brackets, "(?:<>)++", "<>")
 
 
 def _depth(brackets: Column) -> Column:
@@ -67,19 +73,23 @@ def field_profile(envelope: DataFrame) -> DataFrame:
     each counted as a record.  Names with a dot or bracket are quoted.  Empty objects and arrays
     have types of their own, ``struct<>`` and ``array<>``.
 
-    One pass finds how deep the messages nest, a second one walks down in as many steps; values
-    that are plain already wait.  Leaves are counted in a partial hash aggregate, so records of many
-    shapes give no more groups than there are paths and types.
+    One pass finds how deep the messages nest, from their text, as the type of a mixed array hides
+    what lies below it; a second one walks down in as many steps, values that are plain already wait.
+    The walk is written every ``STEPS`` steps, so that deep messages make no larger plan.  Leaves are
+    counted in a partial hash aggregate, so records of many shapes give no more groups than there are
+    paths and types.
     """
     spark = envelope.sparkSession
     payloads = envelope.select("topic", payload_object(payload_text()).alias("content"))
     payloads = payloads.where(F.col("content").isNotNull())
-    nestings = payloads.select(_brackets(F.schema_of_variant("content")).alias("b")).distinct()
+    nestings = payloads.select(_brackets(F.col("content")).alias("b")).distinct()
     levels = nestings.agg(F.max(_depth(F.col("b")))).first()[0] or 0
     walked = payloads.lateralJoin(spark.tvf.variant_explode(F.col("content").outer())).select(
         "topic", F.col("value").alias("content"), _quoted(F.col("key")).alias("field")
     )
-    for _ in range(levels - 1):
+    for step in range(1, levels):
+        if step % STEPS == 0:
+            walked = materialise(walked, "walked")
         typed = walked.withColumn("kind", F.schema_of_variant("content"))
         is_list, is_object = F.col("kind").startswith("ARRAY"), F.col("kind").startswith("OBJECT")
         opened = typed.select(
