@@ -4,9 +4,10 @@ Each document becomes its token ids and a closing id; documents longer than a se
 full pieces, the first piece taking what is left over.  Full pieces are sequences of their own.  The
 others, one a document at most, are dealt into groups of some thousand by a hash of their row, so no
 group depends on the size of the table or on its keys.  In a group, best fit in falling order makes a
-first packing.  Local search then improves it: documents of the emptiest bins are moved into others,
-or exchanged one for one, two for one and one for two, wherever that fills another bin and so raises
-the sum of squared fills, until bins run empty.
+first packing.  Local search then improves it: from the emptiest bin on, documents are moved into
+others, or exchanged one for one, two for one and one for two, wherever that raises the sum of squared
+fills, until bins run empty.  The underfull sequences of all groups are then dealt into new groups and
+improved there, round by round, until none is saved.
 
 Null texts count as empty: they hold the closing id only.  Repeated rows are packed each on their
 own, an empty table gives an empty result, other columns are passed over.
@@ -19,6 +20,7 @@ import zlib
 from array import array
 from collections import defaultdict
 from collections.abc import Iterator
+from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -34,8 +36,6 @@ from eventweir.workspace import materialise
 GROUP_ROWS = 8_192
 #: Sweeps of the local search over the underfull bins; it ends sooner when none improves.
 SWEEPS = 12
-#: Exchanges and roomy bins that one document or pair is tried with in a sweep.
-TRIES = 32
 
 _PIECE = "piece int, start long, length long, ids_crc32 long"
 
@@ -125,7 +125,8 @@ def best_fit(lengths: list[int], size: int) -> list[list[int]]:
 class _Search:
     """Bins under improvement.
 
-    ``offers`` lists, by the tokens it could take to be full to the brim, what a bin gives for them.
+    ``offers`` lists, by a bin's room and the tokens it gives for an exchange, bins and what they give:
+    nothing, one document or two.  ``given`` has the tokens that are on offer at a room as bits.
     """
 
     def __init__(self, lengths: list[int], size: int, bins: list[list[int]]):
@@ -143,15 +144,21 @@ class _Search:
         return kept
 
     def _offer(self, b: int) -> None:
-        """What an underfull bin could take if it gave nothing, one or two documents."""
-        items, room = self._kinds(b), self.room[b]
+        """What an underfull bin could give for an exchange."""
+        items, room, length = self._kinds(b), self.room[b], self.lengths
         if not room or not items:
             return
-        self.offers[room].append((b, ()))
+        self._list(room, 0, b, ())
         for k, x in enumerate(items):
-            self.offers[self.lengths[x] + room].append((b, (x,)))
+            self._list(room, length[x], b, (x,))
             for y in items[k + 1 :]:
-                self.offers[self.lengths[x] + self.lengths[y] + room].append((b, (x, y)))
+                self._list(room, length[x] + length[y], b, (x, y))
+
+    def _list(self, room: int, size: int, b: int, taken: tuple[int, ...]) -> None:
+        few = len(taken) < 2
+        self.offers[few, room, size].append((b, taken))
+        bits = self.given[few]
+        bits[room] = bits.get(room, 0) | 1 << size
 
     def _apply(self, a: int, given: tuple[int, ...], b: int, taken: tuple[int, ...]) -> None:
         length = self.lengths
@@ -161,56 +168,71 @@ class _Search:
         self.room[a] += moved
         self.room[b] -= moved
 
-    def _better(self, a: int, gain: int, b: int) -> bool:
-        """Whether moving ``gain`` tokens from a to b raises the sum of squared fills."""
-        return gain > 0 and gain <= self.room[b] and self.room[b] - gain < self.room[a]
-
-    def _holds(self, b: int, taken: tuple[int, ...], size: int) -> bool:
-        own = self.bins[b]
-        return all(i in own for i in taken) and (
-            self.room[b] + sum(self.lengths[i] for i in taken) == size
-        )
+    def _valid(self, a: int, few: bool, room: int, size: int) -> tuple[int, tuple[int, ...]] | None:
+        """An offer that still holds, of another bin than a; outdated ones are struck off."""
+        offers, own = self.offers[few, room, size], []
+        while offers:
+            b, taken = offers[-1]
+            if self.room[b] == room and b != a and all(i in self.bins[b] for i in taken):
+                break
+            offers.pop()
+            if b == a and self.room[a] == room and all(i in self.bins[a] for i in taken):
+                own.append((b, taken))
+        found = offers[-1] if offers else None
+        offers[:0] = own
+        if not offers:
+            self.given[few][room] &= ~(1 << size)
+        return found
+
+    def _partner(self, a: int, size: int, few: bool):
+        """The offer that leaves the other bin fullest for ``size`` tokens of a, by its rest of room.
+
+        An exchange raises the sum of squared fills if the other bin gains and ends fuller than a was.
+        """
+        best, least = None, self.room[a]
+        for room, bits in list(self.given[few].items()):
+            low = max(0, size - room)
+            # the tokens taken: at least ``low``, fewer than ``size``, and leaving less than ``least``
+            rest = low + room - size
+            span = min(size - low, least - rest)
+            found = bits >> low & (1 << span) - 1 if span > 0 else 0
+            while found:
+                bit = (found & -found).bit_length() - 1
+                offer = self._valid(a, few, room, low + bit)
+                if offer:
+                    best, least = offer, rest + bit
+                    break
+                found &= found - 1
+            if not least:
+                break
+        return best, least
 
-    def _exchange(self, a: int) -> bool:
-        """The first exchange that fills another bin to the brim."""
+    def _improve(self, a: int) -> bool:
+        """The move or exchange of one or two documents of a that fills another bin most."""
         items, length = self._kinds(a), self.lengths
-        singles = [(i,) for i in items]
-        pairs = [(x, y) for k, x in enumerate(items) for y in items[k + 1 :]]
-        for given in singles + pairs:
+        groups = [(x,) for x in items]
+        groups += [(x, y) for k, x in enumerate(items) for y in items[k + 1 :]]
+        chosen, least, tried = None, self.room[a], set()
+        for given in groups:
             size = sum(length[i] for i in given)
-            offers = self.offers.get(size)
-            passed = []
-            while offers:
-                b, taken = offers.pop()
-                if not self._holds(b, taken, size):
+            for few in (True, False)[: 3 - len(given)]:
+                if (size, few) in tried:
                     continue
-                gain = size - sum(length[i] for i in taken)
-                if b != a and len(given) + len(taken) < 4 and self._better(a, gain, b):
-                    offers.extend(passed)
-                    self._apply(a, given, b, taken)
-                    self._offer(a)
-                    return True
-                passed.append((b, taken))
-                if len(passed) == TRIES:
+                tried.add((size, few))
+                offer, rest = self._partner(a, size, few)
+                if offer and rest < least:
+                    chosen, least = (given, *offer), rest
+                if chosen and not least:
                     break
-            if passed:
-                offers.extend(passed)
-        return False
-
-    def _move(self, a: int, roomy: list[int]) -> bool:
-        """Documents of a into the best fitting room elsewhere."""
-        moved = False
-        for item in sorted(self.bins[a], key=lambda i: -self.lengths[i]):
-            need = self.lengths[item]
-            fits = [b for b in roomy if b != a and self.bins[b] and self.room[b] >= need]
-            best = min(fits, key=self.room.__getitem__, default=None)
-            if best is not None and self._better(a, need, best):
-                self._apply(a, (item,), best, ())
-                self._offer(best)
-                moved = True
-        if moved:
-            self._offer(a)
-        return moved
+            if chosen and not least:
+                break
+        if chosen is None:
+            return False
+        given, b, taken = chosen
+        self._apply(a, given, b, taken)
+        self._offer(a)
+        self._offer(b)
+        return True
 
     def run(self, sweeps: int) -> list[list[int]]:
         least = -(-sum(self.lengths) // self.size)
@@ -219,15 +241,12 @@ class _Search:
             if len(used) <= least:
                 break
             order = sorted((b for b in used if self.room[b]), key=lambda b: -self.room[b])
-            self.offers = defaultdict(list)
+            self.offers, self.given, changed = defaultdict(list), {True: {}, False: {}}, False
             for b in order:
                 self._offer(b)
-            roomy, changed = order[:TRIES], False
             for a in order:
-                while self.bins[a] and self._exchange(a):
+                while self.bins[a] and self._improve(a):
                     changed = True
-                if self.bins[a]:
-                    changed |= self._move(a, roomy)
             if not changed:
                 break
         return [items for items in self.bins if items]
@@ -238,23 +257,57 @@ def pack(lengths: list[int], size: int, sweeps: int = SWEEPS) -> list[list[int]]
     return _Search(lengths, size, best_fit(lengths, size)).run(sweeps)
 
 
+def repack(lengths: list[int], size: int, bins: list[list[int]]) -> list[list[int]]:
+    """No more bins than the given ones: these improved, or packed anew where that needs fewer."""
+    return min(_Search(lengths, size, bins).run(SWEEPS), pack(lengths, size), key=len)
+
+
 def _pack_group(size: int, schema: pa.Schema):
     def pack_group(table: pa.Table) -> pa.Table:
         lengths = table.column("length").to_pylist()
         group = table.column("group")[0].as_py()
-        sequence, offset = [0] * len(lengths), [0] * len(lengths)
-        for number, items in enumerate(pack(lengths, size)):
-            at = 0
+        if "sequence_id" in table.column_names:  # keeps to the numbers of the group's sequences
+            old = defaultdict(list)
+            for item, number in enumerate(table.column("sequence_id").to_pylist()):
+                old[number].append(item)
+            numbers, bins = list(old), repack(lengths, size, list(old.values()))
+        else:
+            bins = pack(lengths, size)
+            numbers = [(group << 24) + n for n in range(len(bins))]
+        sequence, offset, filled = ([0] * len(lengths) for _ in range(3))
+        for number, items in zip(numbers, bins, strict=False):
+            at, whole = 0, sum(lengths[i] for i in items)
             for item in items:
-                sequence[item], offset[item] = (group << 24) + number, at
+                sequence[item], offset[item], filled[item] = number, at, whole
                 at += lengths[item]
-        kept = table.select([f.name for f in list(schema)[:-2]])
-        kept = kept.append_column("sequence_id", pa.array(sequence, pa.int64()))
-        return kept.append_column("offset", pa.array(offset, pa.int64())).cast(schema)
+        kept = table.select([f.name for f in list(schema)[:-3]])
+        for name, values in (("sequence_id", sequence), ("offset", offset), ("filled", filled)):
+            kept = kept.append_column(name, pa.array(values, pa.int64()))
+        return kept.cast(schema)
 
     return pack_group
 
 
+def _regrouped(solved: DataFrame, size: int, group_rows: int, solve) -> DataFrame:
+    """The underfull sequences dealt into new groups and packed there, until none is saved."""
+    done = []
+    step = 0
+    while True:
+        step += 1
+        under = solved.filter(F.col("filled") < size)
+        rows, before = under.agg(F.count("*"), F.count_if(F.col("offset") == 0)).first()
+        groups = -(-rows // group_rows)
+        if before < 2:
+            break
+        done.append(solved.filter(F.col("filled") == size))
+        dealt = F.pmod(F.xxhash64("sequence_id", F.lit(step)), F.lit(groups))
+        solved = materialise(solve(under.withColumn("group", dealt)), "repacked")
+        after = solved.filter(F.col("offset") == 0).count()
+        if after == before or groups == 1:
+            break
+    return reduce(DataFrame.unionByName, done, solved)
+
+
 def packed(
     docs: DataFrame,
     path: str,
@@ -273,15 +326,18 @@ def packed(
     short = pieces.filter(F.col("length") < size)
     groups = max(1, -(-short.count() // group_rows))
     schema = StructType([pieces.schema[c] for c in columns])
-    schema = schema.add("sequence_id", "long").add("offset", "long")
-    grouped = short.select(
-        F.pmod(F.xxhash64("row_id"), F.lit(groups)).alias("group"), *columns
-    ).groupBy("group")
+    schema = schema.add("sequence_id", "long").add("offset", "long").add("filled", "long")
+
+    def solve(rows: DataFrame) -> DataFrame:
+        return rows.groupBy("group").applyInArrow(_pack_group(size, to_arrow_schema(schema)), schema)
+
+    dealt = F.pmod(F.xxhash64("row_id"), F.lit(groups)).alias("group")
+    solved = solve(short.select(dealt, *columns))
+    if groups > 1:
+        solved = _regrouped(materialise(solved, "packed"), size, group_rows, solve)
     full = pieces.filter(F.col("length") == size).select(
         *columns,
         (-F.monotonically_increasing_id() - 1).alias("sequence_id"),
         F.lit(0).cast("long").alias("offset"),
     )
-    return full.unionByName(
-        grouped.applyInArrow(_pack_group(size, to_arrow_schema(schema)), schema)
-    )
+    return full.unionByName(solved.drop("filled"))
