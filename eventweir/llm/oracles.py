@@ -61,4 +61,61 @@ ORACLES = {
                sha256(coalesce(items, '')) AS items_sha256,
                coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(words) AS contaminated
         FROM d LEFT JOIN h USING (r) LEFT JOIN t USING (r)""",
+    "op11_ball_tree": r"""
+        WITH d AS (
+            SELECT row_number() OVER () AS k, doc_id, regexp_extract_all(
+                translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+            FROM documents),
+        b AS (
+            SELECT row_number() OVER () AS i, item_id, list_distinct(regexp_extract_all(
+                translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS terms
+            FROM benchmark),
+        a AS (
+            SELECT count(*)::BIGINT AS docs, sum(len(terms))::BIGINT AS terms
+            FROM d WHERE len(terms) > 0),
+        tf AS (
+            SELECT k, doc_id, n, term, count(*)::BIGINT AS tf
+            FROM (SELECT k, doc_id, len(terms)::BIGINT AS n, unnest(terms) AS term FROM d)
+            GROUP BY ALL),
+        w AS (
+            SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * df + 1)))::BIGINT AS w
+            FROM (SELECT term, count(*)::BIGINT AS df FROM tf GROUP BY term), a),
+        q AS (SELECT i, item_id, unnest(terms) AS term FROM b),
+        s AS (
+            SELECT i, item_id, k, doc_id, sum(w.w * (
+                (1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * a.docs) // a.terms))
+                ))::BIGINT AS score
+            FROM q JOIN tf USING (term) JOIN w USING (term), a
+            GROUP BY ALL),
+        r AS (
+            SELECT *, row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id, k) AS place
+            FROM s WHERE score > 0)
+        SELECT item_id, place::INTEGER AS rank, doc_id, score FROM r WHERE place <= 50""",
+    "op13_threshold_negatives": """
+        WITH v AS (
+            SELECT row_number() OVER () AS k, vec_id,
+                   CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                   list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e
+            FROM embeddings
+            WHERE label IS NOT NULL AND embedding IS NOT NULL
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        s AS (
+            SELECT a.k AS ak, b.k AS bk, a.vec_id AS anchor_id, b.vec_id AS other,
+                   a.label = b.label AS same, list_inner_product(a.e, b.e)::BIGINT AS score
+            FROM v a JOIN v b ON a.k <> b.k WHERE a.vec_id % 100 = 0),
+        p AS (
+            SELECT *, row_number() OVER (PARTITION BY ak ORDER BY score DESC, other, bk) AS place
+            FROM s WHERE same),
+        n AS (
+            SELECT p.anchor_id, p.other AS positive_id, n.other AS negative_id,
+                   p.score AS positive_score, n.score AS negative_score,
+                   row_number() OVER (
+                       PARTITION BY p.ak, p.bk ORDER BY n.score DESC, n.other, n.bk
+                   )::INTEGER AS rank
+            FROM p JOIN s n ON p.ak = n.ak AND NOT n.same
+            WHERE p.place <= 5 AND 80 * p.score <= 100 * n.score AND n.score <= p.score)
+        SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score
+        FROM n WHERE rank <= 5""",
 }

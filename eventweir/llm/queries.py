@@ -5,13 +5,17 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from eventweir.llm import (
     decontamination,
     exact_dedup,
+    hard_negatives,
     language_id,
+    lexical_search,
     packing,
     pii,
+    quality,
     secrets,
     simhash,
     spans,
@@ -78,6 +82,23 @@ def op10_decoded_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spans.summary(secrets.secrets(table(spark, sf_dir, "documents")), secrets.KINDS)
 
 
+def op11_ball_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    benchmark = table(spark, sf_dir, "benchmark")
+    return lexical_search.ranked(table(spark, sf_dir, "documents"), benchmark, k=50)
+
+
+def op12_certified_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    return quality.judged(docs, labels, strata=["lang"]).drop("rejected_by")
+
+
+def op13_threshold_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.hard_negatives(
+        table(spark, sf_dir, "embeddings"), is_anchor=F.col("vec_id") % 100 == 0, label=moved
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_nonnegative_pu": op1_nonnegative_pu,
     "op2_content_sort": op2_content_sort,
@@ -89,4 +110,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_counts": op8_token_counts,
     "op9_wu_manber": op9_wu_manber,
     "op10_decoded_secrets": op10_decoded_secrets,
+    "op11_ball_tree": op11_ball_tree,
+    "op12_certified_rules": op12_certified_rules,
+    "op13_threshold_negatives": op13_threshold_negatives,
 }
