@@ -11,7 +11,7 @@ of whole numbers.
 from __future__ import annotations
 
 import heapq
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 
@@ -159,24 +159,24 @@ class BallTree:
         products = weights[self.cols[start:end]] * self.vals[start:end]
         return np.add.reduceat(products, self.starts[self.low[node] : self.high[node]] - start)
 
-    def visit(self, bounds: np.ndarray, weights: np.ndarray) -> Iterator[tuple[np.ndarray, ...]]:
-        """Rows and scores, leaf by leaf from the most promising on, while the caller sends a score.
+    def visit(
+        self, bounds: np.ndarray, weights: np.ndarray, least: Callable[[], int]
+    ) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Rows and scores, leaf by leaf from the most promising on.
 
-        After each leaf the caller sends what a row has to reach; the search ends when no node left
-        can.  A node's bound is never above its parent's.
+        ``least`` tells what a row has to reach by then; the search ends when no node left can.  A
+        node's bound is never above its parent's.
         """
-        least = 1
         heap = [(-bounds[0], 0)]
         while heap:
             bound, node = heapq.heappop(heap)
-            if -bound < least:
+            if -bound < least():
                 return
             child = self.child[node]
             if child:
                 for k in (child, child + 1):
                     own = max(bound, -bounds[k])
-                    if -own >= least:
+                    if -own >= least():
                         heapq.heappush(heap, (own, k))
                 continue
-            rows = self.order[self.low[node] : self.high[node]]
-            least = yield rows, self.scores(node, weights)
+            yield self.order[self.low[node] : self.high[node]], self.scores(node, weights)

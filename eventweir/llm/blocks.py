@@ -78,9 +78,9 @@ class Best:
     def full(self) -> bool:
         return self.rows is not None and len(self.rows[0]) == self.k
 
-    def least(self):
-        """The score of the last row."""
-        return self.rows[0][-1]
+    def reach(self, otherwise):
+        """The score of the last row, which others have to reach; ``otherwise`` while rows lack."""
+        return self.rows[0][-1] if self.full() else otherwise
 
     def add(self, scores: np.ndarray, missing: np.ndarray, ids: np.ndarray, keys: np.ndarray):
         if not len(scores):

@@ -135,7 +135,7 @@ class Window:
 
     def open(self, threshold) -> bool:
         """Whether a row that scores up to ``threshold`` could still enter."""
-        return threshold >= (self.best.least() if self.best.full() else self.low)
+        return threshold >= self.best.reach(self.low)
 
 
 def threshold_search(
@@ -151,7 +151,7 @@ def threshold_search(
             new = new[enters[new]]
         scores = lists.rows[new] @ anchor
         for window in windows:
-            least = window.best.least() if window.best.full() else window.low
+            least = window.best.reach(window.low)
             into = np.flatnonzero((scores >= least) & (scores <= window.high))
             if len(into):
                 window.best.add(scores[into], *(name[new[into]] for name in names))

@@ -125,18 +125,12 @@ def _search(shipped, documents: int, terms: int, k: int):
             bounds = tree.bounds(queries)
             for best, (cols, own), bound in zip(found, queries, bounds, strict=True):
                 dense[cols] = own
-                look = tree.visit(bound, dense)
-                least = best.least() if best.full() else 1
-                leaf = look.send(None) if bound[0] >= least else None
-                while leaf is not None:
-                    rows, scores = leaf
-                    into = scores >= least
+                for rows, scores in tree.visit(bound, dense, lambda best=best: best.reach(1)):
+                    into = scores >= best.reach(1)
                     if into.any():
                         rows = rows[into]
                         names = [part[name][rows] for name in ("missing", "doc_id", "row_key")]
                         best.add(scores[into], *names)
-                        least = best.least() if best.full() else 1
-                    leaf = _next(look, least)
                 dense[cols] = 0
         out = [
             (task, key, score, doc_id, row)
@@ -154,13 +148,6 @@ def _search(shipped, documents: int, terms: int, k: int):
     return search
 
 
-def _next(look, least: int):
-    try:
-        return look.send(least)
-    except StopIteration:
-        return None
-
-
 def term_weight(documents: int, holders: int) -> int:
     return math.floor(1000 * math.log((2 * documents + 2) / (2 * holders + 1)))
 

@@ -1,5 +1,29 @@
 """DuckDB SQL for the queries that SQL can express, written for the same tables."""
 
+from eventweir.llm.quality import ERROR, RISK, RULES
+
+
+def _marks() -> str:
+    """A row per document and rule with the number of the first cutoff that rejects it."""
+    parts = []
+    for number, rule in enumerate(RULES):
+        value = f"{rule.count} * 1000000 / nullif({rule.of}, 0)" if rule.of else rule.count
+        sign = "<" if rule.below else ">"
+        failed = " + ".join(f"coalesce(({value} {sign} {c})::INT, 0)" for c in rule.cutoffs)
+        last = len(rule.cutoffs)
+        parts.append(
+            f"SELECT k, {number} AS rule, {last} AS last, {last + 1} - ({failed}) AS mark FROM c"
+        )
+    return " UNION ALL ".join(parts)
+
+
+def _tail(first: str, end: str, n: str) -> str:
+    """The chance that a binomial count of ``n`` trials lies from ``first`` up to before ``end``."""
+    return f"""list_sum(list_transform(range({first}, {end}), lambda i: exp(
+        lgamma({n} + 1) - lgamma(i + 1) - lgamma({n} - i + 1)
+        + i * ln({RISK}) + ({n} - i) * ln(1 - {RISK}))))"""
+
+
 ORACLES = {
     "op2_content_sort": r"""
         WITH d AS (
@@ -93,6 +117,85 @@ ORACLES = {
             SELECT *, row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id, k) AS place
             FROM s WHERE score > 0)
         SELECT item_id, place::INTEGER AS rank, doc_id, score FROM r WHERE place <= 50""",
+    "op12_certified_rules": rf"""
+        WITH d AS (
+            SELECT row_number() OVER () AS k, doc_id, lang, coalesce(text, '') AS t,
+                   regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words
+            FROM documents),
+        p AS (
+            SELECT k, i, array_to_string(words[i : i + 2], ' ') AS piece
+            FROM (SELECT k, words, unnest(generate_series(1, len(words) - 2)) AS i
+                  FROM d WHERE len(words) > 2)),
+        r AS (
+            SELECT k, count(DISTINCT word) AS n_repeat_words
+            FROM (SELECT k, unnest([i, i + 1, i + 2]) AS word
+                  FROM (SELECT *, count(*) OVER (PARTITION BY k, piece) AS n FROM p) WHERE n > 1)
+            GROUP BY k),
+        l AS (
+            SELECT k, count(*) AS n_lines, count(*) - count(DISTINCT line) AS n_dup_lines
+            FROM (SELECT k, unnest(string_split(t, chr(10))) AS line FROM d)
+            WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY k),
+        c AS (
+            SELECT k, doc_id, lang, len(words) AS n_words,
+                   length(array_to_string(words, '')) AS word_chars,
+                   length(t) - length(translate(t, '#*$%&|<>', '')) AS n_symbols,
+                   coalesce(n_dup_lines, 0) AS n_dup_lines, coalesce(n_lines, 0) AS n_lines,
+                   coalesce(n_repeat_words, 0) AS n_repeat_words,
+                   len(words) < 50 OR 100 * coalesce(n_repeat_words, 0) > 50 * len(words)
+                       AS base_failed
+            FROM d LEFT JOIN r USING (k) LEFT JOIN l USING (k)),
+        m AS ({_marks()}),
+        a AS (
+            SELECT doc_id, min(quality) = 1 AS good FROM labels
+            GROUP BY doc_id HAVING min(quality) = max(quality)),
+        h AS (
+            SELECT k, lang, good, md5(doc_id::VARCHAR) < '8' AS proposes
+            FROM c JOIN a USING (doc_id) WHERE NOT base_failed),
+        strata AS (SELECT greatest(1, count(*)) AS n FROM (SELECT DISTINCT lang FROM h)),
+        cells AS (
+            SELECT lang, rule, last, mark, count(*) FILTER (good) AS good,
+                   count(*) FILTER (NOT good) AS bad
+            FROM h JOIN m USING (k) WHERE proposes GROUP BY ALL),
+        sums AS (
+            SELECT lang, rule, last, mark,
+                   sum(good) OVER w AS good, sum(bad) OVER w AS bad,
+                   sum(good) OVER v AS all_good, sum(bad) OVER v AS all_bad
+            FROM cells
+            WINDOW v AS (PARTITION BY lang, rule), w AS (PARTITION BY lang, rule ORDER BY mark)),
+        gains AS (
+            SELECT *, bad / nullif(all_bad, 0) - coalesce(good / nullif(all_good, 0), 0) AS gain,
+                   {_tail("bad::BIGINT", "all_bad::BIGINT + 1", "all_bad")} AS chance
+            FROM sums),
+        best AS (
+            SELECT gains.*, row_number() OVER (
+                       PARTITION BY lang, rule ORDER BY gain DESC, mark) AS place
+            FROM gains, strata
+            WHERE mark <= last AND good * 2.0 <= all_good * {RISK} AND gain > 0
+              AND chance <= {ERROR} / strata.n / {len(RULES)}),
+        steps AS (
+            SELECT lang, rule, mark AS cut,
+                   row_number() OVER (PARTITION BY lang ORDER BY gain DESC, rule) AS step
+            FROM best WHERE place = 1),
+        held AS (
+            SELECT k, lang, min(step) FILTER (m.mark <= cut) AS first
+            FROM h JOIN steps USING (lang) JOIN m USING (k, rule)
+            WHERE good AND NOT proposes GROUP BY ALL),
+        tested AS (
+            SELECT lang, step, rule, cut, count(*) AS n, count(*) FILTER (first <= step) AS x
+            FROM held JOIN steps USING (lang) GROUP BY ALL),
+        certified AS (
+            SELECT lang, rule, cut FROM tested, strata
+            WHERE {_tail("0", "x + 1", "tested.n")} <= {ERROR} / strata.n),
+        failed AS (
+            SELECT DISTINCT k
+            FROM c JOIN m USING (k) JOIN certified s ON c.lang IS NOT DISTINCT FROM s.lang
+                 AND m.rule = s.rule
+            WHERE m.mark <= s.cut)
+        SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars,
+               n_symbols::BIGINT AS n_symbols, n_dup_lines::BIGINT AS n_dup_lines,
+               n_repeat_words::BIGINT AS n_repeat_words, base_failed,
+               NOT base_failed AND failed.k IS NULL AS kept
+        FROM c LEFT JOIN failed USING (k)""",
     "op13_threshold_negatives": """
         WITH v AS (
             SELECT row_number() OVER () AS k, vec_id,

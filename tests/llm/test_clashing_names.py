@@ -6,9 +6,12 @@ from pyspark.sql import functions as F
 from eventweir.llm import (
     decontamination,
     exact_dedup,
+    hard_negatives,
     language_id,
+    lexical_search,
     packing,
     pii,
+    quality,
     secrets,
     simhash,
     token_counts,
@@ -21,6 +24,7 @@ NAMES = (
     "id", "row", "row_id", "held_out", "score", "predicted", "lang_pred", "head", "digest", "points",
     "whole", "print", "fingerprint", "component_id", "n_words", "spans", "items", "piece", "start",
     "length", "n_tokens", "base", "loose", "found", "rank", "toxic_", "payload", "record_type",
+    "row_key", "task", "n", "ids", "stratum", "marks", "steps", "_text", "_words", "kept", "good",
 )
 
 
@@ -48,12 +52,14 @@ def operators(spark, labels):
         "token counts": lambda d: token_counts.token_counts(d, FILE, 10),
         "decontamination": lambda d: decontamination.contamination(d, benchmark),
         "secrets": secrets.secrets,
+        "search": lambda d: lexical_search.ranked(d, benchmark),
+        "quality": lambda d: quality.judged(d, labels, good="toxic"),
     }
 
 
 NUMBERS = (
     "toxicity", "exact dedup", "personal data", "near duplicates", "languages", "packing",
-    "token counts", "decontamination", "secrets",
+    "token counts", "decontamination", "secrets", "search", "quality",
 )
 
 
@@ -74,3 +80,13 @@ def test_archives(spark):
     pages = spark.createDataFrame(rows, "page_id long, url string, html string")
     found = [sorted(map(repr, warc.archived_pages(p).collect())) for p in (pages, clashing(pages))]
     assert found[0] == found[1]
+
+
+def test_negatives(spark):
+    rows = [(i, [float(i % 7), 1.0], i % 3) for i in range(30)]
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    found = [
+        sorted(map(repr, hard_negatives.hard_negatives(v, F.col("vec_id") % 10 == 0).collect()))
+        for v in (vectors, clashing(vectors))
+    ]
+    assert found[0] == found[1] and found[0]

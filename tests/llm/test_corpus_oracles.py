@@ -23,5 +23,5 @@ def test_all_are_registered():
     names = entry.queries()
     assert set(QUERIES) | {"pipeline"} <= set(names)
     numbers = sorted(int(n[2:].split("_")[0]) for n in names if n.startswith("op"))
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
     assert set(entry.oracle_sql()) <= set(names)
