@@ -5,7 +5,7 @@ A NULL ``pipeline_id`` marks a topic that no pipeline serves yet.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from eventweir.operators.numbering import number_rows
 from eventweir.plans.config import PAYLOAD_BASED, TOPIC_BASED
-from eventweir.workspace import matching_paths
+from eventweir.versions import committed, newest, save_version, update
 
 REGISTRY_SCHEMA = (
     "topic_name string, pipeline_id string, kind string, event_types array<string>"
@@ -165,26 +165,39 @@ def merge_assignments(registry: DataFrame, updates: DataFrame) -> DataFrame:
     )
 
 
-def _versions(spark: SparkSession, path: str) -> list[int]:
-    """The committed versions below ``path``, those with Spark's marker of a finished write."""
-    found = matching_paths(spark, f"{path}/version=*/_SUCCESS")
-    return sorted(int(name.split("/")[-2].removeprefix("version=")) for name in found)
-
-
 def save_registry(registry: DataFrame, path: str, version: int) -> None:
     """Write one version of the registry, made from the one before.
 
-    Refused where this or a newer version is already committed: its writer has not seen it.
+    Refused where this or a newer version is committed, before or meanwhile: its writer has not seen
+    it.
     """
-    known = _versions(registry.sparkSession, path)
-    if known and known[-1] >= version:
-        raise ValueError(f"{path} is at version {known[-1]}, cannot save version {version}")
-    registry.write.mode("overwrite").parquet(f"{path}/version={version}")
+    known = committed(registry.sparkSession, path)
+    last = known[-1] if known else 0
+    if last >= version or not save_version(registry, path, version):
+        raise ValueError(f"{path} is at version {max(last, version)}, cannot save {version}")
 
 
 def load_registry(spark: SparkSession, path: str) -> DataFrame:
     """The newest committed version; a write that did not finish is passed over."""
-    known = _versions(spark, path)
-    if not known:
+    version, rows = newest(spark, path, REGISTRY_SCHEMA)
+    if rows is None:
         raise ValueError(f"no committed registry below {path}")
-    return spark.read.schema(REGISTRY_SCHEMA).parquet(f"{path}/version={known[-1]}")
+    return rows
+
+
+def update_registry(
+    spark: SparkSession, path: str, assign: Callable[[DataFrame], DataFrame]
+) -> int:
+    """One committed update of the saved registry; the version that holds it.
+
+    ``assign`` makes ``(topic_name, pipeline_id)`` from the newest registry.  Where another writer
+    commits first, it is asked again with that writer's version, so no update is lost and no topic
+    is dealt twice.
+    """
+
+    def change(rows: DataFrame | None) -> DataFrame:
+        if rows is None:
+            raise ValueError(f"no committed registry below {path}")
+        return merge_assignments(rows, assign(rows))
+
+    return update(spark, path, REGISTRY_SCHEMA, change)

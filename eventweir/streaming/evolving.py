@@ -8,10 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from eventweir.functions.decoding import check_field_names
+from eventweir.versions import newest, update
 from eventweir.workspace import matching_paths
 
 
 SCHEMA_FOLDER = "_schema"
+_KEPT = "value string"
 
 
 def merge_types(known: T.DataType, new: T.DataType, path: str) -> T.DataType:
@@ -50,20 +52,35 @@ def merge_schemas(known: T.StructType, new: T.StructType, path: str = "") -> T.S
 
 def stored_schema(spark: SparkSession, path: str) -> T.StructType | None:
     """The schema kept beside a table, if there is one."""
+    _, kept = newest(spark, f"{path}/{SCHEMA_FOLDER}", _KEPT)
+    if kept is not None:
+        return _schema_of(kept)
     if not matching_paths(spark, f"{path}/{SCHEMA_FOLDER}/_SUCCESS"):
         return None
-    text = spark.read.text(f"{path}/{SCHEMA_FOLDER}", wholetext=True).first().value
-    return T.StructType.fromJson(json.loads(text))
+    # tables from before schemas had versions
+    return _schema_of(spark.read.text(f"{path}/{SCHEMA_FOLDER}", wholetext=True))
+
+
+def _schema_of(kept: DataFrame) -> T.StructType:
+    return T.StructType.fromJson(json.loads(kept.first().value))
 
 
 def keep_schema(spark: SparkSession, path: str, new: T.StructType) -> T.StructType:
-    """Merge a schema into the one kept beside a table; refused if they do not go together."""
-    known = stored_schema(spark, path)
-    merged = merge_schemas(known or new, new)
-    if known != merged:
-        kept = spark.createDataFrame([(merged.json(),)], "value string").coalesce(1)
-        kept.write.mode("overwrite").text(f"{path}/{SCHEMA_FOLDER}")
-    return merged
+    """Merge a schema into the one kept beside a table; refused if they do not go together.
+
+    Every change is a version, so at no time is there none, and of two writers the later one merges
+    its schema into the earlier one's.
+    """
+
+    def change(kept: DataFrame | None) -> DataFrame | None:
+        known = stored_schema(spark, path) if kept is None else _schema_of(kept)
+        merged = merge_schemas(known or new, new)
+        if known == merged and kept is not None:
+            return None
+        return spark.createDataFrame([(merged.json(),)], _KEPT).coalesce(1)
+
+    update(spark, f"{path}/{SCHEMA_FOLDER}", _KEPT, change)
+    return stored_schema(spark, path)
 
 
 def append_evolving(df: DataFrame, path: str, known: T.StructType | None = None) -> T.StructType:
@@ -100,3 +117,24 @@ def add_missing_columns(spark: SparkSession, table: str, schema: T.StructType) -
         )
         spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({columns})")
     return [f.name for f in missing]
+
+
+def reconcile_table(spark: SparkSession, table: str, schema: T.StructType) -> list[str]:
+    """Bring a catalog table up to a stream's schema before the stream starts; the columns added.
+
+    A changed type is refused, also inside objects.  So is a further field inside an object: Spark
+    adds only whole columns to tables of files.  A table that is not there yet is left to the sink.
+    """
+    if not spark.catalog.tableExists(table):
+        return []
+    known = spark.table(table).schema
+    merged = merge_schemas(known, schema)
+    grown = [f.name for f in known.fields if merged[f.name].dataType != _nullable(f.dataType)]
+    if grown:
+        raise ValueError(f"{table}: fields inside {', '.join(grown)} cannot be added to")
+    return add_missing_columns(spark, table, schema)
+
+
+def _nullable(kind: T.DataType) -> T.DataType:
+    """A type as merging leaves it."""
+    return merge_types(kind, kind, "")

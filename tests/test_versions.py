@@ -1,0 +1,141 @@
+"""Versions made by compare-and-set, and what is built on them."""
+import os
+
+import pytest
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from eventweir import versions
+from eventweir.operators import registry as reg
+from eventweir.streaming import evolving
+
+
+def rows(spark, *names):
+    return spark.createDataFrame([(n,) for n in names], "name string")
+
+
+def names(df):
+    return sorted(r.name for r in df.collect())
+
+
+def test_only_one_writer_makes_a_version(spark, tmp_path):
+    path = str(tmp_path)
+    assert versions.newest(spark, path, "name string") == (0, None)
+    assert versions.save_version(rows(spark, "a"), path, 1)
+    assert not versions.save_version(rows(spark, "b"), path, 1)
+    version, kept = versions.newest(spark, path, "name string")
+    assert version == 1 and names(kept) == ["a"]
+    assert [f for f in os.listdir(path) if f.startswith("_draft")] == []
+
+
+def test_a_writer_that_loses_at_the_last_moment(spark, tmp_path, monkeypatch):
+    """Both see no version 1; the move of the second is refused by the file system."""
+    path = str(tmp_path)
+    seen = versions.committed(spark, path)
+    versions.save_version(rows(spark, "first"), path, 1)
+    monkeypatch.setattr(versions, "committed", lambda *_: seen if not calls.append(1) and len(calls) < 2 else [1])
+    calls = []
+    assert not versions.save_version(rows(spark, "second"), path, 1)
+    monkeypatch.undo()
+    assert names(versions.newest(spark, path, "name string")[1]) == ["first"]
+
+
+def test_unfinished_writes_are_passed_over(spark, tmp_path):
+    path = str(tmp_path)
+    versions.save_version(rows(spark, "a"), path, 1)
+    rows(spark, "half").write.parquet(f"{path}/version=2")
+    os.remove(f"{path}/version=2/_SUCCESS")
+    os.makedirs(f"{path}/_draft-x")
+    assert versions.newest(spark, path, "name string")[0] == 1
+    assert versions.save_version(rows(spark, "b"), path, 2)
+    assert names(versions.newest(spark, path, "name string")[1]) == ["b"]
+
+
+def test_update_starts_again_from_the_other_writer(spark, tmp_path):
+    path, others = str(tmp_path), ["x", "y"]
+
+    def change(known):
+        mine = rows(spark, "mine")
+        result = mine if known is None else known.union(mine)
+        if others:
+            theirs = rows(spark, others.pop())
+            version, now = versions.newest(spark, path, "name string")
+            versions.save_version(theirs if now is None else now.union(theirs), path, version + 1)
+        return result
+
+    assert versions.update(spark, path, "name string", change) == 3
+    assert names(versions.newest(spark, path, "name string")[1]) == ["mine", "x", "y"]
+    assert versions.update(spark, path, "name string", lambda known: None) == 3
+
+
+def test_interleaved_allocators_lose_nothing(spark, tmp_path):
+    path = str(tmp_path / "registry")
+    topics = [(f"t{i}", "p0" if i == 0 else None, "topic_based", None) for i in range(9)]
+    reg.save_registry(spark.createDataFrame(topics, reg.REGISTRY_SCHEMA), path, 1)
+    dealt = []
+
+    def allocator(name, first, meanwhile=()):
+        waiting = list(meanwhile)
+
+        def assign(rows):
+            free = sorted(r.topic for r in reg.unallocated(rows).collect())[:first]
+            for other in waiting:
+                other()
+            waiting.clear()
+            dealt.append((name, tuple(free)))
+            return spark.createDataFrame([(t, name) for t in free], "topic_name string, pipeline_id string")
+
+        return lambda: reg.update_registry(spark, path, assign)
+
+    assert allocator("a", 4, [allocator("b", 3)])() == 3
+    found = {r.topic_name: r.pipeline_id for r in reg.load_registry(spark, path).collect()}
+    assert found == {"t0": "p0"} | {f"t{i}": "b" for i in (1, 2, 3)} | {f"t{i}": "a" for i in (4, 5, 6, 7)} | {"t8": None}
+    assert len(dealt) == 3  # the loser was asked twice
+
+
+def test_an_update_needs_a_registry(spark, tmp_path):
+    with pytest.raises(ValueError, match="no committed registry"):
+        reg.update_registry(spark, str(tmp_path / "none"), lambda rows: rows)
+
+
+def test_the_schema_beside_a_table_is_never_missing(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "table")
+    first = T.StructType.fromDDL("a int")
+    assert evolving.keep_schema(spark, path, first) == first
+
+    def dies(*_):
+        raise RuntimeError("driver lost")
+
+    monkeypatch.setattr(versions, "_moved", dies)
+    with pytest.raises(RuntimeError):
+        evolving.keep_schema(spark, path, T.StructType.fromDDL("a int, b string"))
+    monkeypatch.undo()
+    assert evolving.stored_schema(spark, path) == first
+    with pytest.raises(ValueError, match="cannot append"):
+        evolving.keep_schema(spark, path, T.StructType.fromDDL("a string"))
+    both = evolving.keep_schema(spark, path, T.StructType.fromDDL("b string"))
+    assert evolving.stored_schema(spark, path) == both == T.StructType.fromDDL("a int, b string")
+
+
+def test_schemas_kept_before_there_were_versions(spark, tmp_path):
+    path = str(tmp_path / "table")
+    old = T.StructType.fromDDL("a int")
+    spark.createDataFrame([(old.json(),)], "value string").coalesce(1).write.text(f"{path}/_schema")
+    assert evolving.stored_schema(spark, path) == old
+    evolving.keep_schema(spark, path, T.StructType.fromDDL("b int"))
+    assert evolving.stored_schema(spark, path) == T.StructType.fromDDL("a int, b int")
+
+
+def test_catalog_tables_are_reconciled(spark):
+    spark.sql("DROP TABLE IF EXISTS grows")
+    assert evolving.reconcile_table(spark, "grows", T.StructType.fromDDL("a int")) == []
+    spark.range(2).select(F.col("id").alias("a"), F.struct("id").alias("o")).write.saveAsTable("grows")
+    try:
+        wider = T.StructType.fromDDL("a bigint, o struct<id:bigint>, `odd ``name` string")
+        assert evolving.reconcile_table(spark, "grows", wider) == ["odd `name"]
+        assert spark.table("grows").columns == ["a", "o", "odd `name"]
+        for refused in ("a string", "o struct<id:string>", "o struct<id:bigint,more:int>", "A bigint"):
+            with pytest.raises(ValueError):
+                evolving.reconcile_table(spark, "grows", T.StructType.fromDDL(refused))
+    finally:
+        spark.sql("DROP TABLE grows")
