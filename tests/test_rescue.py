@@ -1,0 +1,90 @@
+import json
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from eventweir.functions.decoding import decode_column
+from eventweir.functions.rescue import rescued
+
+DDL = (
+    "id int, n bigint, d double, b boolean, s string, at timestamp, o struct<p:struct<q:double>,r:bigint>,"
+    " l array<bigint>, ls array<struct<x:bigint>>, m map<string,bigint>"
+)
+
+
+def decoded(spark, texts, ddl=DDL):
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    struct = F.to_json(decode_column(F.col("t"), ddl).dropFields("_corrupt_record"))
+    rows = df.select("i", struct.alias("d"), rescued(F.col("t"), ddl).alias("r")).collect()
+    return [(r.d, r.r) for r in sorted(rows, key=lambda r: r.i)]
+
+
+def laid_over(below, above):
+    if isinstance(below, dict) and isinstance(above, dict):
+        return below | {k: laid_over(below.get(k), v) for k, v in above.items()}
+    return above
+
+
+def without_nulls(value):
+    """Null fields are no different from missing ones; neither are objects of nothing else."""
+    if isinstance(value, dict):
+        kept = {k: without_nulls(v) for k, v in value.items() if v is not None}
+        return {k: v for k, v in kept.items() if v != {}}
+    return [without_nulls(v) for v in value] if isinstance(value, list) else value
+
+
+def drawn(n, seed):
+    draw = random.Random(seed)
+
+    def value(depth=2):
+        kind = draw.randrange(10)
+        plain = [None, 5, 2**40, 1.5, True, "t", "7", False][min(kind, 7)]
+        if depth and kind == 8:
+            return [value(depth - 1) for _ in range(draw.randrange(3))]
+        if depth and kind == 9:
+            return {k: value(depth - 1) for k in draw.sample(["p", "q", "r", "x", "é"], draw.randrange(4))}
+        return plain
+
+    names = ["id", "n", "d", "b", "o", "l", "ls", "m", "extra", "Id", "a.b"]
+    return [{k: value() for k in draw.sample(names, draw.randrange(1, 7))} for _ in range(n)]
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_decoded_and_remainder_give_back_the_payload(spark, seed):
+    payloads = drawn(150, seed)
+    for payload, (row, rest) in zip(payloads, decoded(spark, [json.dumps(p) for p in payloads]), strict=True):
+        both = laid_over(json.loads(row or "{}"), json.loads(rest or "{}"))
+        assert without_nulls(both) == without_nulls(payload), (payload, row, rest)
+
+
+def test_nothing_is_left_of_what_is_declared(spark):
+    full = '{"id":1,"n":2,"d":1,"b":true,"s":"x","o":{"p":{"q":2},"r":null},"l":[1,null],"ls":[{"x":1}],"m":{"k":1}}'
+    assert [rest for _, rest in decoded(spark, [full, "{}", '{"s":{"any":[1]}}', '{"id":null,"zz":null}'])] == [
+        None, None, None, '{"zz":null}',
+    ]
+
+
+def test_values_that_do_not_fit(spark):
+    texts = ['{"id":3000000000}', '{"id":"5"}', '{"n":1.5}', '{"b":1}', '{"o":5}', '{"o":{"p":7,"r":1}}']
+    texts += ['{"l":[1,"t"]}', '{"ls":[{"x":1},{"x":1,"y":2}]}', '{"m":{"k":"t"}}', '{"l":{}}', '{"at":"soon"}']
+    found = [rest for _, rest in decoded(spark, texts)]
+    assert found == [*texts[:5], '{"o":{"p":7}}', *texts[6:]]
+
+
+def test_what_is_no_object_comes_back_whole(spark):
+    texts = ["broken", "[1]", '"t"', "", None, '{"id":1,"id":2}', '{"id":1']
+    assert [rest for _, rest in decoded(spark, texts)] == texts
+
+
+def test_deep_objects_and_many_fields(spark):
+    ddl = ", ".join(f"f{i} bigint" for i in range(60)) + ", a struct<b:struct<c:struct<d:struct<e:bigint>>>>"
+    text = json.dumps({"f3": 1, "f99": 2, "a": {"b": {"c": {"d": {"e": 1, "z": 2}, "y": 3}}}})
+    assert json.loads(decoded(spark, [text], ddl)[0][1]) == {
+        "f99": 2, "a": {"b": {"c": {"d": {"z": 2}, "y": 3}}},
+    }
+
+
+def test_it_is_all_built_in(spark):
+    df = spark.createDataFrame([("{}",)], "t string").select(rescued(F.col("t"), DDL))
+    assert "Python" not in df._jdf.queryExecution().executedPlan().toString()
