@@ -10,9 +10,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from checks import fixture as fx
-from eventweir.functions.decoding import CORRUPT
-from eventweir.functions.envelope import MICROSECOND_JSON, POSITION_METADATA
-from eventweir.operators import publishing, registry, routing, schema_drift, schema_sampling
+from eventweir.functions.decoding import CORRUPT, decode_column, payload_schema
+from eventweir.functions.envelope import MICROSECOND_JSON, POSITION_METADATA, payload_text
+from eventweir.functions.rescue import rescued
+from eventweir.functions.typetrees import overlay, path_hints
+from eventweir.operators import (
+    publishing,
+    registry,
+    routing,
+    sampling_ledger,
+    schema_drift,
+    schema_sampling,
+    schema_tracking,
+)
 from eventweir.operators.projections import DECODED, topic_table
 from eventweir.operators.targets import target_collisions, target_plan
 from eventweir.plans.config import (
@@ -21,11 +31,14 @@ from eventweir.plans.config import (
     TopicConfig,
     topics_without_config,
 )
+from eventweir.plans.flow_control import flow_changes, requested_flows
 from eventweir.plans.use_cases import labelled_bronze, split_by_topic
-from eventweir.sources.files import stream_table, topic_reader
+from eventweir.sources.files import stream_files, stream_table, topic_reader
 from eventweir.streaming import flows, sinks
+from eventweir.streaming.counts import batch_counts
 from eventweir.streaming.evolving import append_evolving, read_evolving
-from eventweir.workspace import fresh_path, materialise, read_written
+from eventweir.streaming.receiving import deduplicated
+from eventweir.workspace import fresh_path, materialise, read_written, write_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -261,6 +274,70 @@ def payload_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     return schema_drift.payload_rejects(_nested(spark, sf_dir))
 
 
+def schema_tracked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The schema that three micro-batches were folded into, one after the other."""
+    path = fresh_path(spark, "schema_tracked")
+    stream = fx.nested_envelopes(fx.stream_events(spark, sf_dir))
+    flows.tracking_flow(
+        stream, f"{path}/schemas", f"{path}/checkpoint", "tracked", sinks.AVAILABLE_NOW
+    ).awaitTermination()
+    return schema_tracking.tracked_schemas(spark, f"{path}/schemas")
+
+
+def sample_increment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Schemas and offsets after two samples, the second of which goes on behind the first."""
+    path = fresh_path(spark, "sample_increment")
+    envelope = _nested(spark, sf_dir)
+    early = envelope.where(F.col("offset") < envelope.agg(F.median("offset")).first()[0])
+    for part in (early, envelope):
+        sampling_ledger.sample_increment(part, f"{path}/schemas", f"{path}/ledger")
+    schemas = schema_tracking.tracked_schemas(spark, f"{path}/schemas")
+    return sampling_ledger.load_ledger(spark, f"{path}/ledger").join(schemas, "topic")
+
+
+# A nested field and an element type that are hinted, by path, and one hinted as a whole.
+HINTS = {"o.p.q": "string", "l[]": "variant", "id": "int", "o.more": "string"}
+
+
+def decode_hinted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Decoded by the schema that the messages have, some of its parts replaced by hints."""
+    envelope = _nested(spark, sf_dir)
+    (found,) = schema_sampling.infer_schemas(envelope).collect()
+    schema = overlay(payload_schema(found.schema_ddl), path_hints(HINTS))
+    decoded = envelope.select("offset", decode_column(payload_text(), schema).alias("d"))
+    return decoded.select(
+        "offset",
+        "d.id",
+        F.col("d.o.p.q").alias("q"),
+        F.col("d.o.s").alias("s"),
+        F.col("d.o.more").alias("more"),
+        F.size("d.l").alias("l_size"),
+        F.to_json(F.get("d.l", F.lit(0))).alias("l_first"),
+        F.col("d.e").alias("e"),
+        F.col("d.w").alias("w"),
+    )
+
+
+RESCUE_DDL = "id int, o struct<p:struct<q:double>>, l array<bigint>, w bigint"
+
+
+def decode_rescued(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Some fields decoded, and all that the schema does not name or cannot hold in one column."""
+    decoded = _nested(spark, sf_dir).select(
+        "offset",
+        decode_column(payload_text(), RESCUE_DDL).alias("d"),
+        rescued(payload_text(), RESCUE_DDL).alias("rescued"),
+    )
+    return decoded.select(
+        "offset",
+        "d.id",
+        F.col("d.o.p.q").alias("q"),
+        F.array_join("d.l", ",").alias("l"),
+        "d.w",
+        "rescued",
+    )
+
+
 # An older configuration: ``value`` was whole, ``event_id`` a fraction, ``props`` not there yet,
 # ``country`` still sent.
 OLD_DDL = (
@@ -368,14 +445,25 @@ def registry_saved(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The registry after dealing, by way of two saved versions."""
     path = fresh_path(spark, "registry")
     registry.save_registry(fx.registry(spark, sf_dir), path, 1)
-    loaded = registry.load_registry(spark, path)
-    allocation = materialise(registry.allocate(loaded, fx.LIMIT), "allocation")
-    known = allocation.where(F.col("pipeline_id").isNotNull())
-    updates = known.select("topic_name", "pipeline_id")
-    registry.save_registry(registry.merge_assignments(loaded, updates), path, 2)
+    registry.update_registry(spark, path, lambda rows: _dealt(rows))
     return _joined_types(registry.load_registry(spark, path))
 
 
+def _dealt(rows: DataFrame) -> DataFrame:
+    allocation = materialise(registry.allocate(rows, fx.LIMIT), "allocation")
+    return registry.assignments(allocation)
+
+
+def changes_of_flows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is to be done when pipelines run other topics than the registry gives them."""
+    rows = fx.registry(spark, sf_dir)
+    key = F.substring("topic_name", 2, 8).cast("long")
+    running = rows.where(key % 5 == 0).withColumn(
+        "pipeline_id", F.concat(F.lit("p"), F.lpad((key % 40).cast("string"), 3, "0"))
+    )
+    return flow_changes(requested_flows(rows), requested_flows(running))
+
+
 def collisions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return target_collisions(target_plan(fx.registry(spark, sf_dir)))
 
@@ -491,6 +579,57 @@ def stream_schema_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _key_text(routing.valid(sinks.read_batches(spark, f"{path}/table")))
 
 
+def stream_conservation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records by outcome, counted while the micro-batches were written."""
+    path = fresh_path(spark, "stream_conservation")
+    flows.payload_flow(
+        _stream_labelled(spark, sf_dir), f"{path}/table", f"{path}/checkpoint", "counted",
+        trigger=sinks.AVAILABLE_NOW, counts=f"{path}/counts",
+    ).awaitTermination()
+    found = batch_counts(spark, f"{path}/counts").groupBy("outcome")
+    return found.agg(F.sum("records").alias("records"), F.count_distinct("batch_id").alias("batches"))
+
+
+def stream_catalog_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One catalog table filled by two runs of a flow, the first of which did not know ``props``.
+
+    Half of the events come after the first run.
+    """
+    topic = f"events_{uuid.uuid4().hex}"
+    path = fresh_path(spark, "stream_catalog_merge")
+    events = fx.read_events(spark, sf_dir)
+    early = fx.PAYLOAD_DDL.replace(", props string", "")
+    for part, ddl in enumerate((early, fx.PAYLOAD_DDL)):
+        come = events.where(F.abs(F.col("event_id")) % 2 == part)
+        come.write.mode("append").parquet(f"{path}/events")
+        stream = fx.envelopes(stream_files(spark, f"{path}/events", events.schema))
+        (query,) = flows.topic_flows(
+            lambda name, stream=stream: stream,
+            [TopicConfig(topic, TOPIC_BASED, ddl)],
+            None,
+            f"{path}/checkpoints",
+            sinks.AVAILABLE_NOW,
+        )
+        query.awaitTermination()
+    rows = write_table(spark.table(f"silver_{topic}"), f"{path}/rows")
+    spark.sql(f"DROP TABLE silver_{topic}")
+    return _key_text(rows)
+
+
+def stream_deduplicated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records of a stream some of which come twice, each once."""
+    path = fresh_path(spark, "stream_deduplicated")
+    stream = fx.repeated_envelopes(spark, sf_dir)
+    once = deduplicated(stream, "4000 days", time="timestamp")
+    sinks.table_sink(
+        once, f"{path}/table", f"{path}/checkpoint", trigger=sinks.AVAILABLE_NOW
+    ).awaitTermination()
+    found = read_written(spark, f"{path}/table", once.schema)
+    return found.select(
+        "topic", "partition", "offset", F.col("value").cast("string").alias("value")
+    )
+
+
 def stream_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     messages, _ = _run_payload_flow(spark, sf_dir, "stream_quarantine", _quarantine)
     return sinks.read_messages(spark, f"{messages}/0")
@@ -539,6 +678,10 @@ QUERIES: dict[str, Query] = {
     "field_profile_nested": field_profile_nested,
     "schema_drift_nested": drift_nested,
     "payload_rejects": payload_rejects,
+    "schema_tracked": schema_tracked,
+    "sample_increment": sample_increment,
+    "decode_hinted": decode_hinted,
+    "decode_rescued": decode_rescued,
     "schema_merge_read": schema_merge_read,
     "registry": registry_rows,
     "registry_load": registry_load,
@@ -555,6 +698,7 @@ QUERIES: dict[str, Query] = {
     "target_collisions_across_kinds": collisions_across_kinds,
     "topics_without_config": without_config,
     "registry_saved": registry_saved,
+    "flow_changes": changes_of_flows,
     "stream_bronze": stream_bronze,
     "stream_topic_table": stream_topic_table,
     "stream_routes": stream_routes,
@@ -562,6 +706,9 @@ QUERIES: dict[str, Query] = {
     "stream_table_routes": stream_table_routes,
     "stream_valid": stream_valid,
     "stream_schema_merge": stream_schema_merge,
+    "stream_catalog_merge": stream_catalog_merge,
+    "stream_conservation": stream_conservation,
+    "stream_deduplicated": stream_deduplicated,
     "stream_quarantine": stream_quarantine,
     "stream_rejects": stream_rejects,
     "stream_publish": stream_publish,

@@ -162,6 +162,20 @@ def _enveloped(events: DataFrame, text: Column, topic: Column) -> DataFrame:
     )
 
 
+def repeated_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The envelopes as a stream in which every third record comes again in a later batch."""
+    key = (spark.sparkContext.applicationId, f"{sf_dir}/repeated")
+    if key not in _staged:
+        _staged[key] = fresh_path(spark, "repeated")
+        rows = envelopes(read_events(spark, sf_dir)).withColumn(
+            "timestamp", F.col("timestamp").cast("timestamp")
+        )
+        for part in (rows, rows.where(F.col("offset") % 3 == 0)):
+            part.coalesce(MICRO_BATCHES).write.mode("append").parquet(_staged[key])
+    schema = spark.read.parquet(_staged[key]).schema
+    return stream_files(spark, _staged[key], schema, max_files=1)
+
+
 def topic_envelopes(events: DataFrame) -> DataFrame:
     """All envelopes in the combined topic, well-formed ones in the topic of their type as well."""
     own_topic = F.when(F.col("event_id") % 97 != 0, payload_columns()["eventType"])

@@ -244,6 +244,34 @@ _NESTED_VERDICTS = """
   ('gone', 'string', NULL, 'never_seen')) r(field, registered_type, observed_type, verdict)
 """
 
+# The type of each of the nested fixture's fields, out of the messages there are.
+_NESTED_TREE = f"""
+whole AS (
+  SELECT event_id AS e FROM events
+  WHERE event_id % 97 <> 0 AND event_id % 89 <> 0 AND event_id % 83 <> 0),
+kinds AS (
+  SELECT CASE WHEN bool_or(e % 2 <> 0) THEN 'double' ELSE 'bigint' END AS q,
+         CASE WHEN bool_or(e % 5 = 0) THEN 'string' ELSE 'bigint' END AS w,
+         CASE WHEN bool_or(e % 3 = 0) AND bool_or(e % 3 = 1) THEN 'string'
+              WHEN bool_or(e % 3 = 0) THEN 'bigint'
+              WHEN bool_or(e % 3 = 1) THEN 'struct<x:string>' ELSE 'string' END AS l
+  FROM whole HAVING count(*) > 0),
+tree AS (
+  SELECT '{TOPIC}' AS topic, 'struct<e:string,id:bigint,l:array<' || l || '>,o:struct<p:struct<q:'
+         || q || '>,s:string>,v:array<string>,w:' || w || '>' AS schema_ddl
+  FROM kinds)
+"""
+
+# The nested fixture's payloads: well-formed, and what is in their fields.
+_NESTED_ROWS = """
+rows AS (
+  SELECT event_id AS e, user_id,
+         event_id % 97 <> 0 AND event_id % 89 <> 0 AND event_id % 83 <> 0 AS good,
+         CASE WHEN event_id % 97 = 0 THEN 'broken' WHEN event_id % 89 = 0 THEN '[1]'
+              WHEN event_id % 83 = 0 THEN '{"a":1,"a":2}' END AS bad
+  FROM events)
+"""
+
 _REG = """
 reg AS (
   SELECT 't' || lpad(CAST(c_custkey AS VARCHAR), 8, '0') AS topic_name,
@@ -389,6 +417,37 @@ SELECT '{TOPIC}' AS topic,
        CASE WHEN event_id % 97 = 0 THEN 'malformed' WHEN event_id % 89 = 0 THEN 'not_object'
             ELSE 'repeated_key' END AS reject, count(*) AS records
 FROM events WHERE event_id % 97 = 0 OR event_id % 89 = 0 OR event_id % 83 = 0 GROUP BY 2
+""",
+    "schema_tracked": f"WITH {_NESTED_TREE} SELECT topic, schema_ddl FROM tree",
+    "sample_increment": f"""
+WITH {_NESTED_TREE}
+SELECT topic, partition, end_offset, schema_ddl
+FROM (SELECT CAST(user_id % 4 AS INTEGER) AS partition, max(event_id) + 1 AS end_offset
+      FROM events GROUP BY 1), tree
+""",
+    "decode_hinted": f"""
+WITH {_NESTED_ROWS}
+SELECT e AS "offset", CASE WHEN good THEN e::INTEGER END AS id,
+       CASE WHEN good THEN CASE WHEN e % 2 = 0 THEN e::VARCHAR ELSE e || '.5' END END AS q,
+       CASE WHEN good THEN 'x' END AS s, NULL::VARCHAR AS more,
+       CASE WHEN good THEN CASE WHEN e % 3 = 2 THEN 0 ELSE 2 END END AS l_size,
+       CASE WHEN good THEN CASE e % 3 WHEN 0 THEN '1' WHEN 1 THEN '{{"x":1}}' END END AS l_first,
+       CASE WHEN good THEN '{{}}' END AS e,
+       CASE WHEN good THEN CASE WHEN e % 5 = 0 THEN 'oops' ELSE '5' END END AS w
+FROM rows
+""",
+    "decode_rescued": f"""
+WITH {_NESTED_ROWS}
+SELECT e AS "offset", CASE WHEN good THEN e::INTEGER END AS id,
+       CASE WHEN good THEN e + CASE WHEN e % 2 = 0 THEN 0 ELSE 0.5 END END::DOUBLE AS q,
+       CASE WHEN good THEN CASE e % 3 WHEN 0 THEN '1,2' WHEN 2 THEN '' END END AS l,
+       CASE WHEN good AND e % 5 <> 0 THEN 5::BIGINT END AS w,
+       CASE WHEN good THEN '{{"e":{{}},'
+              || CASE WHEN e % 3 = 1 THEN '"l":[{{"x":1}},{{"x":"t"}}],' ELSE '' END
+              || '"o":{{"s":"x"}},"v":[]' || CASE WHEN e % 5 = 0 THEN ',"w":"oops"' ELSE '' END
+              || '}}'
+            ELSE bad END AS rescued
+FROM rows
 """,
     "schema_merge_read": _EVOLVING,
     "registry": f"WITH {_REG} SELECT {_REGISTRY_ROW} FROM reg",
@@ -437,6 +496,17 @@ WITH {_ALLOCATION}
 SELECT reg.topic_name, coalesce(a.pipeline_id, reg.pipeline_id) AS pipeline_id, kind,
        array_to_string(event_types, ',') AS event_types
 FROM reg LEFT JOIN allocation a ON reg.topic_name = a.topic_name
+""",
+    "flow_changes": f"""
+WITH {_REG},
+flows AS (
+  SELECT *, substr(topic_name, 2)::BIGINT AS k,
+         CASE WHEN kind = 'payload_based' THEN 'bronze_' ELSE 'silver_' END || topic_name AS flow
+  FROM reg)
+SELECT coalesce(pipeline_id, 'p' || lpad(CAST(k % 40 AS VARCHAR), 3, '0')) AS pipeline_id, flow,
+       topic_name AS topic,
+       CASE WHEN k % 3 <> 0 THEN 'stop' WHEN k % 5 <> 0 THEN 'start' ELSE 'keep' END AS action
+FROM flows WHERE k % 3 = 0 OR k % 5 = 0
 """,
     "stream_bronze": _BRONZE,
     "stream_topic_table": _DECODE_FLAT,
@@ -447,7 +517,27 @@ FROM reg LEFT JOIN allocation a ON reg.topic_name = a.topic_name
     "stream_schema_merge": f"""
 WITH {_SRC} SELECT {_ROUTE_COLUMNS} FROM routed WHERE ec = '0'
 UNION ALL SELECT * REPLACE (NULL AS props) FROM ({_route("ec = '0'")})
-""",    "stream_quarantine": _QUARANTINE,
+""",
+    "stream_catalog_merge": f"""
+SELECT * REPLACE (CASE WHEN abs("offset") % 2 = 1 THEN props END AS props) FROM ({_DECODE_FLAT})
+""",
+    "stream_conservation": f"""
+WITH {_SRC},
+outcomes AS (
+  SELECT CASE WHEN broken OR coalesce(etype NOT IN {EVENT_TYPES}, true) THEN '_unrouted'
+              WHEN ec = '0' THEN 'valid' WHEN ec = '1' THEN 'faulty' ELSE 'undetermined' END AS o
+  FROM src)
+SELECT outcome, count(o) AS records, 3::BIGINT AS batches
+FROM (VALUES ('valid'), ('faulty'), ('undetermined'), ('partial'), ('_unrouted')) t(outcome)
+LEFT JOIN outcomes ON o = outcome GROUP BY outcome
+""",
+    "stream_deduplicated": f"""
+WITH {_SRC}
+SELECT '{TOPIC}' AS topic, CAST(user_id % 4 AS INTEGER) AS partition, event_id AS "offset",
+       CASE WHEN broken THEN 'broken ' || event_id ELSE value_json END AS value
+FROM (SELECT *, {_json(())} AS value_json FROM src)
+""",
+    "stream_quarantine": _QUARANTINE,
     "stream_publish": _PUBLISH_ALL,
     "stream_all_messages": (
         f"SELECT * FROM ({_QUARANTINE}) UNION ALL SELECT * FROM ({_PUBLISH_ALL})"

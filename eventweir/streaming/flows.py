@@ -10,8 +10,10 @@ from pyspark.sql.streaming import StreamingQuery
 from eventweir.functions.envelope import ROUTE_METADATA
 from eventweir.operators.publishing import publish_quarantine, publish_rejects, publish_routes
 from eventweir.operators.routing import LABELS, QUARANTINE_POLICIES, quarantined, rejects
+from eventweir.operators.schema_tracking import fold_schemas
 from eventweir.plans.config import PAYLOAD_BASED, TopicConfig, of_kind
 from eventweir.plans.use_cases import labelled_bronze, split_by_topic
+from eventweir.streaming.counts import write_counted
 from eventweir.streaming.evolving import keep_schema
 from eventweir.streaming.sinks import (
     BatchWriter,
@@ -26,10 +28,19 @@ from eventweir.workspace import read_written
 
 
 def topic_flows(
-    read_topic, configs: Iterable[TopicConfig], root: str, checkpoints: str, trigger=None
+    read_topic, configs: Iterable[TopicConfig], root: str | None, checkpoints: str, trigger=None
 ) -> list[StreamingQuery]:
-    """One stream per single-type topic into its table ``root/silver_{topic}``."""
+    """One stream per single-type topic into its table ``root/silver_{topic}``.
+
+    Without a ``root`` into the catalog table ``silver_{topic}``, which grows by the columns that a
+    restart's configuration has more.
+    """
     tables = split_by_topic(read_topic, configs)
+    if root is None:
+        return [
+            catalog_sink(df, name, f"{checkpoints}/{name}", name=name, trigger=trigger)
+            for name, df in tables.items()
+        ]
     return [
         table_sink(df, f"{root}/{name}", f"{checkpoints}/{name}", name=name, trigger=trigger)
         for name, df in tables.items()
@@ -70,6 +81,7 @@ def payload_flow(
     app_id: str,
     outputs: Sequence[tuple[MessagesOf, BatchWriter]] = (),
     trigger=None,
+    counts: str | None = None,
 ) -> StreamingQuery:
     """A labelled stream into one idempotent table, and messages made from it.
 
@@ -79,11 +91,17 @@ def payload_flow(
 
     The schema is merged into the one kept beside the table before the stream starts: a restart may
     bring further payload fields, one that changes a field's type is refused.
+
+    With a folder for ``counts`` the records of each micro-batch are counted by outcome while they
+    are written, see ``batch_counts``.
     """
     keep_schema(labelled.sparkSession, path, labelled.schema)
 
     def process(batch: DataFrame, batch_id: int) -> None:
-        replace_batch(batch, path, app_id, batch_id, LABELS)
+        if counts is None:
+            replace_batch(batch, path, app_id, batch_id, LABELS)
+        else:
+            write_counted(batch, path, counts, app_id, batch_id, LABELS)
         for messages_of, send in outputs:
             send(messages_of(written_batch(batch, path, app_id, batch_id)), batch_id)
 
@@ -127,6 +145,21 @@ def written_batch(batch: DataFrame, path: str, app_id: str, batch_id: int) -> Da
     return read_written(batch.sparkSession, batch_path(path, app_id, batch_id), batch.schema)
 
 
+def tracking_flow(
+    stream: DataFrame, path: str, checkpoint: str, name: str, trigger=None
+) -> StreamingQuery:
+    """Fold every micro-batch of envelopes into the schemas kept at ``path``.
+
+    Folding a replayed batch changes nothing.  A schema that has grown is taken up by the flows that
+    decode with it when they are started again.
+    """
+
+    def process(batch: DataFrame, batch_id: int) -> None:
+        fold_schemas(batch, path)
+
+    return batch_sink(stream, process, checkpoint, f"track_{name}", trigger)
+
+
 def kafka_flow(labelled_table: DataFrame, topic: str, servers: str, checkpoint: str, **options):
     """Stream a bronze table's routed records to Kafka, each to the topic of its type.
 

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
-from eventweir.streaming.evolving import stored_schema
+from eventweir.streaming.evolving import reconcile_table, stored_schema
 from eventweir.workspace import matching_paths, read_written, remove, write_table
 
 AVAILABLE_NOW = {"availableNow": True}
@@ -39,7 +39,12 @@ def table_sink(
     name: str | None = None,
     trigger: dict | None = None,
 ) -> StreamingQuery:
-    """Append a stream to a folder of parquet files."""
+    """Append a stream to a folder of parquet files.
+
+    A fresh checkpoint is refused where the folder holds batches of another: Spark tells batches by
+    their numbers, which start over, and would pass over the new ones as already written.
+    """
+    _check_numbers(stream.sparkSession, path, checkpoint)
     writer = _writer(stream, checkpoint, name, trigger).format("parquet").outputMode("append")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
@@ -55,8 +60,16 @@ def catalog_sink(
     trigger: dict | None = None,
     comment: str | None = None,
 ) -> StreamingQuery:
-    """Append a stream to a catalog table, created on first use."""
+    """Append a stream to a catalog table, created on first use.
+
+    A table that lacks some of the stream's columns gets them before the stream starts; rows written
+    earlier have NULL there.  A column that has changed its type is refused.
+    """
     spark = stream.sparkSession
+    reconcile_table(spark, table, stream.schema)
+    if spark.catalog.tableExists(table):
+        about = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where("col_name = 'Location'")
+        _check_numbers(spark, about.first().data_type, checkpoint)
     writer = _writer(stream, checkpoint, name, trigger).format("parquet").outputMode("append")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
@@ -67,6 +80,13 @@ def catalog_sink(
     return query
 
 
+def _check_numbers(spark: SparkSession, path: str, checkpoint: str) -> None:
+    if matching_paths(spark, f"{path}/_spark_metadata/*") and not matching_paths(
+        spark, f"{checkpoint}/offsets/*"
+    ):
+        raise ValueError(f"{path} holds batches of another checkpoint than {checkpoint}")
+
+
 def batch_sink(
     stream: DataFrame,
     process: BatchWriter,
@@ -150,21 +170,41 @@ def read_batches(
 ) -> DataFrame:
     """The table written by ``replace_batch``, without its bookkeeping columns.
 
-    Batches that ``compact_batches`` has packed are read from there.  Without a schema the table is
-    read by the one that ``payload_flow`` keeps beside it.
+    Only batches whose write has finished are read, so one that is being written or replaced is seen
+    whole or not at all.  Batches that ``compact_batches`` has packed are read from there.  Without a
+    schema the table is read by the one that ``payload_flow`` keeps beside it.
     """
     schema = schema or stored_schema(spark, path)
-    full = T.StructType(schema.fields + _BATCH_COLUMNS.fields)
-    table = read_written(spark, path, full)
     packed = packed_batches(spark, path)
-    for app_id, last in packed.items():
-        table = table.where(~((F.col("app_id") == app_id) & (F.col("batch_id") <= last)))
-    table = table.drop("app_id", "batch_id")
+    table = _read_folders(spark, path, schema, finished_batches(spark, path, packed))
     for app_id, last in packed.items():
         table = table.unionByName(read_written(spark, _packed_path(path, app_id, last), schema))
     return table
 
 
+def finished_batches(
+    spark: SparkSession, path: str, packed: dict[str, int] | None = None
+) -> list[str]:
+    """The folders of the batches whose write has finished and that are not packed."""
+    found = []
+    for marker in matching_paths(spark, f"{path}/app_id=*/batch_id=*/_SUCCESS"):
+        app_id, number = (part.split("=", 1)[1] for part in marker.split("/")[-3:-1])
+        if int(number) > (packed or {}).get(app_id, -1):
+            found.append(marker.removesuffix("/_SUCCESS"))
+    return found
+
+
+def _read_folders(
+    spark: SparkSession, path: str, schema: T.StructType, folders: Sequence[str]
+) -> DataFrame:
+    """Some batches' rows; ``compact_batches`` keeps their number small."""
+    if not folders:
+        return spark.createDataFrame([], schema)
+    full = T.StructType(schema.fields + _BATCH_COLUMNS.fields)
+    table = spark.read.schema(full).option("basePath", path).parquet(*folders)
+    return table.drop("app_id", "batch_id")
+
+
 PACKED = "_packed"
 
 
@@ -201,9 +241,12 @@ def compact_batches(
     before = packed_batches(spark, path).get(app_id, -1)
     if last <= before:
         return
-    full = T.StructType(schema.fields + _BATCH_COLUMNS.fields)
-    chosen = (F.col("app_id") == app_id) & F.col("batch_id").between(before + 1, last)
-    table = read_written(spark, path, full).where(chosen).drop("app_id", "batch_id")
+    folders = [
+        folder
+        for folder in finished_batches(spark, path, {app_id: before})
+        if f"/app_id={app_id}/" in f"{folder}/" and int(folder.rsplit("=", 1)[1]) <= last
+    ]
+    table = _read_folders(spark, path, schema, folders)
     if before >= 0:
         table = table.unionByName(read_written(spark, _packed_path(path, app_id, before), schema))
     write_table(table, _packed_path(path, app_id, last), partition_by, packed=bool(partition_by))
