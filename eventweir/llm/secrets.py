@@ -23,9 +23,11 @@ import lzma
 import re
 import sys
 import zlib
-from bisect import bisect_right
-from collections.abc import Iterator
+from bisect import bisect_left, bisect_right
+from collections.abc import Callable, Iterator
+from functools import partial
 
+import numpy as np
 import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
@@ -45,9 +47,11 @@ _ACCESS = re.compile("AKIA[A-Z0-9]+")
 #: Runs of hex digits are maximal, so asking for 32 finds just the runs that are long enough.
 _HEX = re.compile("[0-9a-f]{32,}")
 
-_PERCENT = re.compile("(?:%[0-9A-Fa-f]{2})+")
+#: Escapes of the escape character itself, nested so deep that half of the layers are passed over.
+_CHAINS = (r"%(?:25){8,}", r"\\(?:u005[cC]){8,}|\\(?:x5[cC]){8,}|&(?:\#38;){8,}|&(?:\#[xX]26;){8,}")
+_PERCENT = re.compile(_CHAINS[0] + "|(?:%[0-9A-Fa-f]{2})+")
 _ESCAPE = re.compile(
-    r"(?:\\u[0-9A-Fa-f]{4})+|\\u\{[0-9A-Fa-f]{1,6}\}|\\U[0-9A-Fa-f]{8}|(?:\\x[0-9A-Fa-f]{2})+"
+    _CHAINS[1] + r"|(?:\\u[0-9A-Fa-f]{4})+|\\u\{[0-9A-Fa-f]{1,6}\}|\\U[0-9A-Fa-f]{8}|(?:\\x[0-9A-Fa-f]{2})+"
     r"|&\#[0-9]{1,7};|&\#[xX][0-9A-Fa-f]{1,6};"
 )
 #: Shortest base64 run that is decoded: twelve bytes.  Further lines may be indented, the last may be
@@ -76,8 +80,10 @@ _BREAK = re.compile(
 )
 #: Bytes of a stream's end that are looked through for such a place first.
 TAIL = 1 << 12
-#: Starts behind separators that a find's place is looked for at.
-STARTS = 32
+#: Bytes of a stream without such a place that are held at most, and that the next ones begin with.
+HELD, OVERLAP = 8 << 20, 1 << 16
+#: Digits of a base64 run that are decoded at first to open a stream, the factor from then on.
+FEED, GROWTH = 1 << 12, 4
 
 
 def scan(text: str) -> list[tuple[str, int, int]]:
@@ -108,15 +114,21 @@ class Layer:
 
     def span(self, start: int, end: int) -> tuple[int, int]:
         """The span of the original text that a span of this layer stands for."""
-        if self.parent is None:
-            return start, end
+        layer = self
+        while layer.parent is not None:
+            start, end = layer.around(start, end)
+            layer = layer.parent
+        return start, end
+
+    def around(self, start: int, end: int) -> tuple[int, int]:
+        """The span of the layer around it."""
         if self.places is None:
-            return self.parent.span(*self.whole)
+            return self.whole
         first = self.places[bisect_right(self._offsets, start) - 1]
         last = self.places[bisect_right(self._offsets, end - 1) - 1]
         a = first[1] + (start - first[0] if first[3] else 0)
         b = last[1] + (end - last[0]) if last[3] else last[2]
-        return self.parent.span(a, b)
+        return a, b
 
 
 def _replaced(layer: Layer, pattern: re.Pattern, decode, name: str) -> Layer | None:
@@ -158,12 +170,29 @@ def _is_character(raw: bytes) -> bool:
         return False
 
 
+def _halved(match: str) -> Iterator[tuple[str, int, int]]:
+    """A chain of escapes of the escape character, half as long: as deep in it as all its layers."""
+    link = 1 + match.index(match[-1], 1) if match[-1] == ";" else {"%": 3, "u": 6, "x": 4}[
+        match[0] if match[0] == "%" else match[1]
+    ]
+    size = link - 1
+    links = (len(match) - 1) // size
+    yield match[: 1 + links // 2 * size], 0, len(match)
+
+
+_CHAIN = re.compile("|".join(_CHAINS))
+
+
 def _percent(match: str) -> Iterator[tuple[str, int, int]]:
+    if _CHAIN.fullmatch(match):
+        return _halved(match)
     return _from_bytes(bytes.fromhex(match.replace("%", "")), 3)
 
 
 def _escape(match: str) -> Iterator[tuple[str, int, int]]:
-    if match[1] == "x":
+    if _CHAIN.fullmatch(match):
+        yield from _halved(match)
+    elif match[1] == "x":
         yield from _from_bytes(bytes.fromhex(match.replace("\\x", "")), 4)
     elif match[:2] == "\\u" and match[2] != "{":
         units = [int(match[i + 2 : i + 6], 16) for i in range(0, len(match), 6)]
@@ -198,29 +227,43 @@ class _Run(Layer):
         super().__init__(raw.decode("latin-1"), parent, path=path)
         self.raw, self.digits, self.lines, self.end = raw, digits, places, end
         self.shift = shift
+        self._bad: list[int] | None = None
+        self._begins: list[tuple[int, int]] = []
 
     def _place(self, at: int) -> int:
         line = bisect_right(self.lines, (at, sys.maxsize)) - 1
         return self.lines[line][1] + at - self.lines[line][0]
 
-    def _starts(self, at: int) -> list[int]:
-        """The last starts at or before a digit that its alignment allows, in order."""
-        found, lines = [], {p[0] for p in self.lines}
-        for start in range(at, self.shift, -4):
-            if start in lines or self.digits[start - 1] in "+/":
-                found.append(start)
-                if len(found) == STARTS:
-                    break
-        return found[::-1]
-
-    def span(self, start: int, end: int) -> tuple[int, int]:
+    def _measure(self) -> None:
+        """Where the bytes are no text, and where a text may begin, each once for all finds."""
+        decoded = self.raw.decode("utf-8", "surrogateescape")
+        points = np.frombuffer(decoded.encode("utf-32-le", "surrogatepass"), np.uint32)
+        lone = (points >= 0xDC80) & (points <= 0xDCFF)
+        wide = np.where(lone, 1, 1 + (points >= 0x80) + (points >= 0x800) + (points >= 0x10000))
+        control = (points < 0x20) & ((points < 0x09) | (points > 0x0D)) | (points == 0x7F)
+        ends = np.cumsum(wide)
+        self._bad = (ends - wide)[lone | control].tolist()
+        begins = {m.end() for m in re.finditer("[+/]", self.digits)} | {p[0] for p in self.lines}
+        first, continues = self.shift, np.frombuffer(self.raw, np.uint8) & 0xC0 == 0x80
+        places = sorted(p for p in begins if p > first and (p - first) % 4 == 0)
+        offsets = [(p - first) // 4 * 3 for p in places]
+        self._begins = [
+            (byte, p)
+            for byte, p in zip(offsets, places, strict=True)
+            if byte < len(self.raw) and not continues[byte]
+        ]
+
+    def around(self, start: int, end: int) -> tuple[int, int]:
         first = self.shift
-        if start and not _is_text(self.raw[:start]):
-            for at in self._starts(self.shift + start // 3 * 4):
-                if _is_text(self.raw[(at - self.shift) // 4 * 3 : start]):
-                    first = at
-                    break
-        return self.parent.span(self._place(first), self.end)
+        if start:
+            if self._bad is None:
+                self._measure()
+            last = bisect_left(self._bad, start) - 1
+            if last >= 0:
+                at = bisect_right(self._begins, (self._bad[last], sys.maxsize))
+                if at < len(self._begins) and self._begins[at][0] <= start:
+                    first = self._begins[at][1]
+        return self._place(first), self.end
 
 
 def _is_text(raw: bytes) -> bool:
@@ -248,25 +291,54 @@ _ZSTANDARD = b"\x28\xb5\x2f\xfd"
 _BROKEN = (zlib.error, OSError, EOFError, lzma.LZMAError, zstandard.ZstdError)
 
 
-def _pieces(raw: bytes) -> Iterator[bytes]:
+class _Source:
+    """Bytes that come in pieces, to be read, looked ahead at and put back."""
+
+    def __init__(self, pieces: Iterator[bytes]):
+        self._pieces, self._held = pieces, b""
+
+    def peek(self, size: int) -> bytes:
+        while len(self._held) < size and (piece := next(self._pieces, None)) is not None:
+            self._held += piece
+        return self._held[:size]
+
+    def read(self, size: int = -1) -> bytes:
+        if not self._held:
+            self._held = next(self._pieces, b"")
+        size = len(self._held) if size < 0 else size
+        out, self._held = self._held[:size], self._held[size:]
+        return out
+
+    def put_back(self, raw: bytes) -> None:
+        self._held = raw + self._held
+
+    def skip_padding(self) -> None:
+        while (head := self.peek(1)) == b"\0":
+            self._held = self._held.lstrip(head)
+
+
+def _pieces(packed: Iterator[bytes]) -> Iterator[bytes]:
     """The content of compressed streams one behind another, some bytes at a time, as far as readable."""
+    source = _Source(packed)
     try:
-        while _is_packed(raw):
-            if raw[:4] == _ZSTANDARD:
-                with zstandard.ZstdDecompressor().stream_reader(raw, read_across_frames=True) as reader:
+        while _is_packed(head := source.peek(8)):
+            if head[:4] == _ZSTANDARD:
+                with zstandard.ZstdDecompressor().stream_reader(source, read_across_frames=True) as reader:
                     while piece := reader.read1(WINDOW):
                         yield piece
                 return
-            unpacker = _unpacker(raw)
-            rest = raw
+            unpacker, rest = _unpacker(head), b""
             while not unpacker.eof:
+                if not rest and getattr(unpacker, "needs_input", True):
+                    rest = source.read(WINDOW)
+                    if not rest:
+                        return
                 piece = unpacker.decompress(rest, WINDOW)
                 rest = getattr(unpacker, "unconsumed_tail", b"")
                 if piece:
                     yield piece
-                elif not rest and getattr(unpacker, "needs_input", True):
-                    return
-            raw = unpacker.unused_data.lstrip(b"\0")  # padding between members
+            source.put_back(unpacker.unused_data)
+            source.skip_padding()  # between members
     except _BROKEN:
         return
 
@@ -286,20 +358,30 @@ def _may_open(head: bytes) -> bool:
 
 
 def _blocks(pieces: Iterator[bytes]) -> Iterator[bytes]:
-    """Pieces dealt anew: each ends where no secret and no encoded run goes on, or with the last."""
+    """Pieces dealt anew: each ends where no secret and no encoded run goes on, or with the last.
+
+    Where no such place comes for ``HELD`` bytes, a block ends anywhere and the next one begins with
+    its last ``OVERLAP`` bytes.  A longer find is then met in parts, which stand for the same span.
+    """
     held: list[bytes] = []
+    size = 0
     for piece in pieces:
         at = 0
-        for size in (TAIL, len(piece)):
-            begin = max(0, len(piece) - size)
+        for tail in (TAIL, len(piece)):
+            begin = max(0, len(piece) - tail)
             at = max((m.end() for m in _BREAK.finditer(piece, begin)), default=0)
             if at:
                 break
-        if not at:
-            held.append(piece)
+        if at:
+            yield b"".join([*held, piece[:at]])
+            held, size = [piece[at:]], len(piece) - at
             continue
-        yield b"".join([*held, piece[:at]])
-        held = [piece[at:]]
+        held.append(piece)
+        size += len(piece)
+        if size >= HELD:
+            block = b"".join(held)
+            yield block
+            held, size = [block[-OVERLAP:]], OVERLAP
     if last := b"".join(held):
         yield last
 
@@ -319,18 +401,50 @@ def _wide(raw: bytes, parent: Layer, whole: tuple[int, int], path: tuple) -> Ite
             yield Layer(text, parent, whole=whole, path=(*path, "utf16"))
 
 
-def _opened(raw: bytes, parent: Layer, whole: tuple[int, int], path: tuple, seen: set):
-    """Layers of the streams that decoded bytes are, and of streams inside these."""
-    mark = hashlib.blake2b(raw, digest_size=16).digest() + b"%d:%d" % parent.span(*whole)
-    if mark in seen:
-        return
-    seen.add(mark)
-    path = (*path, "packed")
-    first = next(_pieces(raw), b"")
-    if _is_packed(first):
-        yield from _opened(b"".join(_pieces(raw)), parent, whole, path, seen)
-    for block in _blocks(_pieces(raw)):
-        yield from _readings(block, parent, whole, path)
+def _opened(
+    packed: Callable[[], Iterator[bytes]], parent: Layer, whole: tuple[int, int], path: tuple, seen: set
+):
+    """Layers of the streams that decoded bytes are, and of streams inside these.
+
+    ``packed`` gives the bytes from the start each time.  A stream inside is held if it is small and
+    else unpacked again with the one around it, so that memory does not follow its size.
+    """
+    while True:
+        if not next(_pieces(packed()), b""):
+            return
+        digest = hashlib.blake2b(digest_size=16)
+        for piece in packed():
+            digest.update(piece)
+        mark = digest.digest() + b"%d:%d" % parent.span(*whole)
+        if mark in seen:
+            return
+        seen.add(mark)
+        path = (*path, "packed")
+        for block in _blocks(_pieces(packed())):
+            yield from _readings(block, parent, whole, path)
+        if not _is_packed(_Source(_pieces(packed())).peek(8)):
+            return
+        held, inside = [], _pieces(packed())
+        for piece in inside:
+            held.append(piece)
+            if sum(map(len, held)) > HELD:
+                packed = partial(_unpacked, packed)
+                break
+        else:
+            packed = partial(iter, [b"".join(held)])
+
+
+def _unpacked(packed: Callable[[], Iterator[bytes]]) -> Iterator[bytes]:
+    return _pieces(packed())
+
+
+def _fed(digits: str, start: int) -> Iterator[bytes]:
+    """The bytes of a base64 run from one of its digits on, some at a time."""
+    size = FEED
+    while start < len(digits):
+        yield _unbase64(digits[start : start + size])
+        start += size
+        size = min(size * GROWTH, 1 << 20)
 
 
 def _unbase64(digits: str) -> bytes:
@@ -349,21 +463,46 @@ def _decoded(layer: Layer, lines: list, end: int, shifts: range, seen: set) -> I
     for line in lines:
         places.append((size, line.start()))
         size += len(line[0])
-    for shift in shifts:
-        raw = _unbase64(digits[shift:])
+    raws = {shift: _unbase64(digits[shift:]) for shift in shifts}
+    for shift, raw in raws.items():
         if _OF_USE.search(raw):
             run = _Run(raw, layer, path, digits, places, end, shift)
             yield run
             yield from _wide(raw, layer, (run._place(shift), end), path)
+    empty: set[tuple[int, int]] = set()
     for match in _PACKED.finditer(digits):
-        if match.start() % 4 not in shifts:
+        shift = match.start() % 4
+        if shift not in shifts:
             continue
         if not _may_open(_unbase64(digits[match.start() : match.start() + TAIL])):
             continue
-        raw = _unbase64(digits[match.start() :])
+        body = (shift, _body(raws[shift], match.start() // 4 * 3))
+        if body[1] < 0 or body in empty:
+            continue
         at = bisect_right(places, (match.start(), sys.maxsize)) - 1
         whole = (places[at][1] + match.start() - places[at][0], end)
-        yield from _opened(raw, layer, whole, path, seen)
+        gave = False
+        for inside in _opened(partial(_fed, digits, match.start()), layer, whole, path, seen):
+            gave = True
+            yield inside
+        if not gave:
+            empty.add(body)
+
+
+def _body(raw: bytes, at: int) -> int:
+    """Where a stream's content begins, -1 if it does not; gzip headers may hold texts of any length."""
+    if raw[at : at + 2] != b"\x1f\x8b" or at + 10 > len(raw):
+        return at
+    flags, at = raw[at + 3], at + 10
+    if flags & 4:
+        at += 2 + int.from_bytes(raw[at : at + 2], "little")
+    for text in (8, 16):
+        if flags & text:
+            at = raw.find(b"\0", at) + 1
+            if not at:
+                return -1
+    at += flags & 2
+    return at if at < len(raw) else -1
 
 
 def _base64_layers(layer: Layer, seen: set) -> Iterator[Layer]:

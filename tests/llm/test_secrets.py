@@ -4,7 +4,12 @@ import bz2
 import gzip
 import hashlib
 import lzma
+import os
+import random
 import re
+import subprocess
+import sys
+import time
 import zlib
 from urllib.parse import quote
 
@@ -17,6 +22,8 @@ from eventweir.llm.spans import summary
 KEY = "password = hunter2hunter2"
 BS = chr(92)
 
+ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
 
 def plain(text):
     """The contract, pattern by pattern."""
@@ -235,3 +242,111 @@ def test_wrapped_blocks_are_read_to_their_last_character(indent, pack):
 def test_short_words_behind_a_block_spoil_nothing():
     lines = [b64(b"password=hunter2299"), b64(b"password=another11").rstrip("="), "End"]
     assert {"password=hunter2299", "password=another11"} <= set(secrets_in("\n".join(lines)))
+
+
+CHAINS = {
+    "percent": ("%" + "25" * 100_000 + "3D", "url"),
+    "unicode": ("\\" + "u005c" * 20_000 + "u003d", "unicode"),
+    "bytes": ("\\" + "x5C" * 20_000 + "x3d", "unicode"),
+    "reference": ("&" + "#38;" * 20_000 + "#61;", "unicode"),
+}
+
+
+@pytest.mark.parametrize("name", CHAINS)
+def test_escapes_nested_very_deep(name):
+    chain, layer = CHAINS[name]
+    start = time.perf_counter()
+    text = f"my password{chain}hunter2hunter2 and more"
+    found = [f for f in findings(text) if f[0] == "assign"]
+    assert time.perf_counter() - start < 20
+    assert [(f[1], f[2], f[5]) for f in found] == [(3, len(text) - 9, "password=hunter2hunter2")]
+    assert set(found[0][4].split(">")) == {layer}
+
+
+def test_short_chains_are_decoded_layer_by_layer():
+    text = "password%" + "25" * 5 + "3Dhunter2hunter2"
+    assert findings(text)[0][4].count("url") == 6
+
+
+def test_many_finds_in_one_run_take_linear_time():
+    plain = b" ".join(b"password=hunter%05d" % i for i in range(50_000))
+    for head in (b"", b"\xff"):
+        start = time.perf_counter()
+        found = findings(base64.b64encode(head + plain).decode())
+        assert time.perf_counter() - start < 20
+        assert len({f[5] for f in found}) == 50_000
+
+
+def test_places_in_a_run_after_bytes_that_are_no_text():
+    """The first start behind a separator from which all is text, wherever the bad bytes lie."""
+    draw = random.Random(4)
+    for _ in range(200):
+        raw = bytes(draw.choices(b"ab\xff\x00\xc3\xa9?>", k=draw.randrange(3, 40))) + b" password=hunter2222"
+        text = base64.b64encode(raw).decode()
+        expected = 0
+        if not plain_text(raw[: raw.index(b"password")]):
+            starts = [
+                p for p in range(4, len(raw) // 3 * 4, 4)
+                if text[p - 1] in "+/" and p // 4 * 3 <= raw.index(b"password")
+                and plain_text(raw[p // 4 * 3 : raw.index(b"password")])
+            ]
+            expected = min(starts, default=0)
+        (found,) = [f for f in findings(text) if f[5] == "password=hunter2222" and f[4] == "base64"][:1]
+        assert found[1] == expected
+
+
+def plain_text(raw):
+    try:
+        raw.decode()
+    except UnicodeDecodeError:
+        return False
+    return not re.search(rb"[\x00-\x08\x0e-\x1f\x7f]", raw)
+
+
+def test_many_false_starts_of_streams():
+    start = time.perf_counter()
+    assert findings("H4sI" * 50_000) == []
+    assert time.perf_counter() - start < 20
+
+
+@pytest.mark.parametrize("pack", [gzip.compress, zlib.compress, bz2.compress, lzma.compress])
+def test_hundreds_of_streams_inside_each_other(pack):
+    raw = b"password=hunter2222 "
+    for _ in range(150):
+        raw = pack(raw)
+    found = [f for f in findings(base64.b64encode(raw).decode()) if f[5] == "password=hunter2222"]
+    assert found and found[0][4].count("packed") >= 140
+
+
+_UNPACKS = """
+import base64, resource, sys, zlib
+from eventweir.llm.secrets import findings
+packer, out = zlib.compressobj(9), []
+for i in range(96):
+    out.append(packer.compress(b"a" * (1 << 20)))
+out += [packer.compress(b" password=hunter2222 "), packer.flush()]
+text = base64.b64encode(b"".join(out)).decode()
+before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+found = findings(text)
+assert ("assign", 0, len(text)) in {f[:3] for f in found}, found
+assert ("hex", 0, len(text)) in {f[:3] for f in found}
+print((resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before) >> 10)
+"""
+
+
+def test_memory_does_not_follow_what_a_stream_unpacks_to():
+    run = subprocess.run(
+        [sys.executable, "-c", _UNPACKS], capture_output=True, text=True, cwd=ROOT, timeout=300
+    )
+    assert run.returncode == 0, run.stderr
+    assert int(run.stdout) < 200
+
+
+def test_finds_across_the_cuts_of_long_blocks(monkeypatch):
+    monkeypatch.setattr("eventweir.llm.secrets.WINDOW", 512)
+    monkeypatch.setattr("eventweir.llm.secrets.HELD", 2048)
+    monkeypatch.setattr("eventweir.llm.secrets.OVERLAP", 256)
+    for gap in range(1900, 2200, 7):
+        raw = zlib.compress(b"/" * gap + b"password=hunter2222" + b"/" * 5000)
+        text = base64.b64encode(raw).decode()
+        assert ("assign", 0, len(text)) in {f[:3] for f in findings(text)}
