@@ -50,15 +50,19 @@ class Batch:
         self.starts, self.size = np.cumsum(sizes) - sizes, int(sizes.sum())
         self.points = folded("  ".join(["", *parts]) + " " * LONGEST)
 
-    def buckets(self, n: int, bits: int) -> np.ndarray:
-        """The bucket of the n-gram that begins at each place."""
+    def hashes(self, n: int) -> np.ndarray:
+        """The 64-bit hash of the n-gram that begins at each place."""
         hashed = np.zeros(self.size, np.uint64)
         for i in range(n):
             hashed = hashed * _STEP + self.points[i : i + self.size]
-        return ((hashed * _MIX) >> np.uint64(64 - bits)).astype(np.int64)
+        return hashed * _MIX
+
+    def buckets(self, n: int, bits: int) -> np.ndarray:
+        """The bucket of the n-gram that begins at each place, the first bits of its hash."""
+        return (self.hashes(n) >> np.uint64(64 - bits)).astype(np.int64)
 
-    def words(self, bits: int) -> tuple[np.ndarray, np.ndarray]:
-        """Where each word, a run without spaces, begins, and the bucket of the whole word."""
+    def words(self) -> tuple[np.ndarray, np.ndarray]:
+        """Where each word, a run without spaces, begins, and the 64-bit hash of the whole word."""
         inside = np.r_[False, self.points != 32, False]
         edges = np.flatnonzero(inside[1:] != inside[:-1])
         begin, end = edges[::2], edges[1::2]
@@ -67,7 +71,7 @@ class Batch:
         np.cumsum(self.points * powers[:-1], out=total[1:])
         hashed = (total[end] - total[begin]) * inverses[begin]
         hashed ^= hashed >> np.uint64(29)
-        return begin, ((hashed * _MIX) >> np.uint64(64 - bits)).astype(np.int64)
+        return begin, hashed * _MIX
 
 
 _POWERS: list[tuple[np.ndarray, np.ndarray]] = []
@@ -84,14 +88,19 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return powers[:n], inverses[:n]
 
 
-def batches(texts: list[str]) -> Iterator[Batch]:
-    """Whole texts in batches of about ``PART`` code points; longer ones go in several parts."""
+def batches(texts: list[str], window: int = 0, overlap: int = 0) -> Iterator[Batch]:
+    """Whole texts in batches of about ``PART`` code points; those over ``window``, by default as
+    many, go in several parts.
+
+    Each part but a text's last goes on for ``overlap`` code points into the next.
+    """
+    window = window or PART
     numbers: list[int] = []
     parts: list[str] = []
     size = 0
     for number, text in enumerate(texts):
-        for at in range(0, len(text) or 1, PART):
-            part = text[at : at + PART]
+        for at in range(0, len(text) or 1, window):
+            part = text[at : at + window + overlap]
             numbers.append(number)
             parts.append(part)
             size += len(part) + 2

@@ -10,8 +10,9 @@ fitting single positives.
 The classifiers see a bounded sample: the ``POSITIVES`` toxic and ``UNLABELLED`` other training rows
 whose ids have the smallest hashes.  Their words and n-grams are counted in tasks; the ``FEATURES`` buckets that
 differ most between both sides are kept, and what reaches the driver is one bit for each of these and
-each sampled row.  Scoring covers every whole text: words and n-grams of a batch are hashed at once, and only
-places whose bucket is a feature are looked at further.
+each sampled row.  A feature is one word or n-gram of its bucket, told by its 64-bit hash.  Scoring
+covers every whole text, in windows of ``WINDOW`` code points: those of a batch are hashed at once, and
+only places whose bucket is a feature are looked at further.
 
 Null texts count as empty and get the classifiers' constant.  Without any positive example every
 score is 0.  An empty table gives an empty result; repeated rows are scored each on their own.
@@ -19,6 +20,7 @@ score is 0.  An empty table gives an empty result; repeated rows are scored each
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -44,6 +46,11 @@ BITS = 16
 #: positives a feature's share has to exceed that among unlabelled rows.
 FEATURES = 512
 APART = 5.0
+#: Code points of the windows that texts are scored by, and that they share with the next; the
+#: logarithm of the odds that one of several can have at most.
+WINDOW = 4_096
+OVERLAP = 64
+MOST_ODDS = 4.0
 #: Classifiers whose scores are averaged, steps of each, unlabelled rows of a step.
 CLASSIFIERS = 3
 STEPS = 1_500
@@ -59,42 +66,82 @@ _WIDTH = _WORDS_FROM + (1 << WORD_BITS)
 
 @dataclass(frozen=True)
 class Model:
-    """The feature of each bucket (-1: none), weights by feature and classifier, constants."""
+    """The feature of each bucket (-1: none), the hash of each feature's word or n-gram, weights by
+    feature and classifier, constants."""
 
     feature: np.ndarray
+    key: np.ndarray
     weights: np.ndarray
     constants: np.ndarray
 
 
-def _present(grams: Batch, feature: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Part and feature of each feature that is present in a part, both once."""
-    found = []
+def _places(grams: Batch, feature: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Part, feature and hash at each place whose bucket is a feature."""
+    parts, whiches, hashes = [], [], []
+    sets = [(None, grams.hashes(n), BITS, k << BITS) for k, n in enumerate(ORDERS)]
+    sets.append((*grams.words(), WORD_BITS, _WORDS_FROM))
+    for begin, hashed, bits, first in sets:
+        which = feature[first + (hashed >> np.uint64(64 - bits)).astype(np.int64)]
+        here = np.flatnonzero(which >= 0)
+        place = here if begin is None else begin[here]
+        parts.append(np.searchsorted(grams.starts, place, side="right") - 1)
+        whiches.append(which[here])
+        hashes.append(hashed[here])
+    return tuple(np.concatenate(x) for x in (parts, whiches, hashes))
+
+
+def _distinct(numbers: np.ndarray, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each pair once, in order."""
+    pairs = np.unique(numbers * (1 << 20) + which)
+    return pairs >> 20, pairs & ((1 << 20) - 1)
 
-    def add(places: np.ndarray, which: np.ndarray) -> None:
-        part = np.searchsorted(grams.starts, places, side="right") - 1
-        found.append(part * (1 << 20) + which)
 
-    for k, n in enumerate(ORDERS):
-        at = feature[(k << BITS) + grams.buckets(n, BITS)]
-        here = np.flatnonzero(at >= 0)
-        add(here, at[here])
-    begin, bucket = grams.words(WORD_BITS)
-    at = feature[_WORDS_FROM + bucket]
-    add(begin[at >= 0], at[at >= 0])
-    pairs = np.sort(np.concatenate(found))
-    pairs = pairs[np.r_[True, pairs[1:] != pairs[:-1]][: len(pairs)]]
-    return pairs >> 20, pairs & ((1 << 20) - 1)
+def _of_texts(some: list[str], feature: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Text and feature of each bucket that is present in a text, once however long the text."""
+    held: tuple[np.ndarray, np.ndarray] = (np.zeros(0, np.int64),) * 2
+    for grams in batches(some, overlap=OVERLAP):
+        part, which, _ = _places(grams, feature)
+        number, which = _distinct(
+            np.r_[held[0], grams.numbers[part]], np.r_[held[1], which]
+        )
+        goes_on = number == grams.numbers[-1]
+        yield number[~goes_on], which[~goes_on]
+        held = number[goes_on], which[goes_on]
+    yield held
 
 
-def presence(some: list[str], feature: np.ndarray, width: int) -> np.ndarray:
+def presence(some: list[str], feature: np.ndarray, key: np.ndarray) -> np.ndarray:
     """Which features each text has, as a matrix of zeros and ones."""
-    matrix = np.zeros((len(some), width), np.float32)
-    for grams in batches(some):
-        part, which = _present(grams, feature)
-        matrix[grams.numbers[part], which] = 1
+    matrix = np.zeros((len(some), len(key)), np.float32)
+    for grams in batches(some, overlap=OVERLAP):
+        part, which, hashed = _places(grams, feature)
+        same = hashed == key[which]
+        matrix[grams.numbers[part[same]], which[same]] = 1
     return matrix
 
 
+def _spelled(feature: np.ndarray):
+    """In how many positive rows each word or n-gram of the feature buckets occurs."""
+
+    def spelled(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts: Counter[tuple[int, int]] = Counter()
+        for batch in slices(parts):
+            for text in texts(batch.column("text")):
+                own = set()
+                for grams in batches([text], overlap=OVERLAP):
+                    _, which, hashed = _places(grams, feature)
+                    own |= set(zip(which.tolist(), hashed.astype(np.int64).tolist(), strict=True))
+                counts.update(own)
+        rows = [(*pair, n) for pair, n in counts.items()]
+        columns = list(zip(*rows, strict=True)) or [(), (), ()]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(columns[0], pa.int32()), *(pa.array(c, pa.int64()) for c in columns[1:])],
+            names=["feature", "hash", "n"],
+        )
+
+    return spelled
+
+
 def _document_counts(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """In how many positive and other rows each bucket occurs."""
     counts = np.zeros((2, _WIDTH), np.int64)
@@ -112,18 +159,15 @@ def _document_counts(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 
 
 def buckets_present(some: list[str]) -> np.ndarray:
-    """The buckets present in each text, one after the other.
-
-    A text of several parts counts once for each.
-    """
+    """The buckets present in each text, one after the other."""
     every = np.arange(_WIDTH)
-    return np.concatenate([_present(grams, every)[1] for grams in batches(some)])
+    return np.concatenate([which for _, which in _of_texts(some, every)])
 
 
-def _sample_bits(feature: np.ndarray):
+def _sample_bits(feature: np.ndarray, key: np.ndarray):
     def bits(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(parts):
-            matrix = presence(texts(batch.column("text")), feature, FEATURES)
+            matrix = presence(texts(batch.column("text")), feature, key)
             packed = [row.tobytes() for row in np.packbits(matrix.astype(bool), axis=1)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("positive"), pa.array(packed, pa.binary())],
@@ -202,7 +246,7 @@ def train(docs: DataFrame, labels: DataFrame, held_out: Column, prior: float | N
     n_positive, n_other = sides.get(True, 0), sides.get(False, 0)
     feature = np.full(_WIDTH, -1, np.int64)
     if not n_positive or not n_other:
-        return Model(feature, np.zeros((FEATURES, 1)), np.array([-np.inf]))
+        return Model(feature, np.zeros(FEATURES, np.uint64), np.zeros((FEATURES, 1)), np.array([-np.inf]))
     bucket = counts.column("bucket").to_numpy()
     share_p = (counts.column("n_positive").to_numpy() + 0.5) / (n_positive + 1)
     share_u = (counts.column("n_other").to_numpy() + 0.5) / (n_other + 1)
@@ -210,20 +254,52 @@ def train(docs: DataFrame, labels: DataFrame, held_out: Column, prior: float | N
     best = np.lexsort((bucket, -apart))[:FEATURES]
     best = best[apart[best] >= APART]
     feature[bucket[best]] = np.arange(len(best))
-    bits = sample.mapInArrow(_sample_bits(feature), "positive boolean, bits binary").toArrow()
+    key = _keys(sample, feature)
+    bits = sample.mapInArrow(_sample_bits(feature, key), "positive boolean, bits binary").toArrow()
     packed = np.frombuffer(b"".join(bits.column("bits").to_pylist()), np.uint8)
     matrix = np.unpackbits(packed.reshape(bits.num_rows, -1), axis=1)[:, :FEATURES]
     positive = np.array(bits.column("positive").to_pylist(), bool)
     order = np.lexsort(tuple(packed.reshape(bits.num_rows, -1).T))  # alike, however rows arrive
     matrix, positive = matrix[order].astype(np.float32), positive[order]
     fits = [fit(matrix[positive], matrix[~positive], prior, seed) for seed in range(CLASSIFIERS)]
-    return Model(feature, np.stack([w for w, _ in fits], 1), np.array([c for _, c in fits]))
+    return Model(feature, key, np.stack([w for w, _ in fits], 1), np.array([c for _, c in fits]))
+
+
+def _keys(sample: DataFrame, feature: np.ndarray) -> np.ndarray:
+    """By feature the hash of the word or n-gram that is in most positive rows.
+
+    Others that share its bucket are no features: in a long text some of them always occur.
+    """
+    spelled = sample.filter("positive").select("text")
+    spelled = spelled.mapInArrow(_spelled(feature), "feature int, hash long, n long")
+    spelled = spelled.groupBy("feature", "hash").agg(F.sum("n").alias("n"))
+    best = spelled.groupBy("feature").agg(F.max_by("hash", F.struct("n", "hash")).alias("hash"))
+    key = np.zeros(FEATURES, np.uint64)
+    for row in best.collect():  # one for each feature
+        key[row.feature] = np.uint64(row.hash & ((1 << 64) - 1))
+    return key
 
 
 def score_texts(model: Model, some: list[str]) -> np.ndarray:
-    """The mean probability that the classifiers give to each text."""
-    raw = presence(some, model.feature, len(model.weights)) @ model.weights + model.constants
-    return (1 / (1 + np.exp(-np.clip(raw, -700, 700)))).mean(axis=1) * np.isfinite(raw).all(axis=1)
+    """The probability that a text is toxic: the mean odds of its windows, by classifier, averaged.
+
+    A window is as long as a usual text, so a long one is no likelier toxic for its length, and one
+    that is toxic throughout no less.  A window's odds are bounded, so that out of very many a few
+    mistaken ones do not decide.
+    """
+    windows = np.array([max(1, -(-len(text) // WINDOW)) for text in some])
+    odds = np.zeros((len(some), len(model.constants)))
+    for grams in batches(some, WINDOW, OVERLAP):
+        part, which, hashed = _places(grams, model.feature)
+        same = hashed == model.key[which]
+        matrix = np.zeros((len(grams.numbers), len(model.weights)), np.float32)
+        matrix[part[same], which[same]] = 1
+        raw = matrix @ model.weights + model.constants
+        several = windows[grams.numbers][:, None] > 1
+        bounded = np.exp(np.where(several, np.minimum(raw, MOST_ODDS), np.minimum(raw, 700)))
+        np.add.at(odds, grams.numbers, bounded)
+    odds /= windows[:, None]
+    return (odds / (1 + odds)).mean(axis=1)
 
 
 def _scores(model, schema: pa.Schema):

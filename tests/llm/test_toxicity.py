@@ -12,22 +12,95 @@ DOCS, LABELS = "doc_id long, text string", "doc_id long, toxic int"
 
 def test_words_are_hashed_as_wholes():
     batch = grams.Batch([0, 1, 2], ["Hello wörld", "", "wörld, HELLO? xhello"])
-    begin, bucket = batch.words(18)
+    begin, bucket = batch.words()
     assert len(begin) == 5 and bucket[0] == bucket[3] and bucket[1] == bucket[2]
     assert bucket[4] not in bucket[:2]
 
 
-def test_presence_is_that_of_a_set():
+def keyed(text):
+    """Features of exactly the words and n-grams of a short text."""
     feature = np.full(toxicity._WIDTH, -1)
-    texts = ["bad words", "good", "", "BAD!! bad,bad"]
-    own = toxicity.buckets_present(["bad"])
+    own = toxicity.buckets_present([text])
     feature[own] = np.arange(len(own))
-    matrix = toxicity.presence(texts, feature, len(own))
-    word = feature[toxicity._WORDS_FROM + grams.Batch([0], ["bad"]).words(toxicity.WORD_BITS)[1][0]]
+    key = np.zeros(len(own), np.uint64)
+    for batch in grams.batches([text]):
+        _, which, hashed = toxicity._places(batch, feature)
+        key[which] = hashed
+    return feature, key
+
+
+def test_presence_is_that_of_a_set():
+    feature, key = keyed("bad")
+    matrix = toxicity.presence(["bad words", "good", "", "BAD!! bad,bad"], feature, key)
+    hashed = grams.Batch([0], ["bad"]).words()[1][0]
+    word = int(np.flatnonzero(key == hashed)[0])
     assert matrix[:, word].tolist() == [1, 0, 0, 1]
     assert set(np.unique(matrix)) <= {0, 1}
 
 
+def test_other_words_of_a_bucket_are_no_features():
+    feature, key = keyed("bad")
+    feature[:] = 0  # every bucket leads to the feature of one word
+    draw = random.Random(2)
+    words = {"".join(draw.choices("abcdefgh", k=7)) for _ in range(5000)}
+    hashed = grams.Batch([0], ["bad"]).words()[1][:1]
+    assert toxicity.presence([" ".join(words)], feature, hashed).sum() == 0
+    assert toxicity.presence([" ".join(words) + " bad"], feature, hashed).sum() == 1
+
+
+def test_a_long_text_counts_once_in_each_bucket():
+    long = "bad words and others " * 30_000
+    assert len(long) > 2 * grams.PART
+    short = set(toxicity.buckets_present(["bad words and others " * 3]).tolist())
+    once, twice = (toxicity.buckets_present([long] * n) for n in (1, 2))
+    assert len(once) == len(set(once.tolist())) and short <= set(once.tolist())
+    assert len(once) < len(short) + 100  # words that a part's border cuts
+    assert sorted(twice) == sorted([*once, *once])
+
+
+def test_words_across_the_borders_of_windows_are_met():
+    feature, key = keyed("unmistakable")
+    for window in (toxicity.WINDOW, grams.PART):
+        for at in range(window - 14, window + 3):
+            text = "a" * (at - 1) + " unmistakable " + "b" * 50
+            assert toxicity.presence([text], feature, key).any()
+            found = [
+                key[which] == hashed
+                for batch in grams.batches([text], window, toxicity.OVERLAP)
+                for _, which, hashed in [toxicity._places(batch, feature)]
+            ]
+            word = grams.Batch([0], ["unmistakable"]).words()[1][0]
+            assert np.concatenate(found).any() and word in key
+
+
+def test_clean_texts_stay_clean_however_long(spark):
+    """On the table of 10,000: clean held-out documents joined, and with a toxic one among them."""
+    root = "/root/testdata/sf0.1"
+    docs, labels = (spark.read.parquet(f"{root}/{t}.parquet") for t in ("documents", "labels"))
+    rows = docs.select(F.col("doc_id").alias("id"), (text_crc32("doc_id") % 5 == 0).alias("held"), "text")
+    known = labels.select(F.col("doc_id").alias("id"), "toxic")
+    model = toxicity.train(rows, known, F.col("held"))
+    held = rows.filter("held").join(known, "id").orderBy("id").collect()
+    clean = [r.text for r in held if r.toxic == 0]
+    toxic = [r.text for r in held if r.toxic == 1]
+    found = toxicity.score_texts(model, clean + toxic)
+    toxic = [t for t, score in zip(toxic, found[len(clean) :], strict=True) if score > 0.9]
+    assert (found[: len(clean)] >= 0.5).mean() < 0.01 and len(toxic) > 50
+    draw = random.Random(3)
+    for size, times in ((30_000, 8), (400_000, 8), (2_000_000, 2)):
+        for _ in range(times):
+            parts, total = [], 0
+            while total < size:
+                parts.append(draw.choice(clean))
+                total += len(parts[-1]) + 1
+            plain = "\n".join(parts)
+            parts.insert(draw.randrange(len(parts)), draw.choice(toxic))
+            score, with_toxic = toxicity.score_texts(model, [plain, "\n".join(parts)])
+            assert score < 0.5 and with_toxic > score
+    throughout = "\n".join(toxic)
+    assert len(throughout) > 30_000 and toxicity.score_texts(model, [throughout])[0] > 0.9
+
+
 def test_a_classifier_finds_positives_hidden_among_unlabelled():
     """Two of ten features mark the positives; a fifth of the unlabelled rows are positive too."""
     rng = np.random.default_rng(0)
