@@ -58,6 +58,9 @@ _KNOWN = {
     "phone": r"^(?:\+(?:1|7|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|[2-9][0-9]{2})"
     r"|\(?[2-9][0-9]{2})",
 }
+#: Kinds whose gazetteer lists all there is, so that it speaks against what it does not list; the
+#: others abstain there.
+_COMPLETE = ("ip", "card")
 # Words before a span that speak for a kind, and those that speak against any (fixed values).
 _FOR = {
     "email": r"(?i)(?:e-?mail|contact|write|courriel|correo|kontakt)\W{1,4}(?:\w+\W+){0,2}$",
@@ -114,8 +117,8 @@ def _located(text: Column, matches: Column, pattern: str) -> Column:
             (start + part["length"]).alias("at"), F.concat(seen["out"], F.array(span)).alias("out")
         )
 
-    def block(n: Column) -> Column:
-        return F.aggregate(F.slice(parts, n * _BLOCK + 1, _BLOCK), none, place)
+    def block(all_parts: Column, n: Column) -> Column:
+        return F.aggregate(F.slice(all_parts, n * _BLOCK + 1, _BLOCK), none, place)
 
     def shifted(spans_: Column, by: Column) -> Column:
         return F.transform(
@@ -125,9 +128,10 @@ def _located(text: Column, matches: Column, pattern: str) -> Column:
             ),
         )
 
-    blocks = F.transform(
-        F.sequence(F.lit(0), F.floor((F.size(matches) - 1) / _BLOCK).cast("int")), block
-    )
+    numbers = F.sequence(F.lit(0), F.floor((F.size(matches) - 1) / _BLOCK).cast("int"))
+    blocks = F.transform(  # the parts are made once, not for every block
+        F.array(parts), lambda all_parts: F.transform(numbers, lambda n: block(all_parts, n))
+    )[0]
     start = F.struct(nought.alias("at"), F.array().cast(f"array<{spans}>").alias("out"))
     placed = F.aggregate(
         blocks,
@@ -185,7 +189,7 @@ def _judged(kind: str, span: Column, base: bool) -> Column:
     against = before.rlike(_AGAINST)
     votes = [
         F.lit(1 if base else 0),
-        _vote(known, ~known),
+        _vote(known, ~known if kind in _COMPLETE else F.lit(False)),
         _vote(before.rlike(_FOR[kind]) & ~against, against),
         _vote(form, ~form),
     ]
@@ -227,22 +231,41 @@ def _candidates(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
         matches[f"base_{kind}"] = F.when(needs, found).otherwise(nothing)
         matches[f"loose_{kind}"] = F.regexp_extract_all(body, F.lit(_LOOSE[kind]), F.lit(0))
     rows = rows.withColumns(matches)
-    judged: dict[str, list[Column]] = {"base": [], "loose": []}
+    judged: dict[str, Column] = {}
     for kind in KINDS:
         for side, patterns, holds in (("base", _BASE, _is_base), ("loose", _LOOSE, _is_loose)):
             spans = _located(body, F.col(f"{side}_{kind}"), patterns[kind])
             kept = _kept(spans, kind, holds)
-            judged[side].append(_judged_all(kept, kind, side == "base"))
-    found = rows.select(
-        "doc_id", *[F.concat(*columns).alias(side) for side, columns in judged.items()]
-    )
+            judged[f"{side}_{kind}"] = _judged_all(kept, kind, side == "base")
+    found = rows.select("doc_id", *[spans.alias(name) for name, spans in judged.items()])
 
     def apart(span: Column) -> Column:
-        return ~F.exists(
-            "base", lambda b: (b["start"] < span["end"]) & (span["start"] < b["end"])
+        touched = [_touches(F.col(f"base_{kind}"), span) for kind in KINDS]
+        return ~(touched[0] | touched[1] | touched[2] | touched[3])
+
+    base = F.concat(*[F.col(f"base_{kind}") for kind in KINDS])
+    loose = [F.filter(F.col(f"loose_{kind}"), apart) for kind in KINDS]
+    return found.select("doc_id", base.alias("base"), F.concat(*loose).alias("loose"))
+
+
+def _touches(sorted_spans: Column, span: Column) -> Column:
+    """Whether a span meets one of others that are in order and do not overlap, by bisection."""
+    start = F.struct(F.lit(0).alias("low"), F.size(sorted_spans).alias("high"))
+    steps = F.sequence(F.lit(0), F.ceil(F.log2(F.size(sorted_spans) + 1.0)).cast("int"))
+
+    def halve(at: Column, _: Column) -> Column:
+        middle = F.shiftright(at["low"] + at["high"], 1)
+        before = F.get(sorted_spans, middle)["start"] < span["end"]
+        return F.when(at["low"] >= at["high"], at).otherwise(
+            F.struct(
+                F.when(before, middle + 1).otherwise(at["low"]).alias("low"),
+                F.when(before, at["high"]).otherwise(middle).alias("high"),
+            )
         )
 
-    return found.select("doc_id", "base", F.filter("loose", apart).alias("loose"))
+    before_end = F.aggregate(steps, start, halve)["low"]  # how many begin before the span's end
+    met = F.get(sorted_spans, before_end - 1)["end"] > span["start"]
+    return (F.size(sorted_spans) > 0) & F.coalesce(met, F.lit(False))
 
 
 def _kept(spans: Column, kind: str, holds) -> Column:

@@ -2,8 +2,10 @@
 import hashlib
 import random
 import re
+import time
 
 from pyspark.sql import Row
+from pyspark.sql import functions as F
 
 from eventweir.llm import pii
 from eventweir.llm.spans import summary
@@ -161,3 +163,38 @@ def test_the_query_on_whole_texts(spark):
     assert len(found) == len(texts_)
     for r in found:
         assert (r.n_email, r.n_ip, r.n_card, r.n_phone, r.base_sha256) == expected(texts_[r.doc_id])
+
+
+def test_many_finds_of_two_kinds_take_no_quadratic_time(spark):
+    n = 32_000
+    df = spark.createDataFrame([(1, "a@b.co 555-123-4567 " * n)], "doc_id long, text string")
+    start = time.perf_counter()
+    found = pii._candidates(df, "doc_id", "text").select(
+        F.size("base"), F.size("loose"), F.element_at("loose", -1)["start"]
+    )
+    assert tuple(found.first()) == (n, n, 20 * (n - 1) + 7)
+    assert time.perf_counter() - start < 20
+
+
+def test_loose_spans_touch_no_base_span(spark):
+    """Against comparing each with each, on texts full of both."""
+    draw = random.Random(6)
+    parts = ["a@b.co", "x (at) y.org", "+1 555-123-4567", "555-123-4567", "4111 1111 1111 1111", "1234567890123",
+             "1.2.3.4", "12345-678", "@", " ", "-", "me@x.org555-123-4567", "+49", "(555) 123-4567"]
+    texts = ["".join(draw.choice(parts) + draw.choice(["", " ", ", "]) for _ in range(draw.randrange(60))) for _ in range(80)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r.doc_id: r for r in pii._candidates(df, "doc_id", "text").collect()}
+    rows = df.select("doc_id", *[
+        pii._kept(pii._located(F.col("text"), F.regexp_extract_all("text", F.lit(pii._LOOSE[k]), F.lit(0)), pii._LOOSE[k]), k, pii._is_loose).alias(k)
+        for k in pii.KINDS
+    ])
+    some = 0
+    for row in rows.collect():
+        base = [(s.start, s.end) for s in found[row.doc_id].base]
+        expected = {
+            (k, s.start, s.end) for k in pii.KINDS for s in row[k]
+            if not any(a < s.end and s.start < b for a, b in base)
+        }
+        assert {(s.kind, s.start, s.end) for s in found[row.doc_id].loose} == expected
+        some += len(expected)
+    assert some > 50
