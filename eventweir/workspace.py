@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Sequence
 from contextlib import contextmanager
@@ -15,13 +16,17 @@ CHECKPOINT_CONF = "spark.checkpoint.dir"
 def shared_dir(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``, the same rule for every master.
 
-    Where that is unset, a folder below the session's warehouse: driver and executors share it by
-    definition, since that is where Spark keeps its own tables.
+    Where that is unset, a folder below the session's warehouse, where Spark keeps its own tables.
+    On a cluster, a warehouse on the driver's own disk is refused: executors do not see it.
     """
     configured = spark.conf.get(CHECKPOINT_CONF, None)
     if configured:
         return configured.rstrip("/")
-    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_eventweir"
+    warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+    master = spark.sparkContext.master
+    if warehouse.startswith("file:") and not re.match(r"local(\[|$)", master):
+        raise ValueError(f"on {master} set {CHECKPOINT_CONF}: {warehouse} is one machine's own")
+    return warehouse + "/_eventweir"
 
 
 def remove(spark: SparkSession, path: str) -> None:

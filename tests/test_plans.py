@@ -13,7 +13,7 @@ from eventweir.operators.targets import target_plan
 from eventweir.plans.config import TOPIC_BASED, TopicConfig
 from eventweir.plans.use_cases import labelled_bronze, split_by_topic
 from eventweir.sources.files import topic_reader
-from eventweir.workspace import materialise
+from eventweir.workspace import materialise, shared_dir
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -100,3 +100,20 @@ def test_allocation_has_no_cross_join(spark, plan_of):
 def test_target_plan_is_one_pass(spark, plan_of):
     plan = plan_of(target_plan(fx.registry(spark, SMALL)))
     assert plan.count("FileScan") == 1 and "Exchange" not in plan
+
+
+class _Session:
+    """As much of a session as the shared folder is looked up in."""
+
+    def __init__(self, master, **conf):
+        self.conf, self.sparkContext = conf, type("Context", (), {"master": master})
+
+
+@pytest.mark.parametrize("master", ["yarn", "spark://host:7077", "k8s://host", "local-cluster[2,1,1024]"])
+def test_a_driver_s_own_disk_is_no_shared_folder(master):
+    warehouse = {"spark.sql.warehouse.dir": "file:/home/me/spark-warehouse"}
+    with pytest.raises(ValueError, match="checkpoint.dir"):
+        shared_dir(_Session(master, **warehouse))
+    assert shared_dir(_Session("local[4]", **warehouse)) == "file:/home/me/spark-warehouse/_eventweir"
+    assert shared_dir(_Session(master, **warehouse | {"spark.checkpoint.dir": "file:/shared/"})) == "file:/shared"
+    assert shared_dir(_Session(master, **{"spark.sql.warehouse.dir": "hdfs://n/w"})) == "hdfs://n/w/_eventweir"
