@@ -268,7 +268,8 @@ def links(prints: DataFrame, max_bits: int) -> DataFrame:
     pairs = F.transform(others, lambda c: F.struct(F.least(own, c).alias("i"), F.greatest(own, c).alias("j")))
     nought = F.lit(0).cast("long")
     single = F.array(F.struct(nought.alias("i"), nought.alias("j")))
-    dealt = rows.join(sizes, ["block", "value"], "left").select(
+    # at most one row for each value of each block
+    dealt = rows.join(F.broadcast(sizes), ["block", "value"], "left").select(
         "block",
         "value",
         "print",
@@ -316,7 +317,10 @@ def near_duplicates(
     least = printed.groupBy("print").agg(F.min("doc_id").alias("least"))
     by_print = roots.join(least, "print").select("print", "root", "least")
     by_root = by_print.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = by_print.select("print", "root").join(by_root, "root").select("print", "component_id")
+    # written before they are joined: joins of plain tables are split where a key is hot
+    by_root = materialise(by_root, "component-ids")
+    named = roots.join(by_root, "root").select("print", "component_id")
+    named = materialise(named, "named")
     return printed.join(named, "print").select(
         "doc_id",
         F.lpad(F.lower(F.hex("print")), 16, "0").alias("fingerprint"),

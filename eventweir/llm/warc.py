@@ -184,6 +184,8 @@ def write_archives(
         .agg(F.min(best).alias("first"), F.count("*").alias("n"))
         .filter("n > 1")
     )
+    # written before it is joined: a join of plain tables is split where a payload is hot
+    shared = materialise(shared, "shared-digests")
     joined = rows.join(shared, F.col("digest") == F.col("shared"), "left")
     own = _record_id(F.col("page_id"), F.col("row_id"))
     first = _record_id(F.col("first.page_id"), F.col("first.row_id"))
