@@ -7,7 +7,7 @@ group depends on the size of the table or on its keys.  In a group, best fit in
 first packing.  Local search then improves it: from the emptiest bin on, documents are moved into
 others, or exchanged one for one, two for one and one for two, wherever that raises the sum of squared
 fills, until bins run empty.  The underfull sequences of all groups are then dealt into new groups and
-improved there, round by round, until none is saved.
+improved there, round by round, until too few are saved.
 
 Null texts count as empty: they hold the closing id only.  Repeated rows are packed each on their
 own, an empty table gives an empty result, other columns are passed over.
@@ -20,7 +20,6 @@ import zlib
 from array import array
 from collections import defaultdict
 from collections.abc import Iterator
-from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -30,12 +29,14 @@ from pyspark.sql.types import StructType
 
 from eventweir.llm.arrow import slices, texts
 from eventweir.llm.pretokens import Pieces, splitter
-from eventweir.workspace import materialise
+from eventweir.workspace import fresh_path, materialise, read_written, write_table
 
 #: Pieces that are packed together, about.
 GROUP_ROWS = 8_192
 #: Sweeps of the local search over the underfull bins; it ends sooner when none improves.
 SWEEPS = 12
+#: Share of the underfull sequences that a round over new groups has to save for another one to follow.
+MIN_GAIN = 1e-4
 
 _PIECE = "piece int, start long, length long, ids_crc32 long"
 
@@ -288,24 +289,41 @@ def _pack_group(size: int, schema: pa.Schema):
     return pack_group
 
 
-def _regrouped(solved: DataFrame, size: int, group_rows: int, solve) -> DataFrame:
-    """The underfull sequences dealt into new groups and packed there, until none is saved."""
-    done = []
-    step = 0
+def _solve(rows: DataFrame, groups: int, size: int, schema: StructType) -> DataFrame:
+    """The rows packed by their ``group``, a number below ``groups``.
+
+    Groups are small in bytes and heavy in work, so they are dealt evenly to tasks by their number,
+    not by bytes: to a task each, or to ``spark.sql.shuffle.partitions`` tasks if there are more.
+    """
+    tasks = min(groups, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    dealt = rows.withColumn("task", F.pmod("group", F.lit(tasks)).cast("int"))
+    dealt = dealt.repartitionById(tasks, "task").groupBy("task", "group")
+    return dealt.applyInArrow(_pack_group(size, to_arrow_schema(schema)), schema)
+
+
+def _regrouped(first: DataFrame, size: int, group_rows: int, min_gain: float) -> DataFrame:
+    """The underfull sequences dealt into new groups and packed there, until a round saves too few.
+
+    Rounds are folders of one table.  What a round leaves underfull is read by the next one, so the
+    result is the filled sequences of all rounds and the others of the last, in one scan.
+    """
+    spark, schema, path = first.sparkSession, first.schema, fresh_path(first.sparkSession, "rounds")
+    rounds, left = 0, write_table(first, f"{path}/round=0")
     while True:
-        step += 1
-        under = solved.filter(F.col("filled") < size)
+        under = left.filter(F.col("filled") < size)
         rows, before = under.agg(F.count("*"), F.count_if(F.col("offset") == 0)).first()
         groups = -(-rows // group_rows)
         if before < 2:
             break
-        done.append(solved.filter(F.col("filled") == size))
-        dealt = F.pmod(F.xxhash64("sequence_id", F.lit(step)), F.lit(groups))
-        solved = materialise(solve(under.withColumn("group", dealt)), "repacked")
-        after = solved.filter(F.col("offset") == 0).count()
-        if after == before or groups == 1:
+        rounds += 1
+        dealt = F.pmod(F.xxhash64("sequence_id", F.lit(rounds)), F.lit(groups))
+        solved = _solve(under.withColumn("group", dealt), groups, size, schema)
+        left = write_table(solved, f"{path}/round={rounds}")
+        saved = before - left.filter(F.col("offset") == 0).count()
+        if saved == 0 or saved < min_gain * before or groups == 1:
             break
-    return reduce(DataFrame.unionByName, done, solved)
+    whole = read_written(spark, path, StructType(schema.fields).add("round", "integer"))
+    return whole.filter((F.col("filled") == size) | (F.col("round") == rounds)).drop("round")
 
 
 def packed(
@@ -316,10 +334,12 @@ def packed(
     doc_id: str = "doc_id",
     text: str = "text",
     group_rows: int = GROUP_ROWS,
+    min_gain: float = MIN_GAIN,
 ) -> DataFrame:
     """Per piece: doc_id, piece, start, length, ids_crc32, sequence_id and offset there.
 
-    Sequences of one full piece have negative numbers.
+    Sequences of one full piece have negative numbers.  Rounds over new groups end with the first that
+    saves none, or less than ``min_gain`` of the underfull sequences.
     """
     pieces = materialise(token_pieces(docs, path, end_id, size, doc_id, text), "pieces")
     columns = ["doc_id", *StructType.fromDDL(_PIECE).names]
@@ -328,13 +348,10 @@ def packed(
     schema = StructType([pieces.schema[c] for c in columns])
     schema = schema.add("sequence_id", "long").add("offset", "long").add("filled", "long")
 
-    def solve(rows: DataFrame) -> DataFrame:
-        return rows.groupBy("group").applyInArrow(_pack_group(size, to_arrow_schema(schema)), schema)
-
     dealt = F.pmod(F.xxhash64("row_id"), F.lit(groups)).alias("group")
-    solved = solve(short.select(dealt, *columns))
+    solved = _solve(short.select(dealt, *columns), groups, size, schema)
     if groups > 1:
-        solved = _regrouped(materialise(solved, "packed"), size, group_rows, solve)
+        solved = _regrouped(solved, size, group_rows, min_gain)
     full = pieces.filter(F.col("length") == size).select(
         *columns,
         (-F.monotonically_increasing_id() - 1).alias("sequence_id"),
