@@ -6,8 +6,10 @@ strings.  Strings are searched by classes of similar length.  Per class, ``m`` i
 length: a shift table over the blocks of the strings' first ``m`` bytes tells how far a search may
 jump, a block that ends such a head opens a bucket of strings, and direct comparison confirms them.
 
-The strings are broadcast in blocks of at most ``block_bytes``; each block is searched for in all
-documents, so memory does not grow with the benchmark.  One block, the usual case, needs no shuffle.
+The windows are made in tasks and written, and dealt by hash to as many blocks as they have
+``block_bytes``, about that size each.  Blocks are broadcast one after the other and searched for in
+all documents, so memory does not grow with the benchmark, nor with one item of it, only with the
+longest window.  One block, the usual case, needs no shuffle of documents.
 
 Null or wordless texts have no words: they are never hit and never hit others.  Items with a null
 id contaminate like others and are listed as the empty text; repeated item ids are listed once.
@@ -19,7 +21,7 @@ from __future__ import annotations
 import uuid
 from collections import defaultdict
 from collections.abc import Iterator
-from functools import reduce
+from itertools import islice
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -27,15 +29,15 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-from eventweir.llm.arrow import raw_texts, slices
-from eventweir.workspace import materialise
+from eventweir.llm.arrow import SLICE_ROWS, raw_texts, slices
+from eventweir.workspace import fresh_path, materialise, read_written, write_table
 
 WINDOW = 13
 #: A document is contaminated when at least one in so many of its words is hit.
 SHARE = 20
 #: Bytes of a block of the shift tables; strings shorter than two blocks use single bytes.
 BLOCK = 8
-#: Bytes of benchmark texts that are searched for at a time.
+#: Bytes of benchmark windows that are searched for at a time, about.
 BLOCK_BYTES = 16 << 20
 
 _FOUND = "n_words long, spans array<struct<a:long,b:long>>, items array<string>"
@@ -50,13 +52,10 @@ def words(raw: bytes) -> list[bytes]:
     return raw.translate(_WORD_BYTES).split()
 
 
-def windows(item: list[bytes], size: int) -> set[bytes]:
+def windows(item: list[bytes], size: int) -> Iterator[bytes]:
     """The windows of an item as byte strings, a space at either end."""
-    return {
-        b" " + b" ".join(item[i : i + size]) + b" "
-        for i in range(max(1, len(item) - size + 1))
-        if item
-    }
+    for i in range(max(1, len(item) - size + 1) if item else 0):
+        yield b" " + b" ".join(item[i : i + size]) + b" "
 
 
 class Matcher:
@@ -121,9 +120,8 @@ _MATCHERS: dict[str, tuple] = {}
 def _matcher(block, name: str) -> tuple[Matcher, dict[bytes, list[str]]]:
     if name not in _MATCHERS:
         owners: dict[bytes, list[str]] = defaultdict(list)
-        for item, strings in block.value:
-            for string in strings:
-                owners[string].append(item)
+        for item, string in block.value:
+            owners[string].append(item)
         _MATCHERS.clear()
         _MATCHERS[name] = Matcher(list(owners)), dict(owners)
     return _MATCHERS[name]
@@ -150,24 +148,39 @@ def _search(block, name: str, carried: StructType, schema: pa.Schema):
     return search
 
 
-def _blocks(benchmark: DataFrame, item_id: str, text: str, size: int, block_bytes: int):
-    """The windows of the benchmark, some items at a time."""
+def _window_rows(size: int, schema: pa.Schema):
+    """A row per window of each item."""
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            items = batch.column("item").to_pylist()
+            for item, raw in zip(items, raw_texts(batch.column("raw")), strict=True):
+                strings = windows(words(raw), size)
+                while some := list(islice(strings, SLICE_ROWS)):
+                    arrays = [pa.array([item] * len(some)), pa.array(some, pa.binary())]
+                    yield pa.RecordBatch.from_arrays(arrays, schema=schema)
+
+    return rows
+
+
+def _blocks(
+    benchmark: DataFrame, item_id: str, text: str, size: int, block_bytes: int
+) -> Iterator[list[tuple[str, bytes]]]:
+    """Windows of the benchmark with their items, a block at a time; one empty block for none."""
     rows = benchmark.select(
         F.coalesce(F.col(item_id).cast("string"), F.lit("")).alias("item"),
         F.col(text).cast("binary").alias("raw"),
     ).filter("raw is not null")
-    block, held = [], 0
-    for row in rows.toLocalIterator():
-        strings = windows(words(bytes(row.raw)), size)
-        if not strings:
-            continue
-        block.append((row.item, sorted(strings)))
-        held += sum(map(len, strings))
-        if held >= block_bytes:
-            yield block
-            block, held = [], 0
-    if block:
-        yield block
+    schema = StructType.fromDDL("item string, string binary")
+    made = rows.mapInArrow(_window_rows(size, to_arrow_schema(schema)), schema)
+    made = materialise(made.distinct(), "windows")
+    total = made.agg(F.coalesce(F.sum(F.octet_length("string")), F.lit(0)).alias("n")).first().n
+    count = max(1, -(-total // block_bytes))
+    dealt = made.withColumn("block", F.pmod(F.xxhash64("string", "item"), F.lit(count)))
+    for number in range(count):
+        found = dealt.filter(F.col("block") == number).select("item", "string").collect()
+        if found or count == 1:
+            yield [(r.item, bytes(r.string)) for r in found]
 
 
 def _merged(spans: F.Column) -> F.Column:
@@ -218,17 +231,17 @@ def contamination(
     )
     names = [c for c in rows.columns if c not in ("text", "row_id")]
     blocks = _blocks(benchmark, item_id, item_text, size, block_bytes)
-    block, further = next(blocks, []), next(blocks, None)
+    block, further = next(blocks), next(blocks, None)
     if further is not None:
         rows = materialise(rows, "numbered")  # each block is searched for in the same rows
     result = _searched(rows, ["row_id", *names], block)
     if further is not None:
-        more = []
+        path, number = fresh_path(spark, "hits"), 0
         while further is not None:
             part = _searched(rows, ["row_id"], further).filter("size(spans) > 0")
-            more.append(materialise(part, "hits"))
-            further = next(blocks, None)
-        together = reduce(DataFrame.unionByName, more).groupBy("row_id")
+            written = write_table(part, f"{path}/block={number}")
+            further, number = next(blocks, None), number + 1
+        together = read_written(spark, path, written.schema).groupBy("row_id")
         added = together.agg(
             F.flatten(F.collect_list("spans")).alias("more_spans"),
             F.flatten(F.collect_list("items")).alias("more_items"),
