@@ -5,11 +5,14 @@ fingerprints within ``max_bits`` differing bits are linked.  The trie of all fin
 with itself: node pairs go down together, adding up the bits in which their paths differ, and are
 dropped when these exceed the budget.
 
-To spread the work, the 64 bits are cut into one block more than the budget has bits: linked
-fingerprints agree in one block at least.  For each block there is one trie whose paths begin with
-that block; below each value of it hangs a subtrie that one task can join, with the budget untouched.
-A block value shared by many fingerprints is cut into chunks of bounded size by a hash, and each pair
-of chunks is joined on its own, so no subtrie outgrows a task and no link is lost.
+To spread the work, the 64 bits are cut into more blocks than the budget has bits: linked
+fingerprints agree in all blocks but as many as the budget.  For each choice of so many blocks there
+is one trie whose paths begin with them; below each value of them hangs a subtrie that one task can
+join, with the budget untouched.  A value shared by many fingerprints is cut into chunks of bounded
+size by a hash, and each pair of chunks is joined on its own, so no subtrie outgrows a task and no
+link is lost.  These copies grow with the square of a value's fingerprints, so they are counted first,
+and the bits are cut into one block more where that makes fewer rows: 5 choices of one block of 12 bits
+at first (budget 4), then 15 of two with 20 bits, 35 of three with 27, 70 of four with 32.
 
 A task keeps the links it finds as stars: fingerprints point to the smallest one they are connected
 with below the same block value, and node pairs that are already connected are not followed further.
@@ -21,7 +24,7 @@ links at all.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import accumulate
+from itertools import accumulate, combinations
 
 import numpy as np
 import pyarrow as pa
@@ -37,6 +40,10 @@ from eventweir.workspace import materialise
 
 #: Fingerprints below one block value that a task joins at most, times two.
 CHUNK = 8_192
+#: Blocks that 64 bits are cut into beyond the budget at most.
+MORE_BLOCKS = 4
+#: Crowded values that are broadcast at most; more are joined as a plain table.
+FEW_VALUES = 100_000
 #: Rows of whole subtries that are joined in one sweep.
 SWEEP_ROWS = 200_000
 #: Node pairs on one level that are held at a time.
@@ -94,19 +101,36 @@ def fingerprints(rows: DataFrame, words: int, seed: int) -> DataFrame:
     return rows.mapInArrow(_fingerprints(words, seed, to_arrow_schema(schema)), schema)
 
 
-def blocks_of(max_bits: int) -> list[tuple[int, int]]:
-    """Lowest bit and width of the blocks that 64 bits are cut into."""
-    n = max_bits + 1
-    edges = [64 * i // n for i in range(n + 1)]
-    return [(a, b - a) for a, b in zip(edges, edges[1:], strict=False)]
+Blocks = tuple[tuple[int, int], ...]
 
 
-def _rotated(prints: np.ndarray, low: int, width: int) -> np.ndarray:
-    """The prints with a block moved to the top."""
-    turn = np.uint64((64 - low - width) % 64)
-    if not turn:
-        return prints
-    return (prints << turn) | (prints >> (np.uint64(64) - turn))
+def choices(count: int, max_bits: int) -> list[tuple[Blocks, Blocks]]:
+    """All ways to take ``count - max_bits`` of ``count`` blocks, those taken and the others.
+
+    A block is its lowest bit and its width; together they are the 64 bits.
+    """
+    edges = [64 * i // count for i in range(count + 1)]
+    blocks = [(a, b - a) for a, b in zip(edges, edges[1:], strict=False)]
+    taken = combinations(blocks, count - max_bits)
+    return [(some, tuple(b for b in blocks if b not in some)) for some in taken]
+
+
+def _taken_first(prints: np.ndarray, choice: tuple[Blocks, Blocks]) -> np.ndarray:
+    """The prints with the bits of the taken blocks at the top."""
+    turned = np.zeros_like(prints)
+    for low, width in [*choice[0], *choice[1]]:
+        bits = (prints >> np.uint64(low)) & np.uint64((1 << width) - 1)
+        turned = (turned << np.uint64(width % 64)) | bits
+    return turned
+
+
+def _value(taken: Blocks) -> F.Column:
+    """The bits of the taken blocks as one number."""
+    value = F.lit(0).cast("long")
+    for low, width in taken:
+        bits = F.shiftrightunsigned("print", low).bitwiseAND(F.lit((1 << width) - 1).cast("long"))
+        value = F.shiftleft(value, width).bitwiseOR(bits)
+    return value
 
 
 class _Union:
@@ -201,23 +225,26 @@ def _leaves(union: _Union, prints: np.ndarray, budget: int, a0, a1, b0, b1) -> N
     union.link(a[near], b[near])
 
 
-def _linker(budget: int, blocks: list[tuple[int, int]]):
-    """Links of sorted rows ``block, value, i, j, print``, whole subtries at a time."""
+def _linker(budget: int, ways: list[tuple[Blocks, Blocks]]):
+    """Links of sorted rows ``block, value, i, j, print``, whole subtries at a time.
+
+    ``block`` is the number of the choice of blocks.
+    """
 
     def linked(rows: list[np.ndarray]) -> pa.RecordBatch:
         block, value, i, j, prints = rows
         own = prints.view(np.uint64)
         turned = np.empty_like(own)
-        for number, (low, width) in enumerate(blocks):
+        for number in np.unique(block):
             here = block == number
-            turned[here] = _rotated(own[here], low, width)
+            turned[here] = _taken_first(own[here], ways[number])
         changes = np.zeros(len(own), np.int64)
         for column in (block, value, i, j):
             changes[1:] |= column[1:] != column[:-1]
         keys = np.cumsum(changes)
         order = np.lexsort((turned, keys))
         turned, own, keys = turned[order], own[order], keys[order]
-        depth = min(width for _, width in blocks)
+        depth = min(sum(width for _, width in taken) for taken, _ in ways)
         label = join_tries(keys, turned, depth, budget)
         moved = np.flatnonzero(label != np.arange(len(label)))
         signed = own.view(np.int64)
@@ -248,28 +275,50 @@ def _linker(budget: int, blocks: list[tuple[int, int]]):
     return run
 
 
+def _cut(prints: DataFrame, max_bits: int):
+    """The choices of blocks that make the fewest rows, ``block, value, print`` by them, and the
+    values with over ``CHUNK`` prints and their number of chunks, a written table.
+
+    ``block`` is the number of the choice.  One more block is tried as long as it can make fewer rows.
+    """
+    total, best = prints.count(), None
+    for count in range(max_bits + 1, min(64, max_bits + MORE_BLOCKS) + 1):
+        ways = choices(count, max_bits)
+        if best and best[0] <= total * len(ways):
+            break
+        cut = F.array(
+            *[
+                F.struct(F.lit(n).alias("block"), _value(taken).alias("value"))
+                for n, (taken, _) in enumerate(ways)
+            ]
+        )
+        rows = prints.select("print", F.inline(cut))
+        sizes = rows.groupBy("block", "value").count().filter(F.col("count") > CHUNK)
+        crowded = sizes.withColumn("chunks", F.ceil(F.col("count") / CHUNK))
+        crowded = materialise(crowded, "crowded")
+        copies = F.sum(F.col("count") * (F.col("chunks") - 2))
+        made = total * len(ways) + (crowded.agg(copies.alias("n")).first().n or 0)
+        if not best or made < best[0]:
+            best = made, ways, rows, crowded
+    return best[1:]
+
+
 def links(prints: DataFrame, max_bits: int) -> DataFrame:
-    """Links ``a, b`` that connect the distinct fingerprints ``print`` as all close pairs would."""
-    blocks = blocks_of(max_bits)
-    cut = F.array(
-        *[
-            F.struct(
-                F.lit(n).alias("block"),
-                F.shiftrightunsigned("print", low).bitwiseAND((1 << width) - 1).alias("value"),
-            )
-            for n, (low, width) in enumerate(blocks)
-        ]
-    )
-    rows = prints.select("print", F.inline(cut))
-    sizes = rows.groupBy("block", "value").count().filter(F.col("count") > CHUNK)
-    sizes = sizes.select("block", "value", F.ceil(F.col("count") / CHUNK).alias("chunks"))
+    """Links ``a, b`` that connect the distinct fingerprints ``print`` as all close pairs would.
+
+    ``prints`` is a written table.
+    """
+    spark = prints.sparkSession
+    ways, rows, crowded = _cut(prints, max_bits)
+    sizes = crowded.select("block", "value", "chunks")
+    if sizes.count() <= FEW_VALUES:
+        sizes = F.broadcast(sizes)
     own = F.pmod(F.xxhash64("print"), F.col("chunks"))
     others = F.filter(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1), lambda c: c != own)
     pairs = F.transform(others, lambda c: F.struct(F.least(own, c).alias("i"), F.greatest(own, c).alias("j")))
     nought = F.lit(0).cast("long")
     single = F.array(F.struct(nought.alias("i"), nought.alias("j")))
-    # at most one row for each value of each block
-    dealt = rows.join(F.broadcast(sizes), ["block", "value"], "left").select(
+    dealt = rows.join(sizes, ["block", "value"], "left").select(
         "block",
         "value",
         "print",
@@ -277,10 +326,12 @@ def links(prints: DataFrame, max_bits: int) -> DataFrame:
     )
     keyed = dealt.select("block", "value", "pair.i", "pair.j", "print")
     keys = ["block", "value", "i", "j"]
+    # few bytes make much work: tasks are not merged by their bytes
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
     return (
-        keyed.repartition(*keys)
+        keyed.repartition(tasks, *keys)
         .sortWithinPartitions(*keys)
-        .mapInArrow(_linker(max_bits, blocks), "a long, b long")
+        .mapInArrow(_linker(max_bits, ways), "a long, b long")
     )
 
 

@@ -4,6 +4,7 @@ import random
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from eventweir.llm import simhash
 from eventweir.llm.components import components
@@ -91,6 +92,45 @@ def test_links_connect_what_all_pairs_connect(spark, monkeypatch, chunk, few):
     assert root == expected
 
 
+@pytest.mark.parametrize("few_values", [100_000, 0])
+def test_finer_blocks_connect_the_same(spark, monkeypatch, tmp_path, few_values):
+    """With crowded values more blocks are taken; links stay those of all pairs, rows bounded."""
+    monkeypatch.setattr(simhash, "CHUNK", 4)
+    monkeypatch.setattr(simhash, "FEW_VALUES", few_values)
+    rng = random.Random(4)
+    prints = sorted({p & ~0xFFF for p in tables(rng, 100)} | set(tables(rng, 40)))
+    path = f"{tmp_path}/prints"
+    spark.createDataFrame([(signed(p),) for p in prints], "print long").write.parquet(path)
+    df = spark.read.parquet(path)
+    ways, rows, crowded = simhash._cut(df, 4)
+    assert len(ways) > 5 and {len(taken) for taken, _ in ways} == {len(ways[0][0])}
+    joined = components(simhash.links(df, 4), "a", "b").collect()
+    root = {signed(p): signed(p) for p in prints} | {r.node: r.root for r in joined}
+    assert root == classes({signed(p): p for p in prints}, 4)
+
+
+def test_rows_a_print_stay_bounded_as_prints_grow(spark, monkeypatch, tmp_path):
+    """Drawn prints, with chunks scaled down: one block would make copies in proportion to them."""
+    monkeypatch.setattr(simhash, "CHUNK", 1)
+    for n in (2_000, 8_000, 32_000):
+        path = f"{tmp_path}/{n}"
+        spark.range(n).select(F.xxhash64("id").alias("print")).write.parquet(path)
+        ways, _, crowded = simhash._cut(spark.read.parquet(path), 4)
+        copies = crowded.agg(F.sum(F.col("count") * (F.col("chunks") - 2))).first()[0] or 0
+        assert len(ways) + copies / n <= 16
+
+
+def test_choices_cover_all_bits():
+    for count, number in ((5, 5), (6, 15), (7, 35), (8, 70)):
+        ways = simhash.choices(count, 4)
+        assert len(ways) == number
+        prints = np.array([0, 1 << 63, (1 << 64) - 1, 0x0123456789ABCDEF], dtype=np.uint64)
+        for way in ways:
+            turned = simhash._taken_first(prints, way)
+            assert np.array_equal(np.bitwise_count(turned), np.bitwise_count(prints))
+            assert sum(width for _, width in (*way[0], *way[1])) == 64
+
+
 def test_tries_alone_with_a_small_frontier(monkeypatch):
     monkeypatch.setattr(simhash, "FRONTIER", 7)
     monkeypatch.setattr(simhash, "FEW", 1)
