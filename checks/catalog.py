@@ -25,6 +25,7 @@ from eventweir.operators import (
 )
 from eventweir.operators.projections import DECODED, topic_table
 from eventweir.operators.targets import target_collisions, target_plan
+from eventweir.operators.weighted_allocation import allocate_weighted
 from eventweir.plans.config import (
     PAYLOAD_BASED,
     TOPIC_BASED,
@@ -396,6 +397,10 @@ def registry_allocate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return registry.allocate(fx.registry(spark, sf_dir), fx.LIMIT)
 
 
+def registry_allocate_weighted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return allocate_weighted(fx.registry(spark, sf_dir), fx.LIMIT)
+
+
 def registry_new_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return registry.new_groups(registry_allocate(spark, sf_dir))
 
@@ -690,6 +695,7 @@ QUERIES: dict[str, Query] = {
     "registry_pipelines": registry_pipelines,
     "registry_topics": registry_topics,
     "registry_allocate": registry_allocate,
+    "registry_allocate_weighted": registry_allocate_weighted,
     "registry_new_groups": registry_new_groups,
     "registry_merge": registry_merge,
     "target_plan": targets,

@@ -466,6 +466,37 @@ WITH {_REG} SELECT DISTINCT pipeline_id FROM reg WHERE pipeline_id IS NOT NULL
 """,
     "registry_topics": f"WITH {_REG} SELECT {_REGISTRY_ROW} FROM reg WHERE pipeline_id = 'p007'",
     "registry_allocate": f"WITH {_ALLOCATION} SELECT * FROM allocation",
+    "registry_allocate_weighted": f"""
+WITH {_REG},
+weighed AS (
+  SELECT topic_name, pipeline_id,
+         1 + CASE WHEN kind = 'payload_based' THEN len(event_types) ELSE 0 END AS weight FROM reg),
+room AS (
+  SELECT pipeline_id, {LIMIT} - sum(weight) AS free FROM weighed
+  WHERE pipeline_id IS NOT NULL GROUP BY pipeline_id HAVING sum(weight) < {LIMIT}),
+line AS (
+  SELECT *, sum(free) OVER (ORDER BY free DESC, pipeline_id) AS upto FROM room),
+topics AS (
+  SELECT topic_name, weight, sum(weight) OVER (ORDER BY weight DESC, topic_name) AS upto
+  FROM weighed WHERE pipeline_id IS NULL),
+dealt AS (
+  SELECT t.topic_name, t.weight, l.pipeline_id FROM topics t LEFT JOIN line l
+  ON t.upto - t.weight >= l.upto - l.free AND t.upto <= l.upto),
+classed AS (
+  SELECT *, length(bin(greatest({LIMIT} // weight, 1))) - 1 AS class FROM dealt
+  WHERE pipeline_id IS NULL),
+placed AS (
+  SELECT *, (row_number() OVER (PARTITION BY class ORDER BY weight DESC, topic_name) - 1)
+            // CAST(pow(2, class) AS BIGINT) AS place FROM classed),
+classes AS (
+  SELECT class, sum(max(place) + 1) OVER (ORDER BY class) - (max(place) + 1) AS earlier
+  FROM placed GROUP BY class)
+SELECT topic_name, weight, pipeline_id, CAST(NULL AS BIGINT) AS new_group FROM dealt
+WHERE pipeline_id IS NOT NULL
+UNION ALL
+SELECT topic_name, weight, pipeline_id, CAST(earlier + place + 1 AS BIGINT)
+FROM placed JOIN classes USING (class)
+""",
     "registry_new_groups": f"""
 WITH {_ALLOCATION}
 SELECT new_group, string_agg(topic_name, ',' ORDER BY topic_name) AS topic_names,

@@ -1,4 +1,4 @@
-"""Exact consecutive numbers over a sorted DataFrame without one task seeing all rows."""
+"""Exact consecutive numbers and running totals over a sorted DataFrame without one task seeing all rows."""
 
 from __future__ import annotations
 
@@ -39,3 +39,26 @@ def number_rows(
         .select(*[F.col(f"`{c}`") for c in df.columns], (F.col("_start") + place + 1).alias(name))
     )
     return numbered, stored.agg(F.count("*").alias("n")).scalar()
+
+
+def running_totals(
+    df: DataFrame, order_by: Sequence[Column], amount: str, name: str
+) -> DataFrame:
+    """``df`` with ``name``: the sum of ``amount`` over all rows before, in the given total order.
+
+    Like ``number_rows``: rows are summed up inside each sorted partition, and the partitions' sums
+    are what is summed up in order and broadcast.
+    """
+    placed = df.orderBy(*order_by).withColumn("_at", F.monotonically_increasing_id())
+    stored = materialise(placed, "totals")
+    part = F.shiftrightunsigned("_at", _PLACE_BITS).alias("_part")
+    sums = stored.groupBy(part).agg(F.sum(amount).alias("_sum"))
+    before = W.orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
+    starts = sums.select("_part", F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_start_of"))
+    inside = W.partitionBy("_part").orderBy("_at").rowsBetween(W.unboundedPreceding, -1)
+    summed = stored.withColumn("_part", part).withColumn(
+        "_inside", F.coalesce(F.sum(amount).over(inside), F.lit(0))
+    )
+    return summed.join(F.broadcast(starts), "_part").select(
+        *[F.col(f"`{c}`") for c in df.columns], (F.col("_start_of") + F.col("_inside")).alias(name)
+    )

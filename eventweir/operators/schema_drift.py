@@ -47,12 +47,26 @@ def _outer_paths(field: Column) -> Column:
     return F.when(count > 0, paths).otherwise(F.array().cast("array<string>"))
 
 
-def _brackets(content: Column) -> Column:
-    """The nesting of a value: the brackets of its JSON text as < and >, empty neighbours as one."""
+def _text_brackets(content: Column) -> Column:
+    """The nesting of a value, from its JSON text."""
     plain = F.regexp_replace(F.to_json(content), r"(?s)\\.", "")
     plain = F.regexp_replace(plain, '"[^"]*"', "")
-    brackets = F.translate(F.regexp_replace(plain, r"[^\[\]{}]+", ""), "[]{}", "<><>")
-    return F.regexp_replace(brackets, "(?:<>)++", "<>")
+    return F.translate(F.regexp_replace(plain, r"[^\[\]{}]+", ""), "[]{}", "<><>")
+
+
+def _brackets(content: Column) -> Column:
+    """The nesting of a value as < and >.
+
+    Its type tells it, unless elements of an array are of several types, which hide what lies below
+    them, or a name needs quotes, as it may then hold brackets.
+    """
+    kind = F.schema_of_variant(content)
+    hidden = kind.contains("VARIANT") | kind.contains("`")
+    return F.when(hidden, _text_brackets(content)).otherwise(F.regexp_replace(kind, "[^<>]+", ""))
+
+
+#: Levels that are told by taking innermost brackets away.
+SHALLOW = 4
 
 
 def _depth(brackets: Column) -> Column:
@@ -63,7 +77,11 @@ def _depth(brackets: Column) -> Column:
         now = seen["now"] + F.when(bracket == "<", 1).when(bracket == ">", -1).otherwise(0)
         return F.struct(now.alias("now"), F.greatest(seen["most"], now).alias("most"))
 
-    return F.aggregate(F.split(brackets, ""), start, step)["most"]
+    depth, left = F.when(brackets == "", 0), brackets
+    for level in range(1, SHALLOW + 1):
+        left = F.replace(left, F.lit("<>"), F.lit(""))
+        depth = depth.when(left == "", level)
+    return depth.otherwise(F.aggregate(F.split(brackets, ""), start, step)["most"])
 
 
 def field_profile(envelope: DataFrame) -> DataFrame:
@@ -73,8 +91,8 @@ def field_profile(envelope: DataFrame) -> DataFrame:
     each counted as a record.  Names with a dot or bracket are quoted.  Empty objects and arrays
     have types of their own, ``struct<>`` and ``array<>``.
 
-    One pass finds how deep the messages nest, from their text, as the type of a mixed array hides
-    what lies below it; a second one walks down in as many steps, values that are plain already wait.
+    One pass finds how deep the messages nest, from their types, or from the text of those whose type
+    hides it; a second one walks down in as many steps, values that are plain already wait.
     The walk is written every ``STEPS`` steps, so that deep messages make no larger plan.  Leaves are
     counted in a partial hash aggregate, so records of many shapes give no more groups than there are
     paths and types.
@@ -82,7 +100,7 @@ def field_profile(envelope: DataFrame) -> DataFrame:
     spark = envelope.sparkSession
     payloads = envelope.select("topic", payload_object(payload_text()).alias("content"))
     payloads = payloads.where(F.col("content").isNotNull())
-    nestings = payloads.select(_brackets(F.col("content")).alias("b")).distinct()
+    nestings = payloads.select(_brackets(F.col("content")).alias("b"))
     levels = nestings.agg(F.max(_depth(F.col("b")))).first()[0] or 0
     walked = payloads.lateralJoin(spark.tvf.variant_explode(F.col("content").outer())).select(
         "topic", F.col("value").alias("content"), _quoted(F.col("key")).alias("field")
