@@ -22,9 +22,10 @@ PAYLOAD_DDL = (
 CONFIG = TopicConfig(TOPIC, PAYLOAD_BASED, PAYLOAD_DDL, EVENT_TYPES)
 
 LIMIT = 20
-# Micro-batches that a run over everything available takes, and files that a table of a single one
-# is dealt to for that.
+# Micro-batches that a run over everything available takes.
 MICRO_BATCHES = 3
+# Events to a file of a stream: a file of one row group is one task, however large it is.
+FILE_EVENTS = 50_000
 _staged: dict[tuple[str, str], str] = {}
 
 
@@ -33,16 +34,21 @@ def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The events as a file stream of several micro-batches."""
+    """The events as a file stream of several micro-batches.
+
+    A table of fewer files than its rows call for is dealt to as many first, written once per
+    application, so that the tasks of a micro-batch grow in number with the table.
+    """
     events = read_events(spark, sf_dir)
     files = len(events.inputFiles())
     path = f"{sf_dir}/events.parquet*"  # the glob also fits a table of many part files
-    if files < MICRO_BATCHES:
+    wanted = MICRO_BATCHES * max(1, -(-events.count() // (MICRO_BATCHES * FILE_EVENTS)))
+    if files < wanted:
         key = (spark.sparkContext.applicationId, sf_dir)
         if key not in _staged:
             _staged[key] = fresh_path(spark, "events")
-            write_table(events.repartition(MICRO_BATCHES), _staged[key])
-        path, files = _staged[key], MICRO_BATCHES
+            write_table(events.repartition(wanted), _staged[key])
+        path, files = _staged[key], wanted
     return stream_files(spark, path, events.schema, max_files=-(-files // MICRO_BATCHES))
 
 
