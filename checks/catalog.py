@@ -225,7 +225,7 @@ def publish_fanout(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _topic_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fx.topic_envelopes(fx.read_events(spark, sf_dir))
+    return fx.topic_envelopes(fx.dealt_events(spark, sf_dir))
 
 
 def _joined_types(df: DataFrame) -> DataFrame:

@@ -33,23 +33,35 @@ def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/events.parquet")
 
 
-def stream_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The events as a file stream of several micro-batches.
+def _dealt(spark: SparkSession, sf_dir: str) -> tuple[str, int]:
+    """Where the events lie in as many files as their number calls for, and how many these are.
 
-    A table of fewer files than its rows call for is dealt to as many first, written once per
-    application, so that the tasks of a micro-batch grow in number with the table.
+    A table of fewer files is dealt to as many first, written once per application, so that the
+    tasks that decode it grow in number with the table.
     """
     events = read_events(spark, sf_dir)
     files = len(events.inputFiles())
-    path = f"{sf_dir}/events.parquet*"  # the glob also fits a table of many part files
     wanted = MICRO_BATCHES * max(1, -(-events.count() // (MICRO_BATCHES * FILE_EVENTS)))
-    if files < wanted:
-        key = (spark.sparkContext.applicationId, sf_dir)
-        if key not in _staged:
-            _staged[key] = fresh_path(spark, "events")
-            write_table(events.repartition(wanted), _staged[key])
-        path, files = _staged[key], wanted
-    return stream_files(spark, path, events.schema, max_files=-(-files // MICRO_BATCHES))
+    if files >= wanted:
+        return f"{sf_dir}/events.parquet*", files  # the glob also fits a table of many part files
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _staged:
+        _staged[key] = fresh_path(spark, "events")
+        write_table(events.repartition(wanted), _staged[key])
+    return _staged[key], wanted
+
+
+def dealt_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events for work that costs far more than reading them."""
+    path, _ = _dealt(spark, sf_dir)
+    return spark.read.schema(read_events(spark, sf_dir).schema).parquet(path)
+
+
+def stream_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events as a file stream of several micro-batches."""
+    path, files = _dealt(spark, sf_dir)
+    schema = read_events(spark, sf_dir).schema
+    return stream_files(spark, path, schema, max_files=-(-files // MICRO_BATCHES))
 
 
 def payload_columns() -> dict:
@@ -186,7 +198,7 @@ def topic_envelopes(events: DataFrame) -> DataFrame:
     """All envelopes in the combined topic, well-formed ones in the topic of their type as well."""
     own_topic = F.when(F.col("event_id") % 97 != 0, payload_columns()["eventType"])
     topics = F.array_compact(F.array(F.lit(TOPIC), own_topic))
-    return envelopes(events.withColumn("_topic", F.explode(topics)), F.col("_topic"))
+    return envelopes(events, topics).withColumn("topic", F.explode("topic"))
 
 
 def registry(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -92,6 +92,16 @@ def test_profile_counts_before_the_shuffle(plan_of, envelope):
     assert "Join" not in plan
 
 
+def test_drift_walks_the_messages_once(spark, plan_of, envelope):
+    config = TopicConfig(fx.TOPIC, TOPIC_BASED, fx.PAYLOAD_DDL)
+    profile = schema_drift.field_profile(envelope)
+    report = schema_drift.schema_drift(profile, schema_drift.registered_fields(spark, [config]))
+    plan = plan_of(report)
+    assert "variant_explode" in plan_of(profile)
+    assert "variant_explode" not in plan and "parse_json" not in plan
+    assert {r.verdict for r in report.collect()} == {"match"}
+
+
 def test_allocation_has_no_cross_join(spark, plan_of):
     plan = plan_of(allocate(fx.registry(spark, SMALL), fx.LIMIT))
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
